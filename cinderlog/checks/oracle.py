@@ -196,7 +196,7 @@ ORACLE = {
     "tfidf": f"WITH {_TERMS} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM weighted",
     "tfidf_centered": f"""WITH {_TERMS}, m AS (
         SELECT term, sum(tfidf) / (SELECT count(*) FROM documents) AS mean FROM weighted GROUP BY 1)
-      SELECT doc_id, term, round(tfidf - mean, 6) AS centred, round(-mean, 6) AS baseline
+      SELECT doc_id, term, round(tfidf - mean, 6) + 0.0 AS centred, round(-mean, 6) + 0.0 AS baseline
       FROM weighted JOIN m USING (term)""",
     "tfidf_ratio": f"WITH {_TERMS} SELECT doc_id, term, round(tfidf / (1 + tfidf), 6) AS ratio FROM weighted",
     "session_tfidf": f"""WITH {_BLOCKS}, c AS (

@@ -62,10 +62,7 @@ def event_timestamp(spark, sf):
 # Template mining
 
 def log_templates(spark, sf):
-    catalogue = structure(L.raw(spark, sf))[2]
-    return catalogue.groupBy("event_id", "event_template").agg(
-        F.sum("n_lines").alias("n_lines"), F.min("first_line").alias("first_line")
-    )
+    return templates.template_table(structure(L.raw(spark, sf))[0])
 
 
 def structured_lines(spark, sf):

@@ -5,35 +5,30 @@ from pyspark.sql import functions as F
 
 from cinderlog.functions.times import log_timestamp
 
-FIELDS = ("log_date", "log_time", "pid", "log_level", "component", "content")
+# Date, time and process, level, then a component that is not empty and ends in a colon.
+HEADER = r"(?s)^\S+\s+[^,\s]+,\S+\s+\S+\s+(?!:\s)\S.*?:\s"
 
 
 def parse_header(lines: DataFrame) -> DataFrame:
     """<Date> <Time>,<PID> <Level> <Component>: <Content>. Adds the header columns,
-    event_time and is_valid; other columns pass through. Two splits read the whole
-    header; one pattern with a group per field would be matched once per field."""
+    event_time and is_valid; other columns pass through. One pattern tells whether a line
+    is valid, so that the filter on it runs at the scan; two splits read all fields."""
     value = F.coalesce("value", F.lit(""))
-    cut = lines.withColumn("_head", F.split(value, r"\s+", 4))
+    cut = lines.withColumns({"is_valid": value.rlike(HEADER), "_head": F.split(value, r"\s+", 4)})
     cut = cut.withColumn("_tail", F.split(F.get("_head", F.lit(3)), r":\s+", 2))
     stamp = F.get("_head", F.lit(1))
-    fields = {
-        "log_date": F.get("_head", F.lit(0)),
-        "log_time": F.substring_index(stamp, ",", 1),
-        "pid": F.expr("substring(get(_head, 1), instr(get(_head, 1), ',') + 1)"),
-        "log_level": F.get("_head", F.lit(2)),
-        "component": F.get("_tail", F.lit(0)),
-        "content": F.get("_tail", F.lit(1)),
-    }
-    cut = cut.withColumns(fields)
-    valid = (F.instr(stamp, ",") > 1) & F.col("content").isNotNull()
-    for name in ("log_date", "pid", "log_level", "component"):
-        valid = valid & (F.col(name) != "")
-    return cut.withColumns(
+    cut = cut.withColumns(
         {
-            "event_time": log_timestamp(F.col("log_date"), F.col("log_time")),
-            "is_valid": F.coalesce(valid, F.lit(False)),
+            "log_date": F.get("_head", F.lit(0)),
+            "log_time": F.substring_index(stamp, ",", 1),
+            "pid": F.substring(stamp, F.instr(stamp, ",") + 1, F.length(stamp)),
+            "log_level": F.get("_head", F.lit(2)),
+            "component": F.get("_tail", F.lit(0)),
+            "content": F.get("_tail", F.lit(1)),
         }
-    ).drop("_head", "_tail")
+    )
+    time = log_timestamp(F.col("log_date"), F.col("log_time"))
+    return cut.withColumn("event_time", time).drop("_head", "_tail")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

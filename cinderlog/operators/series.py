@@ -10,11 +10,10 @@ from cinderlog.functions.points import float_field, integer_field, point
 def level_counts(structured: DataFrame, time="event_time", width="1 minute") -> DataFrame:
     """Events per tumbling window and level with the first and last log time. Works on
     batch and streaming frames alike."""
-    order = F.struct("event_time", "line_id")
     return structured.groupBy(F.window(time, width), "log_level").agg(
         F.count("*").alias("event_count"),
-        F.min_by("event_time", order).alias("orig_first_timestamp"),
-        F.max_by("event_time", order).alias("orig_last_timestamp"),
+        F.min("event_time").alias("orig_first_timestamp"),
+        F.max("event_time").alias("orig_last_timestamp"),
     ).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),

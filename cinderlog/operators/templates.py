@@ -4,6 +4,11 @@ A line's shape is its masked content with every digit-bearing token hidden; ther
 about as many shapes as log statements, however many lines. Lines of one shape share a
 template. Shapes are counted with partial aggregation, similar shapes of a leaf (same
 token count and leading tokens) are merged, and the result is joined back to the lines.
+
+A digit-bearing token that never varies within its shape belongs to the template. Between
+the two scans of the lines it is known by its hash only, as a token "#<hash>" in a pattern:
+the aggregation then has fixed-width buffers and hashes instead of sorting, and each line
+holds the token's text anyway. Shapes have no digits, so any digit marks such a token.
 """
 
 import numpy as np
@@ -26,33 +31,32 @@ def with_shape(lines: DataFrame, masks=K.MASKS) -> DataFrame:
 
 
 def skeletons(shaped: DataFrame) -> DataFrame:
-    """Per shape: n_lines, first_line and skeleton, the shape with those digit-bearing
-    tokens restored that are the same in all of its lines. One aggregation: each line
-    gives an entry per digit-bearing token, and entry -1 for the line itself."""
+    """Per shape: n_lines, first_line and skeleton, the shape with "#<hash>" in place of
+    those digit-bearing tokens that are the same in all of its lines. One aggregation:
+    each line gives an entry per such token, and entry -1 for the line itself."""
     tokens = F.transform(
         F.split("masked", " "), lambda t, i: F.struct(i.alias("pos"), t.alias("token"))
     )
-    shown = F.filter(
-        tokens, lambda e: e["token"].rlike(r"\d") & (e["token"] != K.WILDCARD)
+    shown = F.filter(tokens, lambda e: e["token"].rlike(r"\d"))
+    line = F.array(F.struct(F.lit(-1).alias("pos"), F.lit("").alias("token")))
+    entries = shaped.select("shape", "line_id", F.inline(F.concat(line, shown))).withColumn(
+        "token", F.xxhash64("token")
     )
-    line = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("token")))
-    entries = shaped.select("shape", "line_id", F.inline(F.concat(line, shown)))
     per_position = entries.groupBy("shape", "pos").agg(
         F.count("*").alias("n"),
         F.min("line_id").alias("first_line"),
         F.min("token").alias("low"),
         F.max("token").alias("high"),
     )
-    constant = (F.col("pos") >= 0) & (F.col("low") == F.col("high"))
+    fixed = (F.col("pos") >= 0) & (F.col("low") == F.col("high"))
     per_shape = per_position.groupBy("shape").agg(
         F.max("n").alias("n_lines"),
         F.min("first_line").alias("first_line"),
-        F.map_from_entries(
-            F.collect_list(F.when(constant, F.struct("pos", "low")))
-        ).alias("_fixed"),
+        F.map_from_entries(F.collect_list(F.when(fixed, F.struct("pos", "low")))).alias("_fixed"),
     )
     restored = F.transform(
-        F.split("shape", " "), lambda t, i: F.coalesce(F.col("_fixed")[i], t)
+        F.split("shape", " "),
+        lambda t, i: F.coalesce(F.concat(F.lit("#"), F.col("_fixed")[i].cast("string")), t),
     )
     return per_shape.withColumn("skeleton", F.array_join(restored, " ")).drop("_fixed")
 
@@ -136,48 +140,42 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
     return mapping
 
 
-def event_key(template: Column) -> Column:
-    return F.left(F.md5(template), F.lit(8))
-
-
 def mine_templates(shaped: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
                    group_size=GROUP_SIZE) -> DataFrame:
-    """Catalogue: shape, event_template, event_id, n_lines, first_line."""
+    """Catalogue: shape, pattern, n_lines, first_line."""
     found = write_table(skeletons(shaped), "skeletons")
     patterns = found.groupBy(F.col("skeleton").alias("pattern")).agg(
         F.sum("n_lines").alias("weight")
     )
     mapping = merge_similar(patterns, depth, similarity, group_size)
     catalogue = found.join(mapping, found["skeleton"] == mapping["pattern"]).select(
-        "shape", F.col("template").alias("event_template"),
-        event_key(F.col("template")).alias("event_id"), "n_lines", "first_line",
+        "shape", F.col("template").alias("pattern"), "n_lines", "first_line"
     )
     return write_table(catalogue, "catalogue")
 
 
-def parameters(content: Column, template: Column) -> Column:
-    """The texts behind the template's wildcards, in order. Template and content have the
-    same tokens, so values are cut out token by token; only a token with several
-    wildcards, or a mask that swallowed blanks, needs a pattern."""
-    raw = F.split(F.trim(F.coalesce(content, F.lit(""))), r"\s+")
-    slots = F.split(template, " ")
+def _values(token: Column, slot: Column) -> Column:
+    """The texts behind the wildcards of one template token."""
+    pieces = F.split(slot, r"<\*>")
+    before, after = F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1))
+    inner = F.substring(
+        token, F.length(before) + 1, F.length(token) - F.length(before) - F.length(after)
+    )
+    return (
+        F.when(slot == K.WILDCARD, F.array(token))
+        .when(F.size(pieces) == 1, F.array().cast("array<string>"))
+        .when(F.size(pieces) == 2, F.array(inner))
+        .otherwise(_by_pattern(token, slot))
+    )
 
-    def values(token, slot):
-        pieces = F.split(slot, r"<\*>")
-        before, after = F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1))
-        inner = F.substring(
-            token, F.length(before) + 1, F.length(token) - F.length(before) - F.length(after)
-        )
-        return (
-            F.when(slot == K.WILDCARD, F.array(token))
-            .when(F.size(pieces) == 1, F.array().cast("array<string>"))
-            .when(F.size(pieces) == 2, F.array(inner))
-            .otherwise(_by_pattern(token, slot))
-        )
 
-    return F.when(
-        F.size(raw) == F.size(slots), F.flatten(F.zip_with(raw, slots, values))
-    ).otherwise(_by_pattern(F.array_join(raw, " "), template))
+def parameters(raw: Column, slots: Column) -> Column:
+    """The texts behind the template's wildcards, in order, from the content's and the
+    template's tokens. Both have the same tokens, so values are cut out token by token;
+    only a token with several wildcards, or a mask that swallowed blanks, needs a pattern."""
+    return F.when(F.size(raw) == F.size(slots), F.flatten(F.zip_with(raw, slots, _values))).otherwise(
+        _by_pattern(F.array_join(raw, " "), F.array_join(slots, " "))
+    )
 
 
 def _by_pattern(text: Column, template: Column) -> Column:
@@ -195,14 +193,37 @@ def _by_pattern(text: Column, template: Column) -> Column:
 
 
 def assign_templates(shaped: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Adds event_id, event_template and parameters to lines. The catalogue is a stored
-    table, so Catalyst broadcasts it when its measured size allows; otherwise it shuffles
-    both sides and AQE splits the partition of a heavy shape."""
-    found = shaped.join(
-        catalogue.select("shape", "event_id", "event_template"), "shape", "left"
+    """Adds event_template, event_id (the head of its md5) and parameters to lines.
+
+    The catalogue is a stored table, so Catalyst broadcasts it when its measured size
+    allows; otherwise it shuffles both sides and AQE splits the partition of a heavy
+    shape. Everything after the join is per row.
+    """
+    found = shaped.join(catalogue.select("shape", "pattern"), "shape", "left")
+    own = F.zip_with(
+        F.split("pattern", " "), F.split("masked", " "),
+        lambda p, t: F.when(p.rlike(r"\d"), t).otherwise(p),
+    )
+    plain = F.split("pattern", " ")
+    staged = found.withColumns(
+        {
+            "_slots": F.when(F.col("pattern").rlike(r"\d"), own).otherwise(plain),
+            "_raw": F.split(F.trim(F.coalesce("content", F.lit(""))), r"\s+"),
+        }
+    ).withColumn("event_template", F.array_join("_slots", " "))
+    return staged.withColumns(
+        {
+            "event_id": F.left(F.md5("event_template"), F.lit(8)),
+            "parameters": parameters(F.col("_raw"), F.col("_slots")),
+        }
+    ).drop("shape", "masked", "pattern", "_slots", "_raw")
+
+
+def template_table(structured: DataFrame) -> DataFrame:
+    """The templates of structured lines with their line count and first line."""
+    return structured.groupBy("event_id", "event_template").agg(
+        F.count("*").alias("n_lines"), F.min("line_id").alias("first_line")
     )
-    filled = found.withColumn("parameters", parameters(F.col("content"), F.col("event_template")))
-    return filled.drop("shape", "masked")
 
 
 def template_counts(structured: DataFrame, k=None) -> DataFrame:

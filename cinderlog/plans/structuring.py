@@ -6,18 +6,20 @@ from cinderlog import constants as K
 from cinderlog import schema
 from cinderlog.operators.parse import accepted, parse_header, rejected
 from cinderlog.operators.templates import assign_templates, mine_templates, with_shape
-from cinderlog.session import write_table
 from cinderlog.sources.files import raw_lines
 from cinderlog.sources.sinks import write_structured
 
 
 def structure(lines: DataFrame, masks=K.MASKS, depth=K.MINING_DEPTH,
               similarity=K.MINING_SIMILARITY):
-    """(structured, rejects, catalogue) from line_id and value. Parsed and masked lines
-    are stored once: line ids stay fixed, and the patterns over the text run once, though
-    mining and assignment both need their result."""
-    parsed = write_table(with_shape(parse_header(lines), masks), "parsed")
-    good = accepted(parsed)
+    """(structured, rejects, catalogue) from line_id and value.
+
+    The lines are scanned once to mine the catalogue and once to assign it. Only shapes
+    and the digit-bearing tokens are aggregated in between; parsing twice costs less than
+    writing and reading a parsed copy of all text.
+    """
+    parsed = parse_header(lines)
+    good = with_shape(accepted(parsed), masks)
     catalogue = mine_templates(good, depth, similarity)
     columns = schema.STRUCTURED.fieldNames()
     return assign_templates(good, catalogue).select(*columns), rejected(parsed), catalogue

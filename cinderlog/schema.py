@@ -43,4 +43,4 @@ LEVEL_COUNTS = _struct(
     orig_last_timestamp=_time,
 )
 
-CATALOGUE = _struct(shape=_text, event_template=_text, event_id=_text)
+CATALOGUE = _struct(shape=_text, pattern=_text)

@@ -1,5 +1,7 @@
 """Session set-up and the shared scratch folder."""
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 
@@ -7,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_scope = contextvars.ContextVar("scratch_scope", default="")
+
 
 def build_session(app_name="cinderlog", master=None, conf=None):
     """A session with the settings the plans rely on. AQE merges small shuffle
@@ -43,17 +47,35 @@ def scratch_root(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="cinderlog-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/cinderlog-{context.applicationId}"
+    return f"{base.rstrip('/')}/cinderlog-{context.applicationId}{_scope.get()}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop_path(spark: SparkSession, path: str):
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _hadoop_path(spark, path)
+    return system.exists(target)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables written inside the block are dropped at its end. For work that repeats in
+    one application, such as micro-batches."""
+    token = _scope.set(f"{_scope.get()}/scope-{uuid.uuid4().hex[:12]}")
+    try:
+        yield
+    finally:
+        system, target = _hadoop_path(spark, scratch_root(spark))
+        _scope.reset(token)
+        system.delete(target, True)
 
 
 def write_table(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 from cinderlog import schema
-from cinderlog.operators.templates import event_key, leaf_key, merge_similar, skeletons
+from cinderlog.operators.templates import leaf_key, merge_similar, skeletons
 from cinderlog.session import path_exists, write_table
 
 # Known templates come before new patterns when a leaf is merged.
@@ -13,46 +13,41 @@ _KNOWN_WEIGHT = 1 << 40
 
 
 def known_templates(spark: SparkSession, path, before: int) -> DataFrame:
-    """Newest template of each shape, from the batches below the given id."""
+    """Newest pattern of each shape, from the batches below the given id."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema.CATALOGUE)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.CATALOGUE.fields)
-    rows = spark.read.schema(fields + ", batch_id bigint").parquet(path)
-    latest = F.max_by(F.struct("event_template", "event_id"), "batch_id").alias("row")
-    return rows.where(F.col("batch_id") < before).groupBy("shape").agg(latest).select("shape", "row.*")
+    rows = spark.read.schema("shape string, pattern string, batch_id bigint").parquet(path)
+    return rows.where(F.col("batch_id") < before).groupBy("shape").agg(
+        F.max_by("pattern", "batch_id").alias("pattern")
+    )
 
 
-def widen(template, skeleton):
-    """Hide the tokens in which a new skeleton differs from its shape's template."""
+def widen(pattern, skeleton):
+    """Hide the tokens in which a new skeleton differs from its shape's pattern."""
     return F.array_join(
         F.zip_with(
-            F.split(template, " "), F.split(skeleton, " "),
-            lambda t, s: F.when(t == s, t).otherwise(F.lit(K.WILDCARD)),
+            F.split(pattern, " "), F.split(skeleton, " "),
+            lambda p, s: F.when(p == s, p).otherwise(F.lit(K.WILDCARD)),
         ), " ",
     )
 
 
 def learn(lines: DataFrame, known: DataFrame, depth=K.MINING_DEPTH,
           similarity=K.MINING_SIMILARITY) -> DataFrame:
-    """Catalogue rows that a batch of lines adds or changes. A new line may widen a known
-    template, and then all shapes of that template get a new row: their older lines keep
-    their ids, and still match."""
+    """Catalogue rows that a batch of lines adds or changes: none, once the statements of
+    the log are known. A new line may widen a known template, and then all shapes of that
+    template get a new row: their older lines keep their ids, and still match."""
     fresh = write_table(skeletons(lines).select("shape", "skeleton", "n_lines"), "skeletons")
-    old = F.col("event_template")
-    merged = known.select("shape", "event_template").join(fresh, "shape", "full_outer").select(
-        "shape", "event_template", "n_lines",
-        F.when(old.isNull(), F.col("skeleton")).when(F.col("skeleton").isNull(), old)
-        .otherwise(widen(old, F.col("skeleton"))).alias("pattern"),
-    )
-    state = write_table(merged.withColumn("leaf", leaf_key(F.col("pattern"), depth)), "state")
-    touched = state.join(
-        state.where("n_lines IS NOT NULL").select("leaf").distinct(), "leaf", "left_semi"
-    )
-    patterns = touched.groupBy("pattern").agg(
-        F.sum(F.when(old.isNotNull(), F.lit(_KNOWN_WEIGHT)).otherwise(F.col("n_lines"))).alias("weight")
-    )
+    old, new = F.col("old"), F.col("skeleton")
+    merged = known.select("shape", F.col("pattern").alias("old")).join(fresh, "shape", "full_outer")
+    pattern = F.when(old.isNull(), new).when(new.isNull(), old).otherwise(widen(old, new))
+    state = merged.select("shape", "old", "n_lines", pattern.alias("pattern"))
+    state = write_table(state.withColumn("leaf", leaf_key(F.col("pattern"), depth)), "state")
+    changed = state.where(old.isNull() | (old != F.col("pattern"))).select("leaf").distinct()
+    touched = state.join(changed, "leaf", "left_semi")
+    weight = F.when(old.isNotNull(), F.lit(_KNOWN_WEIGHT)).otherwise(F.col("n_lines"))
+    patterns = touched.groupBy("pattern").agg(F.sum(weight).alias("weight"))
     mapping = merge_similar(patterns, depth, similarity)
-    template = F.col("template")
-    return touched.join(mapping, "pattern").where(old.isNull() | (old != template)).select(
-        "shape", template.alias("event_template"), event_key(template).alias("event_id")
+    return touched.join(mapping, "pattern").where(old.isNull() | (old != F.col("template"))).select(
+        "shape", F.col("template").alias("pattern")
     )

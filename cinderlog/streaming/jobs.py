@@ -1,12 +1,12 @@
 """Queries over unbounded input.
 
 Sinks that are not append-only write each micro-batch to its own folder batch_id=N, so a
-batch that is replayed after a failure replaces its own output.
+batch that is replayed after a failure never adds to its output.
 """
 
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderlog import constants as K
@@ -16,7 +16,7 @@ from cinderlog.functions.ratios import throughput
 from cinderlog.operators.parse import accepted, parse_header, rejected
 from cinderlog.operators.series import batch_points, count_points, level_counts, newest
 from cinderlog.operators.templates import assign_templates, with_shape
-from cinderlog.session import path_exists
+from cinderlog.session import path_exists, scratch_scope, write_table
 from cinderlog.streaming.catalogue import known_templates, learn
 
 
@@ -42,6 +42,30 @@ def batch_folder(path, batch_id):
     return f"{path}/batch_id={batch_id}"
 
 
+def folder_sink(path):
+    """Publishes each batch's messages as text in the batch's folder, once: a replayed
+    batch is left alone if it was complete, and overwritten if it was not."""
+
+    def publish(messages: DataFrame, batch_id: int):
+        folder = batch_folder(path, batch_id)
+        if not path_exists(messages.sparkSession, f"{folder}/_SUCCESS"):
+            messages.write.mode("overwrite").text(folder)
+
+    return publish
+
+
+def topic_sink(servers, topic):
+    """Publishes to a topic, at least once. Needs the Kafka connector jar."""
+
+    def publish(messages: DataFrame, batch_id: int):
+        (
+            messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).save()
+        )
+
+    return publish
+
+
 def numbered_lines(batch: DataFrame, batch_id: int) -> DataFrame:
     """line_id = batch (23 bits), task (14 bits), row in task (26 bits); fails rather than
     repeat an id when a batch outgrows that."""
@@ -56,43 +80,45 @@ def numbered_lines(batch: DataFrame, batch_id: int) -> DataFrame:
 
 
 def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MASKS,
-                     depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY):
-    """Raw lines (column value) -> messages of structured rows under out/structured,
-    rejects, batch metrics and the growing template catalogue."""
+                     depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
+                     rows_sink=None, metrics_sink=None):
+    """Raw lines (column value) -> messages of structured rows and of batch metrics, plus
+    rejected lines and the growing template catalogue under out."""
+    rows_sink = rows_sink or folder_sink(f"{out}/structured")
+    metrics_sink = metrics_sink or folder_sink(f"{out}/metrics")
 
     def process(batch: DataFrame, batch_id: int):
         begun = time.time()
         spark = batch.sparkSession
-        done = f"{batch_folder(f'{out}/metrics', batch_id)}/_SUCCESS"
-        if batch.isEmpty() or path_exists(spark, done):
-            return
-        seen = Observation()
         numbered = batch if "line_id" in batch.columns else numbered_lines(batch, batch_id)
-        counted = numbered.observe(seen, F.count("*").alias("n"))
-        staged = batch_folder(f"{out}/parsed", batch_id)
-        with_shape(parse_header(counted), masks).write.mode("overwrite").parquet(staged)
-        parsed = spark.read.parquet(staged)
-
-        good = accepted(parsed)
-        known = known_templates(spark, f"{out}/catalogue", before=batch_id)
-        news = learn(good, known, depth, similarity)
-        news.write.mode("overwrite").parquet(batch_folder(f"{out}/catalogue", batch_id))
-        catalogue = known_templates(spark, f"{out}/catalogue", before=batch_id + 1)
-        rows = assign_templates(good, catalogue).select(*schema.STRUCTURED.fieldNames())
-        to_envelope(rows).write.mode("overwrite").text(batch_folder(f"{out}/structured", batch_id))
-        rejected(parsed).write.mode("overwrite").parquet(batch_folder(f"{out}/rejects", batch_id))
-
-        n, seconds = seen.get["n"], time.time() - begun
-        metrics = spark.range(1).select(
+        parsed = with_shape(parse_header(numbered), masks).persist()
+        try:
+            n = parsed.count()
+            if n == 0:
+                return
+            good = accepted(parsed)
+            with scratch_scope(spark):
+                known = write_table(known_templates(spark, f"{out}/catalogue", batch_id), "known")
+                news = write_table(learn(good, known, depth, similarity), "news")
+                if not news.isEmpty():
+                    news.write.mode("overwrite").parquet(batch_folder(f"{out}/catalogue", batch_id))
+                catalogue = write_table(
+                    known.join(news, "shape", "left_anti").unionByName(news), "catalogue"
+                )
+                rows = assign_templates(good, catalogue).select(*schema.STRUCTURED.fieldNames())
+                rows_sink(to_envelope(rows), batch_id)
+            rejected(parsed).write.mode("overwrite").parquet(batch_folder(f"{out}/rejects", batch_id))
+        finally:
+            parsed.unpersist()
+        seconds = time.time() - begun
+        metrics = spark.range(1).coalesce(1).select(
             F.lit(str(batch_id)).alias("batch_id"),
             F.lit(n).cast("bigint").alias("record_count"),
             F.lit(seconds).alias("latency"),
             throughput(F.lit(float(n)), F.lit(seconds)).alias("throughput"),
             F.lit(begun).alias("timestamp"),
         )
-        to_envelope(metrics.coalesce(1)).write.mode("overwrite").text(
-            batch_folder(f"{out}/metrics", batch_id)
-        )
+        metrics_sink(to_envelope(metrics), batch_id)
 
     return start(
         lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint), trigger
@@ -120,11 +146,10 @@ def windowed_counts(structured: DataFrame, time="event", watermark=None) -> Data
 
 def counts_stream(counts: DataFrame, path, checkpoint, trigger=None):
     """Update mode: the windows a batch touched, as messages in the batch's folder."""
-
-    def publish(batch: DataFrame, batch_id: int):
-        to_envelope(batch).write.mode("overwrite").text(batch_folder(path, batch_id))
-
-    writer = counts.writeStream.foreachBatch(publish).outputMode("update")
+    sink = folder_sink(path)
+    writer = counts.writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: sink(to_envelope(batch), batch_id)
+    )
     return start(writer.option("checkpointLocation", checkpoint), trigger)
 
 
@@ -154,12 +179,11 @@ def points_stream(messages: DataFrame, kind, path, checkpoint, trigger=None):
     }[kind]
     rows = messages.select(F.from_json("value", fields).alias("row")).select("row.*")
 
-    def publish(batch: DataFrame, batch_id: int):
-        lines = points(batch).where("value IS NOT NULL")
-        lines.write.mode("overwrite").text(batch_folder(path, batch_id))
-
-    writer = rows.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-    return start(writer, trigger)
+    sink = folder_sink(path)
+    writer = rows.writeStream.foreachBatch(
+        lambda batch, batch_id: sink(points(batch).where("value IS NOT NULL"), batch_id)
+    )
+    return start(writer.option("checkpointLocation", checkpoint), trigger)
 
 
 def replay_stream(lines: DataFrame, path, checkpoint, trigger=None):
