@@ -420,9 +420,8 @@ def stream_points(spark, sf):
 
 def _words(spark, sf):
     words = F.split(F.lower("text"), "[^a-z]+")
-    return L.table(spark, sf, "documents").select(
-        "doc_id", F.explode(F.filter(words, lambda w: w != "")).alias("term")
-    )
+    exploded = L.table(spark, sf, "documents").select("doc_id", F.explode(words).alias("term"))
+    return exploded.where("term <> ''")
 
 
 def _term_counts(spark, sf):

@@ -5,11 +5,6 @@ from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 
-# A token with at least one digit; the look-behind and the possessive quantifier keep
-# the match linear in the token's length.
-_DIGIT_TOKEN = r"(?<!\S)[^\s\d]*+\d\S*"
-
-
 def mask(content: Column, masks=K.MASKS) -> Column:
     """Replace variable substrings by the wildcard, one pattern after another."""
     for pattern in masks:
@@ -23,7 +18,12 @@ def squeeze(text: Column) -> Column:
 
 
 def hide_digit_tokens(text: Column) -> Column:
-    return F.regexp_replace(text, _DIGIT_TOKEN, K.WILDCARD)
+    """Replace every token with a digit by the wildcard. The text has single blanks: a
+    match then starts at a blank only, and the possessive run keeps it linear."""
+    hidden = F.regexp_replace(
+        F.concat(F.lit(" "), text), " [^ 0-9]*+[0-9][^ ]*", f" {K.WILDCARD}"
+    )
+    return F.substr(hidden, F.lit(2))
 
 
 def first_block_id(content: Column) -> Column:

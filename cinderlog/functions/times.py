@@ -4,22 +4,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _digits(text: Column, *spans) -> Column:
+    """The given (start, length) spans of a text if they hold digits only, else null."""
+    joined = F.concat(*[F.substring(text, start, length) for start, length in spans])
+    return F.when(joined.try_cast("int").isNotNull(), joined)
+
+
 def _iso_date(date: Column) -> Column:
-    six = F.concat(
-        F.lit("20"), F.substring(date, 1, 2), F.lit("-"),
-        F.substring(date, 3, 2), F.lit("-"), F.substring(date, 5, 2),
+    six = F.concat(F.lit("20"), _digits(date, (1, 6)))
+    ten = _digits(date, (1, 4), (6, 2), (9, 2))
+    dashed = (F.substring(date, 5, 1) == "-") & (F.substring(date, 8, 1) == "-")
+    digits = F.when(F.length(date) == 6, six).when((F.length(date) == 10) & dashed, ten)
+    return F.concat(
+        F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 2), F.lit("-"), F.substring(digits, 7, 2)
     )
-    return F.when(date.rlike(r"^\d{6}$"), six).when(date.rlike(r"^\d{4}-\d{2}-\d{2}$"), date)
 
 
 def _iso_time(time: Column) -> Column:
-    six = F.concat_ws(":", F.substring(time, 1, 2), F.substring(time, 3, 2), F.substring(time, 5, 2))
-    return F.when(time.rlike(r"^\d{6}$"), six).when(time.rlike(r"^\d{2}:\d{2}:\d{2}$"), time)
+    colons = (F.substring(time, 3, 1) == ":") & (F.substring(time, 6, 1) == ":")
+    digits = F.when(F.length(time) == 6, _digits(time, (1, 6))).when(
+        (F.length(time) == 8) & colons, _digits(time, (1, 2), (4, 2), (7, 2))
+    )
+    return F.concat(
+        F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2), F.lit(":"), F.substring(digits, 5, 2)
+    )
 
 
 def log_timestamp(date: Column, time: Column) -> Column:
     """Header date (yyMMdd or yyyy-MM-dd) and time (HHmmss or HH:mm:ss) as an instant;
-    null when either is malformed. A cast of ISO text is cheaper than a pattern parse."""
+    null when either is malformed."""
     return F.concat(_iso_date(date), F.lit(" "), _iso_time(time)).try_cast("timestamp")
 
 

@@ -120,15 +120,14 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
             merge(work.join(todo, "leaf").withColumn("chunk", chunk), ["leaf", "chunk"]), "merged"
         )
         step = merged.select(F.col("pattern").alias("template"), F.col("template").alias("_next"))
-        mapping = write_table(
-            mapping.join(step, "template", "left").select(
-                "pattern", F.coalesce("_next", "template").alias("template")
-            ), "mapping",
+        mapping = mapping.join(step, "template", "left").select(
+            "pattern", F.coalesce("_next", "template").alias("template")
         )
         # Only leaves that were too big for one group, and shrank, go another round.
         big = todo.where(F.col("n") > group_size).withColumnRenamed("n", "n_before")
         if big.isEmpty():
             break
+        mapping = write_table(mapping, "mapping")
         work = write_table(
             work.join(merged, "pattern").join(big.select("leaf"), "leaf", "left_semi")
             .groupBy("leaf", F.col("template").alias("pattern")).agg(F.sum("weight").alias("weight")),
@@ -163,17 +162,26 @@ def _values(token: Column, slot: Column) -> Column:
     )
     return (
         F.when(slot == K.WILDCARD, F.array(token))
-        .when(F.size(pieces) == 1, F.array().cast("array<string>"))
+        .when(~slot.contains(K.WILDCARD), F.array().cast("array<string>"))
         .when(F.size(pieces) == 2, F.array(inner))
         .otherwise(_by_pattern(token, slot))
     )
 
 
-def parameters(raw: Column, slots: Column) -> Column:
+def open_positions(slots: Column) -> Column:
+    """Positions of the template tokens that hold, or may hold, a wildcard."""
+    numbered = F.transform(slots, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    wild = F.filter(numbered, lambda e: e["t"].contains(K.WILDCARD) | e["t"].startswith("#"))
+    return F.transform(wild, lambda e: e["i"])
+
+
+def parameters(raw: Column, slots: Column, positions=None) -> Column:
     """The texts behind the template's wildcards, in order, from the content's and the
     template's tokens. Both have the same tokens, so values are cut out token by token;
     only a token with several wildcards, or a mask that swallowed blanks, needs a pattern."""
-    return F.when(F.size(raw) == F.size(slots), F.flatten(F.zip_with(raw, slots, _values))).otherwise(
+    positions = open_positions(slots) if positions is None else positions
+    found = F.flatten(F.transform(positions, lambda i: _values(F.get(raw, i), F.get(slots, i))))
+    return F.when(F.size(raw) == F.size(slots), found).otherwise(
         _by_pattern(F.array_join(raw, " "), F.array_join(slots, " "))
     )
 
@@ -192,31 +200,37 @@ def _by_pattern(text: Column, template: Column) -> Column:
     )
 
 
+def event_key(template: Column) -> Column:
+    return F.left(F.md5(template), F.lit(8))
+
+
 def assign_templates(shaped: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Adds event_template, event_id (the head of its md5) and parameters to lines.
 
     The catalogue is a stored table, so Catalyst broadcasts it when its measured size
     allows; otherwise it shuffles both sides and AQE splits the partition of a heavy
-    shape. Everything after the join is per row.
+    shape. What depends on the pattern alone is computed on the catalogue's side.
     """
-    found = shaped.join(catalogue.select("shape", "pattern"), "shape", "left")
+    pattern, slots = F.col("pattern"), F.split("pattern", " ")
+    known = catalogue.select(
+        "shape", "pattern", slots.alias("_tokens"), open_positions(slots).alias("_open"),
+        event_key(pattern).alias("_id"), pattern.rlike("[0-9]").alias("_fixed"),
+    )
     own = F.zip_with(
-        F.split("pattern", " "), F.split("masked", " "),
-        lambda p, t: F.when(p.rlike(r"\d"), t).otherwise(p),
+        "_tokens", F.split("masked", " "), lambda p, t: F.when(p.startswith("#"), t).otherwise(p)
     )
-    plain = F.split("pattern", " ")
-    staged = found.withColumns(
-        {
-            "_slots": F.when(F.col("pattern").rlike(r"\d"), own).otherwise(plain),
-            "_raw": F.split(F.trim(F.coalesce("content", F.lit(""))), r"\s+"),
-        }
-    ).withColumn("event_template", F.array_join("_slots", " "))
-    return staged.withColumns(
+    raw = F.split(F.trim(F.coalesce("content", F.lit(""))), r"\s+")
+    found = shaped.join(known, "shape", "left").withColumns(
+        {"_slots": F.when(F.col("_fixed"), own).otherwise(F.col("_tokens")), "_raw": raw}
+    )
+    template = F.when(F.col("_fixed"), F.array_join("_slots", " ")).otherwise(pattern)
+    named = found.withColumn("event_template", template)
+    return named.withColumns(
         {
-            "event_id": F.left(F.md5("event_template"), F.lit(8)),
-            "parameters": parameters(F.col("_raw"), F.col("_slots")),
+            "event_id": F.when(F.col("_fixed"), event_key(F.col("event_template"))).otherwise(F.col("_id")),
+            "parameters": parameters(F.col("_raw"), F.col("_slots"), F.col("_open")),
         }
-    ).drop("shape", "masked", "pattern", "_slots", "_raw")
+    ).drop("shape", "masked", "pattern", "_tokens", "_open", "_id", "_fixed", "_slots", "_raw")
 
 
 def template_table(structured: DataFrame) -> DataFrame:

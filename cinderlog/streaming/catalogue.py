@@ -44,10 +44,11 @@ def learn(lines: DataFrame, known: DataFrame, depth=K.MINING_DEPTH,
     state = merged.select("shape", "old", "n_lines", pattern.alias("pattern"))
     state = write_table(state.withColumn("leaf", leaf_key(F.col("pattern"), depth)), "state")
     changed = state.where(old.isNull() | (old != F.col("pattern"))).select("leaf").distinct()
+    if changed.isEmpty():
+        return known.limit(0)
     touched = state.join(changed, "leaf", "left_semi")
     weight = F.when(old.isNotNull(), F.lit(_KNOWN_WEIGHT)).otherwise(F.col("n_lines"))
     patterns = touched.groupBy("pattern").agg(F.sum(weight).alias("weight"))
     mapping = merge_similar(patterns, depth, similarity)
-    return touched.join(mapping, "pattern").where(old.isNull() | (old != F.col("template"))).select(
-        "shape", F.col("template").alias("pattern")
-    )
+    news = touched.join(mapping, "pattern").where(old.isNull() | (old != F.col("template")))
+    return write_table(news.select("shape", F.col("template").alias("pattern")), "news")

@@ -98,13 +98,12 @@ def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MA
                 return
             good = accepted(parsed)
             with scratch_scope(spark):
-                known = write_table(known_templates(spark, f"{out}/catalogue", batch_id), "known")
-                news = write_table(learn(good, known, depth, similarity), "news")
+                known = known_templates(spark, f"{out}/catalogue", before=batch_id)
+                news = learn(good, known, depth, similarity)
                 if not news.isEmpty():
                     news.write.mode("overwrite").parquet(batch_folder(f"{out}/catalogue", batch_id))
-                catalogue = write_table(
-                    known.join(news, "shape", "left_anti").unionByName(news), "catalogue"
-                )
+                    known = known_templates(spark, f"{out}/catalogue", before=batch_id + 1)
+                catalogue = write_table(known, "catalogue")
                 rows = assign_templates(good, catalogue).select(*schema.STRUCTURED.fieldNames())
                 rows_sink(to_envelope(rows), batch_id)
             rejected(parsed).write.mode("overwrite").parquet(batch_folder(f"{out}/rejects", batch_id))
