@@ -161,6 +161,8 @@ ORACLE = {
       SELECT part, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_anomalous FROM p GROUP BY 1""",
     "session_head": f"""WITH {_BLOCKS} SELECT block_id, {_text('first_time')}, n_events, label FROM labelled
       ORDER BY labelled.first_time, block_id LIMIT 100""",
+    "shuffled_sessions": f"""WITH {_BLOCKS} SELECT block_id, label,
+      row_number() OVER (ORDER BY md5(block_id || '#7'), block_id) AS position FROM labelled""",
     "sequence_slices": f"""WITH {_BLOCKS}, s AS (
         SELECT block_id, list(event_id ORDER BY event_time, line_id) AS seq FROM blocks GROUP BY 1),
       i AS (SELECT block_id, seq, unnest(range(0, len(seq) - 2)) AS start FROM s)
@@ -174,9 +176,9 @@ ORACLE = {
     "stream_points": _COUNT_POINTS,
     "latest_per_level": f"""WITH {_COUNTS} SELECT log_level, {_text("max(window_end)", "window_end")},
       arg_max(event_count, counts.window_end) AS event_count FROM counts GROUP BY 1""",
-    "count_trend": f"""WITH {_COUNTS}, e AS (SELECT max(window_end) AS stop FROM counts)
-      SELECT log_level, {_text("window_end")}, event_count FROM counts, e
-      WHERE counts.window_end >= stop - INTERVAL 7 DAYS AND counts.window_end < stop""",
+    "count_trend": f"""WITH {_COUNTS} SELECT log_level, {_text("window_end")}, event_count FROM counts
+      WHERE counts.window_end >= (SELECT max(c.window_end) FROM counts c) - INTERVAL 7 DAYS
+        AND counts.window_end < (SELECT max(c.window_end) FROM counts c)""",
     "mean_per_interval": f"""WITH {_RUNS}, b AS (
         SELECT CAST(floor("timestamp" / 900) AS BIGINT) * 900 AS bucket, avg(latency) AS l, avg(throughput) AS t,
           avg(record_count) AS r FROM runs GROUP BY 1),
@@ -190,6 +192,11 @@ ORACLE = {
       || (CAST("timestamp" AS BIGINT) * 1000000000) AS value FROM runs""",
     "json_roundtrip": f"""WITH {_LOGS} SELECT line_id, log_level, content, {_text("event_time")}, parameters
       FROM logs""",
+    "parameter_items": f"""WITH {_LOGS}, i AS (
+        SELECT line_id, list_transform(string_split(parameters, '|'),
+          lambda p: regexp_replace(replace(p, '/', ''), ',$', '')) AS items FROM logs)
+      SELECT line_id, len(items) AS n_items, items[1] AS first_item, items[2] AS second_item,
+        TRY_CAST(regexp_extract(array_to_string(items, ' '), '[0-9]+') AS INTEGER) AS first_integer FROM i""",
     "json_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "term_frequency": f"WITH {_TERMS} SELECT doc_id, term, tf FROM terms",
     "idf_weights": f"WITH {_TERMS} SELECT term, df, round(idf, 6) AS idf FROM idf",

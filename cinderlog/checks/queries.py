@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from cinderlog import schema
 from cinderlog.checks import loglines as L
 from cinderlog.functions.envelope import from_envelope, to_envelope
+from cinderlog.functions.text import first_integer, item, split_list
 from cinderlog.functions.times import log_timestamp, month_key
 from cinderlog.operators import evaluate, features, series, sessions, splits, templates
 from cinderlog.operators.parse import accepted, parse_header
+from cinderlog.operators.ranking import positions
 from cinderlog.plans import anomaly, reports
 from cinderlog.plans.structuring import structure
 from cinderlog.session import scratch_path, write_table
@@ -221,6 +223,12 @@ def session_head(spark, sf):
     )
 
 
+def shuffled_sessions(spark, sf):
+    """Every session with its place in a repeatable shuffle."""
+    keyed = _heads(spark, sf).withColumn("shuffle_key", splits.shuffle_key("block_id", 7))
+    return positions(keyed, ["shuffle_key", "block_id"]).select("block_id", "label", "position")
+
+
 def sequence_slices(spark, sf):
     return sessions.slices(_events(spark, sf), 3).select(
         "block_id", "start", joined("event_sequence", sep=","), "next_event"
@@ -301,6 +309,17 @@ def json_roundtrip(spark, sf):
     return rows.select("line_id", "log_level", "content", text("event_time"), joined("parameters"))
 
 
+def parameter_items(spark, sf):
+    """The parameters as a printed list, taken apart again."""
+    printed = F.concat(F.lit("['"), F.array_join("parameters", "', '"), F.lit("']"))
+    items = L.store(spark, sf).select("line_id", split_list(printed).alias("items"))
+    return items.select(
+        "line_id", F.size("items").alias("n_items"), item(F.col("items"), 0).alias("first_item"),
+        item(F.col("items"), 1).alias("second_item"),
+        first_integer(F.array_join("items", " ")).alias("first_integer"),
+    )
+
+
 def json_props(spark, sf):
     return L.table(spark, sf, "events").select(
         "event_id", F.from_json("props", "k bigint")["k"].alias("k")
@@ -371,9 +390,7 @@ def stream_archive(spark, sf):
 def _raw_stream(spark, sf):
     """Raw lines replayed into a watched directory and structured; the output folder."""
     session, out = jobs.stream_session(spark), scratch_path(spark, "structuring")
-    lines = L.raw(spark, sf).join(
-        L.store(spark, sf).select("line_id", "event_time"), "line_id"
-    )
+    lines = parse_header(L.raw(spark, sf)).select("value", "event_time")
     for piece in in_time_pieces(write_table(lines, "lines"), "event_time"):
         piece.select("value").write.mode("append").text(f"{out}/files")
         source = streams.directory_values(session, f"{out}/files")
@@ -541,9 +558,9 @@ _NAMES = (
     "severity_report exceptions_report write_latency_report transfer_speed_report "
     "retry_report retry_report_by_parameter monthly_severity_report report_files structured_csv "
     "block_endpoints block_events block_sessions labelled_sessions "
-    "split_sequential split_stratified split_complement session_head sequence_slices "
+    "split_sequential split_stratified split_complement session_head shuffled_sessions sequence_slices "
     "level_counts_1m latest_per_level count_trend mean_per_interval "
-    "points_counts points_metrics json_roundtrip json_props "
+    "points_counts points_metrics json_roundtrip json_props parameter_items "
     "stream_level_counts stream_archive replay_stream stream_templates stream_batch_metrics "
     "stream_points term_frequency idf_weights tfidf tfidf_centered tfidf_ratio session_tfidf "
     "confusion_metrics roc_auc anomaly_train_metrics anomaly_predictions anomaly_summary "

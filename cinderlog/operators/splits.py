@@ -41,9 +41,14 @@ def flag_sessions(sessions: DataFrame, ratio=0.5, split_type="sequential", windo
     return keyed.withColumn("is_train", condition).drop(*helper)
 
 
+def shuffle_key(key: str, seed=0):
+    """A hash that puts rows in random but repeatable order."""
+    return F.md5(F.concat(F.col(key), F.lit(f"#{seed}")))
+
+
 def repeatable_shuffle(df: DataFrame, key: str, seed=0) -> DataFrame:
-    """Rows in random but repeatable order; a range shuffle, not one task."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key)
+    """Rows in that order; a range shuffle, not one task."""
+    return df.orderBy(shuffle_key(key, seed), key)
 
 
 def first_rows(df: DataFrame, order, n: int) -> DataFrame:

@@ -20,8 +20,10 @@ from cinderlog import constants as K
 from cinderlog.functions.text import hide_digit_tokens, mask, squeeze
 from cinderlog.session import write_table
 
-# Patterns merged in one task; larger leaves are merged in chunks first.
+# Patterns merged in one group, and the tokens they may have in all; larger leaves are
+# merged in chunks first.
 GROUP_SIZE = 4000
+GROUP_TOKENS = 400_000
 
 
 def with_shape(lines: DataFrame, masks=K.MASKS) -> DataFrame:
@@ -99,9 +101,10 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
                   group_size=GROUP_SIZE) -> DataFrame:
     """pattern -> template for distinct patterns with a weight.
 
-    A leaf of up to group_size patterns is merged in one group. A larger one is merged in
-    hashed chunks, whose far fewer templates are merged again under another hash, until
-    it fits one group or stops shrinking. The outcome depends on the patterns alone.
+    A leaf of up to group_size patterns (fewer if they are long) is merged in one group. A
+    larger one is merged in hashed chunks, whose far fewer templates are merged again under
+    another hash, until it fits one group or stops shrinking. The outcome depends on the
+    patterns alone.
     """
     def merge(df, keys):
         return df.groupBy(*keys).applyInPandas(
@@ -110,12 +113,15 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
 
     work = write_table(patterns.select("pattern", "weight", leaf_key(F.col("pattern"), depth).alias("leaf")), "patterns")
     mapping = work.select("pattern", F.col("pattern").alias("template"))
+    # All patterns of a leaf have the token count its key starts with.
+    length = F.substring_index("leaf", " ", 1).cast("bigint")
+    room = F.greatest(F.lit(2), F.least(F.lit(group_size), F.floor(F.lit(GROUP_TOKENS) / length)))
     leaves = work.groupBy("leaf").agg(F.count("*").alias("n"))
     # A leaf with one pattern needs no merging and never leaves the JVM.
     todo = write_table(leaves.where(F.col("n") > 1), "leaves")
     salt = 0
     while not todo.isEmpty():
-        chunk = F.pmod(F.xxhash64("pattern", F.lit(salt)), F.ceil(F.col("n") / F.lit(group_size)))
+        chunk = F.pmod(F.xxhash64("pattern", F.lit(salt)), F.ceil(F.col("n") / room))
         merged = write_table(
             merge(work.join(todo, "leaf").withColumn("chunk", chunk), ["leaf", "chunk"]), "merged"
         )
@@ -124,7 +130,7 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
             "pattern", F.coalesce("_next", "template").alias("template")
         )
         # Only leaves that were too big for one group, and shrank, go another round.
-        big = todo.where(F.col("n") > group_size).withColumnRenamed("n", "n_before")
+        big = todo.where(F.col("n") > room).withColumnRenamed("n", "n_before")
         if big.isEmpty():
             break
         mapping = write_table(mapping, "mapping")

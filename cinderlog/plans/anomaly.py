@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from cinderlog import constants as K
 from cinderlog.operators.evaluate import confusion, roc_auc
 from cinderlog.operators.features import count_vectors, feature_stages
-from cinderlog.operators.sessions import block_events, session_heads, with_labels
+from cinderlog.operators.sessions import block_events, session_heads, session_parts, with_labels
 from cinderlog.operators.splits import split_sessions
 from cinderlog.session import write_table
+from cinderlog.sources.sinks import write_csv
 
 
 def session_vectors(structured: DataFrame, labels=None, width=K.FEATURE_WIDTH) -> DataFrame:
@@ -42,7 +43,8 @@ def predict(model: PipelineModel, sessions: DataFrame) -> DataFrame:
 
 def evaluate(predictions: DataFrame) -> DataFrame:
     """One row: confusion cells, accuracy, precision, recall, F1 and ROC AUC."""
-    return confusion(predictions).crossJoin(roc_auc(predictions, "raw_margin"))
+    area = roc_auc(predictions, "raw_margin").first()[0]
+    return confusion(predictions).withColumn("roc_auc", F.lit(area).cast("double"))
 
 
 def train(structured: DataFrame, labels: DataFrame, model_path, ratio=0.8,
@@ -62,9 +64,6 @@ def train(structured: DataFrame, labels: DataFrame, model_path, ratio=0.8,
 
 def export(structured: DataFrame, sessions: DataFrame, path):
     """The chosen sessions with their event sequences as CSV; heavy blocks in parts."""
-    from cinderlog.operators.sessions import session_parts
-    from cinderlog.sources.sinks import write_csv
-
     keys = sessions.select("block_id", "label")
     parts = session_parts(block_events(structured)).drop("own_events")
     write_csv(parts.join(keys, "block_id"), path)

@@ -81,6 +81,12 @@ def test_large_leaf_converges_to_the_same_template(spark):
     assert set(by_line(structured(spark, merged, group_size=20))) == {"start task <*> now please"}
 
 
+def test_long_patterns_merge_in_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(T, "GROUP_TOKENS", 30)
+    contents = [f"start the task {chr(97 + i)} now please and tell me more about it" for i in range(26)]
+    assert set(by_line(structured(spark, contents))) == {"start the task <*> now please and tell me more about it"}
+
+
 def test_fixed_digit_tokens_stay(spark):
     got = by_line(structured(spark, ["limit 300ms kept 1 time", "limit 300ms kept 2 time"]))
     assert got == ["limit 300ms kept <*> time"] * 2
