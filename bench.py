@@ -25,7 +25,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
-        "bench", f"local[{cpus}]", {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"}
+        "bench", f"local[{cpus}]",
+        {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

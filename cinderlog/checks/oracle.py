@@ -186,6 +186,11 @@ ORACLE = {
       SELECT {_text("to_timestamp(bucket) AT TIME ZONE 'UTC'", "interval_start")}, round(l, 6) AS mean_latency,
         round(t, 6) AS mean_throughput, round(r, 6) AS mean_record_count
       FROM axis LEFT JOIN b USING (bucket)""",
+    "message_instants": f"""WITH {_COUNTS}, {_RUNS}, t AS (
+        SELECT DISTINCT 'window_end' AS kind, window_end AS instant FROM counts
+        UNION ALL SELECT 'timestamp', to_timestamp("timestamp") AT TIME ZONE 'UTC' FROM runs)
+      SELECT kind, {_text("instant", "time")} FROM t""",
+    "stream_batch_metrics": "SELECT count(*) AS record_count FROM events",
     "points_counts": _COUNT_POINTS,
     "points_metrics": f"""WITH {_RUNS} SELECT 'streaming_metrics,batch_id=' || batch_id || ' latency=' || latency
       || ',record_count=' || record_count || 'i,throughput=' || throughput || ' '

@@ -7,7 +7,7 @@ from cinderlog import schema
 from cinderlog.checks import loglines as L
 from cinderlog.functions.envelope import from_envelope, to_envelope
 from cinderlog.functions.text import first_integer, item, split_list
-from cinderlog.functions.times import log_timestamp, month_key
+from cinderlog.functions.times import epoch_instant, iso_instant, log_timestamp, month_key
 from cinderlog.operators import evaluate, features, series, sessions, splits, templates
 from cinderlog.operators.parse import accepted, parse_header
 from cinderlog.operators.ranking import positions
@@ -299,6 +299,18 @@ def points_counts(spark, sf):
     return series.count_points(from_envelope(messages, schema.LEVEL_COUNTS))
 
 
+def message_instants(spark, sf):
+    """Times inside messages, as instants again: ISO text, and epoch seconds."""
+    counts = to_envelope(_counts(spark, sf).select("window_end")).distinct()
+    iso = iso_instant(F.get_json_object("value", "$.window_end"))
+    runs = to_envelope(_batch_metrics(spark, sf))
+    epoch = epoch_instant(F.get_json_object("value", "$.timestamp").cast("double"))
+    both = counts.select(F.lit("window_end").alias("kind"), iso.alias("time")).unionByName(
+        runs.select(F.lit("timestamp").alias("kind"), epoch.alias("time"))
+    )
+    return both.select("kind", text("time"))
+
+
 def points_metrics(spark, sf):
     messages = to_envelope(_batch_metrics(spark, sf))
     return series.batch_points(from_envelope(messages, schema.BATCH_METRICS))
@@ -419,7 +431,7 @@ def stream_batch_metrics(spark, sf):
     jobs.run_to_end(jobs.points_stream(messages, "batches", f"{out}/points", f"{out}/checkpoint-points"))
     points = spark.read.schema("value string").text(f"{out}/points")
     counted = F.regexp_extract("value", r"record_count=(\d+)i", 1).cast("bigint")
-    return points.agg(F.count("*").alias("n_points"), F.sum(counted).alias("record_count"))
+    return points.agg(F.sum(counted).alias("record_count"))
 
 
 def stream_points(spark, sf):
@@ -510,16 +522,18 @@ def roc_auc(spark, sf):
     return evaluate.roc_auc(scored, "n_chars", "toxic").select(F.round("roc_auc", 6).alias("roc_auc"))
 
 
-def _trained(spark, sf):
+def _trained(spark, sf, split_type="sequential", export=False):
     base = scratch_path(spark, "model")
     _, metrics = anomaly.train(
-        L.store(spark, sf), _labels(spark, sf), f"{base}/model", export_path=base
+        L.store(spark, sf), _labels(spark, sf), f"{base}/model", split_type=split_type,
+        export_path=base if export else None,
     )
     return base, metrics
 
 
 def anomaly_train_metrics(spark, sf):
-    return _trained(spark, sf)[1]
+    """Uniform split, so that both labels are in the test part."""
+    return _trained(spark, sf, "uniform")[1]
 
 
 def anomaly_predictions(spark, sf):
@@ -539,7 +553,7 @@ def anomaly_summary(spark, sf):
 
 def train_test_export(spark, sf):
     """The exported train and test files, read back."""
-    base, _ = _trained(spark, sf)
+    base, _ = _trained(spark, sf, export=True)
     fields = "block_id string, part bigint, event_sequence string, label int"
 
     def read(name):
@@ -560,7 +574,7 @@ _NAMES = (
     "block_endpoints block_events block_sessions labelled_sessions "
     "split_sequential split_stratified split_complement session_head shuffled_sessions sequence_slices "
     "level_counts_1m latest_per_level count_trend mean_per_interval "
-    "points_counts points_metrics json_roundtrip json_props parameter_items "
+    "message_instants points_counts points_metrics json_roundtrip json_props parameter_items "
     "stream_level_counts stream_archive replay_stream stream_templates stream_batch_metrics "
     "stream_points term_frequency idf_weights tfidf tfidf_centered tfidf_ratio session_tfidf "
     "confusion_metrics roc_auc anomaly_train_metrics anomaly_predictions anomaly_summary "

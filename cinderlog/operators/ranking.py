@@ -5,24 +5,34 @@ range-partitioned by key and order, so that a heavy key spreads over many pieces
 piece is numbered on its own and shifted by the totals of the pieces before it.
 """
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderlog.session import write_table
 
+# Rows per range piece where their number is known; otherwise there are as many pieces as
+# shuffle partitions.
+PIECE_ROWS = 10_000_000
+
 
-def _pieces(df: DataFrame, columns) -> DataFrame:
-    placed = df.repartitionByRange(*columns).withColumn("_piece", F.spark_partition_id())
-    # Range bounds come from a sample; storing them with the rows keeps every later
+def _pieces(df: DataFrame, columns, rows=None) -> DataFrame:
+    if rows is None:
+        placed = df.repartitionByRange(*columns)
+    else:
+        placed = df.repartitionByRange(max(1, math.ceil(rows / PIECE_ROWS)), *columns)
+    # Range bounds come from a sample; storing the piece with the rows keeps every later
     # step on the same pieces.
-    return write_table(placed, "pieces")
+    return write_table(placed.withColumn("_piece", F.spark_partition_id()), "pieces")
 
 
-def running_total(df: DataFrame, order, totals: dict, keys=()) -> DataFrame:
+def running_total(df: DataFrame, order, totals: dict, keys=(), rows=None) -> DataFrame:
     """Adds, for each name -> column in totals, its sum up to and including the row, per
-    key and in the given order. Rows must be unique in keys + order."""
+    key and in the given order. Rows must be unique in keys + order. rows is the number of
+    rows, if known."""
     keys, order = list(keys), list(order)
-    placed = _pieces(df.withColumns({f"_v_{n}": c for n, c in totals.items()}), keys + order)
+    placed = _pieces(df.withColumns({f"_v_{n}": c for n, c in totals.items()}), keys + order, rows)
     sums = placed.groupBy(*keys, "_piece").agg(
         *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals]
     )
@@ -45,20 +55,21 @@ def running_total(df: DataFrame, order, totals: dict, keys=()) -> DataFrame:
     )
 
 
-def positions(df: DataFrame, order, keys=(), name="position") -> DataFrame:
-    """1-based position of each row within its key."""
-    return running_total(df, order, {name: F.lit(1).cast("bigint")}, keys)
+def positions(df: DataFrame, order, keys=(), rows=None) -> DataFrame:
+    """Adds the 1-based position of each row within its key."""
+    return running_total(df, order, {"position": F.lit(1).cast("bigint")}, keys, rows)
 
 
 def row_at(df: DataFrame, order, ratio: float):
     """The row at position floor(n * ratio) in the order (None when that is 0). Only the
     order columns are shuffled and only one range piece is sorted."""
     order = list(order)
-    placed = _pieces(df.select(*order), order)
-    sizes = placed.groupBy("_piece").count().orderBy("_piece").collect()  # one row per piece
-    left = int(sum(r["count"] for r in sizes) * ratio)
+    rows = df.count()
+    left = int(rows * ratio)
     if left == 0:
         return None
+    placed = _pieces(df.select(*order), order, rows)
+    sizes = placed.groupBy("_piece").count().orderBy("_piece").collect()  # one row per piece
     for size in sizes:
         if left <= size["count"]:
             piece = placed.where(F.col("_piece") == size["_piece"])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 from cinderlog.functions.points import float_field, integer_field, point
+from cinderlog.functions.times import epoch_instant
 
 
 def level_counts(structured: DataFrame, time="event_time", width="1 minute") -> DataFrame:
@@ -44,10 +45,10 @@ def batch_points(metrics: DataFrame) -> DataFrame:
         "latency": float_field(F.col("latency")),
         "throughput": float_field(F.col("throughput")),
     }
-    time = F.timestamp_micros(F.round(F.col("timestamp") * 1000000).cast("bigint"))
-    return metrics.select(
-        point(K.BATCH_MEASUREMENT, {"batch_id": F.col("batch_id")}, fields, time).alias("value")
+    line = point(
+        K.BATCH_MEASUREMENT, {"batch_id": F.col("batch_id")}, fields, epoch_instant(F.col("timestamp"))
     )
+    return metrics.select(line.alias("value"))
 
 
 def in_range(series: DataFrame, time: str, start, end) -> DataFrame:

@@ -35,18 +35,18 @@ def session_parts(events: DataFrame, part_size=PART_SIZE, lookahead=0) -> DataFr
     if lookahead > part_size:
         raise ValueError("lookahead must not exceed part_size")
     sizes = events.groupBy("block_id").agg(F.count("*").alias("_n"))
-    heavy = write_table(sizes.where(F.col("_n") > part_size).select("block_id"), "heavy")
+    heavy = write_table(sizes.where(F.col("_n") > part_size), "heavy")
     columns = [
         "block_id", "part", "own_events",
         F.col("_items.event_id").alias("event_sequence"),
     ]
-    if heavy.isEmpty():
+    rows = heavy.agg(F.sum("_n")).first()[0]
+    if rows is None:
         return _light(events).select(*columns)
 
     light = _light(events.join(heavy, "block_id", "left_anti"))
-    placed = positions(
-        events.join(heavy, "block_id", "left_semi"), ["event_time", "line_id"], ["block_id"]
-    )
+    own = events.join(heavy, "block_id", "left_semi")
+    placed = positions(own, ["event_time", "line_id"], ["block_id"], rows)
     part = F.floor((F.col("position") - 1) / F.lit(part_size))
     offset = (F.col("position") - 1) % part_size
     # An event belongs to its own part and, near the start of a part, to the one before.

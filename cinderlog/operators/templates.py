@@ -70,31 +70,40 @@ def leaf_key(pattern: Column, depth=K.MINING_DEPTH) -> Column:
     return F.concat(F.size(tokens).cast("string"), F.lit(" "), F.array_join(lead, " "))
 
 
-def merge_patterns(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Merge the patterns of one bounded group: each joins the most similar template so
-    far (ties: the one with more wildcards) if enough tokens agree, hiding the others."""
-    pdf = pdf.sort_values(["weight", "pattern"], ascending=[False, True], kind="stable")
-    rows = [p.split(" ") for p in pdf["pattern"]]
-    codes, words = pd.factorize(np.array([w for r in rows for w in r], dtype=object))
-    wild = np.flatnonzero(words == K.WILDCARD)
-    grid = codes.reshape(len(rows), -1).astype(np.int64)
-    if len(wild):
-        grid[grid == wild[0]] = -1
-    found = np.empty_like(grid)
-    count, home = 0, np.empty(len(rows), dtype=np.int64)
-    for i, row in enumerate(grid):
-        if count:
-            known = found[:count]
-            agree = ((known == row) & (known >= 0)).sum(axis=1)
-            best = np.lexsort((np.arange(count), -(known < 0).sum(axis=1), -agree))[0]
-            if agree[best] >= similarity * grid.shape[1]:
-                found[best] = np.where(known[best] == row, row, -1)
-                home[i] = best
-                continue
-        found[count], home[i] = row, count
-        count += 1
-    texts = [" ".join(K.WILDCARD if c < 0 else words[c] for c in f) for f in found[:count]]
-    return pd.DataFrame({"pattern": pdf["pattern"].to_numpy(), "template": [texts[h] for h in home]})
+def pattern_merger(similarity: float, wildcard=K.WILDCARD):
+    """The function that merges the patterns of one bounded group: each joins the most
+    similar template so far (ties: the one with more wildcards) if enough tokens agree,
+    hiding the others. A closure, so that executors need numpy and pandas only."""
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["weight", "pattern"], ascending=[False, True], kind="stable")
+        rows = [p.split(" ") for p in pdf["pattern"]]
+        codes, words = pd.factorize(np.array([w for r in rows for w in r], dtype=object))
+        wild = np.flatnonzero(words == wildcard)
+        grid = codes.reshape(len(rows), -1).astype(np.int64)
+        if len(wild):
+            grid[grid == wild[0]] = -1
+        found = np.empty_like(grid)
+        count, home = 0, np.empty(len(rows), dtype=np.int64)
+        for i, row in enumerate(grid):
+            if count:
+                known = found[:count]
+                agree = ((known == row) & (known >= 0)).sum(axis=1)
+                best = int(agree.argmax())
+                if agree[best] >= similarity * grid.shape[1]:
+                    ties = np.flatnonzero(agree == agree[best])
+                    best = ties[(known[ties] < 0).sum(axis=1).argmax()]
+                    found[best] = np.where(known[best] == row, row, -1)
+                    home[i] = best
+                    continue
+            found[count], home[i] = row, count
+            count += 1
+        texts = [" ".join(wildcard if c < 0 else words[c] for c in f) for f in found[:count]]
+        return pd.DataFrame(
+            {"pattern": pdf["pattern"].to_numpy(), "template": [texts[h] for h in home]}
+        )
+
+    return merge
 
 
 def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
@@ -108,7 +117,7 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
     """
     def merge(df, keys):
         return df.groupBy(*keys).applyInPandas(
-            lambda pdf: merge_patterns(pdf, similarity), "pattern string, template string"
+            pattern_merger(similarity), "pattern string, template string"
         )
 
     work = write_table(patterns.select("pattern", "weight", leaf_key(F.col("pattern"), depth).alias("leaf")), "patterns")

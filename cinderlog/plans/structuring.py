@@ -16,7 +16,8 @@ def structure(lines: DataFrame, masks=K.MASKS, depth=K.MINING_DEPTH,
 
     The lines are scanned once to mine the catalogue and once to assign it. Only shapes
     and the digit-bearing tokens are aggregated in between; parsing twice costs less than
-    writing and reading a parsed copy of all text.
+    writing and reading a parsed copy of all text. The lines must be the same each time,
+    as those of a fixed list of files are.
     """
     parsed = parse_header(lines)
     good = with_shape(accepted(parsed), masks)
@@ -26,7 +27,7 @@ def structure(lines: DataFrame, masks=K.MASKS, depth=K.MINING_DEPTH,
 
 
 def structure_files(spark: SparkSession, raw_path, structured_path, rejects_path=None, **options):
-    """Raw log directory -> structured Parquet, partitioned by log date."""
+    """Raw log directory -> structured Parquet, partitioned by day."""
     structured, rejects, _ = structure(raw_lines(spark, raw_path), **options)
     write_structured(structured, structured_path)
     if rejects_path is not None:

@@ -28,6 +28,8 @@ STRUCTURED = T.StructType(
     + _struct(event_id=_text, event_template=_text, parameters=_texts).fields
 )
 
+STORED = T.StructType(STRUCTURED.fields + _struct(log_day=T.DateType()).fields)
+
 LABELS = _struct(BlockId=_text, Label=_text)
 
 BATCH_METRICS = _struct(

@@ -13,17 +13,10 @@ _scope = contextvars.ContextVar("scratch_scope", default="")
 
 
 def build_session(app_name="cinderlog", master=None, conf=None):
-    """A session with the settings the plans rely on. AQE merges small shuffle
-    partitions and splits skewed join partitions; set spark.sql.shuffle.partitions
-    for the cluster to several times its cores and let AQE shrink from there."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
+    """A session for the jobs. They rely on adaptive execution, which is on by default:
+    it merges small shuffle partitions and splits skewed ones. On a cluster set
+    spark.sql.shuffle.partitions to several times its cores and let it shrink from there."""
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in (conf or {}).items():

@@ -15,7 +15,8 @@ def raw_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def structured_parquet(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(schema.STRUCTURED).parquet(path)
+    """Structured logs with their partition column log_day."""
+    return spark.read.schema(schema.STORED).parquet(path)
 
 
 def structured_csv(spark: SparkSession, path) -> DataFrame:

@@ -6,13 +6,19 @@ from pyspark.sql import functions as F
 from cinderlog.functions.envelope import to_envelope
 
 
+def with_day(df: DataFrame) -> DataFrame:
+    """Adds log_day, the partition column: a day of event_time, or null. The header's date
+    itself is free text, and would give a folder per odd value."""
+    return df.withColumn("log_day", F.to_date("event_time"))
+
+
 def write_structured(df: DataFrame, path, mode="overwrite"):
-    """Parquet by log date. The rebalance hint lets AQE split a heavy date over many
-    files of normal size and merge light ones; sorted by event, a report on one template
-    skips most row groups."""
-    balanced = df.hint("rebalance", F.col("log_date"))
-    sorted_rows = balanced.sortWithinPartitions("log_date", "event_id")
-    sorted_rows.write.mode(mode).partitionBy("log_date").parquet(path)
+    """Parquet by day. The rebalance hint lets AQE split a heavy day over many files of
+    normal size and merge light ones; sorted by event, a report on one template skips
+    most row groups."""
+    balanced = with_day(df).hint("rebalance", F.col("log_day"))
+    sorted_rows = balanced.sortWithinPartitions("log_day", "event_id")
+    sorted_rows.write.mode(mode).partitionBy("log_day").parquet(path)
 
 
 def write_report(df: DataFrame, path, single_file=True):

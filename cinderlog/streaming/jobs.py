@@ -17,6 +17,7 @@ from cinderlog.operators.parse import accepted, parse_header, rejected
 from cinderlog.operators.series import batch_points, count_points, level_counts, newest
 from cinderlog.operators.templates import assign_templates, with_shape
 from cinderlog.session import path_exists, scratch_scope, write_table
+from cinderlog.sources.sinks import with_day
 from cinderlog.streaming.catalogue import known_templates, learn
 
 
@@ -125,10 +126,10 @@ def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MA
 
 
 def archive_stream(structured: DataFrame, path, checkpoint, trigger=None):
-    """Structured rows -> Parquet by log date, appended exactly once by the file sink."""
+    """Structured rows -> Parquet by day, appended exactly once by the file sink."""
     writer = (
-        structured.writeStream.format("parquet").outputMode("append")
-        .partitionBy("log_date").option("path", path).option("checkpointLocation", checkpoint)
+        with_day(structured).writeStream.format("parquet").outputMode("append")
+        .partitionBy("log_day").option("path", path).option("checkpointLocation", checkpoint)
     )
     return start(writer, trigger)
 

@@ -15,8 +15,7 @@ def spark(tmp_path_factory):
         {
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
-            # Small tables stay in several partitions, as large ones are.
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
@@ -25,6 +24,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    """Ranking cuts even small tables into many pieces, as it does large ones."""
+    from cinderlog.operators import ranking
+    monkeypatch.setattr(ranking, "PIECE_ROWS", 40)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"

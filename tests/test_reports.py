@@ -77,11 +77,11 @@ def test_filter_and_columns_reach_the_scan(spark, logs, tmp_path):
     path = str(tmp_path / "s")
     sinks.write_structured(logs, path)
     stored = files.structured_parquet(spark, path)
-    assert stored.count() == 13 and stored.where("log_date = '240102'").count() == 2
+    assert stored.count() == 13 and stored.where("log_day = '2024-01-01'").count() == 13
     plan = reports.write_latency(stored)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_template" in plan and "ReadSchema: struct<event_template:string,parameters:array<string>>" in plan
-    pruned = stored.where("log_date = '240102'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(log_date" in pruned
+    pruned = stored.where("log_day = '2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_day" in pruned
 
 
 def test_structure_files(spark, tmp_path):

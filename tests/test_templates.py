@@ -1,5 +1,7 @@
 import random
 import re
+import subprocess
+import sys
 
 import pandas as pd
 import pytest
@@ -112,12 +114,26 @@ def test_parameters(spark):
 
 def test_merge_ties_go_to_the_more_general():
     pdf = pd.DataFrame({"pattern": ["a b c d", "a <*> c e", "a b c f"], "weight": [9, 8, 1]})
-    out = dict(zip(*[T.merge_patterns(pdf, 0.5)[c] for c in ("pattern", "template")]))
+    out = dict(zip(*[T.pattern_merger(0.5)(pdf)[c] for c in ("pattern", "template")]))
     assert out["a b c d"] == out["a <*> c e"] == out["a b c f"] == "a <*> c <*>"
-    apart = T.merge_patterns(pd.DataFrame({"pattern": ["a b", "c d"], "weight": [1, 1]}), 0.5)
+    apart = T.pattern_merger(0.5)(pd.DataFrame({"pattern": ["a b", "c d"], "weight": [1, 1]}))
     assert list(apart["template"]) == ["a b", "c d"]
 
 
+def test_executors_do_not_need_the_package():
+    from pyspark import cloudpickle
+    assert b"cinderlog.constants" not in cloudpickle.dumps(T.pattern_merger(0.5))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "merge = pickle.loads(sys.stdin.buffer.read())\n"
+        "print(merge(pd.DataFrame({'pattern': ['a b c', 'a b d'], 'weight': [1, 1]}))['template'][0])"
+    )
+    out = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(T.pattern_merger(0.5)), capture_output=True, cwd="/"
+    )
+    assert out.stdout.decode().strip() == "a b <*>", out.stderr
+
+
 def test_counting_hashes_and_never_sorts_lines(spark):
     lines = spark.createDataFrame([(1, "a 1")], "line_id bigint, content string")
     plan = T.skeletons(T.with_shape(lines))._jdf.queryExecution().executedPlan().toString()
