@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cinderlog.plans.structuring import structure
 from cinderlog.session import prepare, write_table
+from cinderlog.sources.files import spread
 
 # Log text of each kind of event; {time}-like dialect differences are in the callers.
 CONTENT = """CASE event_type
@@ -46,7 +47,7 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir) -> DataFrame:
     """line_id, value."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("line_id"), F.expr(_RAW).alias("value")
     )
 

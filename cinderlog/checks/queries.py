@@ -43,7 +43,7 @@ def text_log_scan(spark, sf):
 
 def rejected_lines(spark, sf):
     """Document lines are no log lines; whatever fits the header grammar is accepted."""
-    lines = L.table(spark, sf, "documents").select(
+    lines = files.spread(L.table(spark, sf, "documents")).select(
         F.col("doc_id").alias("line_id"), F.explode(F.split("text", "\n")).alias("value")
     )
     parsed = parse_header(lines)
@@ -86,7 +86,8 @@ def skeleton_topk(spark, sf):
 
 def document_skeletons(spark, sf):
     """Line skeletons of the documents: every number hidden."""
-    lines = L.table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    documents = files.spread(L.table(spark, sf, "documents"))
+    lines = documents.select(F.explode(F.split("text", "\n")).alias("line"))
     return templates.content_skeletons(lines, "line", masks=("[0-9]+",))
 
 
@@ -449,7 +450,8 @@ def stream_points(spark, sf):
 
 def _words(spark, sf):
     words = F.split(F.lower("text"), "[^a-z]+")
-    exploded = L.table(spark, sf, "documents").select("doc_id", F.explode(words).alias("term"))
+    documents = files.spread(L.table(spark, sf, "documents"))
+    exploded = documents.select("doc_id", F.explode(words).alias("term"))
     return exploded.where("term <> ''")
 
 

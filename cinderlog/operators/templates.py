@@ -112,8 +112,8 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
 
     A leaf of up to group_size patterns (fewer if they are long) is merged in one group. A
     larger one is merged in hashed chunks, whose far fewer templates are merged again under
-    another hash, until it fits one group or stops shrinking. The outcome depends on the
-    patterns alone.
+    another hash, until it fits one group or a round merges less than a tenth of it. The
+    outcome depends on the patterns alone.
     """
     def merge(df, keys):
         return df.groupBy(*keys).applyInPandas(
@@ -138,7 +138,7 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
         mapping = mapping.join(step, "template", "left").select(
             "pattern", F.coalesce("_next", "template").alias("template")
         )
-        # Only leaves that were too big for one group, and shrank, go another round.
+        # Only leaves that were too big for one group, and shrank well, go another round.
         big = todo.where(F.col("n") > room).withColumnRenamed("n", "n_before")
         if big.isEmpty():
             break
@@ -149,7 +149,7 @@ def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING
             "patterns",
         )
         left = work.groupBy("leaf").agg(F.count("*").alias("n")).join(big, "leaf")
-        todo = write_table(left.where("n > 1 AND n < n_before").drop("n_before"), "leaves")
+        todo = write_table(left.where("n > 1 AND n <= 0.9 * n_before").drop("n_before"), "leaves")
         salt += 1
     return mapping
 

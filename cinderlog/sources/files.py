@@ -14,6 +14,13 @@ def raw_lines(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer tasks than there are cores, such as one of
+    a single small file, over the cores. A scan with enough tasks is left as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def structured_parquet(spark: SparkSession, path) -> DataFrame:
     """Structured logs with their partition column log_day."""
     return spark.read.schema(schema.STORED).parquet(path)

@@ -104,6 +104,13 @@ def test_all_report_files(spark, logs, tmp_path):
         assert name == "speed" or len(parts) == 1
 
 
+def test_spread_leaves_wide_scans_alone(spark, sf_dir):
+    narrow = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert files.spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 30)
+    assert files.spread(wide) is wide
+
+
 def test_topic_options():
     assert streams.topic_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t"}
     full = streams.topic_options("h:1", "t", 10000, "latest", False)
