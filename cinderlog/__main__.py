@@ -48,29 +48,43 @@ def score(spark, args):
     sinks.write_report(anomaly.summary(predictions), args.output)
 
 
-def structure_stream(spark, args):
-    session = jobs.stream_session(spark)
-    sinks_ = {}
-    if args.servers:
-        sinks_ = dict(
-            rows_sink=jobs.topic_sink(args.servers, args.rows_topic),
-            metrics_sink=jobs.topic_sink(args.servers, args.metrics_topic),
-        )
-    return jobs.structure_stream(
-        _values(session, args, args.input), args.output, args.checkpoint, args.trigger, **sinks_
+def _topic_sinks(args):
+    if not args.servers:
+        return {}
+    return dict(
+        rows_sink=jobs.topic_sink(args.servers, args.rows_topic),
+        metrics_sink=jobs.topic_sink(args.servers, args.metrics_topic),
     )
 
 
-def _rows(spark, args):
-    return streams.rows_from_values(_values(jobs.stream_session(spark), args, args.input), schema.STRUCTURED)
+def structure_stream(spark, args):
+    lines = _values(jobs.stream_session(spark), args, args.input)
+    return jobs.structure_stream(lines, args.output, args.checkpoint, args.trigger, **_topic_sinks(args))
+
+
+def _rows(session, args, source):
+    return streams.rows_from_values(_values(session, args, source), schema.STRUCTURED)
+
+
+def live(spark, args):
+    """structuring, archive and counts in one application"""
+    session = jobs.stream_session(spark)
+    published = args.rows_topic if args.servers else f"{args.output}/structured/*"
+    jobs.live(
+        _values(session, args, args.input), lambda: _rows(session, args, published), args.output,
+        args.checkpoint, args.trigger or "0 seconds", **_topic_sinks(args),
+    )
+    session.streams.awaitAnyTermination()
 
 
 def archive_stream(spark, args):
-    return jobs.archive_stream(_rows(spark, args), args.output, args.checkpoint, args.trigger)
+    rows = _rows(jobs.stream_session(spark), args, args.input)
+    return jobs.archive_stream(rows, args.output, args.checkpoint, args.trigger)
 
 
 def count_stream(spark, args):
-    counts = jobs.windowed_counts(_rows(spark, args), args.time, args.watermark)
+    rows = _rows(jobs.stream_session(spark), args, args.input)
+    counts = jobs.windowed_counts(rows, args.time, args.watermark)
     if args.servers:
         return jobs.counts_topic(counts, args.servers, args.output, args.checkpoint, args.trigger)
     return jobs.counts_stream(counts, args.output, args.checkpoint, args.trigger)
@@ -117,9 +131,10 @@ def parser():
     sub.add_argument("--normalization", choices=["zero-mean", "ratio", "sigmoid"])
     sub.add_argument("--export", help="folder for the train and test sets as CSV")
     command(score, "input", "model", "output")
-    sub = command(structure_stream, "input", "output", stream=True)
-    sub.add_argument("--rows-topic", default="structured")
-    sub.add_argument("--metrics-topic", default="batch_metrics")
+    for run in (structure_stream, live):
+        sub = command(run, "input", "output", stream=True)
+        sub.add_argument("--rows-topic", default="structured")
+        sub.add_argument("--metrics-topic", default="batch_metrics")
     command(archive_stream, "input", "output", stream=True)
     sub = command(count_stream, "input", "output", stream=True)
     sub.add_argument("--time", default="processing", choices=["processing", "event"])

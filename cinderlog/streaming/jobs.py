@@ -195,6 +195,24 @@ def replay_stream(lines: DataFrame, path, checkpoint, trigger=None):
     return start(writer, trigger)
 
 
+def console_stream(rows: DataFrame, checkpoint, trigger=None):
+    """Prints each batch, for a look at a stream."""
+    writer = rows.writeStream.format("console").option("checkpointLocation", checkpoint)
+    return start(writer, trigger)
+
+
+def live(lines: DataFrame, rows, out, checkpoint, trigger="0 seconds", archive_every="30 minutes",
+         count_every="1 minute", **options):
+    """Structuring, archive and counts as three queries of one application. rows() gives a
+    new reader of what the first query publishes, one for each of the other two."""
+    counts = windowed_counts(rows(), "processing")
+    return [
+        structure_stream(lines, out, f"{checkpoint}/structure", trigger, **options),
+        archive_stream(rows(), f"{out}/archive", f"{checkpoint}/archive", archive_every),
+        counts_stream(counts, f"{out}/counts", f"{checkpoint}/counts", count_every),
+    ]
+
+
 def run_to_end(query):
     """Wait for an available-now query; raises what the query raised."""
     query.awaitTermination()

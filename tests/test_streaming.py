@@ -184,6 +184,37 @@ def test_line_numbers(spark):
     assert len(set(ids)) == 100 and all(i >> 40 == 3 for i in ids)
 
 
+def test_three_queries_side_by_side(spark, session, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    feed(raw, "1.log", lines_of(0, ["a 1", "a 2"]))
+
+    def rows():
+        return streams.rows_from_values(streams.directory_values(session, f"{out}/structured/*"), schema.STRUCTURED)
+
+    queries = jobs.live(
+        streams.directory_values(session, str(raw)), rows, str(out), f"{out}/checkpoint",
+        "1 second", "1 second", "1 second",
+    )
+    try:
+        for name, more in (("2.log", ["a 3"]), ("3.log", ["b"])):
+            feed(raw, name, lines_of(1, more))
+            for query in queries:
+                query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert sorted(r.content for r in spark.read.parquet(f"{out}/archive").collect()) == ["a 1", "a 2", "a 3", "b"]
+    got = jobs.current_counts(spark, f"{out}/counts")
+    assert got.agg(F.sum("event_count")).first()[0] == 4
+
+
+def test_console_stream(session, tmp_path):
+    feed(tmp_path / "in", "1", ["hello"])
+    source = streams.directory_values(session, f"{tmp_path}/in")
+    query = jobs.run_to_end(jobs.console_stream(source, f"{tmp_path}/c"))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1
+
+
 def test_points_stream_skips_bad_messages(spark, session, tmp_path):
     topic = tmp_path / "topic"
     good = '{"window_end":"2024-01-01T00:01:00.000Z","log_level":"INFO","event_count":3}'
