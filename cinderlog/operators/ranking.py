@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 from cinderlog.session import write_table
 
-# Rows per range piece where their number is known; otherwise there are as many pieces as
-# shuffle partitions.
+# Rows per range piece at most, and the rows worth a piece while there are cores to spare.
+# Where the number of rows is unknown there are as many pieces as shuffle partitions.
 PIECE_ROWS = 10_000_000
+MIN_PIECE_ROWS = 50_000
 
 
 def _pieces(df: DataFrame, columns, rows=None) -> DataFrame:
     if rows is None:
         placed = df.repartitionByRange(*columns)
     else:
-        placed = df.repartitionByRange(max(1, math.ceil(rows / PIECE_ROWS)), *columns)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        wanted = min(cores, math.ceil(rows / MIN_PIECE_ROWS))
+        placed = df.repartitionByRange(max(1, wanted, math.ceil(rows / PIECE_ROWS)), *columns)
     # Range bounds come from a sample; storing the piece with the rows keeps every later
     # step on the same pieces.
     return write_table(placed.withColumn("_piece", F.spark_partition_id()), "pieces")
