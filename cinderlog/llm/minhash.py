@@ -160,8 +160,8 @@ def _confirm(documents, pairs, classes, size, percent):
 
 def _remaining_pairs(documents, members, classes, size, percent):
     """Pairs of members of different components that share a shingle among the rarest ones
-    a set needs to be similar to any other: all pairs with the similarity are among them.
-    members: node, component."""
+    a set needs to be similar to any other, with enough shingles behind it on either side: all
+    pairs with the similarity are among them. members: node, component."""
     sets = _set_table(documents, members.select("node"), classes, size)
 
     def unfold(frames):
@@ -180,14 +180,18 @@ def _remaining_pairs(documents, members, classes, size, percent):
     length = F.expr(
         f"cast(n_shingles - ceil(n_shingles * {percent} / 100) + 1 - (n_shingles - size(shared)) as int)"
     )
+    # left: the shingle and those after it, which are all that a pair that meets in it first
+    # can have in common.
     first = ranked.where(length > 0).select(
-        "node", F.col("n_shingles").alias("n"), F.explode(F.slice("shared", 1, length)).alias("x")
-    ).select("node", "n", "x.item")
+        "node", F.col("n_shingles").alias("n"), F.size("shared").alias("s"),
+        F.posexplode(F.slice("shared", 1, length)).alias("i", "x"),
+    ).select("node", "n", (F.col("s") - F.col("i")).alias("left"), "x.item")
     first = write_table(first.join(members, "node"), "prefixes")
     a, b = first.alias("a"), first.alias("b")
     return a.join(b, F.expr(
         f"a.item = b.item and a.node < b.node and a.component <> b.component "
-        f"and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
+        f"and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) "
+        f"and {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)"
     )).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
