@@ -90,10 +90,12 @@ def _sketch(frames, size: int, bands: int, rows: int):
                         key = chain(key, least[i::rows])
                     remembered[node] = key.view(np.int64), (least & np.uint64(255)).astype(np.uint8).tobytes()
                 out.append((len(s), node, *remembered[node]))
-        found = pd.DataFrame(out, columns=["n_shingles", "node", "bands", "signature"])
-        found["node"] = found["node"].astype("Int64")
-        found.insert(0, "doc_id", frame["doc_id"].to_numpy())
-        yield found
+        sizes, nodes, keys, signatures = zip(*out) if out else ((),) * 4
+        yield pd.DataFrame({
+            "doc_id": frame["doc_id"].to_numpy(), "n_shingles": np.array(sizes, np.int64),
+            "node": pd.array(nodes, "Int64"),  # exact, nulls among them or not
+            "bands": list(keys), "signature": list(signatures),
+        })
 
 
 def _sets(frames, size: int):
