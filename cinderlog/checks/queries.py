@@ -102,23 +102,23 @@ def exceptions_report(spark, sf):
 
 
 def write_latency_report(spark, sf):
-    return reports.write_latency(L.store(spark, sf), L.SLOW_TEMPLATE).select(
+    return reports.write_latency(L.store(spark, sf)).select(
         F.round("average_write_latency", 6).alias("average_write_latency")
     )
 
 
 def transfer_speed_report(spark, sf):
-    return reports.transfer_speed(L.store(spark, sf), L.TRANSFER_TEMPLATE).withColumn(
+    return reports.transfer_speed(L.store(spark, sf)).withColumn(
         "speed_mib_s", F.round("speed_mib_s", 6)
     )
 
 
 def retry_report(spark, sf):
-    return reports.retries(L.store(spark, sf), L.RETRY_TEMPLATE)
+    return reports.retries(L.store(spark, sf))
 
 
 def retry_report_by_parameter(spark, sf):
-    return reports.retries(L.store(spark, sf), L.RETRY_TEMPLATE, param_index=1)
+    return reports.retries(L.store(spark, sf), param_index=1)
 
 
 def monthly_severity_report(spark, sf):
@@ -130,9 +130,7 @@ def report_files(spark, sf):
     base = scratch_path(spark, "reports")
     sinks.write_structured(L.store(spark, sf), f"{base}/structured")
     structured = files.structured_parquet(spark, f"{base}/structured")
-    reports.write_all(
-        structured, base, {"slowness": L.SLOW_TEMPLATE, "speed": L.TRANSFER_TEMPLATE, "retrycount": L.RETRY_TEMPLATE}
-    )
+    reports.write_all(structured, base)
     return spark.read.schema("log_level string, month string, total_records bigint, distinct_eventid bigint").option(
         "header", True
     ).csv(f"{base}/monthly")

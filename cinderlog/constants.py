@@ -31,6 +31,11 @@ CONNECT_RETRY = (
     "RetryUpToMaximumCountWithFixedSleep(maxRetries=<*>, sleepTime=<*> MILLISECONDS)"
 )
 
+# The fixed words of these statements in order, as SQL patterns. Which tokens a
+# miner hides differs; the words of the statement do not.
+TRANSFER_WORDS = "src: %, dest: %, bytes: %, op: HDFS_WRITE%duration: %"
+CONNECT_RETRY_WORDS = "Retrying connect to server: %Already tried % time(s)%"
+
 # Label text of an anomalous block, padding after a session's last event.
 ANOMALY = "Anomaly"
 PAD = "#Pad"

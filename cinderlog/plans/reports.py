@@ -11,6 +11,14 @@ from cinderlog.functions.times import month_key
 from cinderlog.sources.sinks import write_report
 
 
+def _of_statement(template, usual: str, fixed_words: str):
+    """Lines of the given template; without one, lines of the statement: by its usual
+    template or by its fixed words in the content."""
+    if template is not None:
+        return F.col("event_template") == template
+    return (F.col("event_template") == usual) | F.col("content").like(fixed_words)
+
+
 def severity(structured: DataFrame, levels=K.LEVELS) -> DataFrame:
     """One row with a count per level."""
     return structured.agg(
@@ -35,12 +43,12 @@ def write_latency(structured: DataFrame, template=K.SLOW_WRITE) -> DataFrame:
     )
 
 
-def transfer_speed(structured: DataFrame, template=K.TRANSFER) -> DataFrame:
+def transfer_speed(structured: DataFrame, template=None) -> DataFrame:
     """Per write record: source, destination and speed in MiB/s (text with two decimals,
     and the number). Values are read by name from the content."""
     content = F.col("content")
     rate = mebibytes_per_second(named_number(content, "bytes"), named_number(content, "duration"))
-    return structured.where(F.col("event_template") == template).select(
+    return structured.where(_of_statement(template, K.TRANSFER, K.TRANSFER_WORDS)).select(
         "line_id",
         strip_marks(endpoint(content, K.SOURCE)).alias("src"),
         strip_marks(endpoint(content, K.DESTINATION)).alias("dest"),
@@ -49,7 +57,7 @@ def transfer_speed(structured: DataFrame, template=K.TRANSFER) -> DataFrame:
     )
 
 
-def retries(structured: DataFrame, template=K.CONNECT_RETRY, param_index=None) -> DataFrame:
+def retries(structured: DataFrame, template=None, param_index=None) -> DataFrame:
     """Histogram of the retry count: the number after "Already tried", or the parameter at
     param_index."""
     if param_index is None:
@@ -57,7 +65,7 @@ def retries(structured: DataFrame, template=K.CONNECT_RETRY, param_index=None) -
     else:
         count = first_integer(item(F.col("parameters"), param_index))
     return (
-        structured.where(F.col("event_template") == template)
+        structured.where(_of_statement(template, K.CONNECT_RETRY, K.CONNECT_RETRY_WORDS))
         .groupBy(count.alias("retrycount")).agg(F.count("*").alias("event_count"))
         .orderBy(F.desc("event_count"), "retrycount")
     )
@@ -101,8 +109,8 @@ def write_all(structured: DataFrame, path, templates=None):
         "exceptions": exceptions(structured),
         "severity": severity(structured),
         "slowness": write_latency(structured, t.get("slowness", K.SLOW_WRITE)),
-        "speed": transfer_speed(structured, t.get("speed", K.TRANSFER)),
-        "retrycount": retries(structured, t.get("retrycount", K.CONNECT_RETRY)),
+        "speed": transfer_speed(structured, t.get("speed")),
+        "retrycount": retries(structured, t.get("retrycount")),
         "monthly": monthly_severity(structured),
     }.items():
         write_report(report, f"{path}/{name}", single_file=name != "speed")
