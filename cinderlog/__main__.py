@@ -31,7 +31,13 @@ def report(spark, args):
 
 def templates(spark, args):
     counts = template_counts(files.structured_parquet(spark, args.input), args.top)
-    sinks.write_report(counts, args.output) if args.output else counts.show(truncate=False)
+    if args.output:
+        # The whole list has a row per template and keeps its files.
+        sinks.write_report(counts, args.output, single_file=args.top is not None)
+    elif args.top is not None:
+        counts.show(args.top, truncate=False)
+    else:
+        raise SystemExit("templates: give --top, or --output for the whole list")
 
 
 def train(spark, args):

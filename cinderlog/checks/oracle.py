@@ -178,7 +178,7 @@ ORACLE = {
       arg_max(event_count, counts.window_end) AS event_count FROM counts GROUP BY 1""",
     "count_trend": f"""WITH {_COUNTS} SELECT log_level, {_text("window_end")}, event_count FROM counts
       WHERE counts.window_end >= (SELECT max(c.window_end) FROM counts c) - INTERVAL 7 DAYS
-        AND counts.window_end < (SELECT max(c.window_end) FROM counts c)""",
+        AND counts.window_end <= (SELECT max(c.window_end) FROM counts c)""",
     "mean_per_interval": f"""WITH {_RUNS}, b AS (
         SELECT CAST(floor("timestamp" / 900) AS BIGINT) * 900 AS bucket, avg(latency) AS l, avg(throughput) AS t,
           avg(record_count) AS r FROM runs GROUP BY 1),

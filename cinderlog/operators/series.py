@@ -52,8 +52,8 @@ def batch_points(metrics: DataFrame) -> DataFrame:
 
 
 def in_range(series: DataFrame, time: str, start, end) -> DataFrame:
-    """Rows with start <= time < end."""
-    return series.where((F.col(time) >= start) & (F.col(time) < end))
+    """Rows with start <= time <= end: a panel that ends now shows the newest point."""
+    return series.where((F.col(time) >= start) & (F.col(time) <= end))
 
 
 def latest_per_level(counts: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def test_series(spark):
     latest = {r.log_level: r.event_count for r in series.latest_per_level(counts).collect()}
     assert latest == {"A": 3, "B": 9}
     trend = series.count_trend(counts, F.timestamp_seconds(F.lit(60)), F.timestamp_seconds(F.lit(180))).collect()
-    assert [(r.log_level, r.event_count) for r in trend] == [("A", 1), ("A", None), ("B", 9)]
+    assert [(r.log_level, r.event_count) for r in trend] == [("A", 1), ("A", None), ("A", 3), ("B", 9)]
     means = series.mean_per_interval(counts, "window_end", ["event_count"], 60, 301, 60).orderBy("interval_start").collect()
     assert [r.mean_event_count for r in means] == [5.0, None, 3.0, None, None]
     newest = series.newest(
@@ -136,3 +136,22 @@ def test_series(spark):
 def test_windows_count_by_hash(logs):
     plan = series.level_counts(logs)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_defaults_select_raw_lines(spark):
+    """Mined templates hide other tokens than the usual ones; the statements are found."""
+    from cinderlog.plans.structuring import structure
+
+    head = "240101 010203,7 INFO dfs.DataNode: "
+    lines = [
+        head + f"src: /10.0.0.{i}:50010, dest: /10.0.0.9:50010, bytes: {i}048576, op: HDFS_WRITE, cliID: c_{i} offset: 0, "
+        f"srvID: s{i}, blockid: BP-1-10.0.0.1-2:blk_{i}_1, duration: {i}000" for i in range(1, 5)
+    ] + [
+        head + f"Retrying connect to server: mesos-master-{i}/10.0.0.{i}:9000. Already tried {i} time(s); retry policy is "
+        f"RetryUpToMaximumCountWithFixedSleep(maxRetries=10, sleepTime=1000 MILLISECONDS)" for i in range(1, 4)
+    ] + [head + f"Slow BlockReceiver write data to disk cost:{i}00ms (threshold=300ms)" for i in (4, 6)]
+    raw = spark.createDataFrame(list(enumerate(lines)), "line_id bigint, value string")
+    structured = structure(raw)[0]
+    assert reports.transfer_speed(structured).count() == 4
+    assert {(r.retrycount, r.event_count) for r in reports.retries(structured).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert reports.write_latency(structured).first()[0] == 500
