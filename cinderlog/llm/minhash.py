@@ -6,9 +6,12 @@
 2. Classes that share a band key are candidates. Each is held against the smallest class of
    its bucket only, so a bucket of any size gives as many pairs as members. Signatures drop
    what cannot be similar enough; full sets decide. Components come from these links.
-3. What step 2 may have missed are links between members of one bucket that still are in
+3. Buckets that still hold members of different components get other centres, for some
+   rounds: a large group of near copies becomes one component without its pairs.
+4. What is missed by then are links between members of one bucket that still are in
    different components. All classes of such buckets go through an exact prefix-filtered
-   join on shingles (rarest first), which needs no bucket and leaves no pair out.
+   join on shingles (rarest first), which needs no bucket and leaves no pair out. Parities
+   of the sets bound their difference from below and keep most other pairs out of the join.
 """
 
 import hashlib
@@ -27,6 +30,8 @@ BANDS, ROWS = 40, 6
 # Signature positions that may agree less than the threshold says (over five deviations).
 SLACK = 0.14
 BATCH_TOKENS = 500_000
+# Rounds with other centres before the exact join; 64-bit words of the parities of a set.
+ROUNDS, PARITY_WORDS = 1, 16
 LONELY = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -147,24 +152,49 @@ def _set_table(documents: DataFrame, nodes: DataFrame, classes: DataFrame, size:
     return write_table(texts.mapInPandas(lambda it: _sets(it, size), "node long, shingles binary"), "sets")
 
 
-def _confirm(documents, pairs, classes, size, percent):
-    """The pairs that are links: signatures first, then the full sets."""
+def _confirm(pairs, classes, percent, sets_of):
+    """The pairs that are links: signatures first, then the full sets, which sets_of gives
+    for a table of nodes."""
     pairs = write_table(
         _with(pairs, classes, "signature", "sig").mapInPandas(lambda it: _alike(it, percent / 100), PAIR), "alike"
     )
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = _set_table(documents, nodes, classes, size)
     # Sets of one very common partner are joined to each of its pairs; AQE splits that key.
     return write_table(
-        _with(pairs, sets, "shingles", "set").mapInPandas(lambda it: _linked(it, percent), PAIR), "links"
+        _with(pairs, sets_of(nodes), "shingles", "set").mapInPandas(lambda it: _linked(it, percent), PAIR), "links"
     )
 
 
-def _remaining_pairs(documents, members, classes, size, percent):
+def _open(placed: DataFrame) -> DataFrame:
+    """band, node, component of the buckets with members of more than one component."""
+    spread = placed.select("node", "component", F.explode("bands").alias("band"))
+    mixed = spread.groupBy("band").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
+    return spread.join(mixed, "band")
+
+
+def _centre_pairs(buckets: DataFrame, number: int) -> DataFrame:
+    """Every member of an open bucket with a centre that the round's number draws for it."""
+    centres = buckets.groupBy("band").agg(
+        F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(number))).alias("centre"))
+    return buckets.join(centres, "band").where("component <> centre.component").select(
+        F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v")).distinct()
+
+
+def _parity(shingles: np.ndarray) -> list:
+    """Parity of the number of shingles per slot. Two sets differ in at least as many shingles
+    as their parities differ in slots."""
+    slots = (shingles % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = np.bincount(slots, minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _remaining_pairs(sets, members, classes, percent):
     """Pairs of members of different components that share a shingle among the rarest ones
-    a set needs to be similar to any other, with enough shingles behind it on either side: all
-    pairs with the similarity are among them. members: node, component."""
-    sets = _set_table(documents, members.select("node"), classes, size)
+    a set needs to be similar to any other, with enough shingles behind it on either side and
+    parities near enough: all pairs with the similarity are among them. members: node,
+    component; sets: at least theirs."""
+    words_of = [f"p{i}" for i in range(PARITY_WORDS)]
 
     def unfold(frames):
         for frame in frames:
@@ -172,7 +202,16 @@ def _remaining_pairs(documents, members, classes, size, percent):
                 s = np.frombuffer(blob, np.int64)
                 yield pd.DataFrame({"node": np.full(len(s), node), "item": s})
 
+    def parities(frames):
+        for frame in frames:
+            found = [_parity(np.frombuffer(blob, np.uint64)) for blob in frame["shingles"]]
+            out = pd.DataFrame(found, columns=words_of, dtype=np.int64)
+            out.insert(0, "node", frame["node"].to_numpy())
+            yield out
+
+    sets = sets.join(members.select("node"), "node", "left_semi")
     items = write_table(sets.mapInPandas(unfold, "node long, item long"), "items")
+    parity = sets.mapInPandas(parities, ", ".join(f"{c} long" for c in ["node", *words_of]))
     counted = items.groupBy("item").agg(F.count("*").alias("used")).where("used > 1")
     # One bounded group per document: its own shingles, rarest first.
     ranked = items.join(counted, "item").groupBy("node").agg(
@@ -184,16 +223,18 @@ def _remaining_pairs(documents, members, classes, size, percent):
     )
     # left: the shingle and those after it, which are all that a pair that meets in it first
     # can have in common.
-    first = ranked.where(length > 0).select(
-        "node", F.col("n_shingles").alias("n"), F.size("shared").alias("s"),
+    first = ranked.where(length > 0).join(members, "node").join(parity, "node").select(
+        "node", "component", F.col("n_shingles").alias("n"), F.size("shared").alias("s"), *words_of,
         F.posexplode(F.slice("shared", 1, length)).alias("i", "x"),
-    ).select("node", "n", (F.col("s") - F.col("i")).alias("left"), "x.item")
-    first = write_table(first.join(members, "node"), "prefixes")
+    ).select("node", "component", "n", (F.col("s") - F.col("i")).alias("left"), *words_of, "x.item")
+    first = write_table(first, "prefixes")
     a, b = first.alias("a"), first.alias("b")
+    apart = " + ".join(f"bit_count(a.{w} ^ b.{w})" for w in words_of)
     return a.join(b, F.expr(
         f"a.item = b.item and a.node < b.node and a.component <> b.component "
         f"and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) "
-        f"and {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)"
+        f"and {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n) "
+        f"and {100 + percent} * ({apart}) <= {100 - percent} * (a.n + b.n)"
     )).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
@@ -222,15 +263,20 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, percent: int =
     keyed = classes.select("node", F.explode("bands").alias("band"))
     centres = keyed.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = keyed.join(centres, "band").where("node <> u").select("u", F.col("node").alias("v")).distinct()
-    links = _confirm(documents, pairs, classes, shingle_words, percent)
-    reached = write_table(components(links), "reached")
-    placed = classes.join(reached, "node", "left").select("node", "bands", F.coalesce("component", "node").alias("component"))
-    spread = placed.select("node", "component", F.explode("bands").alias("band"))
-    mixed = spread.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    members = write_table(spread.join(mixed, "band").select("node", "component").distinct(), "open")
-    if not members.isEmpty():
-        more = _remaining_pairs(documents, members, classes, shingle_words, percent)
-        links = links.unionByName(_confirm(documents, more, classes, shingle_words, percent))
+    links = _confirm(pairs, classes, percent, lambda nodes: _set_table(documents, nodes, classes, shingle_words))
+    sets = None
+    for number in range(ROUNDS + 1):
+        reached = write_table(components(links), "reached")
+        placed = classes.join(reached, "node", "left").select(
+            "node", "bands", F.coalesce("component", "node").alias("component"))
+        buckets = write_table(_open(placed), "open")
+        if buckets.isEmpty():
+            break
+        members = buckets.select("node", "component").distinct()
+        if sets is None:  # later rounds have no other members
+            sets = _set_table(documents, members.select("node"), classes, shingle_words)
+        more = _centre_pairs(buckets, number) if number < ROUNDS else _remaining_pairs(sets, members, classes, percent)
+        links = links.unionByName(_confirm(more, classes, percent, lambda nodes: sets))
     # An id with several texts ties their sets together.
     several = usable.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("w")).where("u < w")
     ties = usable.join(several, "doc_id").select("u", F.col("node").alias("v"))
