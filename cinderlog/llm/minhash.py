@@ -152,16 +152,18 @@ def _set_table(documents: DataFrame, nodes: DataFrame, classes: DataFrame, size:
     return write_table(texts.mapInPandas(lambda it: _sets(it, size), "node long, shingles binary"), "sets")
 
 
-def _confirm(pairs, classes, percent, sets_of):
-    """The pairs that are links: signatures first, then the full sets, which sets_of gives
-    for a table of nodes."""
+def _confirm(documents, pairs, classes, size, percent, sets=None):
+    """The pairs that are links: signatures first, then the full sets. sets: a table that has
+    them; without it they are made for the pairs whose signatures agree."""
     pairs = write_table(
         _with(pairs, classes, "signature", "sig").mapInPandas(lambda it: _alike(it, percent / 100), PAIR), "alike"
     )
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    if sets is None:
+        nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+        sets = _set_table(documents, nodes, classes, size)
     # Sets of one very common partner are joined to each of its pairs; AQE splits that key.
     return write_table(
-        _with(pairs, sets_of(nodes), "shingles", "set").mapInPandas(lambda it: _linked(it, percent), PAIR), "links"
+        _with(pairs, sets, "shingles", "set").mapInPandas(lambda it: _linked(it, percent), PAIR), "links"
     )
 
 
@@ -189,11 +191,11 @@ def _parity(shingles: np.ndarray) -> list:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def _remaining_pairs(sets, members, classes, percent):
+def _remaining_pairs(documents, members, classes, size, percent, sets=None):
     """Pairs of members of different components that share a shingle among the rarest ones
     a set needs to be similar to any other, with enough shingles behind it on either side and
     parities near enough: all pairs with the similarity are among them. members: node,
-    component; sets: at least theirs."""
+    component; sets: a table with at least their sets, made if not given."""
     words_of = [f"p{i}" for i in range(PARITY_WORDS)]
 
     def unfold(frames):
@@ -209,6 +211,8 @@ def _remaining_pairs(sets, members, classes, percent):
             out.insert(0, "node", frame["node"].to_numpy())
             yield out
 
+    if sets is None:
+        sets = _set_table(documents, members.select("node"), classes, size)
     sets = sets.join(members.select("node"), "node", "left_semi")
     items = write_table(sets.mapInPandas(unfold, "node long, item long"), "items")
     parity = sets.mapInPandas(parities, ", ".join(f"{c} long" for c in ["node", *words_of]))
@@ -263,7 +267,7 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, percent: int =
     keyed = classes.select("node", F.explode("bands").alias("band"))
     centres = keyed.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = keyed.join(centres, "band").where("node <> u").select("u", F.col("node").alias("v")).distinct()
-    links = _confirm(pairs, classes, percent, lambda nodes: _set_table(documents, nodes, classes, shingle_words))
+    links = _confirm(documents, pairs, classes, shingle_words, percent)
     sets = None
     for number in range(ROUNDS + 1):
         reached = write_table(components(links), "reached")
@@ -275,8 +279,9 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 5, percent: int =
         members = buckets.select("node", "component").distinct()
         if sets is None:  # later rounds have no other members
             sets = _set_table(documents, members.select("node"), classes, shingle_words)
-        more = _centre_pairs(buckets, number) if number < ROUNDS else _remaining_pairs(sets, members, classes, percent)
-        links = links.unionByName(_confirm(more, classes, percent, lambda nodes: sets))
+        more = _centre_pairs(buckets, number) if number < ROUNDS else _remaining_pairs(
+            documents, members, classes, shingle_words, percent, sets)
+        links = links.unionByName(_confirm(documents, more, classes, shingle_words, percent, sets))
     # An id with several texts ties their sets together.
     several = usable.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("w")).where("u < w")
     ties = usable.join(several, "doc_id").select("u", F.col("node").alias("v"))

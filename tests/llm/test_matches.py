@@ -113,6 +113,17 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_parities_never_differ_more_than_the_sets():
+    draw = np.random.default_rng(5)
+    for size, changed in itertools.product((0, 1, 140, 5000), (0, 1, 30, 900)):
+        left = draw.integers(0, 1 << 63, size, np.uint64)
+        right = np.unique(np.concatenate([left[changed:], draw.integers(0, 1 << 63, changed, np.uint64)]))
+        a, b = minhash._parity(np.unique(left)), minhash._parity(right)
+        assert len(a) == minhash.PARITY_WORDS
+        apart = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(a, b))
+        assert apart <= len(np.setxor1d(left, right))
+
+
 def test_prefix_join_finds_every_link_without_buckets(spark):
     """As if every set were a component of its own and all of them met in mixed buckets."""
     rows = near_copies(11, groups=2, copies=40)
