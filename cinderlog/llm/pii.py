@@ -23,7 +23,7 @@ PATTERNS = {
     # \+[0-9][ ().0-9-]+[0-9]
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     # added: country, check digits, account in one run or in groups of four
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
 }
 PART = "0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 # Score of a confirmed span by itself, what a word nearby adds, and the words.

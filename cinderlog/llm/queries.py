@@ -7,6 +7,7 @@ from cinderlog.llm import (
     suffix_pieces, toxicity,
 )
 from cinderlog.llm.common import fold, table
+from cinderlog.llm.oracle import ORACLE  # noqa: F401
 
 TOXIC_FROM = 0.3
 
@@ -76,5 +77,3 @@ QUERIES = {f.__name__: f for f in (
     op1_kneser_ney, op2_toxicity, op3_quotations, op4_languages, op5_licences, op6_spaced_seeds,
     op7_minhash, op8_personal_data, op9_multi_index, op10_suffix_pieces,
 )}
-
-ORACLE = {}

@@ -192,6 +192,14 @@ def test_spans_equal_plain_patterns(spark):
         assert own == plain_spans(row["text"]), row["text"]
 
 
+def test_iban_before_a_word(spark):
+    """A word after a grouped account number is not taken for its next group."""
+    docs = spark.createDataFrame(
+        [(0, "to BE68 5390 0754 7034 PLEASE"), (1, "x_BE68539007547034_"), (2, "xBE68539007547034")], DOCS)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["pii"]] for r in pii.find(docs).collect()}
+    assert got == {0: [("iban", 3, 22)], 1: [("iban", 2, 18)], 2: []}
+
+
 def test_iban_context_and_masks(spark):
     texts = [
         "pay to DE89 3704 0044 0532 0130 00 now", "GB82WEST12345698765432", "GB82WEST12345698765433",
