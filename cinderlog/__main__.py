@@ -45,6 +45,7 @@ def train(spark, args):
     _, metrics = anomaly.train(
         read(spark, args.input), files.label_csv(spark, args.labels), args.model, ratio=args.ratio,
         split_type=args.split, normalization=args.normalization, export_path=args.export,
+        slice_width=args.slices,
     )
     metrics.show()
 
@@ -136,6 +137,7 @@ def parser():
     sub.add_argument("--split", default="sequential", choices=["sequential", "uniform"])
     sub.add_argument("--normalization", choices=["zero-mean", "ratio", "sigmoid"])
     sub.add_argument("--export", help="folder for the train and test sets as CSV")
+    sub.add_argument("--slices", type=int, help="export runs of so many events instead of sessions")
     command(score, "input", "model", "output")
     for run in (structure_stream, live):
         sub = command(run, "input", "output", stream=True)

@@ -99,6 +99,11 @@ _COUNT_POINTS = f"""WITH {_COUNTS} SELECT 'metrics,level=' || log_level || ' eve
 _MASKED = r"""regexp_replace(regexp_replace(content, 'BP-\d+-\d+\.\d+\.\d+\.\d+-\d+', '<*>', 'g'),
   '(/|)([0-9]+\.){3}[0-9]+(:[0-9]+|)(:|)', '<*>', 'g')"""
 
+_PARTS = """placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY block_id ORDER BY event_time, line_id) - 1) // 5 AS part FROM blocks),
+parts AS (SELECT block_id, part, count(*) AS own_events,
+  string_agg(event_id, ',' ORDER BY event_time, line_id) AS event_sequence FROM placed GROUP BY 1, 2)"""
+
 _SEQUENCES = """SELECT block_id, string_agg(event_id, ',' ORDER BY event_time, line_id) AS event_sequence
   FROM blocks GROUP BY 1"""
 
@@ -148,10 +153,9 @@ ORACLE = {
         regexp_extract(destination, '([^:]+)', 1) AS destination_ip,
         TRY_CAST(regexp_extract(destination, '([^:]+):([0-9]+)', 2) AS INTEGER) AS destination_port FROM e""",
     "block_events": f"WITH {_BLOCKS} SELECT block_id, line_id, event_id, {_text('event_time')} FROM blocks",
-    "block_sessions": f"""WITH {_BLOCKS} SELECT block_id, CAST(0 AS BIGINT) AS part, count(*) AS own_events,
-      string_agg(event_id, ',' ORDER BY event_time, line_id) AS event_sequence FROM blocks GROUP BY 1""",
-    "labelled_sessions": f"""WITH {_BLOCKS}, s AS ({_SEQUENCES})
-      SELECT block_id, label, event_sequence FROM s JOIN labelled USING (block_id)""",
+    "block_sessions": f"WITH {_BLOCKS}, {_PARTS} SELECT * FROM parts",
+    "labelled_sessions": f"""WITH {_BLOCKS}, {_PARTS}
+      SELECT block_id, part, label, event_sequence FROM parts JOIN labelled USING (block_id)""",
     "split_sequential": f"WITH {_BLOCKS} SELECT block_id, CAST(is_train AS INTEGER) AS is_train FROM sequential",
     "split_stratified": f"""WITH {_BLOCKS} SELECT block_id, label, CAST(is_train AS INTEGER) AS is_train
       FROM stratified""",
@@ -166,8 +170,9 @@ ORACLE = {
     "sequence_slices": f"""WITH {_BLOCKS}, s AS (
         SELECT block_id, list(event_id ORDER BY event_time, line_id) AS seq FROM blocks GROUP BY 1),
       i AS (SELECT block_id, seq, unnest(range(0, len(seq) - 2)) AS start FROM s)
-      SELECT block_id, start, array_to_string(seq[start + 1 : start + 3], ',') AS event_sequence,
-        coalesce(seq[start + 4], '#Pad') AS next_event FROM i""",
+      SELECT block_id, start // 5 AS part, label, CAST(is_train AS INTEGER) AS is_train, start,
+        array_to_string(seq[start + 1 : start + 3], ',') AS event_sequence,
+        coalesce(seq[start + 4], '#Pad') AS next_event FROM i JOIN sequential USING (block_id)""",
     "level_counts_1m": f"WITH {_COUNTS} SELECT {_COUNT_COLUMNS} FROM counts",
     "stream_level_counts": f"WITH {_COUNTS} SELECT {_COUNT_COLUMNS} FROM counts",
     "stream_archive": f"WITH {_LOGS} SELECT line_id, {_HEADER}, event_id, parameters FROM logs",

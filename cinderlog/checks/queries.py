@@ -161,8 +161,12 @@ def block_events(spark, sf):
     return _events(spark, sf).select("block_id", "line_id", "event_id", text("event_time"))
 
 
+# Small enough that some blocks have several parts and some one.
+PART = 5
+
+
 def block_sessions(spark, sf):
-    return sessions.session_parts(_events(spark, sf)).select(
+    return sessions.session_parts(_events(spark, sf), PART).select(
         "block_id", "part", "own_events", joined("event_sequence", sep=",")
     )
 
@@ -179,9 +183,9 @@ def _heads(spark, sf):
 
 
 def labelled_sessions(spark, sf):
-    whole = sessions.session_parts(_events(spark, sf))
-    return sessions.with_labels(whole, _labels(spark, sf)).select(
-        "block_id", "label", joined("event_sequence", sep=",")
+    parts = sessions.session_parts(_events(spark, sf), PART)
+    return sessions.with_labels(parts, _labels(spark, sf)).select(
+        "block_id", "part", "label", joined("event_sequence", sep=",")
     )
 
 
@@ -229,8 +233,11 @@ def shuffled_sessions(spark, sf):
 
 
 def sequence_slices(spark, sf):
-    return sessions.slices(_events(spark, sf), 3).select(
-        "block_id", "start", joined("event_sequence", sep=","), "next_event"
+    """Slices of train and test sessions, with the session's label."""
+    chosen = splits.flag_sessions(write_table(_heads(spark, sf), "heads"), 0.8).select(
+        "block_id", "label", F.col("is_train").cast("int").alias("is_train"))
+    return sessions.session_slices(_events(spark, sf), chosen, 3, PART).select(
+        "block_id", "part", "label", "is_train", "start", joined("event_sequence", sep=","), "next_event"
     )
 
 

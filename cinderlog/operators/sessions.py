@@ -27,9 +27,9 @@ def _ordered(events: DataFrame, keys) -> DataFrame:
 def session_parts(events: DataFrame, part_size=PART_SIZE, lookahead=0) -> DataFrame:
     """Sessions as ordered arrays: block_id, part, own_events, event_sequence.
 
-    A block of at most part_size events is one row (part 0). A longer one is cut into
-    consecutive parts of part_size events, so no task ever holds a whole heavy block; its
-    rows, in order of part, are the session. With lookahead, event_sequence goes on with
+    Every block is cut into consecutive parts of part_size events, the last one shorter, so
+    no task ever holds a whole heavy block; its rows, in order of part, are the session. A
+    block of at most part_size events is part 0. With lookahead, event_sequence goes on with
     up to that many events of the next part, beyond the part's own_events.
     """
     if lookahead > part_size:
@@ -84,8 +84,8 @@ def with_labels(sessions: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def slices(events: DataFrame, width: int, part_size=PART_SIZE) -> DataFrame:
-    """Every run of width consecutive events of a block with the event that follows, or
-    padding after the last. Blocks shorter than width give no rows."""
+    """Every run of width consecutive events of a block, with the part it starts in and the
+    event that follows, or padding after the last. Blocks shorter than width give no rows."""
     if width < 1:
         raise ValueError("width must be positive")
     parts = session_parts(events, max(part_size, width), lookahead=width)
@@ -96,8 +96,15 @@ def slices(events: DataFrame, width: int, part_size=PART_SIZE) -> DataFrame:
     )
     base = F.col("part") * max(part_size, width)
     return starts.select(
-        "block_id",
+        "block_id", "part",
         (base + F.col("_start")).alias("start"),
         F.slice(seq, F.col("_start") + 1, F.lit(width)).alias("event_sequence"),
         F.coalesce(F.get(seq, F.col("_start") + width), F.lit(K.PAD)).alias("next_event"),
     )
+
+
+def session_slices(events: DataFrame, chosen: DataFrame, width: int, part_size=PART_SIZE) -> DataFrame:
+    """The slices of the chosen sessions (block_id, label and what else there is to carry,
+    such as is_train). Other blocks are left out before anything is ordered."""
+    own = events.join(chosen.select("block_id"), "block_id", "left_semi")
+    return slices(own, width, part_size).join(chosen, "block_id")

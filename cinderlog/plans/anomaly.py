@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cinderlog import constants as K
 from cinderlog.operators.evaluate import confusion, roc_auc
 from cinderlog.operators.features import count_vectors, feature_stages
-from cinderlog.operators.sessions import block_events, session_heads, session_parts, with_labels
+from cinderlog.operators.sessions import block_events, session_heads, session_parts, session_slices, with_labels
 from cinderlog.operators.splits import split_sessions
 from cinderlog.session import write_table
 from cinderlog.sources.sinks import write_csv
@@ -48,25 +48,29 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 
 
 def train(structured: DataFrame, labels: DataFrame, model_path, ratio=0.8,
-          split_type="sequential", export_path=None, **options):
+          split_type="sequential", export_path=None, slice_width=None, **options):
     """Sessions -> split -> fit -> evaluate on the test part -> save. Returns (model,
-    metrics)."""
+    metrics). Both parts are exported if a path is given: as slices if slice_width is."""
     sessions = session_vectors(structured, labels)
     train_part, test_part = split_sessions(sessions, ratio, split_type)
     if export_path is not None:
-        export(structured, train_part, f"{export_path}/train_data")
-        export(structured, test_part, f"{export_path}/test_data")
+        export(structured, train_part, f"{export_path}/train_data", slice_width)
+        export(structured, test_part, f"{export_path}/test_data", slice_width)
     model = fit(train_part, **options)
     metrics = write_table(evaluate(write_table(predict(model, test_part), "predictions")), "metrics")
     model.write().overwrite().save(model_path)
     return model, metrics
 
 
-def export(structured: DataFrame, sessions: DataFrame, path):
-    """The chosen sessions with their event sequences as CSV; heavy blocks in parts."""
+def export(structured: DataFrame, sessions: DataFrame, path, slice_width=None):
+    """The chosen sessions, or their slices, with event sequences and label as CSV; heavy
+    blocks in parts. Only events of these sessions are ordered."""
     keys = sessions.select("block_id", "label")
-    parts = session_parts(block_events(structured)).drop("own_events")
-    write_csv(parts.join(keys, "block_id"), path)
+    events = block_events(structured)
+    if slice_width:
+        return write_csv(session_slices(events, keys, slice_width), path)
+    own = events.join(keys.select("block_id"), "block_id", "left_semi")
+    write_csv(session_parts(own).drop("own_events").join(keys, "block_id"), path)
 
 
 def score(spark: SparkSession, structured: DataFrame, model_path) -> DataFrame:

@@ -6,7 +6,7 @@ batch that is replayed after a failure never adds to its output.
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinderlog import constants as K
@@ -67,17 +67,27 @@ def topic_sink(servers, topic):
     return publish
 
 
-def numbered_lines(batch: DataFrame, batch_id: int) -> DataFrame:
-    """line_id = batch (23 bits), task (14 bits), row in task (26 bits); fails rather than
-    repeat an id when a batch outgrows that."""
+def with_place(lines: DataFrame) -> DataFrame:
+    """Adds the task that reads a line and the line's row in it."""
     running = F.monotonically_increasing_id()
-    task, row = F.shiftright(running, 33), running.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < 1 << 14) & (row < 1 << 26)
-    number = F.lit(batch_id << 40) + task * (1 << 26) + row
-    return batch.withColumn(
-        "line_id",
-        F.when(fits, number).otherwise(F.raise_error(F.lit("micro-batch too large")).cast("bigint")),
+    return lines.withColumns(
+        {"_task": F.shiftright(running, 33), "_row": running.bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+
+
+def numbered_lines(batch: DataFrame, batch_id: int) -> DataFrame:
+    """line_id = batch (23 bits), running number in the batch (40 bits). Numbers leave no
+    gaps, however many tasks read the batch and however uneven they are; places that are
+    there already are kept."""
+    placed = batch if "_task" in batch.columns else with_place(batch)
+    # One row per task goes through the window.
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = placed.groupBy("_task").agg(F.count("*").alias("_n")).select(
+        "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    return placed.join(shifts, "_task").withColumn(
+        "line_id", F.lit(batch_id << 40) + F.col("_before") + F.col("_row")
+    ).drop("_task", "_row", "_before")
 
 
 def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MASKS,
@@ -91,13 +101,14 @@ def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MA
     def process(batch: DataFrame, batch_id: int):
         begun = time.time()
         spark = batch.sparkSession
-        numbered = batch if "line_id" in batch.columns else numbered_lines(batch, batch_id)
-        parsed = with_shape(parse_header(numbered), masks).persist()
+        given = "line_id" in batch.columns
+        parsed = with_shape(parse_header(batch if given else with_place(batch)), masks).persist()
         try:
             n = parsed.count()
             if n == 0:
                 return
-            good = accepted(parsed)
+            numbered = parsed if given else numbered_lines(parsed, batch_id)
+            good = accepted(numbered)
             with scratch_scope(spark):
                 known = known_templates(spark, f"{out}/catalogue", before=batch_id)
                 news = learn(good, known, depth, similarity)
@@ -107,7 +118,7 @@ def structure_stream(lines: DataFrame, out, checkpoint, trigger=None, masks=K.MA
                 catalogue = write_table(known, "catalogue")
                 rows = assign_templates(good, catalogue).select(*schema.STRUCTURED.fieldNames())
                 rows_sink(to_envelope(rows), batch_id)
-            rejected(parsed).write.mode("overwrite").parquet(batch_folder(f"{out}/rejects", batch_id))
+            rejected(numbered).write.mode("overwrite").parquet(batch_folder(f"{out}/rejects", batch_id))
         finally:
             parsed.unpersist()
         seconds = time.time() - begun

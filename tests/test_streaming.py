@@ -184,6 +184,13 @@ def test_line_numbers(spark):
     assert len(set(ids)) == 100 and all(i >> 40 == 3 for i in ids)
 
 
+def test_line_numbers_of_many_uneven_tasks(spark):
+    places = [(t, r) for t in range(0, 60_000, 2_000) for r in range(t % 7 + 1)] + [(1 << 30, r) for r in range(40)]
+    placed = spark.createDataFrame(places, "_task bigint, _row bigint").repartition(4)
+    ids = sorted(r.line_id for r in jobs.numbered_lines(placed, 2).collect())
+    assert ids == [(2 << 40) + i for i in range(len(places))]
+
+
 def test_three_queries_side_by_side(spark, session, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
     feed(raw, "1.log", lines_of(0, ["a 1", "a 2"]))
