@@ -3,11 +3,11 @@
 Vectors are cut in two halves, each with its own codebook, fitted on a bounded sample; a
 cell is a pair of centroids, and every vector is stored with its cell. A query walks the cells
 from the largest sum of its two halves' inner products with the centroids down, through a
-heap over the two sorted lists, until the cells passed hold enough entries; the last sum is
-its border. Then queries and entries meet by rows of cells, in blocks: a crowded row is split
-into pieces of bounded size, and so are its queries, so no task holds a whole one. A block
-ranks the entries of the cells within a query's border exactly, and the best of all blocks
-of a query are merged.
+heap over the two sorted lists, until the cells passed hold enough distinct vectors; a crowded
+cell counts for a few only, so that copies and tight groups do not use the walk up. Then queries
+and entries meet by the rows of cells passed, in blocks: a crowded row is split into pieces of
+bounded size, and so are its queries, so no task holds a whole one. A block ranks all its
+entries exactly, and the best of all blocks of a query are merged.
 """
 
 import heapq
@@ -25,8 +25,10 @@ from cinderlog.session import write_table
 SAMPLE, CENTROIDS, BLOCK_ENTRIES, BLOCK_QUERIES = 20_000, 256, 8_192, 2_048
 ROWS = 32  # rows of cells: centroids of the first half by number, modulo ROWS
 ROUNDS = 12
-# Share of all entries that a query ranks exactly, and the least number of them.
+# Share of the distinct vectors that a walk passes, and the least number of them.
 SHARE, LEAST = 0.35, 2_000
+# A cell counts for so many times the mean of the filled cells at most.
+CROWDED = 4
 
 
 @dataclass
@@ -53,7 +55,14 @@ def _kmeans(points: np.ndarray, k: int) -> np.ndarray:
     draw = np.random.default_rng(7)
     distinct = np.unique(points, axis=0)
     k = min(k, len(distinct))
-    centres = distinct[draw.choice(len(distinct), k, replace=False)].copy()
+    # Each first centre is drawn by squared distance from those before: a tight group gets few.
+    at = [int(draw.integers(len(distinct)))]
+    far = ((distinct - distinct[at[0]]) ** 2).sum(1)
+    while len(at) < k:
+        reach = far.cumsum()
+        at.append(min(int(np.searchsorted(reach, draw.random() * reach[-1], side="right")), len(distinct) - 1))
+        far = np.minimum(far, ((distinct - distinct[at[-1]]) ** 2).sum(1))
+    centres = distinct[at].copy()
     for _ in range(ROUNDS):
         near = _nearest(points, centres)
         total = np.zeros_like(centres)
@@ -102,8 +111,8 @@ def index(vectors: DataFrame, books: Codebooks) -> DataFrame:
 
 
 def walk(left: np.ndarray, right: np.ndarray, size: np.ndarray, enough: int):
-    """Cells (i, j) in order of falling left[i] + right[j] until they hold enough entries,
-    empty ones left out, and the last sum. size: entries per [i, j]."""
+    """Cells (i, j) in order of falling left[i] + right[j] until their sizes add up to enough,
+    empty ones left out, and the last sum. size: what [i, j] counts for."""
     a, b = np.argsort(-left, kind="stable"), np.argsort(-right, kind="stable")
     x, y, held = left[a].tolist(), right[b].tolist(), size[np.ix_(a, b)].tolist()
     heap, cells, total, last = [(-(x[0] + y[0]), 0, 0)], [], 0, 0.0
@@ -128,29 +137,23 @@ def _probes(frames, shared, enough):
         left, right = points[:, :half] @ books.left.T, points[:, half:] @ books.right.T
         rows = []
         for i, (query, point) in enumerate(zip(frame["vec_id"], frame["embedding"])):
-            cells, border = walk(left[i], right[i], size, enough)
-            rows += [(query, r, point, border) for r in sorted({c % ROWS for c, _ in cells})]
-        yield pd.DataFrame(rows, columns=["query_id", "row", "point", "border"])
+            cells, _ = walk(left[i], right[i], size, enough)
+            rows += [(query, r, point) for r in sorted({c % ROWS for c, _ in cells})]
+        yield pd.DataFrame(rows, columns=["query_id", "row", "point"])
 
 
-def _rank(top: int, shared):
+def _rank(top: int, width: int):
     def run(key, queries, entries):
         out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
         if len(queries) and len(entries):
-            books = receive(shared)[0]
-            half = books.width // 2
-            q, e = _matrix(queries["point"], books.width), _matrix(entries["embedding"], books.width)
-            ids, cell = entries["vec_id"].to_numpy(), entries["cell"].to_numpy()
-            i, j = cell // len(books.right), cell % len(books.right)
+            q, e = _matrix(queries["point"], width), _matrix(entries["embedding"], width)
+            ids = entries["vec_id"].to_numpy()
             for at in range(0, len(q), 128):
                 part = q[at: at + 128]
-                reach = (part[:, :half] @ books.left.T)[:, i] + (part[:, half:] @ books.right.T)[:, j]
-                # A hair of room: the border was added up in another order.
-                near = reach >= queries["border"].to_numpy()[at: at + 128, None] - 1e-9
                 # einsum adds the components of each pair up alike: equal vectors, equal scores
                 scores = np.einsum("ij,kj->ik", part, e)
-                near &= ids[None, :] != queries["query_id"].to_numpy()[at: at + 128, None]
-                for query, row, good in zip(queries["query_id"].to_numpy()[at: at + 128], scores, near):
+                others = ids[None, :] != queries["query_id"].to_numpy()[at: at + 128, None]
+                for query, row, good in zip(queries["query_id"].to_numpy()[at: at + 128], scores, others):
                     keep = np.flatnonzero(good)
                     if len(keep) > top:
                         border = np.partition(row[keep], -top)[-top]
@@ -162,19 +165,27 @@ def _rank(top: int, shared):
     return run
 
 
+def cell_sizes(entries: DataFrame, books: Codebooks) -> np.ndarray:
+    """What each cell counts for in a walk: its distinct vectors, up to CROWDED times the
+    mean of the filled cells."""
+    sizes = entries.select("cell", F.xxhash64("embedding").alias("v")).distinct().groupBy(
+        "cell").count().toPandas()  # at most centroids * centroids rows
+    size = np.zeros(len(books.left) * len(books.right), np.int64)
+    size[sizes["cell"].astype(int)] = sizes["count"]
+    return np.minimum(size, int(np.ceil(CROWDED * size.sum() / max(1, (size > 0).sum()))))
+
+
 def search(entries: DataFrame, books: Codebooks, queries: DataFrame, top: int = 20,
            share: float = SHARE, least: int = LEAST) -> DataFrame:
     """The top nearest entries found of each query: query_id, rank, vec_id, score (inner
     product in double precision). A query's own row is no candidate; ties go to the smaller
     vec_id; with fewer candidates all are returned. queries: vec_id, embedding."""
     spark = entries.sparkSession
-    sizes = entries.groupBy("cell").count().toPandas()  # at most centroids * centroids rows
-    size = np.zeros(len(books.left) * len(books.right), np.int64)
-    size[sizes["cell"].astype(int)] = sizes["count"]
+    size = cell_sizes(entries, books)
     enough = max(least, int(share * size.sum()), top + 1)
     shared = send(spark, (books, size.reshape(len(books.left), len(books.right))))
     probes = write_table(queries.select("vec_id", "embedding").mapInPandas(
-        lambda it: _probes(it, shared, enough), "query_id long, row int, point array<double>, border double"
+        lambda it: _probes(it, shared, enough), "query_id long, row int, point array<double>"
     ), "probes")
     rows = entries.withColumn("row", (F.floor(F.col("cell") / len(books.right)) % ROWS).cast("int"))
     pieces = rows.groupBy("row").count().join(
@@ -190,7 +201,7 @@ def search(entries: DataFrame, books: Codebooks, queries: DataFrame, top: int =
     wanted = probes.join(F.broadcast(again), "row").withColumn(
         "q", F.pmod(F.xxhash64("query_id"), "q_m").cast("int")).withColumn("e", each("e_m"))
     found = wanted.groupBy("row", "e", "q").cogroup(held.groupBy("row", "e", "q")).applyInPandas(
-        _rank(top, shared), "query_id long, vec_id long, score double"
+        _rank(top, books.width), "query_id long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(

@@ -262,6 +262,28 @@ def test_recall_of_the_production_share(spark, sf_dir, monkeypatch):
     assert len(found) == 200 and np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.01])
+def test_recall_beside_a_third_of_equal_or_near_equal_rows(spark, spread):
+    draw = np.random.default_rng(8)
+    points = draw.normal(size=(2000, 64))
+    points = np.concatenate([points, points[:1] + spread * draw.normal(size=(1000, 64))])
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    vectors = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    books = multi_index.fit(multi_index.usable(vectors))
+    entries = multi_index.index(vectors, books)
+    # least is bound when search is defined, so it is given here
+    got = multi_index.search(entries, books, entries.where("vec_id % 20 = 0 and vec_id < 2000"), least=20).collect()
+    scores = {}
+    for r in got:
+        scores.setdefault(r["query_id"], []).append(r["score"])
+    hits = []
+    for q, own in scores.items():
+        s = points @ points[q]
+        s[q] = -9
+        hits.append((np.array(own) >= np.sort(s)[-20] - 1e-9).mean())
+    assert len(hits) == 100 and np.mean(hits) >= 0.97 and min(hits) >= 0.8
+
+
 def test_walk_goes_down():
     draw = np.random.default_rng(9)
     left, right, size = draw.normal(size=6), draw.normal(size=5), draw.integers(0, 3, (6, 5))
