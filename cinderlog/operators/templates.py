@@ -20,8 +20,7 @@ from cinderlog import constants as K
 from cinderlog.functions.text import hide_digit_tokens, mask, squeeze
 from cinderlog.session import write_table
 
-# Patterns merged in one group, and the tokens they may have in all; larger leaves are
-# merged in chunks first.
+# Patterns that merging hands on at a time, and the tokens they may have in all.
 GROUP_SIZE = 4000
 GROUP_TOKENS = 400_000
 
@@ -70,35 +69,56 @@ def leaf_key(pattern: Column, depth=K.MINING_DEPTH) -> Column:
     return F.concat(F.size(tokens).cast("string"), F.lit(" "), F.array_join(lead, " "))
 
 
+def template_finder(similarity: float, wildcard=K.WILDCARD):
+    """Makes finders, one for the patterns of a leaf, given in their order: each joins the most
+    similar template so far (ties: the one with more wildcards) if enough tokens agree, hiding
+    the others. A finder holds the templates only, however many patterns it is given. A
+    closure, so that executors need numpy and pandas only."""
+
+    class Finder:
+        def __init__(self, width: int):
+            self.codes, self.words = {}, []
+            self.found, self.count = np.empty((8, width), dtype=np.int64), 0
+
+        def add(self, pattern: str) -> int:
+            """The number of the template that the pattern joins."""
+            tokens = pattern.split(" ")
+            # Words of no template agree with none: -2. Wildcards: -1.
+            row = np.array([-1 if t == wildcard else self.codes.get(t, -2) for t in tokens])
+            known = self.found[:self.count]
+            if self.count:
+                agree = ((known == row) & (known >= 0)).sum(axis=1)
+                best = int(agree.argmax())
+                if agree[best] >= similarity * len(row):
+                    ties = np.flatnonzero(agree == agree[best])
+                    best = int(ties[(known[ties] < 0).sum(axis=1).argmax()])
+                    known[best] = np.where(known[best] == row, row, -1)
+                    return best
+            for at in np.flatnonzero(row == -2):
+                row[at] = self.codes.setdefault(tokens[at], len(self.words))
+                if row[at] == len(self.words):
+                    self.words.append(tokens[at])
+            if self.count == len(self.found):
+                self.found = np.concatenate([self.found, np.empty_like(self.found)])
+            self.found[self.count] = row
+            self.count += 1
+            return self.count - 1
+
+        def templates(self) -> list:
+            return [" ".join(wildcard if c < 0 else self.words[c] for c in f) for f in self.found[:self.count]]
+
+    return Finder
+
+
 def pattern_merger(similarity: float, wildcard=K.WILDCARD):
-    """The function that merges the patterns of one bounded group: each joins the most
-    similar template so far (ties: the one with more wildcards) if enough tokens agree,
-    hiding the others. A closure, so that executors need numpy and pandas only."""
+    """The function that merges the patterns of one leaf held in memory."""
+    finder = template_finder(similarity, wildcard)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["weight", "pattern"], ascending=[False, True], kind="stable")
-        rows = [p.split(" ") for p in pdf["pattern"]]
-        codes, words = pd.factorize(np.array([w for r in rows for w in r], dtype=object))
-        wild = np.flatnonzero(words == wildcard)
-        grid = codes.reshape(len(rows), -1).astype(np.int64)
-        if len(wild):
-            grid[grid == wild[0]] = -1
-        found = np.empty_like(grid)
-        count, home = 0, np.empty(len(rows), dtype=np.int64)
-        for i, row in enumerate(grid):
-            if count:
-                known = found[:count]
-                agree = ((known == row) & (known >= 0)).sum(axis=1)
-                best = int(agree.argmax())
-                if agree[best] >= similarity * grid.shape[1]:
-                    ties = np.flatnonzero(agree == agree[best])
-                    best = ties[(known[ties] < 0).sum(axis=1).argmax()]
-                    found[best] = np.where(known[best] == row, row, -1)
-                    home[i] = best
-                    continue
-            found[count], home[i] = row, count
-            count += 1
-        texts = [" ".join(wildcard if c < 0 else words[c] for c in f) for f in found[:count]]
+        leaf = finder(pdf["pattern"].iloc[0].count(" ") + 1)
+        home = [leaf.add(p) for p in pdf["pattern"]]
+        texts = leaf.templates()
         return pd.DataFrame(
             {"pattern": pdf["pattern"].to_numpy(), "template": [texts[h] for h in home]}
         )
@@ -106,52 +126,56 @@ def pattern_merger(similarity: float, wildcard=K.WILDCARD):
     return merge
 
 
+def _leaf_merger(similarity: float, group_size: int, group_tokens: int):
+    """Over rows sorted by leaf: per pattern the number of its template, and at the end of a
+    leaf, with no pattern, the template of each number."""
+    finder = template_finder(similarity)
+
+    def run(frames):
+        leaf, state, rows, size = None, None, [], 0
+        ends = lambda: [(leaf, None, n, t) for n, t in enumerate(state.templates())]
+        pack = lambda held: pd.DataFrame(held, columns=["leaf", "pattern", "number", "template"])
+        for frame in frames:
+            for own, pattern in zip(frame["leaf"], frame["pattern"]):
+                if own != leaf:
+                    if state is not None:
+                        rows += ends()
+                    leaf, state = own, finder(pattern.count(" ") + 1)
+                rows.append((leaf, pattern, state.add(pattern), None))
+                size += pattern.count(" ") + 1
+                if len(rows) >= group_size or size >= group_tokens:
+                    yield pack(rows)
+                    rows, size = [], 0
+        if state is not None:
+            yield pack(rows + ends())
+
+    return run
+
+
 def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
                   group_size=GROUP_SIZE) -> DataFrame:
     """pattern -> template for distinct patterns with a weight.
 
-    A leaf of up to group_size patterns (fewer if they are long) is merged in one group. A
-    larger one is merged in hashed chunks, whose far fewer templates are merged again under
-    another hash, until it fits one group or a round merges less than a tenth of it. The
-    outcome depends on the patterns alone.
+    A leaf of any size goes through one finder, from the heaviest pattern down; Spark sorts,
+    and the finder keeps the leaf's templates but not its patterns. The outcome depends on
+    the patterns alone; group_size only says how many patterns are handed on at a time.
     """
-    def merge(df, keys):
-        return df.groupBy(*keys).applyInPandas(
-            pattern_merger(similarity), "pattern string, template string"
-        )
-
     work = write_table(patterns.select("pattern", "weight", leaf_key(F.col("pattern"), depth).alias("leaf")), "patterns")
-    mapping = work.select("pattern", F.col("pattern").alias("template"))
-    # All patterns of a leaf have the token count its key starts with.
-    length = F.substring_index("leaf", " ", 1).cast("bigint")
-    room = F.greatest(F.lit(2), F.least(F.lit(group_size), F.floor(F.lit(GROUP_TOKENS) / length)))
-    leaves = work.groupBy("leaf").agg(F.count("*").alias("n"))
     # A leaf with one pattern needs no merging and never leaves the JVM.
-    todo = write_table(leaves.where(F.col("n") > 1), "leaves")
-    salt = 0
-    while not todo.isEmpty():
-        chunk = F.pmod(F.xxhash64("pattern", F.lit(salt)), F.ceil(F.col("n") / room))
-        merged = write_table(
-            merge(work.join(todo, "leaf").withColumn("chunk", chunk), ["leaf", "chunk"]), "merged"
-        )
-        step = merged.select(F.col("pattern").alias("template"), F.col("template").alias("_next"))
-        mapping = mapping.join(step, "template", "left").select(
-            "pattern", F.coalesce("_next", "template").alias("template")
-        )
-        # Only leaves that were too big for one group, and shrank well, go another round.
-        big = todo.where(F.col("n") > room).withColumnRenamed("n", "n_before")
-        if big.isEmpty():
-            break
-        mapping = write_table(mapping, "mapping")
-        work = write_table(
-            work.join(merged, "pattern").join(big.select("leaf"), "leaf", "left_semi")
-            .groupBy("leaf", F.col("template").alias("pattern")).agg(F.sum("weight").alias("weight")),
-            "patterns",
-        )
-        left = work.groupBy("leaf").agg(F.count("*").alias("n")).join(big, "leaf")
-        todo = write_table(left.where("n > 1 AND n <= 0.9 * n_before").drop("n_before"), "leaves")
-        salt += 1
-    return mapping
+    todo = write_table(work.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > 1), "leaves")
+    mapping = work.select("pattern", F.col("pattern").alias("template"))
+    if todo.isEmpty():
+        return mapping
+    ordered = work.join(todo, "leaf", "left_semi").repartition("leaf").sortWithinPartitions(
+        "leaf", F.desc("weight"), "pattern")
+    merged = write_table(ordered.select("leaf", "pattern").mapInPandas(
+        _leaf_merger(similarity, group_size, GROUP_TOKENS), "leaf string, pattern string, number int, template string"
+    ), "merged")
+    texts = merged.where("pattern is null").select("leaf", "number", F.col("template").alias("_next"))
+    step = merged.where("pattern is not null").select("leaf", "pattern", "number").join(
+        texts, ["leaf", "number"]).select("pattern", "_next")
+    return mapping.join(step, "pattern", "left").select(
+        "pattern", F.coalesce("_next", "template").alias("template"))
 
 
 def mine_templates(shaped: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,

@@ -74,6 +74,23 @@ def test_every_line_matches_its_template(spark, group_size):
         assert rebuilt == re.sub(r"\s+", " ", r.content.strip())
 
 
+@pytest.mark.parametrize("name", ["group_size", "GROUP_TOKENS"])
+def test_templates_do_not_depend_on_any_size(spark, monkeypatch, name):
+    pick = random.Random(7)
+    words = ["alpha", "beta", "gamma", "delta", "eps"]
+    contents = [" ".join(["job", "state"] + [pick.choice(words) for _ in range(6)]) for _ in range(200)]
+    want = by_line(structured(spark, contents))
+    for size in (2, 50):
+        if name == "GROUP_TOKENS":
+            monkeypatch.setattr(T, name, size)
+            assert by_line(structured(spark, contents)) == want
+        else:
+            assert by_line(structured(spark, contents, group_size=size)) == want
+    plain = T.pattern_merger(K.MINING_SIMILARITY)(
+        pd.Series(contents).value_counts().rename_axis("pattern").reset_index(name="weight"))
+    assert dict(zip(contents, want)) == dict(zip(plain["pattern"], plain["template"]))
+
+
 def test_large_leaf_converges_to_the_same_template(spark):
     """Thousands of patterns of one leaf, all of one statement."""
     contents = [f"task {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} has come to its end" for i in range(1500)]
