@@ -9,8 +9,8 @@ counts for all. The index keeps postings per term, cut into blocks of examples w
 weight of each block; a search adds up these maxima per block, visits blocks from the best
 bound down and stops where no block can hold anything nearer. Neighbours vote with weights
 that fall with distance; votes become probabilities through an isotonic fit on leave-one-out
-votes of the examples themselves. Terms, index and fit have bounds that don't grow with the
-corpus; they are sent to the workers, which score all texts without a shuffle.
+votes of the examples themselves. All terms that tell the labels apart are kept; index and fit
+grow with the terms of the bounded sample. They are sent to the workers, which score all texts without a shuffle.
 """
 
 import re
@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 from cinderlog.llm.common import receive, send
 from cinderlog.session import write_table
 
-# Documented bounds of the classifier: terms, examples (a sample of the labelled rows by
-# hash of the text), neighbours that vote, examples per block.
-MAX_TERMS, MAX_EXAMPLES, NEIGHBOURS, BLOCK = 5000, 20000, 25, 64
-# A term must occur in so many training texts and have a log-likelihood ratio so high.
-MIN_TEXTS, MIN_RATIO = 5, 20.0
+# Documented bounds of the classifier: examples (a sample of the labelled rows by hash of the
+# text), neighbours that vote, examples per block.
+MAX_EXAMPLES, NEIGHBOURS, BLOCK = 20000, 25, 64
+# A term's odds must differ by such a factor between the labels, whatever the size of the
+# corpus, and its log-likelihood ratio must rule chance out (one in a thousand).
+MIN_ODDS, MIN_RATIO = 2.0, 10.83
 STEMS = (4, 8)  # letters of the beginnings of words that may be terms
 REPEATS = (2, 4)
 NEAR = 0.05  # added to the distance in a vote's weight 1 / (distance + NEAR)
@@ -105,10 +106,12 @@ class Index:
     count: np.ndarray    # texts behind an example vector
     toxic: np.ndarray    # of them toxic
     ids: np.ndarray      # smallest doc_id behind it
-    offsets: np.ndarray  # [term, block] -> first posting
+    cells: np.ndarray    # term -> first of its cells, one per block that holds the term
+    block: np.ndarray    # cells: block, largest weight, first posting
+    block_max: np.ndarray
+    offsets: np.ndarray
     example: np.ndarray  # postings
     weight: np.ndarray
-    block_max: np.ndarray
     prior: float         # score of a text without any term
     votes: np.ndarray    # isotonic fit: vote -> probability
     chances: np.ndarray
@@ -129,7 +132,12 @@ class Index:
     def nearest(self, numbers, weights, k: int, less=None):
         """Example numbers and cosines of the k nearest texts and all that tie with the last.
         less: (example number) with one of its texts left out."""
-        bounds = weights @ self.block_max[numbers]
+        blocks = max(1, -(-len(self.count) // BLOCK))
+        bounds, place = np.zeros(blocks), np.full((len(numbers), blocks), -1)
+        for own, n, w in zip(place, numbers, weights):
+            at = slice(self.cells[n], self.cells[n + 1])
+            own[self.block[at]] = np.arange(at.start, at.stop)
+            bounds[self.block[at]] += w * self.block_max[at]
         scores, found = [], []
         held, worst = 0, 0.0
         for block in np.argsort(-bounds, kind="stable"):
@@ -137,8 +145,10 @@ class Index:
             if bounds[block] <= 0 or held >= k and bounds[block] < worst - 1e-6:
                 break
             exact = np.zeros(BLOCK)
-            for n, w in zip(numbers, weights):
-                at = slice(self.offsets[n, block], self.offsets[n, block + 1])
+            for cell, w in zip(place[:, block].tolist(), weights):
+                if cell < 0:
+                    continue
+                at = slice(self.offsets[cell], self.offsets[cell + 1])
                 exact[self.example[at] - block * BLOCK] += w * self.weight[at]
             hit = np.flatnonzero(exact > 0)
             found.append(hit + block * BLOCK)
@@ -193,8 +203,8 @@ def build(terms, idf, examples: pd.DataFrame, empty, neighbours: int = NEIGHBOUR
     size, blocks = len(idf), max(1, -(-len(examples) // BLOCK))
     index = Index(
         terms, idf, examples["n"].to_numpy(np.int64), examples["toxic"].to_numpy(np.int64),
-        examples["doc_id"].to_numpy(), np.zeros((size, blocks + 1), np.int64), np.empty(0, np.int64),
-        np.empty(0), np.zeros((size, blocks)), (t + 2 * base) / (n + 2), np.array([0.0, 1.0]), np.array([base, base]),
+        examples["doc_id"].to_numpy(), np.zeros(size + 1, np.int64), np.empty(0, np.int64), np.empty(0),
+        np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0), (t + 2 * base) / (n + 2), np.array([0.0, 1.0]), np.array([base, base]),
     )
     if not len(examples):
         return index
@@ -204,9 +214,10 @@ def build(terms, idf, examples: pd.DataFrame, empty, neighbours: int = NEIGHBOUR
     example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
     order = np.lexsort((example, term))
     term, index.example, index.weight = term[order], example[order], weight[order]
-    cell = term * blocks + index.example // BLOCK
-    index.offsets = np.searchsorted(cell, np.arange(size)[:, None] * blocks + np.arange(blocks + 1))
-    np.maximum.at(index.block_max, (term, index.example // BLOCK), index.weight)
+    cell, first = np.unique(term * blocks + index.example // BLOCK, return_index=True)
+    index.block, index.offsets = cell % blocks, np.r_[first, len(term)]
+    index.block_max = np.maximum.reduceat(index.weight, first)
+    index.cells = np.searchsorted(cell, np.arange(size + 1) * blocks)
     votes, labels, heavy = [], [], []
     for i, (numbers, w) in enumerate(vectors):
         for label, many in ((1, index.toxic[i]), (0, index.count[i] - index.toxic[i])):
@@ -222,7 +233,7 @@ def build(terms, idf, examples: pd.DataFrame, empty, neighbours: int = NEIGHBOUR
 
 
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
-          max_terms: int = MAX_TERMS, neighbours: int = NEIGHBOURS) -> Index:
+          neighbours: int = NEIGHBOURS) -> Index:
     """Learns from the documents that have a label (joined by doc_id; toxic 0 or 1, a null is
     no label; of several labels the largest counts). Equal texts are one text."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -237,7 +248,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_exam
     if not positive or positive == total:
         return build({}, np.empty(0), pd.DataFrame({"counts": [], "n": [], "toxic": [], "doc_id": []}), (total, positive), neighbours)
     counted = texts.select("text", "toxic").mapInPandas(_word_counts, "word string, texts long, toxic long").groupBy(
-        "word").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic")).where(F.col("texts") >= MIN_TEXTS)
+        "word").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
     a, n = F.col("toxic"), F.col("texts")
 
     def part(k, of, p):
@@ -247,15 +258,14 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_exam
     na, nb = F.lit(float(positive)), F.lit(float(total - positive))
     both = n / (na + nb)
     ratio = 2 * (part(a, na, a / na) + part(n - a, nb, (n - a) / nb) - part(a, na, both) - part(n - a, nb, both))
-    leading = F.col("ratio") >= MIN_RATIO
-    candidates = counted.withColumn("ratio", ratio).where(leading).orderBy(F.desc("ratio"), "word").limit(
-        2 * max_terms).toPandas()
+    odds = F.log((a + 0.5) * (nb - (n - a) + 0.5) / ((na - a + 0.5) * (n - a + 0.5)))
+    leading = (ratio >= MIN_RATIO) & (F.abs(odds) >= float(np.log(MIN_ODDS)))
+    candidates = counted.where(leading).orderBy("word").toPandas()
     numbered = {w: i for i, w in enumerate(candidates["word"])}
     apart = texts.select("text", "toxic").mapInPandas(
         lambda it: _surroundings(it, numbered), "term int, toxic long, around long"
     ).distinct().groupBy("term").agg(F.count("*").alias("texts"), F.sum("toxic").alias("toxic"))
-    steady = apart.where(n >= MIN_TEXTS).withColumn("ratio", ratio).where(leading).orderBy(
-        F.desc("ratio"), "term").limit(max_terms).toPandas()
+    steady = apart.where(leading).orderBy("term").toPandas()
     chosen = candidates.iloc[steady["term"]]
     terms = {w: i for i, w in enumerate(chosen["word"])}
     idf = np.tile(np.log((total + 1) / (chosen["texts"].to_numpy(float) + 1)) + 1, 1 + len(REPEATS))

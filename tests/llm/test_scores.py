@@ -117,6 +117,19 @@ def test_toxicity_learns_words_and_leaves_others(spark):
         assert bool(row["neighbours"]) == bad
 
 
+def test_toxicity_keeps_rare_words_that_tell_labels_apart(spark):
+    draw = np.random.default_rng(4)
+    calm = ["".join(draw.choice(list("abcdefghij"), 3)) for _ in range(100)]
+    bad = lambda i: ["zorvexa"] if i < 4 else ["vileling"] if i < 20 else []
+    text = lambda more: " ".join([*draw.choice(calm, 15), *more, *draw.choice(calm, 15)])
+    docs = spark.createDataFrame([(i, text(bad(i))) for i in range(200)], DOCS)
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(200)], "doc_id long, toxic int")
+    index = toxicity.train(spark, docs, labels)
+    assert {"zorvexa", "vileling"} <= set(index.terms)
+    row = toxicity.score(spark.createDataFrame([(900, text(["zorvexa"]))], DOCS), index).first()
+    assert row["score"] >= 0.3 and set(row["neighbours"]) <= set(range(4)) and row["neighbours"]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a")], DOCS)
     index = toxicity.train(spark, docs, spark.createDataFrame([], "doc_id long, toxic int"))
