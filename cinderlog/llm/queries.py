@@ -15,7 +15,7 @@ TOXIC_FROM = 0.3
 def op1_kneser_ney(spark, sf_dir):
     held = fold(F.col("doc_id"), 7, 2)
     documents = table(spark, sf_dir, "documents")
-    model = kneser_ney.train(spark, documents.where(~held))
+    model = kneser_ney.train(spark, documents.where(~held), order=3)
     return kneser_ney.score(
         documents.select("doc_id", "text", held.alias("held_out")), model, ("doc_id", "held_out")
     ).withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))

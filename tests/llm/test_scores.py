@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cinderlog.llm import kneser_ney, languages, licences, toxicity
 from cinderlog.llm.common import words
+from cinderlog.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string"
 
@@ -71,6 +72,18 @@ def test_kneser_ney_equals_plain_version(spark, order, range_grams):
         assert row["base_score"] == pytest.approx(sum(math.log10((raw[t] + 1) / (total + size + 1)) for t in tokens))
 
 
+def test_kneser_ney_query_scores_with_two_words_of_context(spark, tmp_path):
+    texts = ["the cat sat", "a cat ran", "the cat sat down", "a cat ran off", "the dog sat"] * 8
+    rows = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op1_kneser_ney"](spark, str(tmp_path)).collect()
+    held = {r["doc_id"] for r in got if r["held_out"]}
+    score, _ = plain_model([t for i, t in enumerate(texts) if i not in held], 3)
+    assert len(got) == len(texts)
+    for r in got:
+        assert r["score"] == pytest.approx(score(texts[r["doc_id"]]), rel=1e-5)
+
+
 def test_kneser_ney_without_texts(spark):
     none = spark.createDataFrame([], DOCS)
     model = kneser_ney.train(spark, none)
