@@ -93,8 +93,67 @@ PERSONAL_DATA = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesc
     coalesce({_LISTED}, '') AS spans, coalesce(max(score), 0::DOUBLE) AS top_score
   FROM d LEFT JOIN spans ON d.r = spans.r GROUP BY d.r, doc_id"""
 
+# Scores of every anchor with every row, ranked.
+HARD_NEGATIVES = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  asked AS (SELECT vec_id, min({'l': label, 'e': e}) AS own FROM v WHERE vec_id % 100 = 0 GROUP BY 1),
+  scored AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.own.l = r.label AS same,
+      list_dot_product(a.own.e, r.e)::BIGINT AS score
+    FROM asked a JOIN v r ON a.vec_id <> r.vec_id),
+  near AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place
+    FROM scored WHERE same QUALIFY place <= 5),
+  found AS (SELECT n.anchor_id, n.place, n.other AS positive_id, s.other AS negative_id,
+      n.score AS positive_score, s.score AS negative_score,
+      row_number() OVER (PARTITION BY n.anchor_id, n.place ORDER BY s.score DESC, s.other) AS rank
+    FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
+      AND 30 * n.score <= 100 * s.score AND 100 * s.score <= 90 * n.score)
+  SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10"""
+
+_LEAF = """sha256(list_aggregate([coalesce(CAST(octet_length(encode(p)) AS VARCHAR) || ':' || p, '-')
+  FOR p IN [CAST(doc_id AS VARCHAR), source, lang, {n}, text]], 'string_agg', ''))"""
+# Bit by bit: a byte enters by xor, -1 shifts.
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda r, x:
+  CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, 3988292384 * (r & 1)) END), 4294967295)"""
+MANIFEST = f"""WITH RECURSIVE d AS (SELECT doc_id, lang, {_LEAF.format(n="CAST(n_chars AS VARCHAR)")} AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.format(n="CAST(n_chars::HUGEINT + 1 AS VARCHAR)")} END AS changed FROM documents),
+  langs AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) AS tree, count(*) AS n FROM d GROUP BY lang),
+  leaves AS (SELECT doc_id, leaf, coalesce(changed, leaf) AS folded, tree, n,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM d JOIN langs ON d.lang IS NOT DISTINCT FROM langs.lang),
+  built(tree, level, pos, digest, n) AS (SELECT tree, 0, pos, leaf, n FROM leaves
+    UNION ALL SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+    FROM built WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+  subroots AS (SELECT tree, digest FROM built WHERE n = 1),
+  above(level, pos, digest, n) AS (SELECT 0, tree - 1, digest, (SELECT count(*) FROM subroots) FROM subroots
+    UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+    FROM above WHERE n > 1 GROUP BY level, pos // 2, n),
+  nodes AS (SELECT tree, level, pos, digest, n FROM built WHERE n > 1
+    UNION ALL SELECT 0, level, pos, digest, n FROM above),
+  climb(doc_id, leaf, own, tree, level, pos, n, folded, proof) AS (
+    SELECT doc_id, leaf, tree, tree, 0, pos, n, folded, '' FROM leaves
+    UNION ALL
+    SELECT c.doc_id, c.leaf, c.own,
+      CASE WHEN c.n = 1 THEN 0 ELSE c.tree END, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+      CASE WHEN c.n = 1 THEN c.tree - 1 ELSE c.pos // 2 END,
+      CASE WHEN c.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (c.n + 1) // 2 END,
+      CASE WHEN c.n = 1 THEN c.folded WHEN s.digest IS NULL THEN sha256(c.folded)
+        WHEN c.pos % 2 = 1 THEN sha256(s.digest || c.folded) ELSE sha256(c.folded || s.digest) END,
+      c.proof || coalesce(s.digest, '')
+    FROM climb c LEFT JOIN nodes s
+      ON c.n > 1 AND s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1)
+    WHERE c.n > 1 OR c.tree > 0),
+  root AS (SELECT digest FROM above WHERE n = 1)
+  SELECT doc_id, leaf, subroots.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256,
+    folded AS folded_root, folded = root.digest AS verified
+  FROM climb JOIN subroots ON climb.own = subroots.tree, root WHERE climb.tree = 0 AND climb.n = 1"""
+
 ORACLE = {
     "op6_spaced_seeds": OVERLAPS,
     "op7_minhash": NEAR_DUPLICATES,
     "op8_personal_data": PERSONAL_DATA,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_merkle_manifest": MANIFEST,
 }

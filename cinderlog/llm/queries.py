@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from cinderlog.llm import (
-    kneser_ney, languages, licences, minhash, multi_index, pii, quotations, spaced_seeds,
-    suffix_pieces, toxicity,
+    hard_negatives, isolation, kneser_ney, languages, licences, merkle, minhash, multi_index, pii,
+    quotations, spaced_seeds, suffix_pieces, toxicity,
 )
 from cinderlog.llm.common import fold, table
 from cinderlog.llm.oracle import ORACLE  # noqa: F401
@@ -73,7 +73,20 @@ def op10_suffix_pieces(spark, sf_dir):
     return suffix_pieces.summary(table(spark, sf_dir, "documents"), suffix_pieces.load())
 
 
+def op11_isolation_forest(spark, sf_dir):
+    return isolation.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.chosen_for_tampering())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_kneser_ney, op2_toxicity, op3_quotations, op4_languages, op5_licences, op6_spaced_seeds,
     op7_minhash, op8_personal_data, op9_multi_index, op10_suffix_pieces,
+    op11_isolation_forest, op12_hard_negatives, op13_merkle_manifest,
 )}
