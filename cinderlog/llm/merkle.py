@@ -20,7 +20,7 @@ from cinderlog.llm.common import fold
 from cinderlog.operators.ranking import positions
 from cinderlog.session import scratch_path, scratch_scope, write_table
 
-STEP, SPAN = 4, 12  # levels of a node row; SPAN is a multiple of STEP
+STEP, SPAN = 6, 12  # levels of a node row; SPAN is a multiple of STEP
 TOP, DONE = 0, -1   # the tree of subroots, and the place above the root
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 RESULT = ("doc_id long, leaf string, subroot string, root string, proof_sha256 string, "
@@ -128,13 +128,13 @@ def _per_block(rows: DataFrame, trees: DataFrame, deepest: int, top_depth: int)
 
 
 CLIMB = """
-WITH RECURSIVE climb(doc_id, leaf, own_tree, block, tree, level, pos, folded, proof) AS (
-  SELECT doc_id, leaf, tree, block, next_tree, next_level, next_pos, {start}, {begun} FROM {{leaves}}
+WITH RECURSIVE climb(doc_id, leaf, block, tree, level, pos, folded, proof) AS (
+  SELECT doc_id, leaf, block, next_tree, next_level, next_pos, {start}, {begun} FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, c.own_tree, c.block, n.next_tree, n.next_level, n.next_pos, {folded}, {appended}
+  SELECT c.doc_id, c.leaf, c.block, n.next_tree, n.next_level, n.next_pos, {folded}, {appended}
   FROM climb c JOIN {{nodes}} n
     ON c.block = n.block AND c.tree = n.tree AND c.level = n.level AND c.pos = n.pos)
-SELECT doc_id, leaf, own_tree AS tree, folded, proof FROM climb WHERE tree = {done}"""
+SELECT doc_id, leaf, shiftright(block, 40) AS tree, folded, proof FROM climb WHERE tree = {done}"""
 _FOLD = """aggregate(path, {begin}, (f, s) -> unhex(sha2(CASE WHEN s.digest IS NULL THEN lower(hex(f))
   WHEN s.before THEN concat(lower(hex(s.digest)), lower(hex(f)))
   ELSE concat(lower(hex(f)), lower(hex(s.digest))) END, 256)))"""
@@ -200,7 +200,7 @@ def manifest(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
             "path": F.expr("CAST(array() AS array<struct<before boolean, digest binary>>)"), "up": F.lit(0).cast("long")})
         first = alone if first is None else first.unionByName(alone)
         first = _linked(first, top_depth).select(
-            "doc_id", F.col("digest").alias("leaf"), "changed", "tree", _block(F.col("tree"), F.col("pos")).alias("block"),
+            "doc_id", F.col("digest").alias("leaf"), "changed", _block(F.col("tree"), F.col("pos")).alias("block"),
             "path", "next_tree", "next_level", "next_pos")
         above = [r.drop("digest") for r in rest]
         above += [r.drop("digest") for r in ([upper] if upper is not None else []) + more_upper]
@@ -210,7 +210,7 @@ def manifest(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
                 nodes = nodes.unionByName(rows)
             nodes = _per_block(_linked(nodes, top_depth), trees, deepest, top_depth)
         else:
-            nodes = _linked(first.select("tree", F.lit(1).alias("depth"), F.lit(0).alias("level"),
+            nodes = _linked(first.select(F.lit(TOP).cast("long").alias("tree"), F.lit(1).alias("depth"), F.lit(0).alias("level"),
                                          F.lit(0).cast("long").alias("pos"), "path",
                                          F.lit(0).cast("long").alias("up"), "block").limit(0), top_depth)
         nodes = write_table(nodes, "nodes")

@@ -207,7 +207,7 @@ def drawn_documents(seed, n, langs):
 
 @pytest.mark.parametrize("n, langs, span", [
     (1, ["a"], 12), (2, [None], 12), (3, ["a", "b"], 12), (300, [None, "", "a", "é", "b"], 12),
-    (260, ["a"] * 9 + ["b"], 4), (300, [chr(97 + i) for i in range(26)], 4)])
+    (260, ["a"] * 9 + ["b"], 6), (300, [chr(97 + i) for i in range(80)], 6)])
 def test_manifest_equals_brute_force(spark, monkeypatch, n, langs, span):
     monkeypatch.setattr(merkle, "SPAN", span)
     rows = drawn_documents(n, n, langs)
