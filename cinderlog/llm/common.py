@@ -24,6 +24,17 @@ def fold(ids, modulus: int, remainder: int):
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+def set_apart(docs: DataFrame, keep=("doc_id", "text")) -> tuple:
+    """(docs with generated names for all columns but keep, function that restores the names):
+    an operator then adds columns that clash with none of its input."""
+    own = {name: name if name in keep else f"in_{i}" for i, name in enumerate(docs.columns)}
+
+    def restore(df: DataFrame, *more) -> DataFrame:
+        return df.select(*[F.col(new).alias(name) for name, new in own.items() if name not in more], *more)
+
+    return docs.toDF(*own.values()), restore
+
+
 def words(text) -> list:
     """Words [^\\x20\\x09-\\x0D]+ of a text with A-Z lower-cased, as UTF-8. bytes.lower()
     changes A-Z only and bytes.split() cuts at exactly these six bytes."""

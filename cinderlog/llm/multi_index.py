@@ -4,13 +4,16 @@ Vectors are cut in two halves, each with its own codebook, fitted on a bounded s
 cell is a pair of centroids, and every vector is stored with its cell. A query walks the cells
 from the largest sum of its two halves' inner products with the centroids down, through a
 heap over the two sorted lists, until the cells passed hold enough distinct vectors; a crowded
-cell counts for a few only, so that copies and tight groups do not use the walk up. Then queries
-and entries meet by the rows of cells passed, in blocks: a crowded row is split into pieces of
-bounded size, and so are its queries, so no task holds a whole one. A block ranks all its
-entries exactly, and the best of all blocks of a query are merged.
+cell counts for a few only, so that copies and tight groups do not use the walk up. How many are
+enough is fitted: for a bounded sample of queries the exact neighbours are found among all
+rows, and the walk is made as long as the aimed share of them asks for.
+
+Entries stay where they are. Queries go to them in waves of bounded size, with the cells that each
+has passed; a task ranks the entries of those cells only and keeps the best per query.
 """
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,15 +23,18 @@ from pyspark.sql import functions as F
 
 from cinderlog.llm.common import receive, send
 from cinderlog.session import write_table
+from cinderlog.sources.files import spread
 
-# Documented bounds: vectors the codebooks are fitted on, centroids per half, rows of a block.
-SAMPLE, CENTROIDS, BLOCK_ENTRIES, BLOCK_QUERIES = 20_000, 256, 8_192, 2_048
-ROWS = 32  # rows of cells: centroids of the first half by number, modulo ROWS
+# Documented bounds: vectors the codebooks are fitted on, centroids per half, queries whose exact
+# neighbours fit the length of a walk.
+SAMPLE, CENTROIDS, FITTED_QUERIES = 20_000, 256, 256
 ROUNDS = 12
-# Share of the distinct vectors that a walk passes, and the least number of them.
-SHARE, LEAST = 0.35, 2_000
+AIM = 0.94  # share of the exact neighbours that a walk is made long enough for
 # A cell counts for so many times the mean of the filled cells at most.
 CROWDED = 4
+TILE_QUERIES, TILE_ROWS = 512, 8192
+WAVE_BYTES = 32 << 20  # vectors and passed cells of a wave of queries
+WALK_QUERIES = 64      # queries that a task walks for, at least
 
 
 @dataclass
@@ -79,11 +85,18 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def fit(vectors: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Codebooks | None:
     """Codebooks from the vectors that come first by hash of the id; None without vectors.
-    Their width is the most frequent one; the others take no part in the search."""
+    Their width is the most frequent one; the others take no part in the search. There are
+    about a quarter as many cells as vectors, up to centroids squared."""
     widths = vectors.groupBy(F.size("embedding").alias("w")).count().orderBy(F.desc("count"), "w").first()
     if widths is None:
         return None
-    drawn = usable(vectors, widths["w"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    total = widths["count"]
+    centroids = min(centroids, max(4, math.isqrt(total) // 2))
+    order = F.xxhash64("vec_id")
+    some = usable(vectors, widths["w"])
+    if total > 2 * sample:  # a threshold first, so that few vectors are sorted
+        some = some.where(order < F.lit(int(-(1 << 63) + 1.2 * sample / total * (1 << 64))))
+    drawn = some.orderBy(order, "vec_id").limit(sample)
     points = np.array(drawn.select("embedding").toPandas()["embedding"].tolist())
     half = widths["w"] // 2
     return Codebooks(_kmeans(points[:, :half], centroids), _kmeans(points[:, half:], centroids), widths["w"])
@@ -105,9 +118,9 @@ def _assign(frames, shared):
 def index(vectors: DataFrame, books: Codebooks) -> DataFrame:
     """Every usable vector with its cell: vec_id, embedding, cell."""
     shared = send(vectors.sparkSession, books)
-    return write_table(vectors.mapInPandas(
+    return spread(write_table(vectors.mapInPandas(
         lambda it: _assign(it, shared), "vec_id long, embedding array<double>, cell int"
-    ), "cells")
+    ), "cells"))
 
 
 def walk(left: np.ndarray, right: np.ndarray, size: np.ndarray, enough: int):
@@ -129,40 +142,61 @@ def walk(left: np.ndarray, right: np.ndarray, size: np.ndarray, enough: int):
     return cells, -last
 
 
-def _probes(frames, shared, enough):
+def _passed(frames, shared, enough):
+    """Per query the cells that its walk passes, as a bit per cell."""
     books, size = receive(shared)
     half = books.width // 2
     for frame in frames:
         points = _matrix(frame["embedding"], books.width)
         left, right = points[:, :half] @ books.left.T, points[:, half:] @ books.right.T
-        rows = []
-        for i, (query, point) in enumerate(zip(frame["vec_id"], frame["embedding"])):
-            cells, _ = walk(left[i], right[i], size, enough)
-            rows += [(query, r, point) for r in sorted({c % ROWS for c, _ in cells})]
-        yield pd.DataFrame(rows, columns=["query_id", "row", "point"])
-
-
-def _rank(top: int, width: int):
-    def run(key, queries, entries):
-        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
-        if len(queries) and len(entries):
-            q, e = _matrix(queries["point"], width), _matrix(entries["embedding"], width)
-            ids = entries["vec_id"].to_numpy()
-            for at in range(0, len(q), 128):
-                part = q[at: at + 128]
-                # einsum adds the components of each pair up alike: equal vectors, equal scores
-                scores = np.einsum("ij,kj->ik", part, e)
-                others = ids[None, :] != queries["query_id"].to_numpy()[at: at + 128, None]
-                for query, row, good in zip(queries["query_id"].to_numpy()[at: at + 128], scores, others):
-                    keep = np.flatnonzero(good)
-                    if len(keep) > top:
-                        border = np.partition(row[keep], -top)[-top]
-                        keep = keep[row[keep] >= border]
-                    order = np.lexsort((ids[keep], -row[keep]))[:top]
-                    out.append(pd.DataFrame({"query_id": query, "vec_id": ids[keep][order], "score": row[keep][order]}))
-        return pd.concat(out, ignore_index=True)
-
-    return run
+        bits = []
+        for a, b in zip(left, right):
+            passed = np.zeros(size.shape, bool)
+            cells, _ = walk(a, b, size, enough)
+            passed[tuple(np.array(cells).T)] = True
+            bits.append(np.packbits(passed.ravel()).tobytes())
+        yield frame.assign(cells=bits)
+
+
+def _best(held, fresh, top: int):
+    """The top entries (query, score, id) per query: largest score first, ties by id."""
+    query, score, ids = (np.concatenate(x) for x in zip(held, fresh))
+    order = np.lexsort((ids, -score, query))
+    query, score, ids = query[order], score[order], ids[order]
+    first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.empty(0, np.int64)
+    keep = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)])) < top
+    return query[keep], score[keep], ids[keep]
+
+
+def _rank(frames, shared, top: int, width: int):
+    """The best entries of a task for each query of a wave, among the cells that it has passed."""
+    queries, points, cells = receive(shared)
+    tiles = range(0, len(queries), TILE_QUERIES)
+    held = [(np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)) for _ in tiles]
+    for frame in frames:
+        for start in range(0, len(frame), TILE_ROWS):
+            part = frame.iloc[start:start + TILE_ROWS].sort_values("cell", kind="stable")
+            ids, entries, own = part["vec_id"].to_numpy(), _matrix(part["embedding"], width), part["cell"].to_numpy()
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            for n, at in enumerate(tiles):
+                asking = slice(at, at + TILE_QUERIES)
+                ours, bits = points[asking], cells[asking]
+                scores = np.full((len(ours), len(part)), -np.inf)
+                for lo, hi in zip(first, np.r_[first[1:], len(own)]):
+                    who = np.flatnonzero(bits[:, own[lo] >> 3] >> (7 - (own[lo] & 7)) & 1)
+                    # einsum adds the components of each pair up alike: equal vectors, equal scores
+                    scores[who, lo:hi] = np.einsum("ij,kj->ik", ours[who], entries[lo:hi])
+                query, score, _ = held[n]
+                least = np.full(len(ours), -np.inf)
+                full = np.bincount(query, minlength=len(ours)) >= top
+                last = np.flatnonzero(np.r_[query[1:] != query[:-1], True]) if len(query) else np.empty(0, np.int64)
+                least[query[last]] = score[last]
+                least[~full] = -np.inf
+                good = (scores >= least[:, None]) & (scores > -np.inf) & (queries[asking, None] != ids)
+                i, j = np.nonzero(good)
+                held[n] = _best(held[n], (i, scores[i, j], ids[j]), top)
+    for at, (query, score, ids) in zip(tiles, held):
+        yield pd.DataFrame({"query_id": queries[at + query], "vec_id": ids, "score": score})
 
 
 def cell_sizes(entries: DataFrame, books: Codebooks) -> np.ndarray:
@@ -175,46 +209,80 @@ def cell_sizes(entries: DataFrame, books: Codebooks) -> np.ndarray:
     return np.minimum(size, int(np.ceil(CROWDED * size.sum() / max(1, (size > 0).sum()))))
 
 
-def search(entries: DataFrame, books: Codebooks, queries: DataFrame, top: int = 20,
-           share: float = SHARE, least: int = LEAST) -> DataFrame:
+def _ranked(entries: DataFrame, asked: DataFrame, width: int, top: int, waves: int) -> DataFrame:
+    """query_id, rank, vec_id, score. asked: vec_id, embedding, cells."""
+    spark, parts = entries.sparkSession, []
+    for number in range(waves):
+        own = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == number).orderBy("vec_id").toPandas()
+        if len(own):
+            bits = np.stack([np.frombuffer(b, np.uint8) for b in own["cells"]])
+            shared = send(spark, (own["vec_id"].to_numpy(), _matrix(own["embedding"], width), bits))
+            parts.append(entries.mapInPandas(
+                lambda it, shared=shared: _rank(it, shared, top, width), "query_id long, vec_id long, score double"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
+        "query_id", "rank", "vec_id", "score")
+
+
+def enough_for(entries: DataFrame, books: Codebooks, size: np.ndarray, queries: DataFrame, top: int, aim: float) -> int:
+    """How much the cells of a walk have to count for, so that it passes the cells of the share
+    aim of the exact neighbours of FITTED_QUERIES queries (those first by hash of the id)."""
+    total = int(size.sum())
+    drawn = write_table(queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FITTED_QUERIES), "fitted")
+    every = np.packbits(np.ones(len(size), bool)).tobytes()
+    exact = write_table(_ranked(
+        entries, drawn.select("vec_id", "embedding", F.lit(bytearray(every)).alias("cells")), books.width, top, 1), "exact")
+    placed = entries.select("vec_id", "cell").join(exact.select("query_id", "vec_id"), "vec_id").toPandas()
+    own = drawn.select("vec_id", "embedding").toPandas().drop_duplicates("vec_id").set_index("vec_id")["embedding"]
+    half, needed = books.width // 2, []
+    for query, cells in placed.groupby("query_id")["cell"]:
+        point = np.array(own[query], np.float64)
+        sums = ((point[:half] @ books.left.T)[:, None] + (point[half:] @ books.right.T)[None, :]).ravel()
+        order = np.argsort(-sums, kind="stable")
+        before = np.empty(len(size), np.int64)
+        before[order] = np.r_[0, np.cumsum(size[order])[:-1]]
+        needed.append(before[cells.to_numpy()])
+    return min(total, int(np.quantile(np.concatenate(needed), aim)) + 1) if needed else total
+
+
+def search(entries: DataFrame, books: Codebooks, queries: DataFrame, top: int = 20, aim: float = AIM,
+           enough: int | None = None, wave_bytes: int = WAVE_BYTES) -> DataFrame:
     """The top nearest entries found of each query: query_id, rank, vec_id, score (inner
     product in double precision). A query's own row is no candidate; ties go to the smaller
-    vec_id; with fewer candidates all are returned. queries: vec_id, embedding."""
+    vec_id; with fewer candidates all are returned. queries: vec_id, embedding. enough: what the
+    cells of a walk have to count for; fitted to the aimed share of neighbours if not given."""
     spark = entries.sparkSession
+    queries = write_table(queries.select("vec_id", "embedding"), "queries")
+    count = queries.count()
+    if not count:
+        return spark.createDataFrame([], RESULT)
     size = cell_sizes(entries, books)
-    enough = max(least, int(share * size.sum()), top + 1)
+    if enough is None:
+        enough = enough_for(entries, books, size, queries, top, aim)
+    enough = max(enough, top + 1)
     shared = send(spark, (books, size.reshape(len(books.left), len(books.right))))
-    probes = write_table(queries.select("vec_id", "embedding").mapInPandas(
-        lambda it: _probes(it, shared, enough), "query_id long, row int, point array<double>"
-    ), "probes")
-    rows = entries.withColumn("row", (F.floor(F.col("cell") / len(books.right)) % ROWS).cast("int"))
-    pieces = rows.groupBy("row").count().join(
-        probes.groupBy("row").agg(F.count("*").alias("asked")), "row"
-    ).select("row", F.ceil(F.col("count") / BLOCK_ENTRIES).cast("int").alias("e_n"),
-             F.ceil(F.col("asked") / BLOCK_QUERIES).cast("int").alias("q_n")).toPandas()  # ROWS rows at most
-    pieces = spark.createDataFrame(pieces.astype("int32"), "row int, e_n int, q_n int") if len(pieces) else \
-        spark.createDataFrame([], "row int, e_n int, q_n int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = rows.join(F.broadcast(pieces), "row").withColumn(
-        "e", F.pmod(F.xxhash64("vec_id"), "e_n").cast("int")).withColumn("q", each("q_n"))
-    again = pieces.select("row", F.col("e_n").alias("e_m"), F.col("q_n").alias("q_m"))
-    wanted = probes.join(F.broadcast(again), "row").withColumn(
-        "q", F.pmod(F.xxhash64("query_id"), "q_m").cast("int")).withColumn("e", each("e_m"))
-    found = wanted.groupBy("row", "e", "q").cogroup(held.groupBy("row", "e", "q")).applyInPandas(
-        _rank(top, books.width), "query_id long, vec_id long, score double"
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
-        "query_id", "rank", "vec_id", "score")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(count / 10_000))
+    asked = write_table(queries.repartition(min(tasks, math.ceil(count / WALK_QUERIES))).mapInPandas(
+        lambda it: _passed(it, shared, enough), "vec_id long, embedding array<double>, cells binary"), "walks")
+    waves = math.ceil(count * (8 * books.width + len(size) // 8 + 1) / wave_bytes)
+    return _ranked(entries, asked, books.width, top, waves)
+
+
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
-def nearest(spark: SparkSession, vectors: DataFrame, is_query, top: int = 20, share: float = SHARE) -> DataFrame:
+def nearest(spark: SparkSession, vectors: DataFrame, is_query, top: int = 20, aim: float = AIM) -> DataFrame:
     """Index over all usable vectors and search for those that is_query selects. Repeated
-    rows of an id are candidates each and answer once. No usable vector gives no row."""
+    rows of an id are candidates each (its own id's are not) and answer once. No usable vector
+    and no query gives no row. aim 1.0 walks as far as the farthest neighbour of the fitted
+    queries."""
     good = usable(vectors)
     books = fit(good)
     if books is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], RESULT)
     entries = index(usable(good, books.width), books)
-    queries = entries.where(is_query).select("vec_id", "embedding").dropDuplicates(["vec_id"])
-    return search(entries, books, queries, top, share)
+    queries = entries.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return search(entries, books, queries, top, aim)

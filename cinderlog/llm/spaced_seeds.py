@@ -121,5 +121,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap with no item, all columns. A row without doc_id stays."""
-    return documents.join(overlaps(documents, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    """The documents that overlap with no item, all columns. Whether a row stays depends on its
+    own text alone, whatever its doc_id: rows are told apart by the hash of the text, so equal
+    texts are searched once. Null and empty texts stay."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = documents.select(key.alias("doc_id"), "text")
+    found = write_table(overlaps(texts, benchmark).select(F.col("doc_id").alias("_found")).distinct(), "overlapping")
+    return documents.join(found, key == F.col("_found"), "left_anti")

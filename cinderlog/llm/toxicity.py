@@ -1,16 +1,15 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Spark counts, over all labelled training texts, in how many texts of either label each word
-and each beginning of a word occurs (inflected forms share beginnings); those that tell the
-labels apart are the terms. Copies of one text must not make a term: of the candidates, the
-distinct surroundings are counted, which copies share. A bounded sample of the labelled
-texts becomes the examples: TF-IDF vectors over the terms, equal vectors joined into one that
-counts for all. The index keeps postings per term, cut into blocks of examples with the largest
+A bounded sample of the labelled texts, by digest, becomes the examples. Spark counts in how
+many of them, of either label, each word and each beginning of a word occurs (inflected forms
+share beginnings); those that tell the labels apart are the terms. Copies of one text must not
+make a term: of the candidates, the distinct surroundings are counted, which copies share.
+The examples' vectors are TF-IDF over the terms, equal vectors joined into one that counts for all. The index keeps postings per term, cut into blocks of examples with the largest
 weight of each block; a search adds up these maxima per block, visits blocks from the best
 bound down and stops where no block can hold anything nearer. Neighbours vote with weights
 that fall with distance; votes become probabilities through an isotonic fit on leave-one-out
-votes of the examples themselves. All terms that tell the labels apart are kept; index and fit
-grow with the terms of the bounded sample. They are sent to the workers, which score all texts without a shuffle.
+votes of the examples themselves. All terms that tell the labels apart are kept; terms, index
+and fit are bounded by the sample. They are sent to the workers, which score all texts without a shuffle.
 """
 
 import re
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cinderlog.llm.common import receive, send
 from cinderlog.session import write_table
+from cinderlog.sources.files import spread
 
 # Documented bounds of the classifier: examples (a sample of the labelled rows by hash of the
 # text), neighbours that vote, examples per block.
@@ -183,10 +183,11 @@ class Index:
 
 
 def isotonic(x, y, weight):
-    """Non-decreasing fit of y on x: block centres and values."""
-    order = np.argsort(x, kind="stable")
+    """Non-decreasing fit of y on x: block centres and values. Equal x are one point."""
+    centres, at = np.unique(x, return_inverse=True)
+    heavy = np.bincount(at, weight)
     blocks = []
-    for a, b, w in zip(x[order], y[order], weight[order]):
+    for a, b, w in zip(centres, np.bincount(at, weight * y) / heavy, heavy):
         blocks.append([a * w, b * w, w])
         while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2]:
             last = blocks.pop()
@@ -232,17 +233,31 @@ def build(terms, idf, examples: pd.DataFrame, empty, neighbours: int = NEIGHBOUR
     return index
 
 
+def _examples(documents: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """digest, toxic, doc_id, text of at most so many distinct labelled texts. Digests are chosen
+    first, by a threshold and then in order, so that neither texts nor all digests meet in a task."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = write_table(documents.select("doc_id", digest).join(marks, "doc_id").groupBy("digest").agg(
+        F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")), "marked")
+    total = marked.count()
+    if total > most:
+        share = 1.2 * most / total + 1000 / total
+        if share < 1:
+            marked = marked.where(F.col("digest") < f"{int(share * (1 << 64)):016x}")
+        marked = write_table(marked.orderBy("digest").limit(most), "chosen")
+    own = documents.select("doc_id", digest, F.coalesce("text", F.lit("")).alias("text"))
+    found = own.join(F.broadcast(marked) if total > most else marked, ["doc_id", "digest"])  # at most `most` rows
+    return spread(write_table(found.groupBy("digest", "toxic", "doc_id").agg(F.any_value("text").alias("text")), "labelled"))
+
+
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
           neighbours: int = NEIGHBOURS) -> Index:
     """Learns from the documents that have a label (joined by doc_id; toxic 0 or 1, a null is
-    no label; of several labels the largest counts). Equal texts are one text."""
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = write_table(
-        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id").groupBy(
-            F.sha2("text", 256).alias("digest")
-        ).agg(F.any_value("text").alias("text"), F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")),
-        "labelled",
-    )
+    no label; of several labels the largest counts). Equal texts are one text. Where there are
+    more than max_examples, those with the smallest digests are taken, and all that follows
+    (terms, weights, index, calibration) is learnt from them."""
+    texts = _examples(documents, labels, max_examples)
     total, positive = texts.agg(F.count("*"), F.sum("toxic")).first()
     positive = positive or 0
     if not positive or positive == total:
@@ -269,7 +284,6 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_exam
     chosen = candidates.iloc[steady["term"]]
     terms = {w: i for i, w in enumerate(chosen["word"])}
     idf = np.tile(np.log((total + 1) / (chosen["texts"].to_numpy(float) + 1)) + 1, 1 + len(REPEATS))
-    sample = texts if total <= max_examples else texts.orderBy("digest").limit(max_examples)
 
     def vectors(frames):
         features = Features(terms)
@@ -283,7 +297,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_exam
                 "toxic": frame["toxic"].astype("int64"), "doc_id": frame["doc_id"],
             })
 
-    grouped = sample.select("text", "toxic", "doc_id").mapInPandas(
+    grouped = texts.select("text", "toxic", "doc_id").mapInPandas(
         vectors, "vector string, toxic long, doc_id long"
     ).groupBy("vector").agg(
         F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")

@@ -143,6 +143,27 @@ def test_toxicity_keeps_rare_words_that_tell_labels_apart(spark):
     assert row["score"] >= 0.3 and set(row["neighbours"]) <= set(range(4)) and row["neighbours"]
 
 
+def test_toxicity_learns_from_a_bounded_sample(spark):
+    own = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, f"calm words x{own(i)}" + (" vileness" if i % 4 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows + [(3, rows[3][1]), (500, rows[3][1]), (None, "x"), (7, None)], DOCS)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)] + [(500, 1)], "doc_id long, toxic int")
+    taken = toxicity._examples(docs, labels, 50).collect()
+    every = toxicity._examples(docs, labels, 1000).collect()
+    assert sorted(r["digest"] for r in taken) == sorted(r["digest"] for r in every)[:50]
+    assert len(every) == 301  # 300 texts and the null one, read as empty
+    assert {r["text"]: (r["doc_id"], r["toxic"]) for r in every}[rows[3][1]] == (3, 1)
+    index = toxicity.train(spark, docs, labels, max_examples=100)
+    assert index.count.sum() <= 100 and "vileness" in index.terms
+
+
+def test_isotonic_pools_equal_votes():
+    x, y = toxicity.isotonic(np.array([0.5, 0.5]), np.array([0.0, 1.0]), np.ones(2))
+    assert x.tolist() == [0.5] and y.tolist() == [0.5]
+    x, y = toxicity.isotonic(np.array([0.1, 0.5, 0.5, 0.9]), np.array([0.0, 1.0, 0.0, 1.0]), np.array([1.0, 1, 3, 1]))
+    assert x.tolist() == [0.1, 0.5, 0.9] and y.tolist() == [0.0, 0.25, 1.0]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a")], DOCS)
     index = toxicity.train(spark, docs, spark.createDataFrame([], "doc_id long, toxic int"))
