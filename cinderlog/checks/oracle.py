@@ -90,6 +90,28 @@ _MONTHLY = f"""WITH {_LOGS} SELECT log_level, strftime(event_time, '%Y%m') AS mo
 _RETRY = f"""WITH {_LOGS} SELECT CAST(regexp_extract(content, 'Already tried ([0-9]+)', 1) AS INTEGER)
   AS retrycount, count(*) AS event_count FROM logs WHERE event_template = '{RETRY_TEMPLATE}' GROUP BY 1"""
 
+# Groups of line shapes are split, all at once per round, until each is one template.
+_DOCUMENT_TEMPLATES = """WITH RECURSIVE lines AS (SELECT list_transform(string_split(trim(regexp_replace(line, '\\s+', ' ', 'g')), ' '),
+      lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t
+    FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)),
+  shapes AS (SELECT t, count(*) AS n FROM lines GROUP BY t),
+  work(t, grp, round) AS (
+    SELECT t, len(t) || ' ' || array_to_string(t[1:2], ' '), 0 FROM shapes
+    UNION ALL
+    SELECT t, md5(grp || ' ' || cut || ' ' || t[cut]), round + 1 FROM (
+      SELECT w.*, g.cut[2] AS cut FROM work w JOIN (
+        SELECT grp, min([kinds, pos]) FILTER (kinds > 1) AS cut,
+          2 * count(*) FILTER (kinds = 1 AND word <> '<*>') >= count(*) AS similar
+        FROM (SELECT grp, pos, count(DISTINCT word) AS kinds, min(word) AS word
+          FROM (SELECT grp, unnest(t) AS word, unnest(range(1, len(t) + 1)) AS pos FROM work) GROUP BY ALL)
+        GROUP BY grp) g ON w.grp = g.grp WHERE g.cut IS NOT NULL AND NOT g.similar)),
+  last AS (SELECT t, max_by(grp, round) AS grp FROM work GROUP BY t),
+  named AS (SELECT grp, string_agg(CASE WHEN kinds = 1 THEN word ELSE '<*>' END, ' ' ORDER BY pos) AS template
+    FROM (SELECT grp, pos, count(DISTINCT word) AS kinds, min(word) AS word
+      FROM (SELECT grp, unnest(t) AS word, unnest(range(1, len(t) + 1)) AS pos FROM last) GROUP BY ALL) GROUP BY grp)
+  SELECT template, count(*) AS n_patterns, sum(n)::BIGINT AS n_lines, min(array_to_string(t, ' ')) AS first_pattern
+  FROM shapes JOIN last USING (t) JOIN named USING (grp) GROUP BY template"""
+
 _TEMPLATE_COUNTS = f"""WITH {_LOGS} SELECT event_id, event_template, count(*) AS event_count
   FROM logs GROUP BY 1, 2"""
 
@@ -120,6 +142,7 @@ ORACLE = {
       min(line_id) AS first_line FROM logs GROUP BY 1, 2""",
     "structured_lines": f"""WITH {_LOGS} SELECT line_id, {_HEADER}, {_text("event_time")}, event_id,
       event_template, parameters FROM logs""",
+    "document_templates": _DOCUMENT_TEMPLATES,
     "template_topk": f"{_TEMPLATE_COUNTS} ORDER BY event_count DESC, event_id LIMIT 3",
     "skeleton_topk": f"""WITH {_LOGS} SELECT {_MASKED} AS skeleton, count(*) AS n_lines FROM logs
       GROUP BY 1 ORDER BY n_lines DESC, skeleton LIMIT 50""",

@@ -3,7 +3,13 @@
 A line's shape is its masked content with every digit-bearing token hidden; there are
 about as many shapes as log statements, however many lines. Lines of one shape share a
 template. Shapes are counted with partial aggregation, similar shapes of a leaf (same
-token count and leading tokens) are merged, and the result is joined back to the lines.
+token count and leading tokens) get one template, and the result is joined back to the lines.
+
+Which shapes are similar follows from their set alone, not from counts or order: a group of them
+is one template if enough positions hold the same word throughout; otherwise it is split by the
+position with the fewest words, which tells statements rather than values apart. All groups are
+split at once, from counts of words per group and position, so a leaf of any size is spread over
+the tasks like everything else.
 
 A digit-bearing token that never varies within its shape belongs to the template. Between
 the two scans of the lines it is known by its hash only, as a token "#<hash>" in a pattern:
@@ -11,8 +17,6 @@ the aggregation then has fixed-width buffers and hashes instead of sorting, and
 holds the token's text anyway. Shapes have no digits, so any digit marks such a token.
 """
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +24,6 @@ from cinderlog import constants as K
 from cinderlog.functions.text import hide_digit_tokens, mask, squeeze
 from cinderlog.session import write_table
 
-# Patterns that merging hands on at a time, and the tokens they may have in all.
-GROUP_SIZE = 4000
-GROUP_TOKENS = 400_000
-
 
 def with_shape(lines: DataFrame, masks=K.MASKS) -> DataFrame:
     """Adds masked (the masked content) and shape."""
@@ -69,123 +69,59 @@ def leaf_key(pattern: Column, depth=K.MINING_DEPTH) -> Column:
     return F.concat(F.size(tokens).cast("string"), F.lit(" "), F.array_join(lead, " "))
 
 
-def template_finder(similarity: float, wildcard=K.WILDCARD):
-    """Makes finders, one for the patterns of a leaf, given in their order: each joins the most
-    similar template so far (ties: the one with more wildcards) if enough tokens agree, hiding
-    the others. A finder holds the templates only, however many patterns it is given. A
-    closure, so that executors need numpy and pandas only."""
-
-    class Finder:
-        def __init__(self, width: int):
-            self.codes, self.words = {}, []
-            self.found, self.count = np.empty((8, width), dtype=np.int64), 0
-
-        def add(self, pattern: str) -> int:
-            """The number of the template that the pattern joins."""
-            tokens = pattern.split(" ")
-            # Words of no template agree with none: -2. Wildcards: -1.
-            row = np.array([-1 if t == wildcard else self.codes.get(t, -2) for t in tokens])
-            known = self.found[:self.count]
-            if self.count:
-                agree = ((known == row) & (known >= 0)).sum(axis=1)
-                best = int(agree.argmax())
-                if agree[best] >= similarity * len(row):
-                    ties = np.flatnonzero(agree == agree[best])
-                    best = int(ties[(known[ties] < 0).sum(axis=1).argmax()])
-                    known[best] = np.where(known[best] == row, row, -1)
-                    return best
-            for at in np.flatnonzero(row == -2):
-                row[at] = self.codes.setdefault(tokens[at], len(self.words))
-                if row[at] == len(self.words):
-                    self.words.append(tokens[at])
-            if self.count == len(self.found):
-                self.found = np.concatenate([self.found, np.empty_like(self.found)])
-            self.found[self.count] = row
-            self.count += 1
-            return self.count - 1
-
-        def templates(self) -> list:
-            return [" ".join(wildcard if c < 0 else self.words[c] for c in f) for f in self.found[:self.count]]
-
-    return Finder
-
-
-def pattern_merger(similarity: float, wildcard=K.WILDCARD):
-    """The function that merges the patterns of one leaf held in memory."""
-    finder = template_finder(similarity, wildcard)
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["weight", "pattern"], ascending=[False, True], kind="stable")
-        leaf = finder(pdf["pattern"].iloc[0].count(" ") + 1)
-        home = [leaf.add(p) for p in pdf["pattern"]]
-        texts = leaf.templates()
-        return pd.DataFrame(
-            {"pattern": pdf["pattern"].to_numpy(), "template": [texts[h] for h in home]}
-        )
+def _position_words(members: DataFrame) -> DataFrame:
+    """Per group and position: how many words its patterns have there, and one of them."""
+    words = members.select("group", F.posexplode(F.split("pattern", " ")).alias("pos", "word"))
+    # Words are made distinct first: counting them per group keeps no set in a buffer.
+    return words.groupBy("group", "pos", "word").agg(F.lit(1).alias("one")).groupBy("group", "pos").agg(
+        F.count("*").alias("words"), F.min("word").alias("word"))
 
-    return merge
-
-
-def _leaf_merger(similarity: float, group_size: int, group_tokens: int):
-    """Over rows sorted by leaf: per pattern the number of its template, and at the end of a
-    leaf, with no pattern, the template of each number."""
-    finder = template_finder(similarity)
-
-    def run(frames):
-        leaf, state, rows, size = None, None, [], 0
-        ends = lambda: [(leaf, None, n, t) for n, t in enumerate(state.templates())]
-        pack = lambda held: pd.DataFrame(held, columns=["leaf", "pattern", "number", "template"])
-        for frame in frames:
-            for own, pattern in zip(frame["leaf"], frame["pattern"]):
-                if own != leaf:
-                    if state is not None:
-                        rows += ends()
-                    leaf, state = own, finder(pattern.count(" ") + 1)
-                rows.append((leaf, pattern, state.add(pattern), None))
-                size += pattern.count(" ") + 1
-                if len(rows) >= group_size or size >= group_tokens:
-                    yield pack(rows)
-                    rows, size = [], 0
-        if state is not None:
-            yield pack(rows + ends())
-
-    return run
-
-
-def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
-                  group_size=GROUP_SIZE) -> DataFrame:
-    """pattern -> template for distinct patterns with a weight.
-
-    A leaf of any size goes through one finder, from the heaviest pattern down; Spark sorts,
-    and the finder keeps the leaf's templates but not its patterns. The outcome depends on
-    the patterns alone; group_size only says how many patterns are handed on at a time.
+
+def _group_state(members: DataFrame, similarity: float) -> DataFrame:
+    """Per group: template (the words shared by all its patterns, wildcards between), is_one
+    (enough positions are shared), and the position to split at otherwise."""
+    shared = F.col("words") == 1
+    state = _position_words(members).groupBy("group").agg(
+        F.count("*").alias("width"),
+        F.count_if(shared & (F.col("word") != K.WILDCARD)).alias("fixed"),
+        F.min(F.when(~shared, F.struct("words", "pos"))).alias("cut"),
+        F.sort_array(F.collect_list(F.struct(
+            "pos", F.when(shared, F.col("word")).otherwise(F.lit(K.WILDCARD)).alias("word")))).alias("slots"),
+    )
+    return state.select(
+        "group", F.array_join("slots.word", " ").alias("template"), F.col("cut.pos").alias("cut"),
+        (F.col("cut").isNull() | (F.col("fixed") >= similarity * F.col("width"))).alias("is_one"))
+
+
+def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY) -> DataFrame:
+    """pattern -> template for distinct patterns.
+
+    A leaf starts as one group. A group whose patterns agree in at least similarity of their
+    positions, wildcards not counted, becomes the template of the words they agree in; any other
+    one is split by its words at the position that has the fewest (ties: the leftmost). Every
+    split fixes a position, so there are fewer rounds than a pattern has tokens; usually two or
+    three. Only the groups still open take part in a round.
     """
-    work = write_table(patterns.select("pattern", "weight", leaf_key(F.col("pattern"), depth).alias("leaf")), "patterns")
-    # A leaf with one pattern needs no merging and never leaves the JVM.
-    todo = write_table(work.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > 1), "leaves")
-    mapping = work.select("pattern", F.col("pattern").alias("template"))
-    if todo.isEmpty():
-        return mapping
-    ordered = work.join(todo, "leaf", "left_semi").repartition("leaf").sortWithinPartitions(
-        "leaf", F.desc("weight"), "pattern")
-    merged = write_table(ordered.select("leaf", "pattern").mapInPandas(
-        _leaf_merger(similarity, group_size, GROUP_TOKENS), "leaf string, pattern string, number int, template string"
-    ), "merged")
-    texts = merged.where("pattern is null").select("leaf", "number", F.col("template").alias("_next"))
-    step = merged.where("pattern is not null").select("leaf", "pattern", "number").join(
-        texts, ["leaf", "number"]).select("pattern", "_next")
-    return mapping.join(step, "pattern", "left").select(
-        "pattern", F.coalesce("_next", "template").alias("template"))
-
-
-def mine_templates(shaped: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY,
-                   group_size=GROUP_SIZE) -> DataFrame:
+    work = write_table(patterns.select("pattern", leaf_key(F.col("pattern"), depth).alias("group")), "patterns")
+    # A leaf with one pattern is its own template.
+    several = write_table(work.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group"), "leaves")
+    members = work.join(several, "group", "left_semi")
+    closed = work.join(several, "group", "left_anti").select("pattern", F.col("pattern").alias("template"))
+    while not members.isEmpty():
+        state = write_table(_group_state(members, similarity), "groups")
+        placed = members.join(state, "group")
+        closed = closed.unionByName(placed.where("is_one").select("pattern", "template"))
+        word = F.get(F.split("pattern", " "), F.col("cut"))
+        inner = F.md5(F.concat_ws(" ", "group", "cut", word))
+        members = write_table(placed.where("not is_one").select("pattern", inner.alias("group")), "members")
+    return closed
+
+
+def mine_templates(shaped: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY) -> DataFrame:
     """Catalogue: shape, pattern, n_lines, first_line."""
     found = write_table(skeletons(shaped), "skeletons")
-    patterns = found.groupBy(F.col("skeleton").alias("pattern")).agg(
-        F.sum("n_lines").alias("weight")
-    )
-    mapping = merge_similar(patterns, depth, similarity, group_size)
+    patterns = found.select(F.col("skeleton").alias("pattern")).distinct()
+    mapping = merge_similar(patterns, depth, similarity)
     catalogue = found.join(mapping, found["skeleton"] == mapping["pattern"]).select(
         "shape", F.col("template").alias("pattern"), "n_lines", "first_line"
     )

@@ -1,9 +1,6 @@
 import random
 import re
-import subprocess
-import sys
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,10 +24,32 @@ def log(n, seed):
         ])
 
 
-def structured(spark, contents, partitions=4, group_size=T.GROUP_SIZE):
+def structured(spark, contents, partitions=4):
     lines = spark.createDataFrame(list(enumerate(contents)), "line_id bigint, content string")
     shaped = T.with_shape(lines.repartition(partitions))
-    return T.assign_templates(shaped, T.mine_templates(shaped, group_size=group_size))
+    return T.assign_templates(shaped, T.mine_templates(shaped))
+
+
+def split(patterns, similarity=0.5):
+    """The rule of merge_similar over the patterns of one leaf, one group after another."""
+    rows = [p.split(" ") for p in patterns]
+    words = [sorted({r[i] for r in rows}) for i in range(len(rows[0]))]
+    cuts = [(len(w), i) for i, w in enumerate(words) if len(w) > 1]
+    fixed = sum(len(w) == 1 and w[0] != K.WILDCARD for w in words)
+    if not cuts or fixed >= similarity * len(words):
+        return dict.fromkeys(patterns, " ".join(w[0] if len(w) == 1 else K.WILDCARD for w in words))
+    at = min(cuts)[1]
+    out = {}
+    for word in words[at]:
+        out |= split([p for p, r in zip(patterns, rows) if r[at] == word], similarity)
+    return out
+
+
+def split_leaves(patterns, similarity=0.5):
+    leaves = {}
+    for p in patterns:
+        leaves.setdefault((p.count(" "), *p.split(" ")[:2]), []).append(p)
+    return {p: t for leaf in leaves.values() for p, t in split(leaf, similarity).items()}
 
 
 def by_line(df):
@@ -55,15 +74,14 @@ def pattern_of(template):
     return "(.*?)".join(re.escape(p) for p in template.split(K.WILDCARD))
 
 
-@pytest.mark.parametrize("group_size", [2, 3, 10, 4000])
-def test_every_line_matches_its_template(spark, group_size):
-    """Also with leaves far larger than a group, which are merged in rounds."""
+def test_every_line_matches_its_template(spark):
+    """Also with leaves that are split several times."""
     pick = random.Random(3)
     words = ["alpha", "beta", "gamma", "delta", "eps"]
     contents = list(log(60, 4)) + [
         " ".join(["job", "state"] + [pick.choice(words) for _ in range(6)]) for _ in range(200)
     ]
-    rows = structured(spark, contents, group_size=group_size).collect()
+    rows = structured(spark, contents).collect()
     assert len(rows) == len(contents)
     for r in rows:
         found = re.fullmatch(pattern_of(r.event_template), re.sub(r"\s+", " ", r.content.strip()))
@@ -74,36 +92,45 @@ def test_every_line_matches_its_template(spark, group_size):
         assert rebuilt == re.sub(r"\s+", " ", r.content.strip())
 
 
-@pytest.mark.parametrize("name", ["group_size", "GROUP_TOKENS"])
-def test_templates_do_not_depend_on_any_size(spark, monkeypatch, name):
+def merged(spark, patterns, similarity=0.5):
+    df = spark.createDataFrame([(p,) for p in patterns], "pattern string").repartition(3)
+    return {r.pattern: r.template for r in T.merge_similar(df, similarity=similarity).collect()}
+
+
+@pytest.mark.parametrize("seed, similarity", [(7, 0.5), (8, 0.7), (9, 1.0)])
+def test_groups_are_split_by_the_rule(spark, seed, similarity):
+    pick = random.Random(seed)
+    words = ["alpha", "beta", "gamma", "delta", "eps", K.WILDCARD, "", "#77"]
+    patterns = {" ".join([pick.choice("ab"), "state"] + [pick.choice(words) for _ in range(pick.choice([1, 4, 6]))])
+                for _ in range(300)} | {"", "one", "one two"}
+    assert merged(spark, patterns, similarity) == split_leaves(sorted(patterns), similarity)
+
+
+def test_templates_depend_neither_on_counts_nor_on_order(spark):
     pick = random.Random(7)
     words = ["alpha", "beta", "gamma", "delta", "eps"]
     contents = [" ".join(["job", "state"] + [pick.choice(words) for _ in range(6)]) for _ in range(200)]
-    want = by_line(structured(spark, contents))
-    for size in (2, 50):
-        if name == "GROUP_TOKENS":
-            monkeypatch.setattr(T, name, size)
-            assert by_line(structured(spark, contents)) == want
-        else:
-            assert by_line(structured(spark, contents, group_size=size)) == want
-    plain = T.pattern_merger(K.MINING_SIMILARITY)(
-        pd.Series(contents).value_counts().rename_axis("pattern").reset_index(name="weight"))
-    assert dict(zip(contents, want)) == dict(zip(plain["pattern"], plain["template"]))
-
-
-def test_large_leaf_converges_to_the_same_template(spark):
+    want = dict(zip(contents, by_line(structured(spark, contents))))
+    assert want == split_leaves(sorted(set(contents)))
+    more = contents[::-1] + contents[:30] * 5
+    assert dict(zip(more, by_line(structured(spark, more, 1)))) == want
+
+
+def test_large_leaf_becomes_one_template(spark):
     """Thousands of patterns of one leaf, all of one statement."""
     contents = [f"task {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} has come to its end" for i in range(1500)]
-    got = set(by_line(structured(spark, contents, group_size=20)))
+    got = set(by_line(structured(spark, contents)))
     assert got == set(contents)  # the varying word leads, so each has its own leaf
-    merged = [f"start task {c.split()[1]} now please" for c in contents]
-    assert set(by_line(structured(spark, merged, group_size=20))) == {"start task <*> now please"}
+    same = [f"start task {c.split()[1]} now please" for c in contents]
+    assert set(by_line(structured(spark, same))) == {"start task <*> now please"}
 
 
-def test_long_patterns_merge_in_small_groups(spark, monkeypatch):
-    monkeypatch.setattr(T, "GROUP_TOKENS", 30)
-    contents = [f"start the task {chr(97 + i)} now please and tell me more about it" for i in range(26)]
-    assert set(by_line(structured(spark, contents))) == {"start the task <*> now please and tell me more about it"}
+def test_a_leaf_is_spread_over_tasks(spark):
+    """Words are counted per group and position with partial aggregation, never per group alone."""
+    members = spark.createDataFrame([("a b c", "g")], "pattern string, group string")
+    plan = T._position_words(members)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(group" in plan and "word" in plan.split("hashpartitioning(group")[-1].split("\n")[0]
+    assert "collect_set" not in plan and "partial_count" in plan
 
 
 def test_fixed_digit_tokens_stay(spark):
@@ -129,28 +156,6 @@ def test_parameters(spark):
     assert [r[0] for r in got] == [c[2] for c in cases]
 
 
-def test_merge_ties_go_to_the_more_general():
-    pdf = pd.DataFrame({"pattern": ["a b c d", "a <*> c e", "a b c f"], "weight": [9, 8, 1]})
-    out = dict(zip(*[T.pattern_merger(0.5)(pdf)[c] for c in ("pattern", "template")]))
-    assert out["a b c d"] == out["a <*> c e"] == out["a b c f"] == "a <*> c <*>"
-    apart = T.pattern_merger(0.5)(pd.DataFrame({"pattern": ["a b", "c d"], "weight": [1, 1]}))
-    assert list(apart["template"]) == ["a b", "c d"]
-
-
-def test_executors_do_not_need_the_package():
-    from pyspark import cloudpickle
-    assert b"cinderlog.constants" not in cloudpickle.dumps(T.pattern_merger(0.5))
-    code = (
-        "import pickle, sys, pandas as pd\n"
-        "merge = pickle.loads(sys.stdin.buffer.read())\n"
-        "print(merge(pd.DataFrame({'pattern': ['a b c', 'a b d'], 'weight': [1, 1]}))['template'][0])"
-    )
-    out = subprocess.run(
-        [sys.executable, "-c", code], input=cloudpickle.dumps(T.pattern_merger(0.5)), capture_output=True, cwd="/"
-    )
-    assert out.stdout.decode().strip() == "a b <*>", out.stderr
-
-
 def test_counting_hashes_and_never_sorts_lines(spark):
     lines = spark.createDataFrame([(1, "a 1")], "line_id bigint, content string")
     plan = T.skeletons(T.with_shape(lines))._jdf.queryExecution().executedPlan().toString()
