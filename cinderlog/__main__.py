@@ -9,16 +9,22 @@ from cinderlog.plans.structuring import structure_files
 from cinderlog.session import build_session
 from cinderlog.sources import files, sinks, streams
 from cinderlog.streaming import jobs
+from cinderlog.streaming.catalogue import publish_templates
 
 
-def _values(spark, args, topic):
-    """A topic if a broker is given, else the directory of that name."""
+def _values(spark, args, topic, reader=""):
+    """A topic if a broker is given, else the directory of that name. reader: whose limits hold,
+    where there are several; the general ones stand in for those not given."""
+    def limit(name):
+        own = getattr(args, f"{reader}_{name}", None)
+        return getattr(args, name) if own is None else own
+
     if args.servers:
         return streams.topic_values(
-            spark, args.servers, topic, max_offsets=args.max_offsets,
-            starting_offsets=args.starting_offsets, fail_on_data_loss=not args.tolerate_data_loss,
+            spark, args.servers, topic, max_offsets=limit("max_offsets"),
+            starting_offsets=limit("starting_offsets"), fail_on_data_loss=not args.tolerate_data_loss,
         )
-    return streams.directory_values(spark, topic, args.max_files)
+    return streams.directory_values(spark, topic, limit("max_files"))
 
 
 def structure(spark, args):
@@ -26,7 +32,13 @@ def structure(spark, args):
 
 
 def report(spark, args):
-    reports.write_all(files.structured_parquet(spark, args.input), args.output)
+    chosen = {}
+    for choice in args.template or []:
+        name, found, text = choice.partition("=")
+        if not found or name not in reports.CHOICES:
+            raise SystemExit(f"report: --template takes name=text with a name of {', '.join(reports.CHOICES)}")
+        chosen[name] = text
+    reports.write_all(files.structured_parquet(spark, args.input), args.output, chosen)
 
 
 def templates(spark, args):
@@ -69,8 +81,8 @@ def structure_stream(spark, args):
     return jobs.structure_stream(lines, args.output, args.checkpoint, args.trigger, **_topic_sinks(args))
 
 
-def _rows(session, args, source):
-    return streams.rows_from_values(_values(session, args, source), schema.STRUCTURED)
+def _rows(session, args, source, reader=""):
+    return streams.rows_from_values(_values(session, args, source, reader), schema.STRUCTURED)
 
 
 def live(spark, args):
@@ -78,8 +90,9 @@ def live(spark, args):
     session = jobs.stream_session(spark)
     published = args.rows_topic if args.servers else f"{args.output}/structured/*"
     jobs.live(
-        _values(session, args, args.input), lambda: _rows(session, args, published), args.output,
-        args.checkpoint, args.trigger or "0 seconds", **_topic_sinks(args),
+        _values(session, args, args.input), lambda: _rows(session, args, published, "archive"), args.output,
+        args.checkpoint, args.trigger or "0 seconds", count_rows=lambda: _rows(session, args, published, "count"),
+        counts_to=(args.servers, args.counts_topic) if args.servers else None, **_topic_sinks(args),
     )
     session.streams.awaitAnyTermination()
 
@@ -102,6 +115,16 @@ def points_stream(spark, args):
     return jobs.points_stream(values, args.kind, args.output, args.checkpoint, args.trigger)
 
 
+def remine(spark, args):
+    """mine a stream's templates anew and publish them as the next version"""
+    print(publish_templates(spark, f"{args.input}/catalogue"))
+
+
+def compact_counts(spark, args):
+    """fold a folder of count updates into a snapshot"""
+    print(jobs.compact_counts(spark, args.input))
+
+
 def replay_stream(spark, args):
     values = streams.directory_values(spark, args.input, args.max_files)
     return jobs.replay_stream(values, args.output, args.checkpoint, args.trigger)
@@ -127,7 +150,9 @@ def parser():
         return sub
 
     command(structure, "input", "output").add_argument("--rejects")
-    command(report, "input", "output")
+    command(report, "input", "output").add_argument(
+        "--template", action="append", metavar="NAME=TEXT",
+        help=f"template of a report ({', '.join(reports.CHOICES)}) in place of the usual one; may be repeated")
     sub = command(templates, "input")
     sub.add_argument("--output")
     sub.add_argument("--top", type=int)
@@ -143,6 +168,12 @@ def parser():
         sub = command(run, "input", "output", stream=True)
         sub.add_argument("--rows-topic", default="structured")
         sub.add_argument("--metrics-topic", default="batch_metrics")
+        if run is live:
+            sub.add_argument("--counts-topic", default="level_counts")
+            for reader in ("archive", "count"):
+                sub.add_argument(f"--{reader}-max-offsets", type=int, help=f"limit of the {reader} reader alone")
+                sub.add_argument(f"--{reader}-max-files", type=int)
+                sub.add_argument(f"--{reader}-starting-offsets")
     command(archive_stream, "input", "output", stream=True)
     sub = command(count_stream, "input", "output", stream=True)
     sub.add_argument("--time", default="processing", choices=["processing", "event"])
@@ -151,6 +182,8 @@ def parser():
         "--kind", required=True, choices=["counts", "batches"]
     )
     command(replay_stream, "input", "output", stream=True)
+    command(remine, "input")
+    command(compact_counts, "input")
     return top
 
 

@@ -165,6 +165,20 @@ ORACLE = {
     "retry_report_by_parameter": _RETRY,
     "monthly_severity_report": _MONTHLY,
     "report_files": _MONTHLY,
+    "report_set": f"""WITH {_LOGS}, t AS (SELECT
+        (CAST(regexp_extract(content, 'bytes: ([0-9]+)', 1) AS BIGINT) / 1048576.0::DOUBLE)
+        / (CAST(regexp_extract(content, 'duration: ([0-9]+)', 1) AS BIGINT) / 1e9::DOUBLE) AS rate
+      FROM logs WHERE content LIKE 'src: %')
+      SELECT 'exceptions' AS report, log_date AS key, count(*)::DOUBLE AS number FROM logs
+        WHERE content = 'IOException in offerService' GROUP BY 2
+      UNION ALL SELECT 'severity', lower(log_level), count(*) FROM logs GROUP BY 2
+      UNION ALL SELECT 'slowness', 'average', round(avg(CAST(regexp_extract(content, '([0-9]+)', 1) AS INTEGER)), 6)
+        FROM logs WHERE content LIKE 'Slow BlockReceiver%'
+      UNION ALL SELECT 'speed', 'lines', count(*) FROM t
+      UNION ALL SELECT 'speed', 'sum', round(sum(rate), 2) FROM t
+      UNION ALL SELECT 'retrycount', regexp_extract(content, 'Already tried ([0-9]+)', 1), count(*) FROM logs
+        WHERE event_template = '{RETRY_TEMPLATE}' GROUP BY 2
+      UNION ALL SELECT 'monthly', log_level || ' ' || strftime(event_time, '%Y%m'), count(*) FROM logs GROUP BY 2""",
     "structured_csv": f"""WITH {_LOGS} SELECT line_id, log_level, content, event_id, {_text("event_time")},
       parameters FROM logs""",
     "block_endpoints": f"""WITH {_LOGS}, e AS (SELECT line_id,
@@ -201,6 +215,11 @@ ORACLE = {
     "stream_archive": f"WITH {_LOGS} SELECT line_id, {_HEADER}, event_id, parameters FROM logs",
     "replay_stream": f"WITH {_LOGS} SELECT {_HEADER} FROM logs",
     "stream_templates": _TEMPLATE_COUNTS,
+    "stream_line_ids": """SELECT count(*) AS n_lines, count(*) AS n_ids, 0::BIGINT AS first_id,
+      count(*) - 1 AS last_id FROM events""",
+    "stream_side_counts": f"WITH {_LOGS} SELECT log_level, count(*) AS event_count FROM logs GROUP BY 1",
+    "stream_batch_points": """SELECT measure, 3::BIGINT AS n_batches, 2::BIGINT AS last_batch, count(*) AS lines
+      FROM events, (VALUES ('record_count'), ('latency x throughput')) m(measure) GROUP BY 1""",
     "stream_points": _COUNT_POINTS,
     "latest_per_level": f"""WITH {_COUNTS} SELECT log_level, {_text("max(window_end)", "window_end")},
       arg_max(event_count, counts.window_end) AS event_count FROM counts GROUP BY 1""",

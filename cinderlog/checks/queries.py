@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinderlog import constants as K
 from cinderlog import schema
 from cinderlog.checks import loglines as L
 from cinderlog.functions.envelope import from_envelope, to_envelope
@@ -16,6 +17,7 @@ from cinderlog.plans.structuring import structure
 from cinderlog.session import scratch_path, write_table
 from cinderlog.sources import files, sinks, streams
 from cinderlog.streaming import jobs
+from cinderlog.streaming.catalogue import known_templates, publish_templates, restated
 
 HEADER = ["log_date", "log_time", "pid", "log_level", "component", "content"]
 
@@ -146,6 +148,36 @@ def report_files(spark, sf):
     ).csv(f"{base}/monthly")
 
 
+def report_set(spark, sf):
+    """All six reports, written and read back, as report, key and number; the speeds summed up."""
+    base = scratch_path(spark, "reports")
+    sinks.write_structured(L.store(spark, sf), f"{base}/structured")
+    reports.write_all(files.structured_parquet(spark, f"{base}/structured"), base)
+    back = lambda name: spark.read.option("header", True).csv(f"{base}/{name}")
+    tagged = lambda df, name, key, number: df.select(
+        F.lit(name).alias("report"), key.alias("key"), number.cast("double").alias("number"))
+    severity = back("severity").select(F.inline(F.array(*[
+        F.struct(F.lit(level.lower()).alias("key"), F.col(level.lower()).alias("number")) for level in K.LEVELS])))
+    speeds = back("speed").agg(
+        F.count("*").alias("n"), F.round(F.sum(F.col("speed_mib_s").cast("double")), 2).alias("total")
+    ).select(F.inline(F.array(
+        F.struct(F.lit("lines").alias("key"), F.col("n").cast("double").alias("number")),
+        F.struct(F.lit("sum").alias("key"), F.col("total").alias("number")))))
+    monthly = back("monthly")
+    parts = [
+        tagged(back("exceptions"), "exceptions", F.col("log_date"), F.col("event_count")),
+        tagged(severity, "severity", F.col("key"), F.col("number")),
+        tagged(back("slowness"), "slowness", F.lit("average"), F.round(F.col("average_write_latency").cast("double"), 6)),
+        tagged(speeds, "speed", F.col("key"), F.col("number")),
+        tagged(back("retrycount"), "retrycount", F.col("retrycount"), F.col("event_count")),
+        tagged(monthly, "monthly", F.concat_ws(" ", "log_level", "month"), F.col("total_records")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def structured_csv(spark, sf):
     path = scratch_path(spark, "csvlogs")
     sinks.write_csv(L.store(spark, sf), path)
@@ -396,8 +428,8 @@ def stream_level_counts(spark, sf):
     return _count_columns(jobs.current_counts(spark, f"{out}/messages"))
 
 
-def stream_archive(spark, sf):
-    """One topic, two readers: the archive, and the counts beside it."""
+def _archived(spark, sf):
+    """One topic, two readers: the archive, and the counts beside it; the output folder."""
     session, out = jobs.stream_session(spark), scratch_path(spark, "archive")
 
     def run(path):
@@ -410,11 +442,23 @@ def stream_archive(spark, sf):
             jobs.run_to_end(query)
 
     _messages(spark, sf, run)
-    return files.structured_parquet(spark, f"{out}/rows").select(
+    return out
+
+
+def stream_archive(spark, sf):
+    return files.structured_parquet(spark, f"{_archived(spark, sf)}/rows").select(
         "line_id", *HEADER, "event_id", joined("parameters")
     )
 
 
+def stream_side_counts(spark, sf):
+    """What the second reader counted by time of arrival, per level, from a snapshot of the
+    updates: its windows differ from run to run, their sums do not."""
+    counts = f"{_archived(spark, sf)}/counts"
+    jobs.compact_counts(spark, counts)
+    return jobs.current_counts(spark, counts).groupBy("log_level").agg(F.sum("event_count").alias("event_count"))
+
+
 def _raw_stream(spark, sf):
     """Raw lines replayed into a watched directory and structured; the output folder."""
     session, out = jobs.stream_session(spark), scratch_path(spark, "structuring")
@@ -435,9 +479,21 @@ def replay_stream(spark, sf):
 
 
 def stream_templates(spark, sf):
+    """Templates of the stream's rows after a re-mined version was published."""
     _, out = _raw_stream(spark, sf)
+    publish_templates(spark, f"{out}/catalogue")
     values = spark.read.schema("value string").text(f"{out}/structured")
-    return templates.template_counts(from_envelope(values, schema.STRUCTURED))
+    rows = restated(from_envelope(values, schema.STRUCTURED), known_templates(spark, f"{out}/catalogue"))
+    return templates.template_counts(rows)
+
+
+def stream_line_ids(spark, sf):
+    """Lines that three batches numbered, rejects included: running numbers without gaps."""
+    _, out = _raw_stream(spark, sf)
+    rows = from_envelope(spark.read.schema("value string").text(f"{out}/structured"), schema.STRUCTURED)
+    ids = rows.select("line_id").unionByName(spark.read.parquet(f"{out}/rejects").select("line_id"))
+    return ids.agg(F.count("*").alias("n_lines"), F.countDistinct("line_id").alias("n_ids"),
+                   F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id"))
 
 
 def stream_batch_metrics(spark, sf):
@@ -450,6 +506,26 @@ def stream_batch_metrics(spark, sf):
     return points.agg(F.sum(counted).alias("record_count"))
 
 
+def stream_batch_points(spark, sf):
+    """One row per batch and measure that the structuring stream published. How long a batch took
+    differs from run to run: of latency and throughput, their product is shown, the lines."""
+    session, out = _raw_stream(spark, sf)
+    messages = streams.directory_values(session, f"{out}/metrics/*")
+    jobs.run_to_end(jobs.points_stream(messages, "batches", f"{out}/points", f"{out}/checkpoint-points"))
+    points = spark.read.schema("value string").text(f"{out}/points")
+    number = lambda name: F.regexp_extract("value", rf"{name}=([0-9.Ee+-]+)", 1).cast("double")
+    measures = points.select(
+        F.regexp_extract("value", r"batch_id=(\d+)", 1).cast("long").alias("batch_id"),
+        F.inline(F.array(
+            F.struct(F.lit("record_count").alias("measure"), number("record_count").alias("lines")),
+            F.struct(F.lit("latency x throughput").alias("measure"),
+                     F.round(number("latency") * number("throughput")).alias("lines")),
+        )))
+    # Batches are cut at quantiles of time; what they sum to is what both engines know.
+    return measures.groupBy("measure").agg(
+        F.count("*").alias("n_batches"), F.max("batch_id").alias("last_batch"), F.sum("lines").cast("long").alias("lines"))
+
+
 def stream_points(spark, sf):
     """Windowed counts of the whole table as one stream batch, as points."""
     session, out = jobs.stream_session(spark), scratch_path(spark, "points")
@@ -593,6 +669,7 @@ _NAMES = (
     "level_counts_1m latest_per_level count_trend mean_per_interval "
     "message_instants points_counts points_metrics json_roundtrip json_props parameter_items "
     "stream_level_counts stream_archive replay_stream stream_templates stream_batch_metrics "
+    "stream_line_ids stream_side_counts stream_batch_points report_set "
     "stream_points term_frequency idf_weights tfidf tfidf_centered tfidf_ratio session_tfidf "
     "confusion_metrics roc_auc anomaly_train_metrics anomaly_predictions anomaly_summary "
     "train_test_export"

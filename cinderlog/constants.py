@@ -22,18 +22,10 @@ PERMISSION_DENIED = (
     "java.io.FileNotFoundException: /opt/hdfs/data/current/VERSION (Permission denied)"
 )
 SLOW_WRITE = "Slow BlockReceiver write data to disk <*> (threshold=300ms)"
-TRANSFER = (
-    "src: <*>, dest: <*>, bytes: <*>, op: HDFS_WRITE, cliID: <*> offset: <*>, "
-    "srvID: 4f8dd80e-ab80-41ad-b045-99cfeb1828d2, blockid: BP-<*>-<*><*>:<*>_<*>, duration: <*>"
-)
-CONNECT_RETRY = (
-    "Retrying connect to server: mesos-master-<*><*>. Already tried <*> time(s); retry policy is "
-    "RetryUpToMaximumCountWithFixedSleep(maxRetries=<*>, sleepTime=<*> MILLISECONDS)"
-)
 
-# The fixed words of these statements in order, as SQL patterns. Which tokens a
-# miner hides differs; the words of the statement do not.
-TRANSFER_WORDS = "src: %, dest: %, bytes: %, op: HDFS_WRITE%duration: %"
+# The fixed words of statements in order, as SQL patterns over templates. Which
+# tokens a miner hides differs, and hidden ones take their commas with them.
+TRANSFER_WORDS = "src: % dest: % bytes: % op: HDFS_WRITE%duration: %"
 CONNECT_RETRY_WORDS = "Retrying connect to server: %Already tried % time(s)%"
 
 # Label text of an anomalous block, padding after a session's last event.

@@ -11,12 +11,21 @@ from cinderlog.functions.times import month_key
 from cinderlog.sources.sinks import write_report
 
 
-def _of_statement(template, usual: str, fixed_words: str):
-    """Lines of the given template; without one, lines of the statement: by its usual
-    template or by its fixed words in the content."""
+# Templates of one statement that go into the scan's filter; beyond that they are joined.
+PUSHED_TEMPLATES = 100
+
+
+def _of_statement(structured: DataFrame, template, fixed_words: str) -> DataFrame:
+    """Lines of the given template; without one, lines of the templates that have the statement's
+    fixed words. These are found among the distinct templates, a scan of one column, and go into
+    the scan of the lines as a filter, by which files sorted by event are skipped."""
     if template is not None:
-        return F.col("event_template") == template
-    return (F.col("event_template") == usual) | F.col("content").like(fixed_words)
+        return structured.where(F.col("event_template") == template)
+    named = structured.select("event_template").where(F.col("event_template").like(fixed_words)).distinct()
+    found = [r["event_template"] for r in named.limit(PUSHED_TEMPLATES + 1).collect()]
+    if len(found) > PUSHED_TEMPLATES:
+        return structured.join(named, "event_template", "left_semi")
+    return structured.where(F.col("event_template").isin(found))
 
 
 def severity(structured: DataFrame, levels=K.LEVELS) -> DataFrame:
@@ -48,7 +57,7 @@ def transfer_speed(structured: DataFrame, template=None) -> DataFrame:
     and the number). Values are read by name from the content."""
     content = F.col("content")
     rate = mebibytes_per_second(named_number(content, "bytes"), named_number(content, "duration"))
-    return structured.where(_of_statement(template, K.TRANSFER, K.TRANSFER_WORDS)).select(
+    return _of_statement(structured, template, K.TRANSFER_WORDS).select(
         "line_id",
         strip_marks(endpoint(content, K.SOURCE)).alias("src"),
         strip_marks(endpoint(content, K.DESTINATION)).alias("dest"),
@@ -65,7 +74,7 @@ def retries(structured: DataFrame, template=None, param_index=None) -> DataFrame
     else:
         count = first_integer(item(F.col("parameters"), param_index))
     return (
-        structured.where(_of_statement(template, K.CONNECT_RETRY, K.CONNECT_RETRY_WORDS))
+        _of_statement(structured, template, K.CONNECT_RETRY_WORDS)
         .groupBy(count.alias("retrycount")).agg(F.count("*").alias("event_count"))
         .orderBy(F.desc("event_count"), "retrycount")
     )
@@ -101,12 +110,17 @@ def block_endpoints(structured: DataFrame) -> DataFrame:
     )
 
 
+# Reports that take a template.
+CHOICES = ("exceptions", "slowness", "speed", "retrycount")
+
+
 def write_all(structured: DataFrame, path, templates=None):
-    """Every report as CSV under path. The speed report has a row per line, so it keeps
-    its files; the others are one file each."""
+    """Every report as CSV under path. templates: report -> template to use in place of the
+    usual one. The speed report has a row per line, so it keeps its files; the others are one
+    file each."""
     t = templates or {}
     for name, report in {
-        "exceptions": exceptions(structured),
+        "exceptions": exceptions(structured, (t["exceptions"],)) if "exceptions" in t else exceptions(structured),
         "severity": severity(structured),
         "slowness": write_latency(structured, t.get("slowness", K.SLOW_WRITE)),
         "speed": transfer_speed(structured, t.get("speed")),

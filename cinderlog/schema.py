@@ -45,4 +45,5 @@ LEVEL_COUNTS = _struct(
     orig_last_timestamp=_time,
 )
 
-CATALOGUE = _struct(shape=_text, pattern=_text)
+# pattern is the template of the shape, skeleton what the shape itself has seen.
+CATALOGUE = _struct(shape=_text, skeleton=_text, pattern=_text)

@@ -58,6 +58,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list:
+    """Names in a folder, hidden ones included; none if there is no such folder."""
+    system, target = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(target)) if system.exists(target) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename to a name that is not taken, in one step where the file system has such a rename
+    (HDFS, local disks; object stores copy). False if the name is taken."""
+    system, to = _hadoop_path(spark, target)
+    if system.exists(to):
+        return False
+    system.mkdirs(to.getParent())
+    return system.rename(_hadoop_path(spark, source)[1], to)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, target = _hadoop_path(spark, path)
+    system.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str):
+    """The text of a small file; None if there is no such file."""
+    system, target = _hadoop_path(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole under a name that is not taken; False if it is."""
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    system, target = _hadoop_path(spark, draft)
+    stream = system.create(target)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if move(spark, draft, path):
+        return True
+    remove(spark, draft)
+    return False
+
+
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """Tables written inside the block are dropped at its end. For work that repeats in
