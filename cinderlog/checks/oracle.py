@@ -165,6 +165,7 @@ ORACLE = {
     "retry_report_by_parameter": _RETRY,
     "monthly_severity_report": _MONTHLY,
     "report_files": _MONTHLY,
+    "line_identity": "SELECT count(*) AS n_lines, count(*) AS n_ids, count(*) AS n_equal FROM events",
     "report_set": f"""WITH {_LOGS}, t AS (SELECT
         (CAST(regexp_extract(content, 'bytes: ([0-9]+)', 1) AS BIGINT) / 1048576.0::DOUBLE)
         / (CAST(regexp_extract(content, 'duration: ([0-9]+)', 1) AS BIGINT) / 1e9::DOUBLE) AS rate

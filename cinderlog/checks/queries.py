@@ -43,6 +43,22 @@ def text_log_scan(spark, sf):
     return accepted(parse_header(files.raw_lines(spark, path))).select(*HEADER)
 
 
+def line_identity(spark, sf):
+    """Lines of a folder of files, read under two split sizes: ids and how many lines agree."""
+    path, read = scratch_path(spark, "rawlogs"), []
+    L.raw(spark, sf).select("value").write.text(path)
+    for size in ("64k", "1m"):
+        session = spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", size)
+        session.conf.set("spark.sql.files.openCostInBytes", "1k")
+        read.append(spark.read.parquet(write_table(files.raw_lines(session, path), "lines").inputFiles()[0].rpartition("/")[0]))
+    first, second = read
+    both = first.join(second.withColumnRenamed("value", "other"), "line_id", "full_outer")
+    return both.agg(
+        F.count("*").alias("n_lines"), F.countDistinct("line_id").alias("n_ids"),
+        F.count_if(F.col("value") == F.col("other")).alias("n_equal"))
+
+
 def rejected_lines(spark, sf):
     """Document lines are no log lines; whatever fits the header grammar is accepted."""
     lines = files.spread(L.table(spark, sf, "documents")).select(

@@ -63,21 +63,65 @@ def positions(df: DataFrame, order, keys=(), rows=None) -> DataFrame:
     return running_total(df, order, {"position": F.lit(1).cast("bigint")}, keys, rows)
 
 
-def row_at(df: DataFrame, order, ratio: float):
-    """The row at position floor(n * ratio) in the order (None when that is 0). Only the
-    order columns are shuffled and only one range piece is sorted."""
-    order = list(order)
-    rows = df.count()
-    left = int(rows * ratio)
-    if left == 0:
-        return None
-    placed = _pieces(df.select(*order), order, rows)
-    sizes = placed.groupBy("_piece").count().orderBy("_piece").collect()  # one row per piece
-    for size in sizes:
-        if left <= size["count"]:
-            piece = placed.where(F.col("_piece") == size["_piece"])
-            return piece.orderBy(*order).offset(left - 1).limit(1).select(*order).first()
-        left -= size["count"]
+# Buckets that a selection counts at a time, and rows that it looks at one by one.
+BUCKETS, FEW = 4096, 10_000
+
+
+def rows_at(df: DataFrame, number, tie: str, ratio: float, group=None) -> dict:
+    """group -> (number, tie) of the row at position floor(n * ratio) of its group, in the order
+    of number (a long of at most 62 bits) and tie (text); None where that is 0. group: a column of
+    few values; without one, all rows are the group None.
+
+    Every pass counts rows per bucket, for all groups at once and with partial aggregation, and
+    goes on in the bucket that holds the row sought: nothing is sorted or moved but counts. Equal
+    numbers are told apart by the tie's next character. FEW rows are looked at in the end."""
+    rows = df.select((F.lit(None).cast("string") if group is None else F.col(group)).alias("g"),
+                     number.cast("bigint").alias("k"), F.col(tie).alias("t"))
+    rows = write_table(rows, "selection")
+    out, state = {}, {}
+    for r in rows.groupBy("g").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).collect():
+        if group is not None and r["g"] is None:
+            continue
+        left = int(r["n"] * ratio)
+        out[r["g"]] = None
+        if left:
+            state[r["g"]] = dict(lo=r["lo"], hi=r["hi"], prefix="", left=left, n=r["n"])
+
+    def own(g, s):
+        same = F.col("g").eqNullSafe(F.lit(g)) & F.col("k").between(s["lo"], s["hi"])
+        return same & F.col("t").startswith(s["prefix"]) if s["prefix"] else same
+
+    while todo := {g: s for g, s in state.items() if s["n"] > FEW and not s.get("whole")}:
+        part = F.lit(None).cast("binary")
+        for g, s in todo.items():
+            if s["lo"] < s["hi"]:
+                s["width"] = (s["hi"] - s["lo"]) // BUCKETS + 1
+                # Exact integer division, as text of equal length that sorts alike
+                bucket = F.expr(f"lpad(cast((k - {s['lo']}) div {s['width']} as string), 8, '0')")
+            else:
+                bucket = F.substring("t", len(s["prefix"]) + 1, 1)
+            part = F.when(own(g, s), bucket.cast("binary")).otherwise(part)
+        counted = rows.select("g", part.alias("part")).where("part is not null").groupBy("g", "part").count().collect()
+        for g, s in todo.items():
+            for r in sorted((r for r in counted if r["g"] == g), key=lambda r: bytes(r["part"])):
+                if s["left"] <= r["count"]:
+                    break
+                s["left"] -= r["count"]
+            s["n"], at = r["count"], bytes(r["part"]).decode()
+            if s["lo"] < s["hi"]:
+                low = s["lo"] + int(at) * s["width"]
+                s["lo"], s["hi"] = low, min(s["hi"], low + s["width"] - 1)
+            elif at:
+                s["prefix"] += at
+            else:
+                s["whole"] = True  # the rows that equal the prefix are equal
+    for g, s in state.items():
+        if s.get("whole"):
+            out[g] = (s["lo"], s["prefix"])
+        else:
+            few = rows.where(own(g, s)).select("k", "t").collect()  # FEW rows at most
+            out[g] = tuple(sorted(few, key=lambda r: (r["k"], r["t"].encode()))[s["left"] - 1])
+    return out
 
 
 def up_to(order, row):

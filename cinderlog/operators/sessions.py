@@ -34,6 +34,7 @@ def session_parts(events: DataFrame, part_size=PART_SIZE, lookahead=0) -> DataFr
     """
     if lookahead > part_size:
         raise ValueError("lookahead must not exceed part_size")
+    events = write_table(events, "events")  # ids are taken out of the contents once
     sizes = events.groupBy("block_id").agg(F.count("*").alias("_n"))
     heavy = write_table(sizes.where(F.col("_n") > part_size), "heavy")
     columns = [

@@ -3,7 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderlog.operators.ranking import row_at, up_to
+from cinderlog.operators.ranking import rows_at, up_to
+
+
+def _not_after(bound):
+    order = ["split_key", "block_id"]
+    return up_to(order, bound and dict(zip(order, bound)))
 
 
 def split_condition(sessions: DataFrame, ratio: float, split_type: str, window="session"):
@@ -13,16 +18,16 @@ def split_condition(sessions: DataFrame, ratio: float, split_type: str, window="
     if window != "session":
         raise ValueError("only session windows are supported")
     if split_type == "sequential":
-        keyed = sessions.withColumn("split_time", F.coalesce(F.unix_micros("first_time"), F.lit(0)))
-        order = ["split_time", "block_id"]
-        return keyed, up_to(order, row_at(keyed, order, ratio))
+        keyed = sessions.withColumn("split_key", F.coalesce(F.unix_micros("first_time"), F.lit(0)))
+        bound = rows_at(keyed, F.col("split_key"), "block_id", ratio).get(None)
+        return keyed, _not_after(bound)
     if split_type == "uniform" and "label" in sessions.columns:
-        keyed = sessions.withColumn("split_hash", F.md5("block_id"))
-        order = ["split_hash", "block_id"]
+        # 60 bits of the hash; equal ones go by block id
+        keyed = sessions.withColumn("split_key", F.conv(F.left(F.md5("block_id"), F.lit(15)), 16, 10).cast("bigint"))
+        bounds = rows_at(keyed, F.col("split_key"), "block_id", ratio, "label")
         train = F.lit(False)
         for label in (0, 1):
-            bound = row_at(keyed.where(F.col("label") == label), order, ratio)
-            train = train | ((F.col("label") == label) & up_to(order, bound))
+            train = train | ((F.col("label") == label) & _not_after(bounds.get(label)))
         return keyed, train
     raise ValueError("split_type must be 'uniform' (with labels) or 'sequential'")
 

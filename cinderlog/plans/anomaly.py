@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cinderlog import constants as K
 from cinderlog.operators.evaluate import confusion, roc_auc
 from cinderlog.operators.features import count_vectors, feature_stages
-from cinderlog.operators.sessions import block_events, session_heads, session_parts, session_slices, with_labels
+from cinderlog.operators.sessions import block_events, session_parts, session_slices, with_labels
 from cinderlog.operators.splits import split_sessions
 from cinderlog.session import write_table
 from cinderlog.sources.sinks import write_csv
@@ -17,8 +17,7 @@ from cinderlog.sources.sinks import write_csv
 
 def session_vectors(structured: DataFrame, labels=None, width=K.FEATURE_WIDTH) -> DataFrame:
     """One row per block: block_id, first_time, n_events, counts[, label], stored."""
-    events = block_events(structured)
-    sessions = session_heads(events).join(count_vectors(events, width=width), "block_id")
+    sessions = count_vectors(block_events(structured), width=width, time="event_time")
     if labels is not None:
         sessions = with_labels(sessions, labels)
     return write_table(sessions, "sessions")

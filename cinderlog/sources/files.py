@@ -1,17 +1,49 @@
 """Batch scans of files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinderlog import schema
+from cinderlog.operators.ranking import positions
+from cinderlog.session import write_table
+
+
+# Bits of a line_id for the line's number in its file, and splits whose places are broadcast.
+LINE_BITS, BROADCAST_SPLITS = 40, 200_000
+
+
+def _splits(scan: DataFrame) -> DataFrame:
+    """Per file and split start: the task that reads it, its first row there, and the line_id of
+    its first line. One row per split of the input."""
+    row = F.col("_row")
+    found = write_table(scan.groupBy("_file", "_start").agg(
+        F.min(row).alias("_first"), F.max(row).alias("_last"), F.count("*").alias("_n")), "splits")
+    names = found.groupBy("_file").agg(F.sum("_n").alias("_lines"))
+    names = positions(names, ["_file"], rows=names.count()).select("_file", "position")
+    before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    placed = found.join(names, "_file").withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    base = F.shiftleft(F.col("position") - 1, LINE_BITS) + F.col("_before")
+    return write_table(placed.select("_file", "_start", "_first", "_last", base.alias("_base")), "places")
 
 
 def raw_lines(spark: SparkSession, path) -> DataFrame:
-    """All files of a log directory as one scan. line_id is unique and rises within each
-    file; it is a property of this scan, so store it with the structured rows."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("line_id"), "value"
-    )
+    """All files of a log directory as one scan: line_id, value.
+
+    line_id is the number of the file among all file names in order, shifted, plus the number of
+    the line in the file. It is a property of the files: the same for every scan and every split
+    size. Adding files may renumber those whose names come later. A first scan counts the lines of
+    every split; a scan whose splits are dealt to tasks otherwise (the settings were changed in
+    between) raises an error, as do files of 2 ** 40 lines."""
+    scan = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"))
+    places = _splits(scan)
+    if places.count() <= BROADCAST_SPLITS:
+        places = F.broadcast(places)
+    inside = F.col("_row").between(F.col("_first"), F.col("_last"))
+    checked = F.when(inside, F.col("_base") + F.col("_row") - F.col("_first")).otherwise(
+        F.raise_error(F.lit("the splits of the input have changed since its lines were counted")))
+    return scan.join(places, ["_file", "_start"], "left").select(checked.cast("bigint").alias("line_id"), "value")
 
 
 def spread(scan: DataFrame) -> DataFrame:

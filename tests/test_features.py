@@ -85,6 +85,44 @@ def test_centring_does_not_change_predictions(sessions):
     assert a == {r.block_id: r.prediction for r in centred.collect()} and 0 < sum(a.values()) < 60
 
 
+def test_implicit_centring_equals_dense(spark, sessions):
+    """Same margins as a model of dense centred vectors, without a dense vector."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import vector_to_array
+
+    noisy = sessions.withColumn("label", F.when(F.xxhash64("block_id") % 5 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    model = anomaly.fit(noisy, "tf-idf", "zero-mean")
+    path = scratch_path(spark, "centred")
+    model.write().overwrite().save(path)
+    model = PipelineModel.load(path)
+    _, centre, _, linear = model.stages
+    out = model.transform(noisy)
+    assert all("SparseVector" in type(r[0]).__name__ for r in out.select("features").collect())
+    counts = noisy.select(F.expr("*"))
+    dense = Pipeline(stages=[
+        IDF(inputCol="counts", outputCol="t"),
+        StandardScaler(inputCol="t", outputCol="d", withMean=True, withStd=False),
+        LogisticRegression(featuresCol="d", labelCol="label")]).fit(counts)
+    theirs = {r[0]: r[1] for r in dense.transform(noisy).select("block_id", vector_to_array("rawPrediction")[1]).collect()}
+    ours = {r.block_id: r.raw_margin for r in anomaly.predict(model, noisy).collect()}
+    assert all(math.isclose(ours[b], theirs[b], abs_tol=1e-3) for b in theirs)
+    weights, intercept = features.centred_model(centre, linear)
+    means = centre.means().toArray()
+    for r in out.select("block_id", "features").collect():
+        assert math.isclose(float((r.features.toArray() - means) @ weights.toArray() + intercept), ours[r.block_id], abs_tol=1e-9)
+
+
+def test_vectors_with_heads_in_one_aggregation(skewed_events):
+    from cinderlog.operators.sessions import session_heads
+    both = features.count_vectors(skewed_events, time="event_time")
+    plain = features.count_vectors(skewed_events).join(session_heads(skewed_events), "block_id")
+    columns = ["block_id", "first_time", "n_events", "counts"]
+    assert sorted(map(repr, both.select(columns).collect())) == sorted(map(repr, plain.select(columns).collect()))
+    assert "Join" not in both._jdf.queryExecution().executedPlan().toString()
+
+
 def test_model_round_trip(spark, sessions):
     model = anomaly.fit(sessions, normalization="ratio")
     path = scratch_path(spark, "roundtrip")

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cinderlog.operators.ranking import _pieces, positions, row_at, running_total, up_to
+from cinderlog.operators import ranking
+from cinderlog.operators.ranking import _pieces, positions, rows_at, running_total, up_to
 
 
 @pytest.fixture(scope="module")
@@ -40,10 +41,29 @@ def test_running_total_without_key(table, rows):
     assert {r.b: r.total for r in got} == want
 
 
+@pytest.fixture(params=[(4096, 10_000), (4, 30), (16, 1)])
+def selection(request, monkeypatch):
+    """Few buckets and few rows to look at: many passes over numbers and over ties."""
+    for name, value in zip(("BUCKETS", "FEW"), request.param):
+        monkeypatch.setattr(ranking, name, value)
+
+
 @pytest.mark.parametrize("ratio", [0.0, 0.0001, 0.25, 0.8, 1.0])
-def test_row_at(table, ratio):
-    want = sorted((r.a, r.b) for r in table.collect())[: int(5000 * ratio)]
-    bound = row_at(table, ["a", "b"], ratio)
-    assert (tuple(bound) if bound else None) == (want[-1] if want else None)
-    got = table.where(up_to(["a", "b"], bound)).select("a", "b").collect()
-    assert sorted(tuple(r) for r in got) == want
+def test_rows_at(table, selection, ratio):
+    named = table.select("key", (F.col("a") * 10**15 - 7).alias("a"), F.concat(F.lit("é"), (F.col("b") % 900).cast("string")).alias("b"))
+    rows = [(r.key, r.a, r.b) for r in named.collect()]
+    want = sorted(((a, b) for _, a, b in rows), key=lambda r: (r[0], r[1].encode()))[: int(5000 * ratio)]
+    bound = rows_at(named, F.col("a"), "b", ratio)[None]
+    assert bound == (want[-1] if want else None)
+    got = named.where(up_to(["a", "b"], bound and dict(zip("ab", bound)))).select("a", "b").collect()
+    assert len(got) >= len(want) and {tuple(r) for r in got} == set(want)
+    hot = named.withColumn("key", F.when(F.col("key") == "hot", "hot").otherwise("rest"))
+    per_group = rows_at(hot, F.col("a"), "b", ratio, "key")
+    for key in ("hot", "rest"):
+        own = sorted(((a, b) for k, a, b in rows if (k == "hot") == (key == "hot")), key=lambda r: (r[0], r[1].encode()))
+        n = int(len(own) * ratio)
+        assert per_group[key] == (own[n - 1] if n else None)
+
+
+def test_rows_at_of_no_rows(table):
+    assert rows_at(table.limit(0).withColumn("b", F.lit("x")), F.col("a"), "b", 0.5) == {}
