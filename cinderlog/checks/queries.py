@@ -685,7 +685,7 @@ _NAMES = (
     "level_counts_1m latest_per_level count_trend mean_per_interval "
     "message_instants points_counts points_metrics json_roundtrip json_props parameter_items "
     "stream_level_counts stream_archive replay_stream stream_templates stream_batch_metrics "
-    "stream_line_ids stream_side_counts stream_batch_points report_set "
+    "stream_line_ids stream_side_counts stream_batch_points report_set line_identity "
     "stream_points term_frequency idf_weights tfidf tfidf_centered tfidf_ratio session_tfidf "
     "confusion_metrics roc_auc anomaly_train_metrics anomaly_predictions anomaly_summary "
     "train_test_export"
