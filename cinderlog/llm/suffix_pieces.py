@@ -323,8 +323,11 @@ def _encode(frames, shared, keys):
     vocabulary = receive(shared)
     encoder = Encoder(vocabulary)
     for frame in frames:
-        found = [ids for _, lists in slices(frame["text"], BATCH_UNITS, units) for ids in encoder.encode(lists)]
-        yield frame[list(keys)].assign(ids=pd.Series(found, index=frame.index, dtype=object))
+        # Handed on by parts: a frame's words and ids are never held all at once.
+        for start, lists in slices(frame["text"], BATCH_UNITS, units):
+            part = frame.iloc[start: start + len(lists)]
+            found = [ids.astype(np.int32) for ids in encoder.encode(lists)]
+            yield part[list(keys)].assign(ids=pd.Series(found, index=part.index, dtype=object))
 
 
 def _kinds(frame: DataFrame, keys) -> str:
