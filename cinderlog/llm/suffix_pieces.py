@@ -30,7 +30,7 @@ SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Words of a batch, characters of a text that is indexed at a time, words kept, and the length
 # from which a word is merged by itself.
-BATCH_UNITS, BATCH_CHARS, KEPT, LONG = 500_000, 1_000_000, 400_000, 64
+BATCH_UNITS, BATCH_CHARS, KEPT, LONG = 200_000, 250_000, 400_000, 64
 FREE = np.iinfo(np.int64).max
 
 
