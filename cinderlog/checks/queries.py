@@ -292,9 +292,11 @@ def shuffled_sessions(spark, sf):
 
 def sequence_slices(spark, sf):
     """Slices of train and test sessions, with the session's label."""
-    chosen = splits.flag_sessions(write_table(_heads(spark, sf), "heads"), 0.8).select(
+    events = write_table(_events(spark, sf), "events")  # the contents are read once
+    heads = sessions.with_labels(sessions.session_heads(events), _labels(spark, sf))
+    chosen = splits.flag_sessions(write_table(heads, "heads"), 0.8).select(
         "block_id", "label", F.col("is_train").cast("int").alias("is_train"))
-    return sessions.session_slices(_events(spark, sf), chosen, 3, PART).select(
+    return sessions.session_slices(events, chosen, 3, PART).select(
         "block_id", "part", "label", "is_train", "start", joined("event_sequence", sep=","), "next_event"
     )
 

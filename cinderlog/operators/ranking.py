@@ -63,6 +63,49 @@ def positions(df: DataFrame, order, keys=(), rows=None) -> DataFrame:
     return running_total(df, order, {"position": F.lit(1).cast("bigint")}, keys, rows)
 
 
+def _same(left: str, right: str, keys):
+    match = F.lit(True)
+    for key in keys:
+        match = match & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return match
+
+
+def _ends(placed: DataFrame, keys, *more) -> DataFrame:
+    """The last key of every range piece: one row per piece. Only such keys go on in later pieces."""
+    last = placed.groupBy("piece").agg(F.max(F.struct(*keys, *more)).alias("_last"))
+    return last.select("piece", "_last.*")
+
+
+def numbered(df: DataFrame, order, keys, rows=None) -> DataFrame:
+    """df with piece, its range piece by keys and order, and position, counted from 1 within the
+    key; stored. Rows must be unique in keys + order. What earlier pieces add to a position is
+    known for few keys, at most one per piece, so they are broadcast and no row is shuffled for it."""
+    keys, order = list(keys), list(order)
+    placed = _pieces(df, keys + order, rows).withColumnRenamed("_piece", "piece")
+    spread = placed.alias("l").join(
+        F.broadcast(_ends(placed, keys).select(*keys).distinct().alias("s")), _same("l", "s", keys), "left_semi")
+    before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = spread.groupBy(*keys, "piece").agg(F.count("*").alias("_n")).select(
+        *keys, "piece", F.sum("_n").over(before).alias("_before")).where("_before is not null")
+    inside = Window.partitionBy(*keys, "piece").orderBy(*order)
+    local = placed.withColumn("_row", F.row_number().over(inside).cast("bigint"))
+    match = _same("l", "s", keys) & (F.col("l.piece") == F.col("s.piece"))
+    return write_table(local.alias("l").join(F.broadcast(shifts.alias("s")), match, "left").select(
+        *[F.col(f"l.{c}") for c in df.columns], F.col("l.piece"),
+        (F.col("_row") + F.coalesce("_before", F.lit(0))).alias("position")), "numbered")
+
+
+def with_halo(rows: DataFrame, keys, width: int) -> DataFrame:
+    """The rows of numbered with own = true, and for each piece the width rows that follow its last
+    key in later pieces, as further rows of that piece with own = false."""
+    ends = _ends(rows, keys, "position")
+    after = (F.col("l.piece") > F.col("s.piece")) & (F.col("l.position") > F.col("s.position")) & (
+        F.col("l.position") <= F.col("s.position") + width)
+    halo = rows.alias("l").join(F.broadcast(ends.alias("s")), _same("l", "s", keys) & after).select(
+        *[F.col("s.piece" if c == "piece" else f"l.{c}") for c in rows.columns])
+    return rows.withColumn("own", F.lit(True)).unionByName(halo.withColumn("own", F.lit(False)))
+
+
 # Buckets that a selection counts at a time, and rows that it looks at one by one.
 BUCKETS, FEW = 4096, 10_000
 

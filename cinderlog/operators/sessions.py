@@ -1,11 +1,11 @@
 """Block sessions: the ordered events of each storage block."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 from cinderlog.functions.text import block_ids
-from cinderlog.operators.ranking import positions
+from cinderlog.operators.ranking import numbered, with_halo
 from cinderlog.session import write_table
 
 PART_SIZE = 100_000
@@ -19,9 +19,9 @@ def block_events(structured: DataFrame) -> DataFrame:
     )
 
 
-def _ordered(events: DataFrame, keys) -> DataFrame:
-    items = F.sort_array(F.collect_list(F.struct("event_time", "line_id", "event_id")))
-    return events.groupBy(*keys).agg(items.alias("_items"))
+def _numbered(events: DataFrame) -> DataFrame:
+    events = write_table(events, "events")  # ids are taken out of the contents once
+    return numbered(events, ["event_time", "line_id"], ["block_id"], events.count())
 
 
 def session_parts(events: DataFrame, part_size=PART_SIZE, lookahead=0) -> DataFrame:
@@ -34,38 +34,18 @@ def session_parts(events: DataFrame, part_size=PART_SIZE, lookahead=0) -> DataFr
     """
     if lookahead > part_size:
         raise ValueError("lookahead must not exceed part_size")
-    events = write_table(events, "events")  # ids are taken out of the contents once
-    sizes = events.groupBy("block_id").agg(F.count("*").alias("_n"))
-    heavy = write_table(sizes.where(F.col("_n") > part_size), "heavy")
-    columns = [
-        "block_id", "part", "own_events",
-        F.col("_items.event_id").alias("event_sequence"),
-    ]
-    rows = heavy.agg(F.sum("_n")).first()[0]
-    if rows is None:
-        return _light(events).select(*columns)
-
-    light = _light(events.join(heavy, "block_id", "left_anti"))
-    own = events.join(heavy, "block_id", "left_semi")
-    placed = positions(own, ["event_time", "line_id"], ["block_id"], rows)
-    part = F.floor((F.col("position") - 1) / F.lit(part_size))
-    offset = (F.col("position") - 1) % part_size
+    part, offset = _part(part_size), (F.col("position") - 1) % part_size
     # An event belongs to its own part and, near the start of a part, to the one before.
-    parts = F.when((offset < lookahead) & (part > 0), F.array(part, part - 1)).otherwise(
-        F.array(part)
-    )
-    copies = placed.withColumns({"_own": part, "part": F.explode(parts)})
-    long = copies.groupBy("block_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct("event_time", "line_id", "event_id"))).alias("_items"),
+    parts = F.when((offset < lookahead) & (part > 0), F.array(part, part - 1)).otherwise(F.array(part))
+    copies = _numbered(events).withColumn("_own", part).withColumn("part", F.explode(parts))
+    return copies.groupBy("block_id", "part").agg(
         F.count_if(F.col("_own") == F.col("part")).alias("own_events"),
-    )
-    return light.unionByName(long).select(*columns)
+        F.sort_array(F.collect_list(F.struct("position", "event_id"))).alias("_items"),
+    ).select("block_id", "part", "own_events", F.col("_items.event_id").alias("event_sequence"))
 
 
-def _light(events: DataFrame) -> DataFrame:
-    return _ordered(events, ["block_id"]).withColumns(
-        {"part": F.lit(0).cast("bigint"), "own_events": F.size("_items").cast("bigint")}
-    )
+def _part(part_size: int):
+    return F.floor((F.col("position") - 1) / F.lit(part_size))
 
 
 def session_heads(events: DataFrame) -> DataFrame:
@@ -86,21 +66,21 @@ def with_labels(sessions: DataFrame, labels: DataFrame) -> DataFrame:
 
 def slices(events: DataFrame, width: int, part_size=PART_SIZE) -> DataFrame:
     """Every run of width consecutive events of a block, with the part it starts in and the
-    event that follows, or padding after the last. Blocks shorter than width give no rows."""
+    event that follows, or padding after the last. Blocks shorter than width give no rows.
+
+    Events stay rows: each range piece takes in the width events that follow its last block in
+    later pieces, and looks ahead within itself. No session is collected, however long."""
     if width < 1:
         raise ValueError("width must be positive")
-    parts = session_parts(events, max(part_size, width), lookahead=width)
-    seq = F.col("event_sequence")
-    last = F.least(F.col("own_events") - 1, F.size(seq) - width).cast("int")
-    starts = parts.where(last >= 0).select(
-        "*", F.explode(F.sequence(F.lit(0), last)).alias("_start")
-    )
-    base = F.col("part") * max(part_size, width)
-    return starts.select(
-        "block_id", "part",
-        (base + F.col("_start")).alias("start"),
-        F.slice(seq, F.col("_start") + 1, F.lit(width)).alias("event_sequence"),
-        F.coalesce(F.get(seq, F.col("_start") + width), F.lit(K.PAD)).alias("next_event"),
+    rows = with_halo(_numbered(events), ["block_id"], width)
+    piece = Window.partitionBy("block_id", "piece").orderBy("position")
+    event = F.struct("event_id")  # not null where there is an event, even one without an id
+    ahead = {f"_{i}": F.lead(event, i).over(piece) for i in range(1, width + 1)}
+    last = F.col(f"_{width - 1}") if width > 1 else event
+    return rows.withColumns(ahead).where(F.col("own") & last.isNotNull()).select(
+        "block_id", _part(max(part_size, width)).alias("part"), (F.col("position") - 1).alias("start"),
+        F.array("event_id", *[F.col(f"_{i}.event_id") for i in range(1, width)]).alias("event_sequence"),
+        F.coalesce(F.col(f"_{width}.event_id"), F.lit(K.PAD)).alias("next_event"),
     )
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderlog.operators import ranking
-from cinderlog.operators.ranking import _pieces, positions, rows_at, running_total, up_to
+from cinderlog.operators.ranking import _pieces, numbered, positions, rows_at, running_total, up_to, with_halo
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,24 @@ def test_running_total_without_key(table, rows):
     assert {r.b: r.total for r in got} == want
 
 
+@pytest.mark.parametrize("width", [1, 3, 100])
+def test_numbered_rows_and_their_halo(table, width):
+    unique = table.groupBy("key", "a", "b").count().where("a < 40")
+    rows = numbered(unique, ["a", "b"], ["key"], unique.count())
+    by_key = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.key, r.a, r.b)):
+        by_key.setdefault(r.key, []).append(r)
+    assert all([r.position for r in own] == list(range(1, len(own) + 1)) for own in by_key.values())
+    want = set()
+    for key, own in by_key.items():
+        for piece in {r.piece for r in own}:
+            last = max(r.position for r in own if r.piece == piece)
+            want |= {(key, piece, r.position) for r in own if last < r.position <= last + width}
+    halo = with_halo(rows, ["key"], width).where("not own").collect()
+    assert len(halo) == len(want) > 0
+    assert {(r.key, r.piece, r.position) for r in halo} == want
+
+
 @pytest.fixture(params=[(4096, 10_000), (4, 30), (16, 1)])
 def selection(request, monkeypatch):
     """Few buckets and few rows to look at: many passes over numbers and over ties."""
