@@ -75,58 +75,100 @@ CHECKS = {
     "phone": lambda m: F.length(_digits(m)).between(10, 15),
     "iban": mod97,
 }
+HELPERS = [f"m_{name}" for name in (*KINDS, "chunks", "length")]
 SPAN = "struct<start:int,kind_no:int,end:int,kind:string,score:double>"
 
 
+CUT = 256  # code points of a chunk of the text
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed a single time."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _before(values: Column, kind: str, join) -> Column:
+    """For each of the values what join makes of 0 and all before it. Runs of about the root of
+    their number are gone through one by one, and then the runs, so that arrays that grow by one
+    stay short: 20,000 values take some 3 million steps, not 200."""
+    start = F.lit(0).cast(kind)
+    none = F.array().cast(f"array<{kind}>")
+
+    def totals(items, first):
+        return F.aggregate(items, F.struct(first.alias("at"), none.alias("out")), lambda s, x: F.struct(
+            join(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def by_runs(items):
+        width = F.ceil(F.sqrt(F.size(items))).cast("int")
+        begins = F.sequence(F.lit(1), F.size(items), width)
+        return _once(F.transform(begins, lambda b: F.slice(items, b, width)), lambda runs: F.flatten(F.zip_with(
+            runs, totals(F.transform(runs, lambda r: F.aggregate(r, start, join)), start), totals)))
+
+    return F.when(F.size(values) > 0, _once(values, by_runs)).otherwise(none)
+
+
+def _between(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from start to end, put together from the chunks that it touches alone."""
+    first = F.floor(start / CUT).cast("int")
+    count = F.floor((end - 1) / CUT).cast("int") - first + 1
+    joined = F.array_join(F.slice(chunks, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(end > start, F.substring(joined, start - first * CUT + 1, end - start)).otherwise("")
+
+
 def _spans(kind: str) -> Column:
-    """Confirmed spans of a kind, from the columns text and m_<kind>."""
-    text, found, pattern = F.col("text"), F.col(f"m_{kind}"), PATTERNS[kind]
-    pieces = F.split(text, pattern, -1)
-
-    def step(state, pair):
-        start = state["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(
-            F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
-        )).alias("out"))
-
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(p.alias("piece"), m.alias("match"))
-    )
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    """Confirmed spans of a kind, from the columns text, m_<kind> and m_chunks."""
+    found, chunks, length = F.col(f"m_{kind}"), F.col("m_chunks"), F.col("m_length")
+    pieces = F.split(F.col("text"), PATTERNS[kind], -1)
+    pairs = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(
+        F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("match")))
+
+    def place(pairs):
+        ends = _before(F.transform(pairs, lambda p: p["gap"] + p["size"]), "int", lambda s, x: s + x)
+        return F.zip_with(pairs, ends, lambda p, at: F.struct(
+            (at + p["gap"]).alias("start"), (at + p["gap"] + p["size"]).alias("end"), p["match"].alias("match")))
 
     def spanned(s):
         around = F.concat(
-            F.substring(text, F.greatest(s["start"] - NEARBY, F.lit(0)) + 1, F.least(s["start"], F.lit(NEARBY))),
-            F.lit(" "), F.substring(text, s["end"] + 1, F.lit(NEARBY)),
-        )
+            _between(chunks, F.greatest(s["start"] - NEARBY, F.lit(0)), s["start"]), F.lit(" "),
+            _between(chunks, s["end"], F.least(s["end"] + NEARBY, length)))
         score = SCORES[kind] + F.when(around.rlike(f"(?i){CONTEXT[kind]}"), BONUS).otherwise(0.0)
         return F.struct(
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), s["end"].alias("end"),
             F.lit(kind).alias("kind"), score.alias("score"),
         )
 
-    good = F.transform(F.filter(placed, lambda s: CHECKS[kind](s["match"])), spanned)
+    good = F.transform(F.filter(_once(pairs, place), lambda s: CHECKS[kind](s["match"])), spanned)
     empty = F.array().cast(f"array<{SPAN}>")
     return F.when(F.size(found) > 0, good.cast(f"array<{SPAN}>")).otherwise(empty)
 
 
+def _matched(documents: DataFrame) -> DataFrame:
+    """documents with _given, the text (null: empty), its matches per kind, its length, and, where
+    there are matches, its chunks."""
+    texted = documents.withColumn("_given", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
+    matched = texted.withColumns({f"m_{k}": F.regexp_extract_all("text", F.lit(p), F.lit(0)) for k, p in PATTERNS.items()})
+    some = sum((F.size(f"m_{k}") for k in KINDS), F.lit(0)) > 0
+    chunks = F.when(some, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)))
+    return matched.withColumns({"m_chunks": chunks, "m_length": F.length("text")})
+
+
 def find(documents: DataFrame, min_score: float = 0.0) -> DataFrame:
     """documents with the column pii: an array of spans (start, kind_no, end, kind, score) in
     order of start and kind, offsets in code points, end exclusive.
 
     Kinds email, ip (parts at most 255), card (Luhn), phone (10 to 15 digits) and iban
     (mod-97). Spans of different kinds may overlap. A null or empty text has no spans; every
-    row keeps all its columns. Columns named pii or m_<kind> are replaced. Spans scored
-    under min_score are left out."""
-    texted = documents.withColumn("_given", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
-    matched = texted.withColumns({f"m_{k}": F.regexp_extract_all("text", F.lit(p), F.lit(0)) for k, p in PATTERNS.items()})
+    row keeps all its columns. Columns named pii, _given or m_<name> (HELPERS) are replaced. Spans
+    scored under min_score are left out. Very long texts are read whole; the work on a match does
+    not depend on the length of the text, and offsets take the power 1.5 of the matches."""
+    found = _found(documents, min_score)
+    return found.withColumn("text", F.col("_given")).drop("_given", *HELPERS)
+
+
+def _found(documents: DataFrame, min_score: float) -> DataFrame:
     spans = F.array_sort(F.concat(*[_spans(k) for k in KINDS]))
-    found = matched.withColumn("pii", spans)
-    if min_score > 0:
-        found = found.withColumn("pii", F.filter("pii", lambda s: s["score"] >= min_score))
-    return found.withColumn("text", F.col("_given")).drop("_given", *[f"m_{k}" for k in KINDS])
+    found = _matched(documents).withColumn("pii", spans)
+    return found.withColumn("pii", F.filter("pii", lambda s: s["score"] >= min_score)) if min_score > 0 else found
 
 
 def count(spans: Column, kind: str) -> Column:
@@ -143,18 +185,18 @@ def redact(documents: DataFrame, min_score: float = 0.0) -> DataFrame:
     rows. Where spans overlap, the first stands and takes the others in. n_chars, if there is
     such a column, follows the new text. Null texts stay null."""
 
-    def step(state, s):
-        inside = s["start"] < state["at"]
-        return F.when(inside, F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), state["out"].alias("out")
-        )).otherwise(F.struct(s["end"].alias("at"), F.concat(
-            state["out"], F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]),
-            F.lit("<"), F.upper(s["kind"]), F.lit(">"),
-        ).alias("out")))
-
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text")))
-    clean = F.aggregate("pii", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    out = find(documents, min_score).withColumn("text", F.when(F.size("pii") > 0, clean).otherwise(F.col("text")))
+    chunks, length = F.col("m_chunks"), F.col("m_length")
+
+    def cleaned(spans):
+        furthest = _before(F.transform(spans, lambda s: s["end"]), "int", lambda at, x: F.greatest(at, x))
+        placed = F.zip_with(spans, furthest, lambda s, at: F.struct(
+            at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind")))
+        parts = F.transform(F.filter(placed, lambda p: p["start"] >= p["at"]), lambda p: F.concat(
+            _between(chunks, p["at"], p["start"]), F.lit("<"), F.upper(p["kind"]), F.lit(">")))
+        return F.concat(F.array_join(parts, ""), _between(chunks, F.array_max(F.transform(spans, lambda s: s["end"])), length))
+
+    clean = F.when(F.size("pii") > 0, _once(F.col("pii"), cleaned)).otherwise(F.col("_given"))
+    out = _found(documents, min_score).withColumn("text", clean)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text").cast(
             documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

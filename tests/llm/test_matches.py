@@ -217,6 +217,33 @@ def test_iban_context_and_masks(spark):
         pii.digest(F.col("pii")).alias("spans")).collect()] == ["phone:5:20,email:24:31"]
 
 
+def test_personal_data_of_very_long_texts(spark):
+    """Offsets, context and masking far into a text; 20,000 addresses, some of two kinds at once."""
+    words = [f"ü𝄞 u{i}@ex{i % 7}.org {'mail' if i % 3 else 'x' * 60} +1 555 010 {i % 10000:04d}" for i in range(20_000)]
+    text = "\n".join(words)
+    docs = spark.createDataFrame([(1, text, "kept", 3), (2, "", "b", 0), (3, None, "c", None)],
+                                 "doc_id long, text string, m_x string, n_chars long")
+    found = {r["doc_id"]: r["pii"] for r in pii.find(docs).collect()}
+    spans = {k: [(s["start"], s["end"]) for s in found[1] if s["kind"] == k] for k in pii.KINDS}
+    assert spans["email"] == [m.span() for m in re.finditer(r"u[0-9]+@ex[0-9]\.org", text)]
+    assert spans["phone"] == [m.span() for m in re.finditer(r"\+1 555 010 [0-9]{4}", text)]
+    assert found[2] == found[3] == []
+    for s in found[1][::997]:
+        around = text[max(0, s["start"] - pii.NEARBY):s["start"]] + " " + text[s["end"]:s["end"] + pii.NEARBY]
+        bonus = pii.BONUS if re.search(f"(?i){pii.CONTEXT[s['kind']]}", around) else 0
+        assert s["score"] == pytest.approx(pii.SCORES[s["kind"]] + bonus)
+    masked = {r["doc_id"]: r for r in pii.redact(docs).collect()}
+    want, at = [], 0
+    for s in found[1]:
+        if s["start"] >= at:
+            want += [text[at:s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    assert masked[1]["text"] == "".join(want) + text[at:]
+    assert masked[1]["n_chars"] == len(masked[1]["text"]) and masked[1]["m_x"] == "kept"
+    assert masked[2]["text"] == "" and masked[3]["text"] is None
+
+
+
 # -- nearest neighbours
 
 def test_search_equals_brute_force_when_all_cells_are_walked(spark):
