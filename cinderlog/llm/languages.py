@@ -2,8 +2,8 @@
 
 Spark counts the 3-grams of all training texts per language in a fixed number of hash
 buckets, which bounds the model whatever the corpus. A text is a mixture of languages: EM
-estimates the share of each from its 3-grams, for the best one language, the best two and so
-on, and the set with the best penalised likelihood (BIC) stands.
+estimates the share of each from its 3-grams, for sets of languages found by adding, removing
+and swapping, and the set with the best penalised likelihood (BIC) stands.
 """
 
 from dataclasses import dataclass
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from cinderlog.llm.common import mix, receive, send
 
 BUCKETS = 1 << 16
-SMOOTHING, ROUNDS, STEADY = 0.5, 50, 1e-4
+# EM ends when no mixture can have a log-likelihood higher by GAP, or after ROUNDS.
+SMOOTHING, ROUNDS, GAP = 0.5, 500, 0.05
 BATCH_CHARS = 1_000_000
 SPACE = 32
 
@@ -96,35 +97,90 @@ def train(spark: SparkSession, documents: DataFrame) -> Profiles:
     return Profiles(names, (table + SMOOTHING) / (table.sum(axis=0) + SMOOTHING * BUCKETS))
 
 
-def shares(count: np.ndarray, chance: np.ndarray):
-    """EM: shares of the languages and the log-likelihood. count, chance: per distinct 3-gram."""
+def shares(count: np.ndarray, chance: np.ndarray, share=None, enough=None):
+    """EM: shares of the languages and the log-likelihood. count, chance: per distinct 3-gram.
+
+    With D the sums of count * chance / mixture, no mixture has a log-likelihood that is higher by
+    more than total * log(max(D) / total). EM goes on until that is under GAP, or until enough,
+    called with the likelihood and this bound, is true."""
     total, k = count.sum(), chance.shape[1]
-    share = np.full(k, 1 / k)
-    for _ in range(ROUNDS if k > 1 else 0):
+    share = np.full(k, 1 / k) if share is None else share
+    for turn in range(ROUNDS):
         mixed = chance @ share
-        new = share * ((count / mixed) @ chance) / total
-        moved = np.abs(new - share).max()
-        share = new
-        if moved < STEADY:
-            break
+        gain = ((count / mixed) @ chance) / total
+        if turn % 5 == 0:
+            gap = total * np.log(max(gain.max(), 1.0))
+            if gap < GAP or k == 1 or enough and enough(float(count @ np.log(mixed)), gap):
+                break
+        share = share * gain
     return share, float(count @ np.log(chance @ share))
 
 
 def infer(buckets: np.ndarray, profiles: Profiles):
-    """Language numbers and shares of a text, the largest share first."""
+    """Language numbers and shares of a text, the largest share first.
+
+    BIC is -2 * log-likelihood + log(3-grams) per language beyond the first. No mixture of m
+    languages is better than the best of all languages but for that penalty: sizes beyond what
+    can pay by this bound are not looked at. Within them the search starts from the best single
+    language and from the largest shares of the full mixture, and adds, removes and swaps
+    languages until no such move pays. Equal sets go to the one met first."""
     seen, count = np.unique(buckets, return_counts=True)
     chance = profiles.chances[seen]
-    full, _ = shares(count, chance)
+    price, k = np.log(len(buckets)), chance.shape[1]
+    single = count @ np.log(chance)
+    first = int(np.argmax(single))
+    best = -2 * float(single[first]), (first,), np.ones(1)
+    if k == 1:
+        return np.array([first]), best[2]
+    upper = np.inf
+
+    def certain(likelihood, gap):
+        nonlocal upper
+        upper = min(upper, likelihood + gap)
+        return -2 * upper + price >= best[0]
+
+    begin = np.full(k, 0.1 / (k - 1))
+    begin[first] = 0.9
+    full, _ = shares(count, chance, begin, certain)
+    if -2 * upper + price >= best[0]:
+        return np.array([first]), best[2]
+
+    known = {best[1]: best}
+
+    def judged(chosen):
+        chosen = tuple(sorted(int(c) for c in chosen))
+        if chosen not in known:
+            share, likelihood = shares(count, chance[:, list(chosen)])
+            known[chosen] = -2 * likelihood + (len(chosen) - 1) * price, chosen, share
+        return known[chosen]
+
+    def can_pay(size):
+        return -2 * upper + (size - 1) * price < best[0]
+
+    nested = [best]
     order = np.argsort(-full, kind="stable")
-    best = None
-    for k in range(1, len(order) + 1):
-        chosen = order[:k]
-        share, likelihood = shares(count, chance[:, chosen])
-        cost = -2 * likelihood + (k - 1) * np.log(len(buckets))
-        if best is not None and cost >= best[0]:
-            break  # nested sets: when one more language does not pay, two more do not either
-        best = cost, chosen, share
+    for size in range(2, k + 1):
+        if not can_pay(size):
+            break
+        nested.append(judged(order[:size]))
+        best = min(best, nested[-1], key=lambda x: x[0])
+    for state in (nested[0], min(nested, key=lambda x: x[0])):
+        while True:
+            _, chosen, share = state
+            gain = (count / (chance[:, list(chosen)] @ share)) @ chance / len(buckets)
+            # One more language raises the likelihood by this at most.
+            more = [j for j in range(k) if j not in chosen and len(buckets) * np.log(gain[j]) > price / 2]
+            others = [j for j in range(k) if j not in chosen and gain[j] > 1]
+            moves = [(*chosen, j) for j in more] if can_pay(len(chosen) + 1) else []
+            moves += [[c for c in chosen if c != out] for out in chosen if len(chosen) > 1]
+            moves += [[*(c for c in chosen if c != out), j] for out in chosen for j in others]
+            step = min(map(judged, moves), key=lambda x: x[0], default=state)
+            if step[0] >= state[0]:
+                break
+            state = step
+            best = min(best, state, key=lambda x: x[0])
     _, chosen, share = best
+    chosen = np.array(chosen)
     order = np.lexsort((chosen, -share))
     return chosen[order], share[order]
 

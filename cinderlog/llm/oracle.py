@@ -1,7 +1,7 @@
 """SQL twins of the operators that SQL can express, for DuckDB on the same tables."""
 
 from cinderlog.llm import pii
-from cinderlog.llm.spaced_seeds import SUBSTITUTIONS, WINDOW
+from cinderlog.llm.spaced_seeds import SHORT, SHORT_SUBSTITUTIONS, SUBSTITUTIONS, WINDOW
 
 # Every link is found through each shingle in common, and followed to all that it reaches.
 NEAR_DUPLICATES = r"""WITH RECURSIVE w AS (
@@ -37,9 +37,16 @@ OVERLAPS = f"""WITH d AS (SELECT DISTINCT doc_id, {_TOKENS} AS t FROM documents)
     FROM dr JOIN ir ON dr.run = ir.run AND dr.w[dr.run[1] : dr.run[2]] = ir.w[ir.run[1] : ir.run[2]]
     WHERE len(list_filter(range(1, {WINDOW + 1}), lambda k: dr.w[k] <> ir.w[k])) <= {SUBSTITUTIONS}),
   sizes AS (SELECT DISTINCT len(t) AS size FROM i WHERE len(t) < {WINDOW}),
-  short AS (SELECT doc_id, t, size, unnest(range(0, len(t) - size + 1)) AS start FROM d, sizes),
-  whole AS (SELECT doc_id, item_id, size, -start AS shift, start
-    FROM short JOIN i ON short.t[start + 1 : start + size] = i.t),
+  short AS (SELECT doc_id, size, start, t[start + 1 : start + size] AS w,
+    unnest([[1, size // 2], [size // 2 + 1, size]]) AS half
+    FROM (SELECT doc_id, t, size, unnest(range(0, len(t) - size + 1)) AS start FROM d, sizes)),
+  si AS (SELECT item_id, t, unnest([[1, len(t) // 2], [len(t) // 2 + 1, len(t)]]) AS half
+    FROM i WHERE len(t) < {WINDOW}),
+  whole AS (SELECT DISTINCT doc_id, item_id, size, -start AS shift, start
+    FROM short JOIN si ON size = len(t) AND short.half = si.half
+      AND short.w[short.half[1] : short.half[2]] = si.t[si.half[1] : si.half[2]]
+    WHERE len(list_filter(range(1, size + 1), lambda k: short.w[k] <> si.t[k]))
+      <= CASE WHEN size >= {SHORT} THEN {SHORT_SUBSTITUTIONS} ELSE 0 END),
   found AS (SELECT * FROM near UNION ALL SELECT * FROM whole)
   SELECT doc_id, item_id, count(*) AS windows, min(start) AS first_token, max(start + size - 1) AS last_token
   FROM found GROUP BY 1, 2"""

@@ -5,8 +5,9 @@ item in a row, but for SUBSTITUTIONS of them at most. A mask picks some position
 span of tokens; the picked tokens are hashed together, so substitutions elsewhere don't
 matter. The masks are chosen so that every such window holds a hit of one of them wherever
 the substitutions fall (tests go through all cases): nothing is missed. Hits are verified
-token by token in the windows around them. An item shorter than a window has a mask of its
-length without gaps, and must be contained whole and unchanged.
+token by token in the windows around them. An item shorter than a window must be contained
+whole: with one substitution at most from SHORT tokens on, for which three masks of its length
+leave out every third token each, and unchanged below that, with a mask without gaps.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from cinderlog.session import write_table
 
 WINDOW, SUBSTITUTIONS = 13, 2
 MASKS = ("11101111", "1111010011", "10100110111")
+SHORT, SHORT_SUBSTITUTIONS = 6, 1
 # The side of the items is broadcast up to this size (it is measured); beyond it, shuffled.
 BROADCAST_BYTES = 64 << 20
 
@@ -36,6 +38,13 @@ def _seed(mask: str, number: int, hashes: Column, place: Column, length: Column)
     return F.when(place <= length - len(mask), F.xxhash64(F.lit(number), *picked))
 
 
+def short_masks(length: int) -> list:
+    """The masks of an item that is shorter than a window."""
+    if length < SHORT:
+        return ["1" * length]
+    return ["".join("0" if i % 3 == out else "1" for i in range(length)) for out in range(3)]
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """One row per distinct token sequence: the smallest item_id and the token hashes."""
     return benchmark.select("item_id", hashed(tokens(F.col("text"))).alias("wanted")).where(
@@ -43,17 +52,23 @@ def _items(benchmark: DataFrame) -> DataFrame:
     ).groupBy("wanted").agg(F.min("item_id").alias("item_id")).withColumn("item_len", F.size("wanted"))
 
 
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """item_id and class_id of every item that has tokens: items with the same tokens are one class,
+    named by its smallest item_id, and overlaps reports the class. Repeated rows stay."""
+    named = benchmark.select("item_id", hashed(tokens(F.col("text"))).alias("wanted")).where(F.size("wanted") > 0)
+    classes = named.groupBy("wanted").agg(F.min("item_id").alias("class_id"))
+    return named.join(classes, "wanted").select("item_id", "class_id")
+
+
 def _item_seeds(items: DataFrame, masks) -> DataFrame:
     placed = items.select("item_id", "wanted", "item_len", F.posexplode("wanted").alias("item_at", "_w"))
     rows = []
-    for number, mask in enumerate(masks):
-        short = len(mask) < WINDOW and "0" not in mask
-        fits = F.col("item_len") == len(mask) if short else F.col("item_len") >= WINDOW
+    for number, (mask, window, allowed) in enumerate(masks):
+        fits = F.col("item_len") == window if window < WINDOW else F.col("item_len") >= WINDOW
         seed = _seed(mask, number, F.col("wanted"), F.col("item_at"), F.col("item_len"))
-        window = F.lit(len(mask) if short else WINDOW)
         rows.append(F.when(fits & seed.isNotNull(), F.struct(
-            seed.alias("seed"), F.lit(len(mask)).alias("span"), window.alias("window"),
-            F.lit(0 if short else SUBSTITUTIONS).alias("allowed"),
+            seed.alias("seed"), F.lit(len(mask)).alias("span"), F.lit(window).alias("window"),
+            F.lit(allowed).alias("allowed"),
         )))
     found = placed.select("item_id", "item_at", F.explode(F.array(*rows)).alias("s")).where("s is not null")
     return found.select("item_id", "item_at", "s.*")
@@ -64,14 +79,15 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     first_token and last_token (what they cover of the document, counted from 0).
 
     documents: doc_id, text; benchmark: item_id, text; other columns are not read. Items with
-    the same tokens are one item, named by the smallest item_id. Null and empty texts have no
+    the same tokens are one item, named by the smallest item_id (item_classes has the others). Null and empty texts have no
     tokens and overlap with nothing, nor do documents shorter than a window, unless a shorter
     item is in them. Rows with equal doc_id and text count once; a null doc_id is reported
     as null. Empty tables give no rows."""
     items = write_table(_items(benchmark), "items")
     stats = items.agg(F.sum("item_len")).first()[0] or 0
     lengths = [r[0] for r in items.where(F.col("item_len") < WINDOW).select("item_len").distinct().collect()]
-    masks = list(MASKS) + ["1" * n for n in sorted(lengths)]  # fewer than WINDOW more
+    masks = [(m, WINDOW, SUBSTITUTIONS) for m in MASKS] + [  # three more at most per length below WINDOW
+        (m, n, SHORT_SUBSTITUTIONS if n >= SHORT else 0) for n in sorted(lengths) for m in short_masks(n)]
     seeds = write_table(_item_seeds(items, masks), "seeds")
     small = stats * len(masks) * 64 <= broadcast_bytes
     docs = documents.select("doc_id", hashed(tokens(F.col("text"))).alias("hashes")).withColumn(
@@ -81,7 +97,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     keyed = placed.select(
         "doc_id", "hashes", "doc_len", "doc_at",
         F.explode(F.array(*[
-            _seed(m, n, F.col("hashes"), F.col("doc_at"), F.col("doc_len")) for n, m in enumerate(masks)
+            _seed(m, n, F.col("hashes"), F.col("doc_at"), F.col("doc_len")) for n, (m, _, _) in enumerate(masks)
         ])).alias("seed"),
     ).where("seed is not null")
     reach = F.slice("hashes", F.greatest(F.col("doc_at") - (WINDOW - 1), F.lit(0)) + 1, 2 * WINDOW - 1)

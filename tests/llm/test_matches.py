@@ -28,7 +28,7 @@ def plain_overlaps(docs, items):
     out = {}
     for (d, text), (i, wanted) in itertools.product(docs, items):
         ours, theirs = cut(text), cut(wanted)
-        size, allowed = (13, 2) if len(theirs) >= 13 else (len(theirs), 0)
+        size, allowed = (13, 2) if len(theirs) >= 13 else (len(theirs), int(len(theirs) >= 6))
         for a in range(len(ours) - size + 1 if size else 0):
             for b in range(len(theirs) - size + 1):
                 if sum(x != y for x, y in zip(ours[a:a + size], theirs[b:b + size])) <= allowed:
@@ -43,11 +43,42 @@ def test_masks_miss_no_two_substitutions():
             for m in spaced_seeds.MASKS for at in range(spaced_seeds.WINDOW - len(m) + 1))
 
 
+def test_masks_of_short_items_miss_no_substitution():
+    for n in range(1, spaced_seeds.WINDOW):
+        masks = spaced_seeds.short_masks(n)
+        assert all(len(m) == n for m in masks)
+        assert n < spaced_seeds.SHORT or all(any(m[bad] == "0" for m in masks) for bad in range(n))
+
+
+def test_equal_items_are_one_class(spark):
+    items = spark.createDataFrame([(5, "One two, three"), (3, "one TWO three"), (4, "one two"), (6, None), (7, "?")], ITEMS)
+    assert {tuple(r) for r in spaced_seeds.item_classes(items).collect()} == {(5, 3), (3, 3), (4, 4)}
+
+
+def test_overlaps_equal_their_sql(spark):
+    import duckdb
+
+    from cinderlog.llm.oracle import OVERLAPS
+    words = "alpha beta gamma delta eps zeta eta theta".split()
+    draw = random.Random(11)
+    items = [(i, " ".join(draw.choice(words) for _ in range(i + 1))) for i in range(16)]
+    docs = [(i, " ".join(["x", "y"] + [draw.choice(words) if draw.random() < 0.1 else w for w in items[i % 16][1].split()] + ["z"]))
+            for i in range(64)]
+    got = spaced_seeds.overlaps(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    con = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    want = con.execute(OVERLAPS)
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 @pytest.mark.parametrize("limit", [spaced_seeds.BROADCAST_BYTES, 0])
 def test_overlaps_equal_brute_force(spark, limit):
     draw = random.Random(5)
     word = lambda: draw.choice("alpha beta gamma delta eps zeta eta theta".split())
-    items = [(i, " ".join(word() for _ in range(draw.choice([0, 3, 12, 13, 14, 30])))) for i in range(12)]
+    items = [(i, " ".join(word() for _ in range(draw.choice([0, 3, 5, 6, 7, 12, 13, 14, 30])))) for i in range(20)]
     items = [x for i, x in enumerate(items) if cut(x[1]) not in [cut(y[1]) for y in items[:i]]]
     items += [(100, None)]
     docs = [(i, " ".join(word() for _ in range(draw.choice([0, 5, 13, 60])))) for i in range(30)]

@@ -1,5 +1,6 @@
 """Language-model, toxicity, language and licence operators against plain versions."""
 
+import itertools
 import math
 from collections import Counter, defaultdict
 
@@ -202,6 +203,31 @@ def test_em_likelihood_never_falls():
     assert share.sum() == pytest.approx(1)
 
 
+def test_language_sets_are_the_best_of_all():
+    """Against every set, with one language close to two others."""
+    draw = np.random.default_rng(8)
+    base = draw.dirichlet(np.full(400, 0.3), 4) + 1e-4
+    base = np.vstack([base, 0.5 * base[0] + 0.5 * base[1]])
+    chances = (base / base.sum(axis=1, keepdims=True)).T
+    profiles = languages.Profiles(list("abcde"), chances)
+    worse = 0
+    for trial in range(120):
+        chosen = draw.choice(5, draw.integers(1, 4), replace=False)
+        mixed = chances[:, chosen] @ draw.dirichlet(np.ones(len(chosen)))
+        buckets = draw.choice(400, draw.integers(30, 400), p=mixed / mixed.sum())
+        seen, count = np.unique(buckets, return_counts=True)
+
+        def cost(own):
+            _, likelihood = languages.shares(count, chances[np.ix_(seen, list(own))])
+            return -2 * likelihood + (len(own) - 1) * np.log(len(buckets))
+
+        every = [cost(own) for n in range(1, 6) for own in itertools.combinations(range(5), n)]
+        found, share = languages.infer(buckets, profiles)
+        assert share.sum() == pytest.approx(1) and list(share) == sorted(share, reverse=True)
+        worse += cost(sorted(found)) > min(every) + 0.2
+    assert worse == 0
+
+
 def test_licences(spark):
     model = licences.fit(["Plain words about the weather of today.", "Another line of an invented story."] * 20)
     texts = {
