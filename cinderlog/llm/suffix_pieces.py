@@ -15,6 +15,7 @@ another character, so nothing spans two words. Workers keep words they have met,
 import heapq
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
 
@@ -319,15 +320,12 @@ def decode(ids, shown: list) -> str:
     return b"".join(map(shown.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-def _encode(frames, shared, keys):
-    vocabulary = receive(shared)
-    encoder = Encoder(vocabulary)
-    for frame in frames:
-        # Handed on by parts: a frame's words and ids are never held all at once.
-        for start, lists in slices(frame["text"], BATCH_UNITS, units):
-            part = frame.iloc[start: start + len(lists)]
-            found = [ids.astype(np.int32) for ids in encoder.encode(lists)]
-            yield part[list(keys)].assign(ids=pd.Series(found, index=part.index, dtype=object))
+def _encode(texts, shared):
+    encoder = Encoder(receive(shared))
+    for batch in texts:
+        # Handed on by parts: the words and ids of a batch are never held all at once.
+        for _, lists in slices(batch, BATCH_UNITS, units):
+            yield pd.Series([ids.astype(np.int32) for ids in encoder.encode(lists)], dtype=object)
 
 
 def _kinds(frame: DataFrame, keys) -> str:
@@ -338,8 +336,13 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, keys=("doc_id",)) -> Da
     """Per row: its key columns and ids. Null and empty texts have no ids; every other text
     gets one space in front. Repeated rows are encoded each."""
     shared = send(documents.sparkSession, vocabulary)
-    return documents.select(*dict.fromkeys([*keys, "text"])).mapInPandas(
-        lambda it: _encode(it, shared, keys), f"{_kinds(documents, keys)}, ids array<int>")
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return _encode(texts, shared)
+
+    # Workers see texts alone; the other columns of a row wait in the JVM, which can spill them.
+    return documents.select(*keys, ids("text").alias("ids"))
 
 
 def _decode(frames, shared, keys):
