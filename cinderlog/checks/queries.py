@@ -1,5 +1,7 @@
 """Every operator as a query over the given tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -662,6 +664,55 @@ def anomaly_summary(spark, sf):
     ).csv(f"{base}/anomaly_count").select("block_ids_count")
 
 
+# Weighting and normalisation of the features that the classifier is trained on.
+VARIANTS = [("tf-idf", None), ("tf-idf", "ratio"), ("tf-idf", "zero-mean"), (None, None), (None, "zero-mean")]
+
+
+def _learnable_labels(spark, sf):
+    """Labels that follow from the log, as the CSV file they come in: a block is anomalous if no
+    line receives or writes it. What a trained model must answer is then known."""
+    store, path = L.store(spark, sf), scratch_path(spark, "learnable")
+    served = F.col("content").startswith("Receiving block") | F.col("content").startswith("src: ")
+    per_block = sessions.block_events(store).select("block_id", F.lit(0).alias("served")).unionByName(
+        sessions.block_events(store.where(served)).select("block_id", F.lit(1).alias("served")))
+    sinks.write_csv(per_block.groupBy(F.col("block_id").alias("BlockId")).agg(
+        F.when(F.max("served") == 1, "Normal").otherwise("Anomaly").alias("Label")), path)
+    return files.label_csv(spark, path)
+
+
+def anomaly_learned_metrics(spark, sf):
+    """Test metrics of a model per weighting and normalisation, all trained on the same sessions."""
+    vectors = anomaly.session_vectors(L.store(spark, sf), _learnable_labels(spark, sf))
+    train_part, test_part = splits.split_sessions(vectors, 0.8, "uniform")
+    found = []
+    for weighting, normalization in VARIANTS:
+        model = anomaly.fit(train_part, weighting, normalization)
+        metrics = anomaly.evaluate(write_table(anomaly.predict(model, test_part), "predictions"))
+        found.append(metrics.select(
+            F.lit(f"{weighting}, {normalization}").alias("features"), "tp", "fp", "tn", "fn",
+            *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")]))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _learned(spark, sf):
+    """Predictions for every block by a model that was saved and loaded again."""
+    path = f"{scratch_path(spark, 'model')}/model"
+    anomaly.train(L.store(spark, sf), _learnable_labels(spark, sf), path, split_type="uniform")
+    return anomaly.score(spark, L.store(spark, sf), path)
+
+
+def anomaly_learned_predictions(spark, sf):
+    return _learned(spark, sf).select(
+        "block_id", "prediction", (F.col("raw_margin") > 0).cast("int").alias("over_margin"))
+
+
+def anomaly_learned_summary(spark, sf):
+    """The counts of anomalous and of all blocks, written as CSV and read back."""
+    path = f"{scratch_path(spark, 'summary')}/anomaly_count"
+    sinks.write_report(anomaly.summary(_learned(spark, sf)), path)
+    return spark.read.schema("anomaly_count bigint, block_ids_count bigint").option("header", True).csv(path)
+
+
 def train_test_export(spark, sf):
     """The exported train and test files, read back."""
     base, _ = _trained(spark, sf, export=True)
@@ -690,7 +741,7 @@ _NAMES = (
     "stream_line_ids stream_side_counts stream_batch_points report_set line_identity "
     "stream_points term_frequency idf_weights tfidf tfidf_centered tfidf_ratio session_tfidf "
     "confusion_metrics roc_auc anomaly_train_metrics anomaly_predictions anomaly_summary "
-    "train_test_export"
+    "train_test_export anomaly_learned_metrics anomaly_learned_predictions anomaly_learned_summary"
 ).split()
 
 QUERIES = {name: globals()[name] for name in _NAMES}
