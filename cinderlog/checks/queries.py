@@ -97,10 +97,8 @@ def structured_lines(spark, sf):
 def document_templates(spark, sf):
     """Templates of all document lines: leaves of many patterns that have to be split."""
     lines = files.spread(L.table(spark, sf, "documents")).select(F.explode(F.split("text", "\n")).alias("content"))
-    counted = write_table(templates.with_shape(lines, masks=()).groupBy(F.col("shape").alias("pattern")).agg(
-        F.count("*").alias("n")), "line_shapes")
-    mapping = templates.merge_similar(counted)
-    return counted.join(mapping, "pattern").groupBy("template").agg(
+    counted = templates.with_shape(lines, masks=()).groupBy(F.col("shape").alias("pattern")).agg(F.count("*").alias("n"))
+    return templates.merge_similar(counted).groupBy("template").agg(
         F.count("*").alias("n_patterns"), F.sum("n").alias("n_lines"), F.min("pattern").alias("first_pattern"))
 
 

@@ -7,9 +7,9 @@ token count and leading tokens) get one template, and the result is joined back
 
 Which shapes are similar follows from their set alone, not from counts or order: a group of them
 is one template if enough positions hold the same word throughout; otherwise it is split by the
-position with the fewest words, which tells statements rather than values apart. All groups are
-split at once, from counts of words per group and position, so a leaf of any size is spread over
-the tasks like everything else.
+position with the fewest words, which tells statements rather than values apart. All large groups
+are split at once, from counts of words per group and position, so a leaf of any size is spread
+over the tasks like everything else; groups of bounded size are split inside a task.
 
 A digit-bearing token that never varies within its shape belongs to the template. Between
 the two scans of the lines it is known by its hash only, as a token "#<hash>" in a pattern:
@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 from cinderlog.functions.text import hide_digit_tokens, mask, squeeze
+from cinderlog.operators.splitting import split_groups
 from cinderlog.session import write_table
 
+# Characters of a group's patterns up to which one task splits the group to the end.
+SMALL_GROUP = 1_000_000
+
 
 def with_shape(lines: DataFrame, masks=K.MASKS) -> DataFrame:
     """Adds masked (the masked content) and shape."""
@@ -94,27 +98,33 @@ def _group_state(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def merge_similar(patterns: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY) -> DataFrame:
-    """pattern -> template for distinct patterns.
+    """Adds template to distinct patterns; their other columns pass through.
 
     A leaf starts as one group. A group whose patterns agree in at least similarity of their
     positions, wildcards not counted, becomes the template of the words they agree in; any other
     one is split by its words at the position that has the fewest (ties: the leftmost). Every
-    split fixes a position, so there are fewer rounds than a pattern has tokens; usually two or
-    three. Only the groups still open take part in a round.
+    split fixes a position. Groups of more than SMALL_GROUP characters are spread over the tasks
+    and split once a round; smaller ones are dealt out whole, and split to the end where they are.
+    So rounds end when no large group is left, not when the last few patterns are told apart.
     """
-    work = write_table(patterns.select("pattern", leaf_key(F.col("pattern"), depth).alias("group")), "patterns")
-    # A leaf with one pattern is its own template.
-    several = write_table(work.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group"), "leaves")
-    members = work.join(several, "group", "left_semi")
-    closed = work.join(several, "group", "left_anti").select("pattern", F.col("pattern").alias("template"))
-    while not members.isEmpty():
-        state = write_table(_group_state(members, similarity), "groups")
-        placed = members.join(state, "group")
-        closed = closed.unionByName(placed.where("is_one").select("pattern", "template"))
+    members = write_table(patterns.withColumn("group", leaf_key(F.col("pattern"), depth)), "patterns")
+    columns = [*patterns.columns, "template"]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in patterns.schema.fields)
+    finish, closed = split_groups(similarity, K.WILDCARD), None
+    while True:
+        sizes = members.groupBy("group").agg(F.sum(F.length("pattern") + 1).alias("size"))
+        large = write_table(sizes.where(F.col("size") > SMALL_GROUP).select("group"), "large_groups")
+        small = members.join(large, "group", "left_anti").repartition("group").sortWithinPartitions("group")
+        done = small.mapInPandas(finish, f"{kinds}, template string").select(*columns)
+        closed = done if closed is None else closed.unionByName(done)
+        if large.isEmpty():
+            return closed
+        open_ = members.join(large, "group", "left_semi")
+        placed = open_.join(write_table(_group_state(open_, similarity), "groups"), "group")
+        closed = closed.unionByName(placed.where("is_one").select(*columns))
         word = F.get(F.split("pattern", " "), F.col("cut"))
         inner = F.md5(F.concat_ws(" ", "group", "cut", word))
-        members = write_table(placed.where("not is_one").select("pattern", inner.alias("group")), "members")
-    return closed
+        members = write_table(placed.where("not is_one").withColumn("group", inner).select(*patterns.columns, "group"), "members")
 
 
 def mine_templates(shaped: DataFrame, depth=K.MINING_DEPTH, similarity=K.MINING_SIMILARITY) -> DataFrame:

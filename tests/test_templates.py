@@ -1,11 +1,13 @@
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from cinderlog import constants as K
 from cinderlog.operators import templates as T
+from cinderlog.operators.splitting import split_groups
 from tests.drain import mine
 
 VERBS = ["opening", "closing", "reading", "writing"]
@@ -106,6 +108,37 @@ def test_groups_are_split_by_the_rule(spark, seed, similarity):
     assert merged(spark, patterns, similarity) == split_leaves(sorted(patterns), similarity)
 
 
+@pytest.mark.parametrize("small", [0, 60, 400])
+def test_large_groups_are_split_in_rounds(spark, monkeypatch, small):
+    """The same templates wherever a group is split, and other columns pass through."""
+    monkeypatch.setattr(T, "SMALL_GROUP", small)
+    pick = random.Random(3)
+    words = ["alpha", "beta", "gamma", K.WILDCARD, "", "#77"]
+    patterns = sorted({" ".join([pick.choice("ab"), "state"] + [pick.choice(words) for _ in range(pick.choice([1, 4, 6]))])
+                       for _ in range(150)} | {"", "one", "one two"})
+    df = spark.createDataFrame(list(zip(patterns, range(len(patterns)))), "pattern string, n bigint")
+    rows = T.merge_similar(df).collect()
+    assert {r.pattern: r.template for r in rows} == split_leaves(patterns)
+    assert sorted((r.pattern, r.n) for r in rows) == list(zip(patterns, range(len(patterns))))
+
+
+def test_rounds_end_with_the_large_groups(spark, monkeypatch):
+    """A leaf from which every split takes one pattern: as many splits as patterns, no round for each."""
+    patterns = ["t u " + " ".join(f"{'a' if i < j else 'z'}{'x' if (i * 7 + j) % 11 else ''}" for j in range(30)) for i in range(30)]
+    written, write = [], T.write_table
+    monkeypatch.setattr(T, "write_table", lambda df, label: written.append(label) or write(df, label))
+    assert merged(spark, patterns, 1.0) == split_leaves(sorted(patterns), 1.0)
+    assert len(written) <= 4
+
+
+def test_a_group_may_span_batches():
+    rows = [("g", f"a {w}") for w in "xyz"] + [("h", "b"), ("i", "c d e"), ("i", "c d f")]
+    batches = (pd.DataFrame(rows[i:i + 2], columns=["group", "pattern"]) for i in (0, 2, 4, 6))
+    got = pd.concat(split_groups(0.5, K.WILDCARD)(batches))
+    assert dict(zip(got["pattern"], got["template"])) == {
+        "a x": "a <*>", "a y": "a <*>", "a z": "a <*>", "b": "b", "c d e": "c d <*>", "c d f": "c d <*>"}
+
+
 def test_templates_depend_neither_on_counts_nor_on_order(spark):
     pick = random.Random(7)
     words = ["alpha", "beta", "gamma", "delta", "eps"]
