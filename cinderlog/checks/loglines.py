@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir) -> DataFrame:
     """line_id, value."""
-    return spread(table(spark, sf_dir, "events")).select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("line_id"), F.expr(_RAW).alias("value")
     )
 

@@ -69,8 +69,8 @@ def skeletons(shaped: DataFrame) -> DataFrame:
 def leaf_key(pattern: Column, depth=K.MINING_DEPTH) -> Column:
     """Token count and the first depth - 2 tokens, digit-bearing ones hidden."""
     tokens = F.split(pattern, " ")
-    lead = F.slice(F.split(hide_digit_tokens(pattern), " "), 1, max(depth - 2, 1))
-    return F.concat(F.size(tokens).cast("string"), F.lit(" "), F.array_join(lead, " "))
+    lead = F.array_join(F.slice(tokens, 1, max(depth - 2, 1)), " ")
+    return F.concat(F.size(tokens).cast("string"), F.lit(" "), hide_digit_tokens(lead))
 
 
 def _position_words(members: DataFrame) -> DataFrame:

@@ -46,11 +46,22 @@ def raw_lines(spark: SparkSession, path) -> DataFrame:
     return scan.join(places, ["_file", "_start"], "left").select(checked.cast("bigint").alias("line_id"), "value")
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, key=None) -> DataFrame:
     """Spread the rows of a scan that has fewer tasks than there are cores, such as one of
-    a single small file, over the cores. A scan with enough tasks is left as it is."""
+    a single small file, over the cores. A scan with enough tasks is left as it is.
+
+    With the name of a unique key, so are those of a scan whose largest task has more than 1.5
+    times a core's share: Spark cuts a table by bytes into about a split a core, but a split without
+    the middle of a row group reads nothing. The rows are counted from the files' footers."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    tasks = scan.rdd.getNumPartitions()
+    if tasks < cores:
+        return scan.repartition(cores)
+    if key is not None and tasks < 2 * cores:
+        rows = [r["count"] for r in scan.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        if max(rows, default=0) * cores > 1.5 * sum(rows):
+            return scan.repartition(2 * cores, key)
+    return scan
 
 
 def structured_parquet(spark: SparkSession, path) -> DataFrame:

@@ -64,3 +64,20 @@ def test_no_lines(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "x.log").write_text("")
     assert files.raw_lines(spark, str(tmp_path / "empty")).isEmpty()
+
+
+def test_rows_of_few_row_groups_are_spread(spark, tmp_path):
+    """As many splits as cores, but one row group: the rows are dealt out all the same."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    session.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.range(50_000).withColumnRenamed("id", "event_id").coalesce(1).write.parquet(str(tmp_path / "rows"))
+    scan = session.read.parquet(str(tmp_path / "rows"))
+    assert 8 <= scan.rdd.getNumPartitions() < 16
+    per_task = lambda df: [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert per_task(scan) == [50_000]
+    assert len(per_task(files.spread(scan, "event_id"))) == 16
+    assert max(per_task(files.spread(scan, "event_id"))) < 5_000
+    spark.range(0, 50_000, 1, 8).withColumnRenamed("id", "event_id").write.parquet(str(tmp_path / "even"))
+    even = spark.read.parquet(str(tmp_path / "even"))
+    assert files.spread(even, "event_id") is even
