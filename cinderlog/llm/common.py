@@ -1,5 +1,8 @@
 """Helpers shared by the operators: words, hashes, splits, table access, array files."""
 
+import ctypes
+import functools
+import gc
 import hashlib
 import os
 import pickle
@@ -41,6 +44,31 @@ def words(text) -> list:
     return text.encode("utf-8").lower().split() if isinstance(text, str) else []
 
 
+def _give_back():
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
+def tidy(task):
+    """The generator of a task that hands freed memory back to the system at its end. Workers are
+    kept for later tasks, which may be JVM work alone: they should not sit on a peak meanwhile."""
+
+    @functools.wraps(task)
+    def run(*args, **kwargs):
+        try:
+            yield from task(*args, **kwargs)
+        finally:
+            _give_back()
+
+    return run
+
+
 class WordHashes(dict):
     """64-bit hash of each word met, remembered up to a bound."""
 

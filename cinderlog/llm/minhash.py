@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import WordHashes, chain, mix, slices, words
+from cinderlog.llm.common import WordHashes, chain, mix, slices, tidy, words
 from cinderlog.llm.components import components
 from cinderlog.session import write_table
 
@@ -74,6 +74,7 @@ def _node(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+@tidy
 def _sketch(frames, size: int, bands: int, rows: int):
     hashes, (a, b) = WordHashes(), _functions(bands * rows)
     lane = mix(np.arange(1, bands + 1, dtype=np.uint64))
@@ -103,6 +104,7 @@ def _sketch(frames, size: int, bands: int, rows: int):
         })
 
 
+@tidy
 def _sets(frames, size: int):
     hashes = WordHashes()
     for frame in frames:

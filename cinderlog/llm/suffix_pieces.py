@@ -21,17 +21,18 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import receive, send, slices
+from cinderlog.llm.common import receive, send, slices, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Words of a batch, characters of a text that is indexed at a time, words kept, and the length
 # from which a word is merged by itself.
-BATCH_UNITS, BATCH_CHARS, KEPT, LONG = 200_000, 250_000, 400_000, 64
+BATCH_UNITS, BATCH_CHARS, KEPT, LONG = 50_000, 250_000, 100_000, 64
 FREE = np.iinfo(np.int64).max
 
 
@@ -320,12 +321,18 @@ def decode(ids, shown: list) -> str:
     return b"".join(map(shown.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+@tidy
 def _encode(texts, shared):
     encoder = Encoder(receive(shared))
     for batch in texts:
-        # Handed on by parts: the words and ids of a batch are never held all at once.
-        for _, lists in slices(batch, BATCH_UNITS, units):
-            yield pd.Series([ids.astype(np.int32) for ids in encoder.encode(lists)], dtype=object)
+        # Taken and handed on by parts: the strings, words and ids of a batch are never held all at once.
+        for _, lists in slices((text.as_py() for text in batch), BATCH_UNITS, units):
+            yield _lists(encoder.encode(lists))
+
+
+def _lists(arrays) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).astype(np.int32)))
 
 
 def _kinds(frame: DataFrame, keys) -> str:
@@ -337,8 +344,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, keys=("doc_id",)) -> Da
     gets one space in front. Repeated rows are encoded each."""
     shared = send(documents.sparkSession, vocabulary)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return _encode(texts, shared)
 
     # Workers see texts alone; the other columns of a row wait in the JVM, which can spill them.
@@ -360,6 +367,7 @@ def decoded(encoded: DataFrame, vocabulary: Vocabulary, keys=("doc_id",)) -> Dat
         lambda it: _decode(it, shared, keys), f"{_kinds(encoded, keys)}, text string")
 
 
+@tidy
 def _summary(frames, shared, keys):
     vocabulary = receive(shared)
     encoder, spelled = Encoder(vocabulary), np.zeros(len(vocabulary.shown), bool)

@@ -12,6 +12,7 @@ votes of the examples themselves. All terms that tell the labels apart are kept;
 and fit are bounded by the sample. They are sent to the workers, which score all texts without a shuffle.
 """
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import receive, send
+from cinderlog.llm.common import receive, send, tidy
 from cinderlog.session import write_table
 from cinderlog.sources.files import spread
 
@@ -70,6 +71,7 @@ def repeated(counts: Counter, size: int) -> dict:
     return out
 
 
+@tidy
 def _word_counts(frames):
     features = Features()
     for frame in frames:
@@ -82,6 +84,7 @@ def _word_counts(frames):
         yield pd.DataFrame({"word": list(texts), "texts": list(texts.values()), "toxic": [toxic[w] for w in texts]})
 
 
+@tidy
 def _surroundings(frames, terms: dict):
     """(term, toxic, hash of the words before and after its first place) of each text."""
     features = Features(terms)
@@ -311,6 +314,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, max_exam
     return build(terms, idf, examples, empty, neighbours)
 
 
+@tidy
 def _score(frames, shared, keys, neighbours):
     index = receive(shared)
     names = sorted(index.terms, key=index.terms.get)
@@ -319,7 +323,8 @@ def _score(frames, shared, keys, neighbours):
         rows = []
         for text in frame["text"]:
             counts = index.counts(text)
-            key = tuple(sorted(counts.items()))
+            # A digest: the counts themselves would be as large as the texts.
+            key = hashlib.blake2b(np.array(sorted(counts.items()), np.int64).tobytes(), digest_size=16).digest()
             if key not in remembered:
                 if len(remembered) >= 50_000:
                     remembered.clear()

@@ -3,14 +3,17 @@
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import sentencepiece
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from cinderlog.llm import minhash, multi_index, pii, quotations, spaced_seeds, suffix_pieces
+from cinderlog.llm import common, minhash, multi_index, pii, quotations, spaced_seeds, suffix_pieces
 from cinderlog.llm.common import words
 from cinderlog.llm.components import components
 
@@ -394,6 +397,34 @@ def test_ids_are_those_of_the_library(spark, sf_dir, vocabulary):
     assert len(rows) == len(texts) and all(r["round_trip"] for r in rows)
 
 
+def test_encoding_holds_few_words_at_a_time(vocabulary):
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices("abcdehinorst", k=7)) for _ in range(500)) for _ in range(700)]
+
+    class Shared:
+        value = cloudpickle.dumps(vocabulary)
+
+    next(suffix_pieces._encode(iter([pa.array(["warm up"])]), Shared))
+    batch = pa.array(texts)
+    del texts
+    tracemalloc.start()
+    n = sum(len(ids) for part in suffix_pieces._encode(iter([batch]), Shared) for ids in part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 350_000 and peak < 95e6  # before: all words of a batch and 400,000 known ones
+
+
+def test_tasks_give_memory_back_at_their_end(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "_give_back", lambda: given.append(1))
+    work = common.tidy(lambda n: iter(range(n)))
+    assert list(work(3)) == [0, 1, 2] and given == [1]
+    begun = work(3)
+    next(begun)
+    begun.close()
+    assert given == [1, 1]
+
+
 def test_path_relaxation_finds_the_best_sum():
     pieces = ["▁", "a", "b", "ab", "▁a", "ba", "bab", "▁ab", "c"]
     scores = np.array([-2.0, -3.1, -3.3, -4.2, -4.0, -4.9, -5.3, -6.6, -2.5])
