@@ -1,17 +1,21 @@
 """Merkle manifest of a dataset: one tree per language over its documents, one over the subroots.
 
 Building. Leaves are numbered within their language by range pieces. STEP levels of a tree are
-built per aggregation, from groups of 2 ** STEP neighbours, and stored as node rows: a node, the
-siblings on its way up, and a link to the node STEP levels above it. The last link of a language
-leads to its subroot's place in the tree of subroots.
-
-Proving. A recursive query starts from the leaf rows, with the tampered hash where there is one,
-and climbs from link to link: each step appends the siblings to the proof and folds the hash. A
-node high up is on the way of very many leaves, so its row is stored once per block of 2 ** SPAN
-leaves below it: no row of the join is met by more leaves than that, however large a language is.
+built per aggregation, from groups of 2 ** STEP neighbours. A group of leaves stays one row with
+all it holds; groups higher up become node rows: a node, the siblings on its way up, and a link to
+the node STEP levels above it. The last link of a language leads to its subroot's place in the
+tree of subroots.
+
+Proving. A recursive query starts from the groups of leaves and climbs from link to link: each step
+appends the siblings that all leaves of the group share. Then every leaf folds its hash, the tampered
+one where there is one, over the siblings in its group and those climbed; so what grows on the way
+is moved once per 2 ** STEP leaves. A node high up is on the way of very many groups, so its row is
+stored once per block of 2 ** SPAN leaves below it: no row of the join is met by more groups than
+such a block has, however large a language is.
 """
 
 import contextlib
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,45 +58,47 @@ def _depth(n: Column) -> Column:
     return F.when(n <= 1, F.lit(0)).otherwise(F.length(F.bin(n - 1)))
 
 
-def _climbed(nodes: DataFrame, carried=()):
-    """(rows, above): the node rows of one level with their path and link, and the nodes STEP
-    levels up. nodes: tree, depth, level, pos, digest and the carried columns. A tree that ends
-    on the way ends there, and its top has number 0 on the level above."""
+def _grouped(nodes: DataFrame, carried=()) -> DataFrame:
+    """Groups of 2 ** STEP neighbours of one level, stored: the nodes held, with the carried columns,
+    and the digests l0, l1 ... of the levels above them. nodes: tree, depth, level, pos, digest. A
+    tree that ends on the way ends there, and its top has number 0 on the level above."""
     grouped = nodes.groupBy("tree", "depth", "level", F.shiftright("pos", STEP).alias("up")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "digest", *carried))).alias("held"))
     grouped = grouped.withColumn("l0", F.col("held.digest"))
     for k in range(STEP):
         more = F.col("level") + k < F.col("depth")
         grouped = grouped.withColumn(f"l{k + 1}", F.when(more, _above(F.col(f"l{k}"))).otherwise(F.col(f"l{k}")))
-    grouped = write_table(grouped, "levels")
+    return write_table(grouped, "levels")
+
+
+def _path() -> Column:
+    """The siblings of node number i of a group on its way through the levels of the group."""
     at = lambda k: F.shiftright(F.col("i"), k)
     path = F.array(*[
         F.when(F.col("level") + k < F.col("depth"), F.struct(
             (at(k) % 2 == 1).alias("before"), F.get(f"l{k}", at(k).bitwiseXOR(F.lit(1))).alias("digest")))
         for k in range(STEP)])
-    rows = grouped.select("*", F.posexplode("held").alias("i", "own")).select(
-        "tree", "depth", "level", "own.*", "up", F.filter(path, lambda s: s.isNotNull()).alias("path"))
-    above = grouped.select("tree", "depth", (F.col("level") + STEP).alias("level"), F.col("up").alias("pos"),
-                           F.get(f"l{STEP}", F.lit(0)).alias("digest"))
-    return rows, above
+    return F.filter(path, lambda s: s.isNotNull())
+
+
+def _rows(grouped: DataFrame) -> DataFrame:
+    """The node rows of groups, with their path and link."""
+    return grouped.select("*", F.posexplode("held").alias("i", "own")).select(
+        "tree", "depth", "level", "own.pos", "up", _path().alias("path"))
 
 
 def _build(nodes: DataFrame, deepest: int, carried=()):
-    """(first, rest, tops): node rows of level 0 with what they carry, those above, and the top
-    of each tree. Trees without a level to climb have a top only."""
-    first, rest, level = None, [], 0
-    tops = nodes.where("depth = 0").select("tree", "digest")
-    work = nodes.where("depth > 0")
-    while level < deepest:
-        rows, above = _climbed(work, carried if level == 0 else ())
-        if level == 0:
-            first = rows
-        else:
-            rest.append(rows)
+    """(groups, tops): the groups of every STEP levels, and the top of each tree."""
+    groups, tops, level = [], None, 0
+    while not groups or level < deepest:
+        groups.append(_grouped(nodes, () if groups else carried))
         level += STEP
-        tops = tops.unionByName(above.where(F.col("depth") <= level).select("tree", "digest"))
-        work = above.where(F.col("depth") > level)
-    return first, rest, tops
+        above = groups[-1].select("tree", "depth", F.lit(level).alias("level"), F.col("up").alias("pos"),
+                                  F.get(f"l{STEP}", F.lit(0)).alias("digest"))
+        ended = above.where(F.col("depth") <= level).select("tree", "digest")
+        tops = ended if tops is None else tops.unionByName(ended)
+        nodes = above.where(F.col("depth") > level)
+    return groups, tops
 
 
 def _linked(rows: DataFrame, top_depth: int) -> DataFrame:
@@ -127,18 +133,23 @@ def _per_block(rows: DataFrame, trees: DataFrame, deepest: int, top_depth: int)
     return inside.unionByName(rows.where(~low).join(places, ["tree", "level", "pos"]))
 
 
-CLIMB = """
-WITH RECURSIVE climb(doc_id, leaf, block, tree, level, pos, folded, proof) AS (
-  SELECT doc_id, leaf, block, next_tree, next_level, next_pos, {start}, {begun} FROM {{leaves}}
+SIBLINGS = "array<struct<before boolean, digest binary>>"
+CLIMB = f"""
+WITH RECURSIVE climb(home, number, block, tree, level, pos, path) AS (
+  SELECT home, number, block, next_tree, next_level, next_pos, CAST(array() AS {SIBLINGS}) FROM {{groups}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, c.block, n.next_tree, n.next_level, n.next_pos, {folded}, {appended}
+  SELECT c.home, c.number, c.block, n.next_tree, n.next_level, n.next_pos, concat(c.path, n.path)
   FROM climb c JOIN {{nodes}} n
     ON c.block = n.block AND c.tree = n.tree AND c.level = n.level AND c.pos = n.pos)
-SELECT doc_id, leaf, shiftright(block, 40) AS tree, folded, proof FROM climb WHERE tree = {done}"""
-_FOLD = """aggregate(path, {begin}, (f, s) -> unhex(sha2(CASE WHEN s.digest IS NULL THEN lower(hex(f))
-  WHEN s.before THEN concat(lower(hex(s.digest)), lower(hex(f)))
-  ELSE concat(lower(hex(f)), lower(hex(s.digest))) END, 256)))"""
-_APPEND = "aggregate(path, {begin}, (p, s) -> concat(p, coalesce(s.digest, X'')))"
+SELECT home, number, path AS climbed FROM climb WHERE tree = {DONE}"""
+
+
+def _folded(start: Column, path: Column) -> Column:
+    """The root that a hash gives with the siblings on its way."""
+    none = F.lit("")
+    return F.aggregate(path, start, lambda f, s: F.unhex(F.sha2(F.when(
+        s["before"], F.concat(F.coalesce(_text(s["digest"]), none), _text(f))).otherwise(
+        F.concat(_text(f), F.coalesce(_text(s["digest"]), none))), 256)))
 
 
 @contextlib.contextmanager
@@ -153,12 +164,9 @@ def _any_number_of_rows(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """doc_id, leaf, tree, folded (the recomputed root) and proof (the siblings in a row)."""
-    query = CLIMB.format(
-        start=_FOLD.format(begin="coalesce(changed, leaf)"), begun=_APPEND.format(begin="X''"),
-        folded=_FOLD.format(begin="c.folded"), appended=_APPEND.format(begin="c.proof"), done=DONE)
-    return leaves.sparkSession.sql(query, leaves=leaves, nodes=nodes)
+def climb(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """home and number of each group of leaves, and climbed: the siblings on its way to the root."""
+    return groups.sparkSession.sql(CLIMB, groups=groups, nodes=nodes)
 
 
 def manifest(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
@@ -171,7 +179,7 @@ def manifest(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
     each. Texts of any length are hashed whole. Other columns are not read. An empty table gives
     no row."""
     spark = documents.sparkSession
-    path = scratch_path(spark, "manifest")
+    target = scratch_path(spark, "manifest")
     changed = F.lit(False) if tampered is None else F.coalesce(tampered, F.lit(False))
     more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("decimal(38,0)")
     hashed = documents.select(
@@ -190,39 +198,32 @@ def manifest(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
         leaves = placed.join(own, F.col("lang").eqNullSafe(F.col("_lang"))).select(
             "doc_id", "changed", "tree", "depth", F.lit(0).alias("level"),
             (F.col("position") - 1).alias("pos"), "digest")
-        first, rest, tops = _build(leaves, deepest, ("doc_id", "changed"))
+        groups, tops = _build(leaves, deepest, ("doc_id", "changed"))
         tops = write_table(tops, "subroots")
         subroots = tops.select(F.lit(TOP).cast("long").alias("tree"), F.lit(top_depth).alias("depth"),
                                F.lit(0).alias("level"), (F.col("tree") - 1).alias("pos"), "digest")
-        upper, more_upper, roots = _build(subroots, top_depth)
+        upper, roots = _build(subroots, top_depth)
         root = roots.first()["digest"]
-        alone = leaves.where("depth = 0").withColumns({
-            "path": F.expr("CAST(array() AS array<struct<before boolean, digest binary>>)"), "up": F.lit(0).cast("long")})
-        first = alone if first is None else first.unionByName(alone)
-        first = _linked(first, top_depth).select(
-            "doc_id", F.col("digest").alias("leaf"), "changed", _block(F.col("tree"), F.col("pos")).alias("block"),
-            "path", "next_tree", "next_level", "next_pos")
-        above = [r.drop("digest") for r in rest]
-        above += [r.drop("digest") for r in ([upper] if upper is not None else []) + more_upper]
-        if above:
-            nodes = above[0]
-            for rows in above[1:]:
-                nodes = nodes.unionByName(rows)
-            nodes = _per_block(_linked(nodes, top_depth), trees, deepest, top_depth)
-        else:
-            nodes = _linked(first.select(F.lit(TOP).cast("long").alias("tree"), F.lit(1).alias("depth"), F.lit(0).alias("level"),
-                                         F.lit(0).cast("long").alias("pos"), "path",
-                                         F.lit(0).cast("long").alias("up"), "block").limit(0), top_depth)
-        nodes = write_table(nodes, "nodes")
+        starts = _linked(groups[0].select("tree", "depth", "level", "up", F.col("tree").alias("home"),
+                                          F.col("up").alias("number")), top_depth).select(
+            "home", "number", _block(F.col("home"), F.shiftleft("number", STEP)).alias("block"),
+            "next_tree", "next_level", "next_pos")
+        above = reduce(DataFrame.unionByName, [_rows(g) for g in groups[1:] + upper])
+        nodes = write_table(_per_block(_linked(above, top_depth), trees, deepest, top_depth), "nodes")
         with _any_number_of_rows(spark):
-            subroot = tops.select(F.col("tree").alias("_tree"), F.col("digest").alias("_subroot"))
-            found = climb(write_table(first, "leaves"), nodes).join(subroot, F.col("tree") == F.col("_tree"))
-            found.select(
-                "doc_id", _text(F.col("leaf")).alias("leaf"), _text(F.col("_subroot")).alias("subroot"),
-                F.lit(root.hex()).alias("root"), F.sha2(_text(F.col("proof")), 256).alias("proof_sha256"),
-                _text(F.col("folded")).alias("folded_root"), (F.col("folded") == F.lit(root)).alias("verified"),
-            ).write.parquet(path)
-    return spark.read.schema(RESULT).parquet(path)
+            ways = write_table(climb(write_table(starts, "starts"), nodes), "ways")
+        subroot = tops.select(F.col("tree").alias("home"), F.col("digest").alias("_subroot"))
+        held = groups[0].join(ways.join(subroot, "home"), (F.col("tree") == F.col("home")) & (F.col("up") == F.col("number")))
+        path, own = F.concat(_path(), "climbed"), F.col("own")
+        held.select("*", F.posexplode("held").alias("i", "own")).select(
+            "_subroot", "own", path.alias("path"), _folded(F.coalesce(own["changed"], own["digest"]), path).alias("folded"),
+        ).select(
+            "own.doc_id", _text(own["digest"]).alias("leaf"), _text(F.col("_subroot")).alias("subroot"),
+            F.lit(root.hex()).alias("root"),
+            F.sha2(F.array_join(F.transform("path", lambda s: _text(s["digest"])), ""), 256).alias("proof_sha256"),
+            _text(F.col("folded")).alias("folded_root"), (F.col("folded") == F.lit(root)).alias("verified"),
+        ).write.parquet(target)
+    return spark.read.schema(RESULT).parquet(target)
 
 
 def chosen_for_tampering() -> Column:

@@ -217,6 +217,14 @@ def test_manifest_equals_brute_force(spark, monkeypatch, n, langs, span):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, plain_manifest(rows)))
 
 
+def test_what_climbs_is_one_row_per_group_of_leaves(spark, monkeypatch):
+    met, climb = [], merkle.climb
+    monkeypatch.setattr(merkle, "climb", lambda rows, nodes: met.append(rows.count()) or climb(rows, nodes))
+    rows = [(i, "s", "ab"[i % 2], 1, "t") for i in range(600)]
+    assert merkle.manifest(spark.createDataFrame(rows, FIELDS)).where("verified").count() == 600
+    assert met == [2 * -(-300 // 2 ** merkle.STEP)]  # before: every leaf
+
+
 def test_untampered_manifest_verifies(spark):
     rows = [(i, "s", "a", 1, "long " * 200_000 if i == 3 else "t") for i in range(5)]
     got = merkle.manifest(spark.createDataFrame(rows, FIELDS)).collect()
