@@ -559,7 +559,7 @@ def stream_points(spark, sf):
 
 def _words(spark, sf):
     words = F.split(F.lower("text"), "[^a-z]+")
-    documents = files.spread(L.table(spark, sf, "documents"))
+    documents = files.dealt(L.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
     exploded = documents.select("doc_id", F.explode(words).alias("term"))
     return exploded.where("term <> ''")
 
@@ -571,8 +571,8 @@ def _term_counts(spark, sf):
 def _document_weights(spark, sf):
     counts = write_table(_term_counts(spark, sf), "terms")
     n = L.table(spark, sf, "documents").count()
-    idf = features.idf_weights(counts, n, "term")
-    return features.tfidf(counts, idf, "term"), n
+    idf = write_table(features.idf_weights(counts, n, "term"), "idf")
+    return features.tfidf(counts, idf, "term"), idf, n
 
 
 def term_frequency(spark, sf):
@@ -587,20 +587,20 @@ def idf_weights(spark, sf):
 
 
 def tfidf(spark, sf):
-    weighted, _ = _document_weights(spark, sf)
+    weighted, _, _ = _document_weights(spark, sf)
     return weighted.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
 def tfidf_centered(spark, sf):
-    weighted, n = _document_weights(spark, sf)
-    return features.centred(weighted, n, "term").select(
+    weighted, idf, n = _document_weights(spark, sf)
+    return features.centred(weighted, n, "term", means=features.term_means(idf, n, "term")).select(
         "doc_id", "term", F.round("centred", 6).alias("centred"),
         F.round("baseline", 6).alias("baseline"),
     )
 
 
 def tfidf_ratio(spark, sf):
-    weighted, _ = _document_weights(spark, sf)
+    weighted, _, _ = _document_weights(spark, sf)
     return weighted.select(
         "doc_id", "term", F.round(features.ratio(F.col("tfidf")), 6).alias("ratio")
     )

@@ -47,8 +47,9 @@ def count_vectors(events: DataFrame, document="block_id", term="event_id",
 
 
 def idf_weights(counts: DataFrame, n_documents: int, term="event_id", min_count=1) -> DataFrame:
-    """ln((m + 1) / (df + 1)); terms in fewer than min_count documents weigh 0."""
-    df = counts.groupBy(term).agg(F.count("*").alias("df"))
+    """ln((m + 1) / (df + 1)); terms in fewer than min_count documents weigh 0. total: how often
+    the term occurs in all."""
+    df = counts.groupBy(term).agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     idf = F.log((F.lit(n_documents) + 1) / (F.col("df") + 1))
     return df.withColumn("idf", F.when(F.col("df") >= min_count, idf).otherwise(F.lit(0.0)))
 
@@ -59,12 +60,19 @@ def tfidf(counts: DataFrame, weights: DataFrame, term="event_id") -> DataFrame:
     )
 
 
-def centred(weighted: DataFrame, n_documents: int, term="event_id", value="tfidf") -> DataFrame:
+def term_means(weights: DataFrame, n_documents: int, term="event_id") -> DataFrame:
+    """The mean tfidf of each term of idf_weights over all documents, without a look at the entries."""
+    return weights.select(term, (F.col("idf") * F.col("total") / F.lit(float(n_documents))).alias("_mean"))
+
+
+def centred(weighted: DataFrame, n_documents: int, term="event_id", value="tfidf", means=None) -> DataFrame:
     """Entries minus the term's mean over all documents. A document without the term has
-    the value baseline = -mean, so the dense matrix need not be written out."""
-    means = weighted.groupBy(term).agg(
-        (F.sum(value) / F.lit(float(n_documents))).alias("_mean")
-    )
+    the value baseline = -mean, so the dense matrix need not be written out. means: those of
+    term_means, where value is the tfidf; else they are summed up from the entries."""
+    if means is None:
+        means = weighted.groupBy(term).agg(
+            (F.sum(value) / F.lit(float(n_documents))).alias("_mean")
+        )
     return weighted.join(means, term).select(
         *weighted.columns,
         (F.col(value) - F.col("_mean")).alias("centred"),

@@ -64,6 +64,18 @@ def spread(scan: DataFrame, key=None) -> DataFrame:
     return scan
 
 
+# Bytes of text that a task takes at a time to count its words: what it holds stays in memory.
+DEALT_BYTES = 8 << 20
+
+
+def dealt(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows dealt out by a unique key, about DEALT_BYTES of text to a task and a task to a core at
+    least. What is then counted per key and word needs no further shuffle, and words outweigh texts."""
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-size // DEALT_BYTES)), key)
+
+
 def structured_parquet(spark: SparkSession, path) -> DataFrame:
     """Structured logs with their partition column log_day."""
     return spark.read.schema(schema.STORED).parquet(path)

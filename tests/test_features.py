@@ -7,6 +7,7 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from cinderlog.checks import queries
 from cinderlog.functions.ratios import throughput
 from cinderlog.operators import evaluate, features
 from cinderlog.operators.sessions import session_parts
@@ -51,6 +52,27 @@ def test_centred_twin_equals_dense(spark):
                 assert math.isclose(got[d, t].centred, value - mean) and math.isclose(got[d, t].baseline, -mean)
 
 
+def test_means_from_weights_equal_those_of_entries(spark):
+    counts = spark.createDataFrame([("a", "x", 2), ("a", "y", 1), ("b", "x", 1)], "block_id string, event_id string, tf bigint")
+    weights = features.idf_weights(counts, 3)
+    weighted = features.tfidf(counts, weights)
+    key = lambda r: (r.block_id, r.event_id)
+    summed, given = (sorted(features.centred(weighted, 3, means=m).collect(), key=key) for m in (None, features.term_means(weights, 3)))
+    assert len(given) == 3 and [key(r) for r in given] == [key(r) for r in summed]
+    assert all(math.isclose(a.centred, b.centred) and math.isclose(a.baseline, b.baseline) for a, b in zip(summed, given))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_counts_shuffle_texts_only(spark, sf_dir):
+    counts = plan_of(queries.term_frequency(spark, sf_dir))
+    assert counts.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in counts
+    centred = plan_of(queries.tfidf_centered(spark, sf_dir))
+    assert centred.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in centred
+
+
 def test_ratio_stage_saves_and_loads(spark, tmp_path):
     df = spark.createDataFrame([(Vectors.sparse(5, [1, 3], [1.0, 3.0]),), (Vectors.sparse(5, [], []),)], ["counts"])
     model = Pipeline(stages=features.feature_stages(None, "sigmoid")).fit(df)
