@@ -20,6 +20,8 @@ MASKS = ("11101111", "1111010011", "10100110111")
 SHORT, SHORT_SUBSTITUTIONS = 6, 1
 # The side of the items is broadcast up to this size (it is measured); beyond it, shuffled.
 BROADCAST_BYTES = 64 << 20
+# Items that one task writes; few files, as each costs a process that sets its rights.
+TASK_ITEMS = 20_000
 
 
 def tokens(text: Column) -> Column:
@@ -83,7 +85,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     tokens and overlap with nothing, nor do documents shorter than a window, unless a shorter
     item is in them. Rows with equal doc_id and text count once; a null doc_id is reported
     as null. Empty tables give no rows."""
-    items = write_table(_items(benchmark), "items")
+    items = write_table(_items(benchmark).coalesce(benchmark.count() // TASK_ITEMS + 1), "items")
     stats = items.agg(F.sum("item_len")).first()[0] or 0
     lengths = [r[0] for r in items.where(F.col("item_len") < WINDOW).select("item_len").distinct().collect()]
     masks = [(m, WINDOW, SUBSTITUTIONS) for m in MASKS] + [  # three more at most per length below WINDOW
@@ -93,7 +95,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     docs = documents.select("doc_id", hashed(tokens(F.col("text"))).alias("hashes")).withColumn(
         "doc_len", F.size("hashes")
     )
-    placed = docs.select("doc_id", "hashes", "doc_len", F.posexplode("hashes").alias("doc_at", "_h"))
+    # Outer: else Spark adds a filter on the size of hashes, which cuts and hashes every text once more.
+    placed = docs.select("doc_id", "hashes", "doc_len", F.posexplode_outer("hashes").alias("doc_at", "_h"))
     keyed = placed.select(
         "doc_id", "hashes", "doc_len", "doc_at",
         F.explode(F.array(*[

@@ -105,6 +105,20 @@ def test_overlaps_of_empty_tables(spark):
     assert {r["doc_id"] for r in spaced_seeds.clean(docs, some).collect()} == {2}
 
 
+def test_overlaps_cut_each_text_once_and_write_few_files(spark, monkeypatch):
+    written, write = {}, spaced_seeds.write_table
+    monkeypatch.setattr(spaced_seeds, "write_table", lambda df, label: written.setdefault(label, write(df, label)))
+    items = spark.createDataFrame([(i, f"a{i} b c d e f g h i j k l m n") for i in range(50)], ITEMS)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        found = spaced_seeds.overlaps(spark.createDataFrame([(1, "x")], DOCS), items)
+    finally:
+        spark.conf.unset(merging)
+    assert len(written["items"].inputFiles()) == len(written["seeds"].inputFiles()) == 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 # -- near-duplicates
 
 def plain_groups(rows, size, percent):
