@@ -69,6 +69,18 @@ def tidy(task):
     return run
 
 
+def tidy_group(reduce):
+    """The function of a group (key and frame) that hands freed memory back to the system at its end."""
+
+    def run(key, frame):
+        try:
+            return reduce(key, frame)
+        finally:
+            _give_back()
+
+    return run
+
+
 class WordHashes(dict):
     """64-bit hash of each word met, remembered up to a bound."""
 

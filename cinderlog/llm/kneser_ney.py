@@ -1,171 +1,495 @@
 """LM scoring: interpolated modified Kneser-Ney, counted in Spark.
 
-Counting. Each task reduces its n-grams to distinct ones with counts and hands them out as
-packed blobs by hash range, so a frequent n-gram is one entry per task, and a range is
-one bounded group however skewed the corpus is. A reduce task sorts its range by hash,
-adds equal n-grams up, and writes the range as a sorted hash array with its counts to the
-shared folder. What it learns on the way goes on as further blobs: totals per context, and
-distinct left neighbours per suffix, which are the counts of the next lower order.
-
-Scoring. Workers map the arrays into memory and look the n-grams of a batch up by binary
-search; no document is shuffled. Array files are replaced whole, so lost tasks repeat safely.
+Counting. A first pass counts words and numbers them, frequent ones first. Then each task reduces its
+n-grams to distinct ones with counts and hands them out as packed blobs of word numbers, by range of
+the hash of their next to last word. An n-gram, its context and the shorter n-gram that it ends in
+then share a range, so one group adds up all orders and writes them: nothing but unigrams goes
+on from it. A next to last word that would make a range too large (a hot one) has its n-grams
+dealt out by their contexts instead, and their shorter ends are shuffled once more per order. A
+frequent n-gram is one entry per batch, and a range is a bounded group however skewed the corpus.
+
+Stored are sorted 64-bit hashes of the contexts, the first 16 bits as places in the rest, and the
+numbers and counts of the words that follow each; counts take a byte, with a list of the larger
+ones, and a context refers to one of the distinct sums in its file.
+
+Scoring. Workers map the files into memory and look the n-grams of a batch up by binary
+search; no document is shuffled. Files are replaced whole, so lost tasks repeat safely.
 """
 
+import hashlib
+import itertools
 import json
 import math
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import (
-    WordHashes, chain, map_array, pack, put_array, slices, smallest, unpack, words,
-)
+from cinderlog.llm.common import FOLD, chain, map_array, mix, put_array, slices, smallest, tidy, tidy_group, words
 from cinderlog.session import scratch_path, write_table
 
-BEGIN, END = np.uint64(0x517CC1B727220A95), np.uint64(0x2545F4914F6CDD1D)
+END = np.uint64(0x2545F4914F6CDD1D)
+# Numbers of words: BEGIN is before all texts, the others count from 1, and UNKNOWN is in no n-gram.
+BEGIN, UNKNOWN = 0, 1 << 40
 BLOB = "level int, kind string, shard int, blob binary"
-# Tokens a task works on at a time, and n-grams of a hash range at most, before equal ones
-# of different tasks are added up.
-BATCH_TOKENS, RANGE_GRAMS = 1_000_000, 2_000_000
+# Tokens a task works on at a time, words it holds counts of, and n-grams of a hash range at most,
+# before equal ones of different tasks are added up.
+BATCH_TOKENS, HELD_WORDS, RANGE_GRAMS = 1_000_000, 500_000, 2_000_000
+# A word is hot from this share of a range on. Fewer hashes than PLAIN are stored whole.
+HOT_SHARE, PLAIN = 1 / 8, 1 << 17
 
 
 @dataclass
 class Model:
-    """Where the arrays are and the few numbers that go with them."""
+    """Where the files are and the few numbers that go with them."""
 
     path: str
     order: int
-    bits: int
+    bits: int = 0
+    hot: int = -1  # words up to this number are hot
     train_tokens: int = 0
     vocabulary: int = 0
     unigram_total: int = 0
     discounts: dict = field(default_factory=dict)  # order -> (D1, D2, D3+)
     unigram_gamma: float = 1.0
 
+    def file(self, level: int, kind: str, hot, shard) -> str:
+        return f"{self.path}/{level}/{kind}-{'hot' if hot else 'cold'}-{int(shard):06d}"
+
+
+# -- n-grams as columns of word numbers
+
+def _word_hashes(words) -> np.ndarray:
+    return np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
 
-def _shards(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+def _windows(token_lists, order: int, numbers):
+    """What numbers has for each distinct word (its number first); the numbers of the words
+    t-order+1..t, a column each, for every token t of every text, end included (BEGIN where there
+    is no word); how many words before it (BEGIN counts) stand in its own text; where among
+    the distinct words it is; tokens per text. Empties token_lists."""
+    lengths = np.array([len(t) + 2 for t in token_lists])
+    places = defaultdict(itertools.count(2).__next__)  # after begin and end
+    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    inside = np.ones(lengths.sum(), bool)
+    inside[starts] = inside[starts + lengths - 1] = False
+    flat = np.zeros(len(inside), np.int64)
+    flat[starts + lengths - 1] = 1
+    flat[inside] = np.fromiter(
+        map(places.__getitem__, itertools.chain.from_iterable(token_lists)), np.int64, lengths.sum() - 2 * len(lengths))
+    token_lists.clear()  # memory
+    found = numbers(np.r_[END, _word_hashes(places)])
+    found = [np.r_[0, x] for x in found]
+    found[0][1:][found[0][1:] == 0] = UNKNOWN
+    before = np.arange(len(flat)) - np.repeat(starts, lengths)
+    at = np.flatnonzero(before > 0)
+    depth = before[at]
+    known, columns = found[0][flat], []
+    for back in range(order - 1, -1, -1):
+        column = known[at - np.minimum(back, depth)]
+        column[depth < back] = BEGIN
+        columns.append(column)
+    return found, columns, depth, flat[at], lengths - 1
+
+
+def _hashes(numbers: np.ndarray) -> np.ndarray:
+    return mix(numbers.astype(np.uint64) * np.uint64(FOLD) + np.uint64(1))
 
 
 def _gram_hash(columns) -> np.ndarray:
-    h = columns[0]
+    h = _hashes(columns[0])
     for w in columns[1:]:
-        h = chain(h, w)
+        h = chain(h, _hashes(w))
     return h
 
 
+def _starts(*columns) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _distinct(columns, *values):
+    """Distinct n-grams by their next to last word, then the others from the left, and the sums
+    of values, or else how often each is there."""
+    keys = [columns[-2], *columns[:-2], columns[-1]]
+    width = max(1, max(int(c.max()) for c in keys).bit_length())
+    if width * len(keys) >= 64:  # places among the words at hand are smaller
+        known, places = np.unique(np.concatenate(columns), return_inverse=True)
+        if len(known).bit_length() * len(keys) < 64:
+            columns, *sums = _distinct(np.split(places.astype(np.int64), len(keys)), *values)
+            return [known[c] for c in columns], *sums
+        at = np.lexsort(keys[::-1])
+        keys = [c[at] for c in keys]
+        first, n = _starts(*keys), len(at)
+        keys = [c[first] for c in keys]
+    else:
+        packed = keys[0]
+        for c in keys[1:]:
+            packed = packed << width | c
+        at = np.argsort(packed) if values else None
+        packed = packed[at] if values else np.sort(packed)
+        first, n = _starts(packed), len(packed)
+        left, keys = packed[first], []
+        for _ in columns:
+            keys.insert(0, left & ((1 << width) - 1))
+            left = left >> width
+    columns = [*keys[1:-1], keys[0], keys[-1]]
+    sums = [np.add.reduceat(v[at], first) for v in values] or [np.diff(np.r_[first, n])]
+    return columns, *sums
+
+
 def _sum_by(keys: np.ndarray, *values):
-    """Distinct sorted keys, the first place of each, and the sums of values per key."""
+    """Distinct sorted keys and the sums of values per key."""
     order = np.argsort(keys, kind="stable")
     k = keys[order]
-    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
-    return k[first], order[first], [np.add.reduceat(v[order], first) if len(k) else v[:0] for v in values]
+    first = _starts(k)
+    return k[first], *[np.add.reduceat(v[order], first) if len(k) else v[:0] for v in values]
+
+
+# -- hash ranges
+
+def _shards(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def _route(model: Model, columns, context=False):
+    """Per n-gram (context: per n-gram without its last word): is it dealt as one of a hot word, its range."""
+    v = columns[-1] if context else columns[-2]
+    shards, hot = _shards(_hashes(v), model.bits), v <= model.hot
+    at = np.flatnonzero(hot)
+    if len(at):  # bigrams of a hot word have one context: they are dealt out as a whole
+        by = columns if context or len(columns) == 2 else columns[:-1]
+        shards[at] = _shards(_gram_hash([c[at] for c in by]), model.bits)
+    return hot, shards
+
+
+def _groups(codes: np.ndarray):
+    """(code, rows that have it) for each code."""
+    order = np.argsort(codes, kind="stable")
+    first = _starts(codes[order])
+    for a, b in zip(first, np.r_[first[1:], len(order)]):
+        yield int(codes[order[a]]), order[a:b]
 
 
-def _gram_blobs(level: int, columns, bits: int, *counts):
-    """Blobs of n-grams by hash range. Words are written once per blob and referred to."""
-    shards = _shards(_gram_hash(columns), bits)
-    order = np.lexsort((columns[-1], columns[0], shards))
-    bounds = np.searchsorted(shards[order], np.arange((1 << bits) + 1))
-    for s in np.flatnonzero(np.diff(bounds)):
-        part = order[bounds[s]:bounds[s + 1]]
-        known, refs = np.unique(np.concatenate([c[part] for c in columns]), return_inverse=True)
-        refs = refs.reshape(len(columns), -1)
-        yield level, "gram", int(s), pack(
-            known, *[smallest(r) for r in refs], *[smallest(c[part]) for c in counts]
-        )
+def _squeeze(*arrays) -> bytes:
+    """Arrays of unsigned integers as one compressed value, byte by byte of the integers."""
+    arrays = [smallest(a) for a in arrays]
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.itemsize, len(a))]], np.int64)
+    body = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    whole = b"".join([head.tobytes(), *body])
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _open(blob: bytes) -> list:
+    whole = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    n = int(np.frombuffer(whole, np.int64, 1)[0])
+    head = np.frombuffer(whole, np.int64, 2 * n, 8).reshape(n, 2)
+    out, at = [], 8 + 16 * n
+    for width, length in head.tolist():
+        planes = np.frombuffer(whole, np.uint8, width * length, at).reshape(width, length)
+        out.append(np.ascontiguousarray(planes.T).view(f"u{width}").reshape(length))
+        at += width * length
+    return out
 
 
 def _frame(rows) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["level", "kind", "shard", "blob"])
 
 
-def _windows(token_lists, hashes: WordHashes, order: int):
-    """Word columns w[t-order+1..t] for every token t of every text, end included, and how
-    many words before it (BEGIN counts) stand in its own text. Absent words are 0."""
-    lengths = np.array([len(t) + 2 for t in token_lists])
-    flat = np.empty(lengths.sum(), np.uint64)
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    inside = np.ones(len(flat), bool)
-    inside[starts] = inside[starts + lengths - 1] = False
-    flat[starts], flat[starts + lengths - 1] = BEGIN, END
-    flat[inside] = hashes.array([w for t in token_lists for w in t])
-    place = np.arange(len(flat)) - np.repeat(starts, lengths)
-    at = np.flatnonzero(place > 0)
-    depth = place[at]
-    columns = []
-    for back in range(order - 1, -1, -1):
-        column = flat[at - np.minimum(back, depth)]
-        column[depth < back] = 0
-        columns.append(column)
-    return columns, depth, lengths - 1
-
+def _gram_blobs(columns, counts, model: Model):
+    """Blobs of distinct n-grams by range. The next to last word is written once for all n-grams in a row
+    that have it."""
+    hot, shards = _route(model, columns)
+    for code, part in _groups(shards * 2 + hot):
+        own = [c[part] for c in columns]
+        first = _starts(own[-2])
+        blob = _squeeze(own[-2][first], np.diff(np.r_[first, len(part)]), *own[:-2], own[-1], counts[part])
+        yield len(columns), "hot" if code & 1 else "cold", code >> 1, blob
+
+
+def _word_blobs(kind: str, words, model: Model, *values):
+    """Blobs of numbers per word, by range of the word."""
+    for shard, part in _groups(_shards(_hashes(words), model.bits)):
+        yield 1, kind, shard, _squeeze(words[part], *[v[part] for v in values])
+
+
+def _merge(frame) -> dict:
+    """For each level of the blobs, columns and counts."""
+    found = {}
+    for level, blob in zip(frame["level"], frame["blob"]):
+        heads, runs, *more = [a.astype(np.int64) for a in _open(blob)]
+        more.insert(int(level) - 2, np.repeat(heads, runs))
+        found.setdefault(int(level), []).append(more)
+    return {k: [np.concatenate(x) for x in zip(*v)] for k, v in found.items()}
+
+
+# -- files
+
+def _keys(hashes: np.ndarray):
+    """How to sort the hashes, and the arrays to find them by."""
+    keys = mix(hashes)  # a range has hashes of equal first bits
+    order = np.argsort(keys)
+    keys = keys[order]
+    if len(keys) < PLAIN:
+        return order, [keys]
+    tops = np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)
+    return order, [np.r_[np.searchsorted(keys, tops), len(keys)].astype(np.uint32),
+                   (keys >> np.uint64(32)).astype(np.uint16), keys.astype(np.uint32)]
+
+
+def _column(values: np.ndarray) -> list:
+    """A byte per number, and the places and numbers of those of 255 and more; or, if they are many, all whole."""
+    more = np.flatnonzero(values >= 255)
+    if len(more) > len(values) / 8:
+        return [values.astype(np.uint32 if values.max() < 1 << 32 else np.uint64), more[:0], more[:0]]
+    return [np.minimum(values, 255).astype(np.uint8), more.astype(np.uint32), values[more].astype(np.int64)]
+
+
+def _write(uri: str, arrays) -> None:
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.itemsize, len(a))]], np.int64)
+    padded = [a.tobytes() + b"\0" * (-a.nbytes % 8) for a in [head, *arrays]]
+    put_array(uri, np.frombuffer(b"".join(padded), np.uint8))
+
+
+def _save(uri: str, hashes: np.ndarray, *columns) -> None:
+    """Numbers per hash."""
+    order, arrays = _keys(hashes)
+    _write(uri, arrays + [a for c in columns for a in _column(c[order])])
+
+
+def _sums_column(sums):
+    """Total and numbers of continuations seen once, twice and more often, per context, as a reference
+    to the distinct ones: most contexts have equal ones."""
+    _, first, which, n = np.unique(
+        _gram_hash(sums), return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(n), np.int64)
+    rank[order] = np.arange(len(n))
+    return _column(rank[which]), [s[first[order]].astype(np.int64) for s in sums]
+
+
+def _save_contexts(uri: str, hashes: np.ndarray, sums, follow=None) -> None:
+    """Sums per context; follow: for each one, how many n-grams, and their last words and counts."""
+    order, arrays = _keys(hashes)
+    which, table = _sums_column([s[order] for s in sums])
+    arrays += which + table
+    if follow:
+        n, last, counts = follow
+        start, n = (np.cumsum(n) - n)[order], n[order]
+        place = np.cumsum(n) - n
+        at = np.repeat(start - place, n) + np.arange(len(last))
+        last = last[at]
+        arrays += [np.r_[place, len(last)].astype(np.uint32), last.astype(np.uint16), smallest(last >> 16), *_column(counts[at])]
+    _write(uri, arrays)
+
+
+def _pick(column, at: np.ndarray) -> np.ndarray:
+    """Numbers of a _column."""
+    codes, places, large = column
+    out = codes[at].astype(np.int64)
+    more = np.flatnonzero(out == 255) if codes.itemsize == 1 else []
+    if len(more):
+        out[more] = large[np.searchsorted(places, at[more])]
+    return out
+
+
+class _Part:
+    """A mapped file of hashes with numbers, or of contexts."""
+
+    def __init__(self, uri: str):
+        whole = map_array(uri, np.uint8)
+        n = int(np.frombuffer(whole, np.int64, 1)[0])
+        head = np.frombuffer(whole, np.int64, 2 * n, 8).reshape(n, 2).tolist()
+        arrays, at = [], 8 + 16 * n
+        for width, length in head:
+            arrays.append(np.frombuffer(whole, f"u{width}", length, at))
+            at += -(-width * length // 8) * 8
+        keys = 1 if head[0][0] == 8 else 3
+        self.keys, self.rest = arrays[:keys], arrays[keys:]
+        self.steps = int(np.diff(self.keys[0].astype(np.int64)).max()).bit_length() if keys == 3 else 0
+
+    def find(self, keys: np.ndarray):
+        """Which keys are there, and at which places."""
+        if len(self.keys) == 1:
+            (known,) = self.keys
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = np.flatnonzero(known[at] == keys)
+            return hit, at[hit]
+        tops, middle, low = self.keys
+        top = (keys >> np.uint64(48)).astype(np.int64)
+        rest = (keys & np.uint64((1 << 48) - 1)).astype(np.int64)
+        value = lambda i: middle[i].astype(np.int64) << 32 | low[i]
+        at, end = tops[top].astype(np.int64), tops[top + 1].astype(np.int64)
+        for _ in range(self.steps):
+            half = (at + end) >> 1
+            right = (at < end) & (value(np.minimum(half, len(low) - 1)) < rest)
+            at, end = np.where(right, half + 1, at), np.where(right, end, half)
+        inside = np.minimum(at, len(low) - 1)
+        hit = np.flatnonzero((at < tops[top + 1]) & (value(inside) == rest))
+        return hit, at[hit]
+
+    def column(self, i: int, at: np.ndarray) -> np.ndarray:
+        return _pick(self.rest[3 * i:3 * i + 3], at)
+
+    def sums(self, at: np.ndarray):
+        """Which sums the contexts have, and the distinct sums as floating numbers."""
+        return self.column(0, at), [x.astype(np.float64) for x in self.rest[3:7]]
+
+    def following(self, at: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Counts of the n-grams of contexts and last words, 0 where there is none."""
+        places, low, high, *counts = self.rest[7:]
+        start, end = places[at].astype(np.int64), places[at + 1].astype(np.int64)
+        value = lambda i: high[i].astype(np.int64) << 16 | low[i]
+        on = np.flatnonzero(end - start > 1)
+        left, many, wanted = start[on], end[on] - start[on], last[on]
+        while len(on):  # the last one that is not larger
+            half = many >> 1
+            left = np.where(value(left + half) <= wanted, left + half, left)
+            many = many - half
+            over = many == 1
+            start[on[over]] = left[over]
+            go = ~over
+            on, left, many, wanted = on[go], left[go], many[go], wanted[go]
+        hit = np.flatnonzero(value(start) == last)
+        out = np.zeros(len(at), np.int64)
+        out[hit] = _pick(counts, start[hit])
+        return out
+
+
+# -- training
+
+def _count_words(frames):
+    """Hashes and counts of words, ends of texts included."""
+    held, texts = Counter(), 0
+
+    def rows():
+        found = np.r_[_word_hashes(held), END]
+        return pd.DataFrame({"word": found.view(np.int64), "n": np.array([*held.values(), texts], np.int64)})
 
-def _count_task(frames, order: int, bits: int):
-    hashes = WordHashes()
+    for frame in frames:
+        for text in frame["text"]:
+            held.update(words(text))
+            texts += 1
+            if len(held) >= HELD_WORDS:
+                yield rows()
+                held, texts = Counter(), 0
+    if texts:
+        yield rows()
+
+
+def _number_words(texts: DataFrame, model: Model, range_grams: int) -> None:
+    """Counts the words, numbers them from the most frequent on, and writes number and count per word."""
+    counts = texts.mapInPandas(tidy(_count_words), "word long, n long")
+    words = write_table(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "words")
+    model.train_tokens, model.vocabulary, hot = (int(x or 0) for x in words.agg(
+        F.sum("n"), F.count("*"), F.count_if(F.col("n") > HOT_SHARE * range_grams)).first())
+    # More ranges than the tokens ask for cost little.
+    model.bits = max(0, math.ceil(math.log2(max(1, model.train_tokens / range_grams))))
+    model.hot = hot if model.bits else -1
+    ranked = write_table(words.orderBy(F.desc("n"), "word").withColumn("at", F.monotonically_increasing_id()), "ranked")
+    sizes = ranked.groupBy(F.shiftright("at", 33).alias("part")).count().orderBy("part").collect()
+    ends = np.cumsum([0, *[r["count"] for r in sizes]])
+    before = texts.sparkSession.createDataFrame([(r["part"], int(n)) for r, n in zip(sizes, ends)], "part long, before long")
+    numbered = ranked.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(before), "part").select(
+        "word", "n", (F.col("at").bitwiseAND((1 << 33) - 1) + F.col("before") + 1).alias("number"),
+        (F.shiftrightunsigned("word", 64 - model.bits) if model.bits else F.lit(0)).cast("int").alias("shard"))
+
+    def save(key, frame):
+        _save(model.file(0, "word", False, key[0]), frame["word"].to_numpy(np.int64).view(np.uint64),
+              frame["number"].to_numpy(np.int64), frame["n"].to_numpy(np.int64))
+        return pd.DataFrame({"entries": [len(frame)]})
+
+    numbered.groupBy("shard").applyInPandas(save, "entries long").agg(F.sum("entries")).first()  # writes the files
+
+
+def _count_task(frames, model: Model):
+    numbers, order = _Files(model, 0, "word", 2), model.order
     for frame in frames:
         for _, lists in slices(frame["text"], BATCH_TOKENS, words):
-            columns, depth, _ = _windows(lists, hashes, order)
+            _, columns, depth, _, _ = _windows(lists, order, numbers.of_words)
             rows = []
             # The longest n-gram at a token; a shorter one starts a text and has no left side.
-            for level in range(min(2, order), order + 1):
+            for level in range(2, order + 1):
                 pick = depth >= order - 1 if level == order else depth == level - 1
                 own = [c[pick] for c in columns[order - level:]]
                 if len(own[0]):
-                    _, first, (n,) = _sum_by(_gram_hash(own), np.ones(len(own[0]), np.int64))
-                    own = [c[first] for c in own]
-                    # adjusted and raw count: the same where nothing can stand to the left
-                    rows += _gram_blobs(level, own, bits, n, n)
+                    rows += _gram_blobs(*_distinct(own), model)
             yield _frame(rows)
 
 
-def _reduce_grams(level: int, bits: int, path: str):
-    """Adds up one hash range of an order, writes it, and hands on what lower orders need."""
-
+def _sizes(adjusted) -> np.ndarray:
+    return np.array([(adjusted == c).sum() for c in (1, 2, 3, 4)], np.int64)
+
+
+def _add_up(model: Model, shard: int, hot: bool, frame, down_to: int):
+    """Adds the n-grams of a range up, from the largest order to down_to, and writes them. Returns
+    the rows that go on."""
+    found = _merge(frame)
+    rows, carried = [], None
+    for level in range(max(found), down_to - 1, -1):
+        parts = [x for x in (found.get(level), carried) if x is not None]
+        *columns, counts = [np.concatenate(x) for x in zip(*parts)]
+        columns, counts = _distinct(columns, counts)
+        rows.append((level, "sizes", 0, _squeeze(_sizes(counts))))
+        first = _starts(*columns[:-1])  # contexts stand in a row
+        sums = [np.add.reduceat(x, first) for x in (
+            counts, *[x.astype(np.int64) for x in (counts == 1, counts == 2, counts >= 3)])]
+        context = [c[first] for c in columns[:-1]]
+        follow = np.diff(np.r_[first, len(counts)]), columns[-1], counts
+        _save_contexts(model.file(level, "gram", hot, shard), _gram_hash(context), sums, follow)
+        if hot and level == 2:  # other ranges have more of them
+            rows += _word_blobs("context", context[0], model, *sums)
+        if level == 2:
+            last, kinds = np.unique(columns[1], return_counts=True)
+            rows += _word_blobs("word", last, model, kinds)
+        else:
+            columns, kinds = _distinct(columns[1:])
+            carried = [*columns, kinds]
+    if down_to > 2:
+        rows += _gram_blobs(carried[:-1], carried[-1], model)
+    return rows
+
+
+def _reduce_grams(level: int, model: Model):
+    """Adds up the n-grams of a range: those of hot words of one order, and all others at the first step."""
+
+    @tidy_group
     def run(key, frame):
-        shard = int(key[0])
-        parts = [unpack(b) for b in frame["blob"]]
-        columns = [np.concatenate([p[0][p[1 + i]] for p in parts]) for i in range(level)]
-        adjusted, raw = (
-            np.concatenate([p[1 + level + i].astype(np.int64) for p in parts]) for i in (0, 1)
-        )
-        grams, first, (adjusted, raw) = _sum_by(_gram_hash(columns), adjusted, raw)
-        columns = [c[first] for c in columns]
-        put_array(f"{path}/{level}/hash-{shard:06d}", grams)
-        put_array(f"{path}/{level}/count-{shard:06d}", smallest(adjusted))
-        rows = [(level, "sizes", 0, pack(np.array([(adjusted == c).sum() for c in (1, 2, 3, 4)], np.int64)))]
-        if level == 1:
-            put_array(f"{path}/1/raw-{shard:06d}", smallest(raw))
-            total = np.array([adjusted.sum(), raw.sum(), len(grams), (adjusted >= 3).sum()], np.int64)
-            return _frame(rows + [(1, "total", 0, pack(total))])
-        one = [(adjusted == 1), (adjusted == 2), (adjusted >= 3)]
-        contexts, _, sums = _sum_by(_gram_hash(columns[:-1]), adjusted, *[x.astype(np.int64) for x in one])
-        bounds = np.searchsorted(_shards(contexts, bits), np.arange((1 << bits) + 1))
-        for s in np.flatnonzero(np.diff(bounds)):
-            cut = slice(bounds[s], bounds[s + 1])
-            rows.append((level, "context", int(s), pack(contexts[cut], *[smallest(x[cut]) for x in sums])))
-        _, first, (kinds, raw) = _sum_by(_gram_hash(columns[1:]), np.ones(len(grams), np.int64), raw)
-        rows += _gram_blobs(level - 1, [c[first] for c in columns[1:]], bits, kinds, raw)
+        rows, hot = [], frame["kind"] == "hot"
+        now = hot & (frame["level"] == level)
+        if now.any():
+            rows += _add_up(model, int(key[0]), True, frame[now], level)
+        if level == model.order:
+            if not hot.all():
+                rows += _add_up(model, int(key[0]), False, frame[~hot], 2)
+            rows += frame[hot & ~now].itertuples(index=False, name=None)
         return _frame(rows)
 
     return run
 
 
-def _reduce_contexts(level: int, path: str, discounts):
+def _reduce_words(model: Model):
+    @tidy_group
     def run(key, frame):
-        shard = int(key[0])
-        parts = [unpack(b) for b in frame["blob"]]
-        keys = np.concatenate([p[0] for p in parts])
-        sums = [np.concatenate([p[i].astype(np.int64) for p in parts]) for i in (1, 2, 3, 4)]
-        keys, _, (total, n1, n2, n3) = _sum_by(keys, *sums)
-        d1, d2, d3 = discounts
-        put_array(f"{path}/{level}/context-{shard:06d}", keys)
-        put_array(f"{path}/{level}/total-{shard:06d}", total.astype(np.float32))
-        put_array(f"{path}/{level}/gamma-{shard:06d}", ((d1 * n1 + d2 * n2 + d3 * n3) / total).astype(np.float32))
-        return pd.DataFrame({"shard": [shard], "entries": [len(keys)]})
+        shard, rows = int(key[0]), []
+        of = lambda kind: [np.concatenate(x).astype(np.int64) for x in zip(*map(_open, frame["blob"][frame["kind"] == kind]))]
+        if context := of("context"):
+            found, *sums = _sum_by(*context)
+            _save_contexts(model.file(2, "context", True, shard), _hashes(found), sums)
+        if word := of("word"):
+            found, kinds = _sum_by(*word)
+            _save(model.file(1, "word", False, shard), _hashes(found), kinds)
+            total = np.array([kinds.sum(), (kinds >= 3).sum()], np.int64)
+            rows = [(1, "sizes", 0, _squeeze(_sizes(kinds))), (1, "total", 0, _squeeze(total))]
+        return _frame(rows)
 
     return run
 
@@ -181,12 +505,11 @@ def discounts(n) -> tuple:
     return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
 
 
-def _sums(rows: DataFrame, kind: str) -> np.ndarray:
-    """Sum of the small number arrays of one kind, one per hash range."""
-    blobs = rows.where(F.col("kind") == kind).select("blob").toLocalIterator()
-    total = np.zeros(4, np.int64)
-    for row in blobs:
-        total += unpack(row["blob"])[0]
+def _sums(rows: DataFrame, kind: str) -> dict:
+    """Sums of the small number arrays of one kind by level, one array per range and level."""
+    total = {}
+    for row in rows.where(F.col("kind") == kind).select("level", "blob").toLocalIterator():
+        total[row["level"]] = total.get(row["level"], 0) + _open(bytes(row["blob"]))[0].astype(np.int64)
     return total
 
 
@@ -200,68 +523,78 @@ def train(spark: SparkSession, texts: DataFrame, order: int = 2, path: str | Non
     if order < 2:
         raise ValueError("order must be 2 or more")
     texts = texts.select("text")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # A token takes about six bytes; more ranges than that asks for cost little.
-    bits = max(0, math.ceil(math.log2(max(1, size / 6 / range_grams))))
-    model = Model(path or scratch_path(spark, "ngrams"), order, bits)
-    rows = write_table(
-        texts.mapInPandas(lambda it: _count_task(it, order, bits), BLOB), "counts"
-    ) if order > 2 else texts.mapInPandas(lambda it: _count_task(it, order, bits), BLOB)
-    lower = None
-    for level in range(order, 0, -1):
-        grams = rows if level == order else (rows.unionByName(lower) if level > 1 and order > 2 else lower)
-        grams = grams.where((F.col("kind") == "gram") & (F.col("level") == level))
-        lower = write_table(
-            grams.groupBy("shard").applyInPandas(_reduce_grams(level, bits, model.path), BLOB), f"order{level}"
-        )
-        model.discounts[level] = discounts(_sums(lower, "sizes"))
-        if level > 1:
-            done = lower.where(F.col("kind") == "context").groupBy("shard").applyInPandas(
-                _reduce_contexts(level, model.path, model.discounts[level]), "shard int, entries long"
-            )
-            done.agg(F.sum("entries")).first()  # writes the files
-    adjusted, raw, vocabulary, heavy = (int(x) for x in _sums(lower, "total"))
-    ones, twos = (int(x) for x in _sums(lower, "sizes")[:2])
-    model.train_tokens, model.vocabulary, model.unigram_total = raw, vocabulary, adjusted
+    model = Model(path or scratch_path(spark, "ngrams"), order)
+    _number_words(texts, model, range_grams)
+    grams = texts.mapInPandas(tidy(lambda it: _count_task(it, model)), BLOB)
+    done = None
+    for level in range(order, 1 if model.bits else order - 1, -1):
+        now = grams if done is None else done.where((F.col("kind") == "hot") & (F.col("level") == level))
+        more = write_table(now.groupBy("shard").applyInPandas(_reduce_grams(level, model), BLOB), f"order{level}")
+        done = more if done is None else done.unionByName(more)
+    last = done.where(F.col("kind").isin("word", "context")).groupBy("shard").applyInPandas(_reduce_words(model), BLOB)
+    done = done.unionByName(write_table(last, "order1"))
+    sizes, none = _sums(done, "sizes"), np.zeros(4, np.int64)
+    model.discounts = {level: discounts(sizes.get(level, none)) for level in range(order, 0, -1)}
+    adjusted, heavy = (int(x) for x in _sums(done, "total").get(1, none)[:2])
+    ones, twos = (int(x) for x in sizes.get(1, none)[:2])
+    model.unigram_total = adjusted
     d1, d2, d3 = model.discounts[1]
     model.unigram_gamma = (d1 * ones + d2 * twos + d3 * heavy) / adjusted if adjusted else 1.0
     return model
 
 
-class _Arrays:
-    """The mapped arrays of one kind, in hash order."""
+# -- scoring
 
-    def __init__(self, model: Model, level: int, key: str, **values):
-        self.base, self.bits, self.key, self.values = f"{model.path}/{level}", model.bits, key, values
-        self.open = {}
+class _Files:
+    """The mapped files of one level and kind."""
 
-    def _part(self, shard: int):
-        if shard not in self.open:
-            name = lambda k: f"{self.base}/{k}-{shard:06d}"
+    def __init__(self, model: Model, level: int, kind: str, columns: int = 1):
+        self.model, self.level, self.kind, self.columns, self.open = model, level, kind, columns, {}
+
+    def _part(self, hot: int, shard: int):
+        if (hot, shard) not in self.open:
             try:
-                keys = map_array(name(self.key), np.uint64)
-                self.open[shard] = [keys] + [
-                    map_array(name(k), kind, len(keys)) for k, kind in self.values.items()
-                ]
-            except FileNotFoundError:  # no n-gram falls into this range
-                self.open[shard] = None
-        return self.open[shard]
-
-    def find(self, hashes: np.ndarray):
-        """For each hash, the values stored for it, 0 where there are none."""
-        wanted, back = np.unique(hashes, return_inverse=True)
-        out = [np.zeros(len(wanted), np.float64) for _ in self.values]
-        bounds = np.searchsorted(_shards(wanted, self.bits), np.arange((1 << self.bits) + 1))
-        for s in np.flatnonzero(np.diff(bounds)):
-            part = self._part(int(s))
-            if part is None or not len(part[0]):
-                continue
-            ask = wanted[bounds[s]:bounds[s + 1]]
-            at = np.minimum(np.searchsorted(part[0], ask), len(part[0]) - 1)
-            hit = part[0][at] == ask
-            for column, stored in zip(out, part[1:]):
-                column[bounds[s]:bounds[s + 1]] = np.where(hit, stored[at], 0)
-        return [column[back] for column in out]
+                self.open[hot, shard] = _Part(self.model.file(self.level, self.kind, hot, shard))
+            except FileNotFoundError:  # nothing falls into this range
+                self.open[hot, shard] = None
+        return self.open[hot, shard]
+
+    def _found(self, hashes, hot, shards):
+        """Per file, the rows whose hash is there, and where."""
+        keys, codes, width = mix(hashes), (shards * 2 + hot).astype(np.uint64), np.uint64(self.model.bits + 1)
+        # By file and key: equal ones are looked up once, and near ones together.
+        order = np.argsort(codes << np.uint64(64) - width | keys >> width)
+        keys, codes = keys[order], codes[order]
+        bounds = np.r_[_starts(codes), len(codes)]
+        for a, b in zip(bounds, bounds[1:]):
+            if part := self._part(int(codes[a]) & 1, int(codes[a]) >> 1):
+                own = keys[a:b]
+                first = _starts(own)
+                hit, place = part.find(own[first])
+                n = np.diff(np.r_[first, len(own)])
+                there = np.zeros(len(first), bool)
+                there[hit] = True
+                yield part, order[a:b][np.repeat(there, n)], np.repeat(place, n[hit])
+
+    def of_words(self, hashes) -> list:
+        """For each hash of a word, the numbers stored for it, 0 where there are none."""
+        out = [np.zeros(len(hashes), np.int64) for _ in range(self.columns)]
+        for part, at, place in self._found(hashes, np.zeros(len(hashes), bool), _shards(hashes, self.model.bits)):
+            for i, column in enumerate(out):
+                column[at] = part.column(i, place)
+        return out
+
+    def contexts(self, hashes, hot, shards, last=None):
+        """Total and weight of the lower order, 0 for a context not seen, and with the last words the
+        counts of the n-grams."""
+        total, gamma, count = np.zeros(len(hashes)), np.zeros(len(hashes)), np.zeros(len(hashes), np.int64)
+        d1, d2, d3 = self.model.discounts[self.level]
+        for part, at, place in self._found(hashes, hot, shards):
+            which, (t, n1, n2, n3) = part.sums(place)
+            total[at], gamma[at] = t[which], ((d1 * n1 + d2 * n2 + d3 * n3) / t)[which]
+            if last is not None:
+                count[at] = part.following(place, last[at])
+        return total, gamma, count
 
 
 def _discounted(count: np.ndarray, d) -> np.ndarray:
@@ -269,26 +602,30 @@ def _discounted(count: np.ndarray, d) -> np.ndarray:
 
 
 def _score_task(frames, model: Model):
-    hashes = WordHashes()
-    unigrams = _Arrays(model, 1, "hash", count="u", raw="u")
-    grams = {k: _Arrays(model, k, "hash", count="u") for k in range(2, model.order + 1)}
-    contexts = {k: _Arrays(model, k, "context", total=np.float32, gamma=np.float32) for k in grams}
+    numbers = _Files(model, 0, "word", 2)
+    unigrams, hot_words = _Files(model, 1, "word"), _Files(model, 2, "context")
+    grams = {k: _Files(model, k, "gram") for k in range(2, model.order + 1)}
     places = 1 / (model.vocabulary + 1)
     for frame in frames:
         found = []
-        for _, lists in slices(frame["text"], BATCH_TOKENS, words):
-            columns, depth, lengths = _windows(lists, hashes, model.order)
-            count, raw = unigrams.find(columns[-1])
-            p = np.full(len(count), places) if not model.unigram_total else (
+        for _, lists in slices(frame["text"], BATCH_TOKENS // 2, words):
+            (known, raw), columns, depth, place, lengths = _windows(lists, model.order, numbers.of_words)
+            (count,) = unigrams.of_words(_hashes(known))
+            p = np.full(len(known), places) if not model.unigram_total else (
                 _discounted(count, model.discounts[1]) / model.unigram_total + model.unigram_gamma * places
             )
+            p, raw = p[place], raw[place]
             for k in range(2, model.order + 1):
-                own = [c for c in columns[model.order - k:]]
-                (count,) = grams[k].find(_gram_hash(own))
-                total, gamma = contexts[k].find(_gram_hash(own[:-1]))
-                known = (total > 0) & (depth >= k - 1)
-                seen = _discounted(count, model.discounts[k]) / np.where(known, total, 1)
-                p = np.where(known, seen + gamma * p, p)
+                own = columns[model.order - k:]
+                total, gamma, count = grams[k].contexts(_gram_hash(own[:-1]), *_route(model, own), own[-1])
+                if k == 2:  # the bigrams of a hot word are in all ranges
+                    at = np.flatnonzero(own[0] <= model.hot)
+                    hot, back = np.unique(own[0][at], return_inverse=True)
+                    sums = hot_words.contexts(_hashes(hot), *_route(model, [hot], True))
+                    total[at], gamma[at] = sums[0][back], sums[1][back]
+                seen = _discounted(count, model.discounts[k])
+                at = (total > 0) & (depth >= k - 1)
+                p = np.where(at, seen / np.where(at, total, 1) + gamma * p, p)
             first = np.r_[0, np.cumsum(lengths)[:-1]]
             base = np.log10((raw + 1) / (model.train_tokens + 1.0 * (model.vocabulary + 1)))
             found.append(pd.DataFrame({
@@ -311,7 +648,7 @@ def score(texts: DataFrame, model: Model, keys=("doc_id",)) -> DataFrame:
     end token. Repeated rows are scored each; other columns are left out."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*keys).schema)
     return texts.select(*keys, "text").mapInPandas(
-        lambda it: _score_task(it, model), f"{kinds}, {SCORES}" if kinds else SCORES
+        tidy(lambda it: _score_task(it, model)), f"{kinds}, {SCORES}" if kinds else SCORES
     )
 
 

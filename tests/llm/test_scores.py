@@ -3,6 +3,7 @@
 import itertools
 import math
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderlog.llm import kneser_ney, languages, licences, toxicity
-from cinderlog.llm.common import words
+from cinderlog.llm.common import mix, words
 from cinderlog.llm.queries import QUERIES
+from cinderlog.session import scratch_root
 
 DOCS = "doc_id long, text string"
 
@@ -85,6 +87,52 @@ def test_kneser_ney_query_scores_with_two_words_of_context(spark, tmp_path):
         assert r["score"] == pytest.approx(score(texts[r["doc_id"]]), rel=1e-5)
 
 
+@pytest.mark.parametrize("order, range_grams", [(2, 12), (3, 12), (4, 12), (4, 1), (4, 10**6)])
+def test_kneser_ney_with_hot_and_other_words(spark, order, range_grams):
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in draw.zipf(1.6, 9) % 40) for _ in range(40)]
+    model = kneser_ney.train(spark, spark.createDataFrame(list(enumerate(texts)), DOCS), order, range_grams=range_grams)
+    assert range_grams > 12 or 0 < model.hot < model.vocabulary or range_grams == 1
+    asked = texts + ["w1 w2 new w1 w1", "w3 w1 w2 w1 w1 w5"]
+    got = kneser_ney.score(spark.createDataFrame(list(enumerate(asked)), DOCS), model).orderBy("doc_id").collect()
+    score, _ = plain_model(texts, order)
+    for row, text in zip(got, asked):
+        assert row["score"] == pytest.approx(score(text), rel=1e-9)
+
+
+def test_kneser_ney_takes_few_bytes_per_trigram(spark):
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(x)}" for x in draw.integers(0, 3000, 500)) for _ in range(120)]
+    folder = scratch_root(spark).removeprefix("file:")
+    size = lambda: sum(f.stat().st_size for f in Path(folder).rglob("*") if f.is_file())
+    before = size()
+    kneser_ney.train(spark, spark.createDataFrame(list(enumerate(texts)), DOCS), 3)
+    assert 0 < size() - before < 40 * 120 * 500  # nearly all trigrams and bigrams are there once
+
+
+@pytest.mark.parametrize("size", [1, 5000, kneser_ney.PLAIN + 5])
+def test_files_of_contexts(tmp_path, size):
+    draw = np.random.default_rng(size)
+    keys = np.unique(draw.integers(0, 1 << 63, size).astype(np.uint64))
+    n = draw.integers(1, 6, len(keys))
+    last = np.concatenate([np.sort(draw.choice(200_000 if i % 2 else 9, k, replace=False)) for i, k in enumerate(n)])
+    counts = np.where(draw.random(len(last)) < 0.01, 70_000, draw.integers(1, 4, len(last)))
+    first = np.cumsum(n) - n
+    sums = [np.add.reduceat(x, first) for x in (counts, (counts == 1) * 1, (counts == 2) * 1, (counts >= 3) * 1)]
+    kneser_ney._save_contexts(f"file://{tmp_path}/x", keys, sums, (n, last, counts))
+    part = kneser_ney._Part(f"file://{tmp_path}/x")
+    hit, place = part.find(mix(np.r_[keys, keys + np.uint64(1)]))
+    assert set(range(len(keys))) <= set(hit.tolist())
+    hit, place = part.find(mix(keys))
+    which, table = part.sums(place)
+    assert all((t[which] == s).all() for t, s in zip(table, sums))
+    at = np.repeat(place, n)
+    assert (part.following(at, last) == counts).all()
+    there = set(zip(at.tolist(), last.tolist()))
+    found = part.following(at, last + 1)
+    assert all(bool(f) == ((a, w + 1) in there) for f, a, w in zip(found.tolist(), at.tolist(), last.tolist()))
+
+
 def test_kneser_ney_without_texts(spark):
     none = spark.createDataFrame([], DOCS)
     model = kneser_ney.train(spark, none)
