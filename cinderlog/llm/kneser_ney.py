@@ -68,10 +68,10 @@ def _word_hashes(words) -> np.ndarray:
 
 
 def _windows(token_lists, order: int, numbers):
-    """What numbers has for each distinct word (its number first); the numbers of the words
-    t-order+1..t, a column each, for every token t of every text, end included (BEGIN where there
-    is no word); how many words before it (BEGIN counts) stand in its own text; where among
-    the distinct words it is; tokens per text. Empties token_lists."""
+    """What numbers has for each distinct word (its number first); where among them the words
+    t-order+1..t are, a column each, for every token t of every text, end included (BEGIN, the
+    first, where there is no word); how many words before it (BEGIN counts) stand in its own
+    text; tokens per text. Empties token_lists."""
     lengths = np.array([len(t) + 2 for t in token_lists])
     places = defaultdict(itertools.count(2).__next__)  # after begin and end
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
@@ -88,12 +88,12 @@ def _windows(token_lists, order: int, numbers):
     before = np.arange(len(flat)) - np.repeat(starts, lengths)
     at = np.flatnonzero(before > 0)
     depth = before[at]
-    known, columns = found[0][flat], []
+    columns = []
     for back in range(order - 1, -1, -1):
-        column = known[at - np.minimum(back, depth)]
-        column[depth < back] = BEGIN
+        column = flat[at - np.minimum(back, depth)]
+        column[depth < back] = 0
         columns.append(column)
-    return found, columns, depth, flat[at], lengths - 1
+    return found, columns, depth, lengths - 1
 
 
 def _hashes(numbers: np.ndarray) -> np.ndarray:
@@ -116,15 +116,28 @@ def _starts(*columns) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _ranks(columns):
+    """The sorted distinct numbers, and where they are among them."""
+    top = max(int(c.max()) for c in columns) + 1
+    if top > 1 << 24:
+        known, places = np.unique(np.concatenate(columns), return_inverse=True)
+        return known, np.split(places.astype(np.int64), len(columns))
+    used = np.zeros(top, bool)
+    for c in columns:
+        used[c] = True
+    rank = np.cumsum(used, dtype=np.int32) - 1
+    return np.flatnonzero(used), [rank[c].astype(np.int64) for c in columns]
+
+
 def _distinct(columns, *values):
     """Distinct n-grams by their next to last word, then the others from the left, and the sums
     of values, or else how often each is there."""
     keys = [columns[-2], *columns[:-2], columns[-1]]
     width = max(1, max(int(c.max()) for c in keys).bit_length())
     if width * len(keys) >= 64:  # places among the words at hand are smaller
-        known, places = np.unique(np.concatenate(columns), return_inverse=True)
+        known, places = _ranks(columns)
         if len(known).bit_length() * len(keys) < 64:
-            columns, *sums = _distinct(np.split(places.astype(np.int64), len(keys)), *values)
+            columns, *sums = _distinct(places, *values)
             return [known[c] for c in columns], *sums
         at = np.lexsort(keys[::-1])
         keys = [c[at] for c in keys]
@@ -414,14 +427,15 @@ def _count_task(frames, model: Model):
     numbers, order = _Files(model, 0, "word", 2), model.order
     for frame in frames:
         for _, lists in slices(frame["text"], BATCH_TOKENS, words):
-            _, columns, depth, _, _ = _windows(lists, order, numbers.of_words)
+            found, columns, depth, _ = _windows(lists, order, numbers.of_words)
             rows = []
             # The longest n-gram at a token; a shorter one starts a text and has no left side.
             for level in range(2, order + 1):
                 pick = depth >= order - 1 if level == order else depth == level - 1
                 own = [c[pick] for c in columns[order - level:]]
                 if len(own[0]):
-                    rows += _gram_blobs(*_distinct(own), model)
+                    own, n = _distinct(own)
+                    rows += _gram_blobs([found[0][c] for c in own], n, model)
             yield _frame(rows)
 
 
@@ -598,7 +612,7 @@ class _Files:
 
 
 def _discounted(count: np.ndarray, d) -> np.ndarray:
-    return np.where(count <= 0, 0, count - np.choose(np.clip(count, 1, 3).astype(int) - 1, d))
+    return count - np.array([0, *d])[np.minimum(count, 3)]
 
 
 def _score_task(frames, model: Model):
@@ -609,12 +623,13 @@ def _score_task(frames, model: Model):
     for frame in frames:
         found = []
         for _, lists in slices(frame["text"], BATCH_TOKENS // 2, words):
-            (known, raw), columns, depth, place, lengths = _windows(lists, model.order, numbers.of_words)
+            (known, raw), columns, depth, lengths = _windows(lists, model.order, numbers.of_words)
             (count,) = unigrams.of_words(_hashes(known))
             p = np.full(len(known), places) if not model.unigram_total else (
                 _discounted(count, model.discounts[1]) / model.unigram_total + model.unigram_gamma * places
             )
-            p, raw = p[place], raw[place]
+            p, raw = p[columns[-1]], raw[columns[-1]]
+            columns = [known[c] for c in columns]
             for k in range(2, model.order + 1):
                 own = columns[model.order - k:]
                 total, gamma, count = grams[k].contexts(_gram_hash(own[:-1]), *_route(model, own), own[-1])
