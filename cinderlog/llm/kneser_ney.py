@@ -1,5 +1,8 @@
 """LM scoring: interpolated modified Kneser-Ney, counted in Spark.
 
+Words. Arrow cuts the texts and numbers their distinct words, so all that follows is done once per
+distinct word or n-gram of a batch, on arrays of numbers.
+
 Counting. A first pass counts words and numbers them, frequent ones first. Then each task reduces its
 n-grams to distinct ones with counts and hands them out as packed blobs of word numbers, by range of
 the hash of their next to last word. An n-gram, its context and the shorter n-gram that it ends in
@@ -12,33 +15,35 @@ Stored are sorted 64-bit hashes of the contexts, the first 16 bits as places in
 numbers and counts of the words that follow each; counts take a byte, with a list of the larger
 ones, and a context refers to one of the distinct sums in its file.
 
-Scoring. Workers map the files into memory and look the n-grams of a batch up by binary
-search; no document is shuffled. Files are replaced whole, so lost tasks repeat safely.
+Scoring. Workers map the files into memory and look the distinct n-grams of a batch up by binary
+search, in the order of the files; no document is shuffled. Files are replaced whole, so lost tasks
+repeat safely.
 """
 
 import hashlib
-import itertools
 import json
 import math
-from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import FOLD, chain, map_array, mix, put_array, slices, smallest, tidy, tidy_group, words
+from cinderlog.llm.common import FOLD, chain, map_array, mix, put_array, smallest, tidy, tidy_group
 from cinderlog.session import scratch_path, write_table
 
 END = np.uint64(0x2545F4914F6CDD1D)
 # Numbers of words: BEGIN is before all texts, the others count from 1, and UNKNOWN is in no n-gram.
 BEGIN, UNKNOWN = 0, 1 << 40
 BLOB = "level int, kind string, shard int, blob binary"
-# Tokens a task works on at a time, words it holds counts of, and n-grams of a hash range at most,
-# before equal ones of different tasks are added up.
-BATCH_TOKENS, HELD_WORDS, RANGE_GRAMS = 1_000_000, 500_000, 2_000_000
+# Bytes of texts whose words are numbered together, tokens a task works on at a time, words it holds
+# counts of, and n-grams of a hash range at most, before equal ones of different tasks are added up.
+BATCH_BYTES, BATCH_TOKENS, HELD_WORDS, RANGE_GRAMS = 1 << 25, 1_000_000, 500_000, 2_000_000
+# A longer word is hashed by a digest.
+LONG_WORD = 64
 # A word is hot from this share of a range on. Fewer hashes than PLAIN are stored whole.
 HOT_SHARE, PLAIN = 1 / 8, 1 << 17
 
@@ -61,39 +66,94 @@ class Model:
         return f"{self.path}/{level}/{kind}-{'hot' if hot else 'cold'}-{int(shard):06d}"
 
 
-# -- n-grams as columns of word numbers
+# -- texts as numbers of words, n-grams as columns of them
 
-def _word_hashes(words) -> np.ndarray:
-    return np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
+def _runs(sizes: np.ndarray, budget: int):
+    """Bounds of consecutive rows of about budget in all."""
+    first = _starts((np.cumsum(sizes) - sizes) // budget)
+    return zip(first.tolist(), [*first[1:].tolist(), len(sizes)])
+
+
+def _text_batches(batches):
+    """Rows of Arrow batches, with about BATCH_BYTES of text at a time."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        for a, b in _runs(size.astype(np.int64), BATCH_BYTES):
+            yield batch.slice(a, b - a)
 
 
-def _windows(token_lists, order: int, numbers):
-    """What numbers has for each distinct word (its number first); where among them the words
-    t-order+1..t are, a column each, for every token t of every text, end included (BEGIN, the
-    first, where there is no word); how many words before it (BEGIN counts) stand in its own
-    text; tokens per text. Empties token_lists."""
-    lengths = np.array([len(t) + 2 for t in token_lists])
-    places = defaultdict(itertools.count(2).__next__)  # after begin and end
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+def _encode(texts):
+    """Hashes of the distinct words, where among them each word of the texts is, and words per text.
+    The words are those of common.words: Arrow lowers A-Z only and cuts at the same six bytes."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    encoded, lengths = pc.dictionary_encode(lists.flatten()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    codes, distinct = encoded.indices.to_numpy(), encoded.dictionary
+    empty = pc.index(distinct, pa.scalar("", distinct.type)).as_py()
+    if empty >= 0:  # before the first and after the last word
+        there = codes != empty
+        lengths = np.diff(np.r_[0, np.cumsum(there)][np.r_[0, np.cumsum(lengths)]])
+        codes = codes[there]
+    return _word_hashes(distinct), codes, lengths
+
+
+def _word_hashes(words) -> np.ndarray:
+    """Hashes of the words of an Arrow array, 8 bytes at a time."""
+    words = pa.concat_arrays([words.cast(pa.large_binary())])  # without an offset
+    if not len(words):
+        return np.empty(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)
+    data = np.r_[np.frombuffer(words.buffers()[2] or b"", np.uint8)[:ends[-1]], np.zeros(8, np.uint8)]
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the 8 bytes from each place on
+    start, size = ends[:-1], np.diff(ends)
+    hashes = mix(size.astype(np.uint64) + np.uint64(FOLD))
+    long = size > LONG_WORD
+    at, done = np.flatnonzero(~long & (size > 0)), 0
+    while len(at):
+        unused = np.maximum(done + 8 - size[at], 0).astype(np.uint64) * np.uint64(8)
+        hashes[at] = chain(hashes[at], eights[start[at] + done] << unused >> unused)
+        done += 8
+        at = at[size[at] > done]
+    for i in np.flatnonzero(long):
+        hashes[i] = int.from_bytes(hashlib.blake2b(words[i].as_py(), digest_size=8).digest(), "little")
+    return hashes
+
+
+def _flat(codes, lengths):
+    """The words' numbers, text by text, with 0 before and 1 after each text and 2 and more for the words; how
+    many there are before each of them in its text."""
+    lengths = lengths + 2
+    starts = np.cumsum(lengths) - lengths
     inside = np.ones(lengths.sum(), bool)
     inside[starts] = inside[starts + lengths - 1] = False
-    flat = np.zeros(len(inside), np.int64)
+    flat = np.zeros(len(inside), np.int32)
     flat[starts + lengths - 1] = 1
-    flat[inside] = np.fromiter(
-        map(places.__getitem__, itertools.chain.from_iterable(token_lists)), np.int64, lengths.sum() - 2 * len(lengths))
-    token_lists.clear()  # memory
-    found = numbers(np.r_[END, _word_hashes(places)])
-    found = [np.r_[0, x] for x in found]
+    flat[inside] = codes + 2
+    return flat, np.arange(len(flat), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
+
+
+def _slices(codes, lengths, budget: int):
+    """(first text, end of texts, their words by _flat and how many are before each), about budget tokens at a time."""
+    ends = np.r_[0, np.cumsum(lengths)]
+    for a, b in _runs(lengths + 1, budget):
+        yield a, b, *_flat(codes[ends[a]:ends[b]], lengths[a:b])
+
+
+def _known(files, hashes) -> list:
+    """What files have for the words of _flat (their number first, UNKNOWN where there is none)."""
+    found = [np.r_[0, x] for x in files.of_words(np.r_[END, hashes])]
     found[0][1:][found[0][1:] == 0] = UNKNOWN
-    before = np.arange(len(flat)) - np.repeat(starts, lengths)
-    at = np.flatnonzero(before > 0)
-    depth = before[at]
-    columns = []
-    for back in range(order - 1, -1, -1):
-        column = flat[at - np.minimum(back, depth)]
-        column[depth < back] = 0
-        columns.append(column)
-    return found, columns, depth, lengths - 1
+    return found
+
+
+def _pairs(left, right):
+    """Distinct pairs of numbers under 2 ** 31, in order, and which of them each row has."""
+    packed = left.astype(np.int64) << 32 | right
+    order = np.argsort(packed)
+    packed = packed[order]
+    first, which = _starts(packed), np.empty(len(packed), np.int64)
+    which[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(packed)]))
+    packed = packed[first]
+    return packed >> 32, packed & 0xFFFFFFFF, which
 
 
 def _hashes(numbers: np.ndarray) -> np.ndarray:
@@ -144,7 +204,7 @@ def _distinct(columns, *values):
         first, n = _starts(*keys), len(at)
         keys = [c[first] for c in keys]
     else:
-        packed = keys[0]
+        packed = keys[0].astype(np.int64)
         for c in keys[1:]:
             packed = packed << width | c
         at = np.argsort(packed) if values else None
@@ -359,18 +419,19 @@ class _Part:
     def following(self, at: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Counts of the n-grams of contexts and last words, 0 where there is none."""
         places, low, high, *counts = self.rest[7:]
-        start, end = places[at].astype(np.int64), places[at + 1].astype(np.int64)
+        start = places[at].astype(np.int64)
+        many = places[at + 1].astype(np.int64) - start
         value = lambda i: high[i].astype(np.int64) << 16 | low[i]
-        on = np.flatnonzero(end - start > 1)
-        left, many, wanted = start[on], end[on] - start[on], last[on]
-        while len(on):  # the last one that is not larger
-            half = many >> 1
-            left = np.where(value(left + half) <= wanted, left + half, left)
-            many = many - half
-            over = many == 1
-            start[on[over]] = left[over]
-            go = ~over
-            on, left, many, wanted = on[go], left[go], many[go], wanted[go]
+        steps = np.frexp(many - 1)[1].astype(np.int8)
+        order = np.argsort(-steps, kind="stable")  # those that take most steps stand in front
+        going = np.cumsum(np.bincount(steps, minlength=1)[::-1])[::-1]
+        left, many, wanted = start[order], many[order], last[order]
+        for n in going[1:].tolist():  # the last one that is not larger
+            half = many[:n] >> 1
+            probe = left[:n] + half
+            left[:n] = np.where(value(probe) <= wanted[:n], probe, left[:n])
+            many[:n] -= half
+        start[order] = left
         hit = np.flatnonzero(value(start) == last)
         out = np.zeros(len(at), np.int64)
         out[hit] = _pick(counts, start[hit])
@@ -379,28 +440,27 @@ class _Part:
 
 # -- training
 
-def _count_words(frames):
+def _count_words(batches):
     """Hashes and counts of words, ends of texts included."""
-    held, texts = Counter(), 0
+    held = []
 
     def rows():
-        found = np.r_[_word_hashes(held), END]
-        return pd.DataFrame({"word": found.view(np.int64), "n": np.array([*held.values(), texts], np.int64)})
-
-    for frame in frames:
-        for text in frame["text"]:
-            held.update(words(text))
-            texts += 1
-            if len(held) >= HELD_WORDS:
-                yield rows()
-                held, texts = Counter(), 0
-    if texts:
+        found, n = held.pop()
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for batch in _text_batches(batches):
+        hashes, codes, lengths = _encode(batch.column("text"))
+        held.append((np.r_[hashes, END], np.r_[np.bincount(codes, minlength=len(hashes)), len(lengths)]))
+        held = [_sum_by(*[np.concatenate(x) for x in zip(*held)])]
+        if len(held[0][0]) >= HELD_WORDS:
+            yield rows()
+    if held:
         yield rows()
 
 
 def _number_words(texts: DataFrame, model: Model, range_grams: int) -> None:
     """Counts the words, numbers them from the most frequent on, and writes number and count per word."""
-    counts = texts.mapInPandas(tidy(_count_words), "word long, n long")
+    counts = texts.mapInArrow(tidy(_count_words), "word long, n long")
     words = write_table(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "words")
     model.train_tokens, model.vocabulary, hot = (int(x or 0) for x in words.agg(
         F.sum("n"), F.count("*"), F.count_if(F.col("n") > HOT_SHARE * range_grams)).first())
@@ -423,20 +483,27 @@ def _number_words(texts: DataFrame, model: Model, range_grams: int) -> None:
     numbered.groupBy("shard").applyInPandas(save, "entries long").agg(F.sum("entries")).first()  # writes the files
 
 
-def _count_task(frames, model: Model):
-    numbers, order = _Files(model, 0, "word", 2), model.order
-    for frame in frames:
-        for _, lists in slices(frame["text"], BATCH_TOKENS, words):
-            found, columns, depth, _ = _windows(lists, order, numbers.of_words)
+def _count_task(batches, model: Model):
+    numbers, order = _Files(model, 0, "word"), model.order
+    for batch in _text_batches(batches):
+        hashes, codes, lengths = _encode(batch.column("text"))
+        (known,) = _known(numbers, hashes)
+        for _, _, flat, depth in _slices(codes, lengths, BATCH_TOKENS):
+            columns = [flat]
+            for back in range(1, order):
+                columns.insert(0, np.r_[np.zeros(back, np.int32), flat[:-back]])
+                columns[0][depth < back] = 0
             rows = []
             # The longest n-gram at a token; a shorter one starts a text and has no left side.
             for level in range(2, order + 1):
-                pick = depth >= order - 1 if level == order else depth == level - 1
+                pick = np.flatnonzero(depth >= order - 1 if level == order else depth == level - 1)
                 own = [c[pick] for c in columns[order - level:]]
-                if len(own[0]):
+                if len(pick):
                     own, n = _distinct(own)
-                    rows += _gram_blobs([found[0][c] for c in own], n, model)
-            yield _frame(rows)
+                    rows += _gram_blobs([known[c] for c in own], n, model)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.int32(), pa.binary()))],
+                ["level", "kind", "shard", "blob"])
 
 
 def _sizes(adjusted) -> np.ndarray:
@@ -539,7 +606,7 @@ def train(spark: SparkSession, texts: DataFrame, order: int = 2, path: str | Non
     texts = texts.select("text")
     model = Model(path or scratch_path(spark, "ngrams"), order)
     _number_words(texts, model, range_grams)
-    grams = texts.mapInPandas(tidy(lambda it: _count_task(it, model)), BLOB)
+    grams = texts.mapInArrow(tidy(lambda it: _count_task(it, model)), BLOB)
     done = None
     for level in range(order, 1 if model.bits else order - 1, -1):
         now = grams if done is None else done.where((F.col("kind") == "hot") & (F.col("level") == level))
@@ -574,21 +641,15 @@ class _Files:
         return self.open[hot, shard]
 
     def _found(self, hashes, hot, shards):
-        """Per file, the rows whose hash is there, and where."""
+        """Distinct hashes by file and place: for each file that has some, the file, which hashes, and where."""
         keys, codes, width = mix(hashes), (shards * 2 + hot).astype(np.uint64), np.uint64(self.model.bits + 1)
-        # By file and key: equal ones are looked up once, and near ones together.
         order = np.argsort(codes << np.uint64(64) - width | keys >> width)
         keys, codes = keys[order], codes[order]
         bounds = np.r_[_starts(codes), len(codes)]
         for a, b in zip(bounds, bounds[1:]):
             if part := self._part(int(codes[a]) & 1, int(codes[a]) >> 1):
-                own = keys[a:b]
-                first = _starts(own)
-                hit, place = part.find(own[first])
-                n = np.diff(np.r_[first, len(own)])
-                there = np.zeros(len(first), bool)
-                there[hit] = True
-                yield part, order[a:b][np.repeat(there, n)], np.repeat(place, n[hit])
+                hit, place = part.find(keys[a:b])
+                yield part, order[a:b][hit], place
 
     def of_words(self, hashes) -> list:
         """For each hash of a word, the numbers stored for it, 0 where there are none."""
@@ -598,16 +659,30 @@ class _Files:
                 column[at] = part.column(i, place)
         return out
 
-    def contexts(self, hashes, hot, shards, last=None):
-        """Total and weight of the lower order, 0 for a context not seen, and with the last words the
-        counts of the n-grams."""
-        total, gamma, count = np.zeros(len(hashes)), np.zeros(len(hashes)), np.zeros(len(hashes), np.int64)
+    def contexts(self, hashes, hot, shards, of=None, last=None):
+        """Total and weight of the lower order, 0 for a context not seen, and the counts of n-grams, given by
+        which context they are of and their last words."""
+        total, gamma = np.zeros(len(hashes)), np.zeros(len(hashes))
         d1, d2, d3 = self.model.discounts[self.level]
+        rank, found, parts = np.full(len(hashes), -1), [], []
         for part, at, place in self._found(hashes, hot, shards):
             which, (t, n1, n2, n3) = part.sums(place)
             total[at], gamma[at] = t[which], ((d1 * n1 + d2 * n2 + d3 * n3) / t)[which]
-            if last is not None:
-                count[at] = part.following(place, last[at])
+            start = parts[-1][2] if parts else 0
+            rank[at] = np.arange(start, start + len(at))
+            found.append(place)
+            parts.append((part, start, start + len(at)))
+        if of is None:
+            return total, gamma
+        count, width = np.zeros(len(of), np.int64), self.model.vocabulary.bit_length()
+        asked = np.flatnonzero((rank[of] >= 0) & (last != UNKNOWN))
+        packed = rank[of[asked]] << width | last[asked]
+        order = np.argsort(packed)
+        packed, asked = packed[order], asked[order]
+        for (part, start, end), place in zip(parts, found):
+            a, b = np.searchsorted(packed, [start << width, end << width])
+            own = packed[a:b]
+            count[asked[a:b]] = part.following(place[(own >> width) - start], own & ((1 << width) - 1))
         return total, gamma, count
 
 
@@ -615,43 +690,68 @@ def _discounted(count: np.ndarray, d) -> np.ndarray:
     return count - np.array([0, *d])[np.minimum(count, 3)]
 
 
-def _score_task(frames, model: Model):
+def _probabilities(model: Model, known, p, flat, depth, grams, hot_words) -> np.ndarray:
+    """log10 of the probability of each of _flat; known and p have the numbers of its words and their
+    probabilities alone. Orders go up: an n-gram is the one before without its last word, and that word."""
+    logs, bits, of_words = np.log10(p)[flat], model.bits, _hashes(known)
+    which, hashes, tail = flat, of_words, np.arange(len(known))  # n-grams: which is where, hashes, last words
+    for k in range(2, model.order + 1):
+        at = np.flatnonzero(depth >= k - 1)
+        if not len(at):
+            break
+        before, last, own = _pairs(which[at - 1], flat[at])
+        first = _starts(before)
+        context, of = before[first], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(before)]))
+        v = tail[context]
+        hot, lead, grown = known[v] <= model.hot, hashes[context], chain(hashes[before], of_words[last])
+        shards = _shards(np.where(hot, lead, of_words[v]), bits)
+        if k == 2 and hot.any():  # the bigrams of a hot word are in all ranges
+            spread, some = np.flatnonzero(hot[of]), np.flatnonzero(hot)
+            pair, shard, again = _pairs(of[spread], _shards(grown[spread], bits))
+            part_of = of.copy()
+            part_of[spread] = len(context) + again
+            total, gamma, count = grams[k].contexts(
+                np.r_[lead, lead[pair]], np.r_[hot, hot[pair]], np.r_[shards, shard], part_of, known[last])
+            total[some], gamma[some] = hot_words.contexts(lead[some], hot[some], shards[some])
+        else:
+            total, gamma, count = grams[k].contexts(lead, hot, shards, of, known[last])
+        lower = np.empty(len(last))
+        lower[own] = p[which[at]]
+        total, gamma, seen = total[of], gamma[of], _discounted(count, model.discounts[k])
+        p = np.where(total > 0, seen / np.where(total > 0, total, 1) + gamma * lower, lower)
+        which = np.zeros(len(flat), np.int64)
+        which[at] = own
+        hashes, tail = grown, last
+        logs[at] = np.log10(p)[own]
+    return logs
+
+
+def _score_task(batches, model: Model):
     numbers = _Files(model, 0, "word", 2)
     unigrams, hot_words = _Files(model, 1, "word"), _Files(model, 2, "context")
     grams = {k: _Files(model, k, "gram") for k in range(2, model.order + 1)}
     places = 1 / (model.vocabulary + 1)
-    for frame in frames:
-        found = []
-        for _, lists in slices(frame["text"], BATCH_TOKENS // 2, words):
-            (known, raw), columns, depth, lengths = _windows(lists, model.order, numbers.of_words)
-            (count,) = unigrams.of_words(_hashes(known))
-            p = np.full(len(known), places) if not model.unigram_total else (
-                _discounted(count, model.discounts[1]) / model.unigram_total + model.unigram_gamma * places
-            )
-            p, raw = p[columns[-1]], raw[columns[-1]]
-            columns = [known[c] for c in columns]
-            for k in range(2, model.order + 1):
-                own = columns[model.order - k:]
-                total, gamma, count = grams[k].contexts(_gram_hash(own[:-1]), *_route(model, own), own[-1])
-                if k == 2:  # the bigrams of a hot word are in all ranges
-                    at = np.flatnonzero(own[0] <= model.hot)
-                    hot, back = np.unique(own[0][at], return_inverse=True)
-                    sums = hot_words.contexts(_hashes(hot), *_route(model, [hot], True))
-                    total[at], gamma[at] = sums[0][back], sums[1][back]
-                seen = _discounted(count, model.discounts[k])
-                at = (total > 0) & (depth >= k - 1)
-                p = np.where(at, seen / np.where(at, total, 1) + gamma * p, p)
-            first = np.r_[0, np.cumsum(lengths)[:-1]]
-            base = np.log10((raw + 1) / (model.train_tokens + 1.0 * (model.vocabulary + 1)))
-            found.append(pd.DataFrame({
-                "n_tokens": lengths, "n_known": np.add.reduceat((raw > 0).astype(np.int64), first),
-                "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(np.log10(p), first),
-            }))
-        if found:
-            found = pd.concat(found, ignore_index=True)
-            found["perplexity"] = 10 ** (-found["score"] / found["n_tokens"])
-            keys = frame.drop(columns="text").reset_index(drop=True)
-            yield pd.concat([keys, found], axis=1)
+    for batch in _text_batches(batches):
+        hashes, codes, lengths = _encode(batch.column("text"))
+        known, raw = _known(numbers, hashes)
+        (count,) = unigrams.of_words(_hashes(known))
+        p = np.full(len(known), places) if not model.unigram_total else (
+            _discounted(count, model.discounts[1]) / model.unigram_total + model.unigram_gamma * places
+        )
+        base = np.log10((raw + 1) / (model.train_tokens + 1.0 * (model.vocabulary + 1)))
+        for a, b, flat, depth in _slices(codes, lengths, BATCH_TOKENS):
+            logs = _probabilities(model, known, p, flat, depth, grams, hot_words)
+            at = np.flatnonzero(depth)
+            words, n = flat[at], lengths[a:b] + 1
+            first = np.cumsum(n) - n
+            score = np.add.reduceat(logs[at], first)
+            found = [
+                n, np.add.reduceat((raw > 0)[words].astype(np.int64), first), np.add.reduceat(base[words], first),
+                score, 10 ** (-score / n),
+            ]
+            own = batch.slice(a, b - a).drop_columns("text")
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, *map(pa.array, found)], [*own.schema.names, *(x.split()[0] for x in SCORES.split(", "))])
 
 
 SCORES = "n_tokens long, n_known long, base_score double, score double, perplexity double"
@@ -662,7 +762,7 @@ def score(texts: DataFrame, model: Model, keys=("doc_id",)) -> DataFrame:
     add-one unigrams and by the model, and perplexity per token. A null or empty text is one
     end token. Repeated rows are scored each; other columns are left out."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*keys).schema)
-    return texts.select(*keys, "text").mapInPandas(
+    return texts.select(*keys, "text").mapInArrow(
         tidy(lambda it: _score_task(it, model)), f"{kinds}, {SCORES}" if kinds else SCORES
     )
 

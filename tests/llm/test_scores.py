@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,44 @@ def test_kneser_ney_takes_few_bytes_per_trigram(spark):
     assert 0 < size() - before < 40 * 120 * 500  # nearly all trigrams and bigrams are there once
 
 
+def test_kneser_ney_looks_up_distinct_ngrams(spark, monkeypatch):
+    texts = ["the cat sat on the mat", "a cat ran", None, "", " the  cat sat\n"] * 40 + ["some dog ran on the cat"]
+    model = kneser_ney.train(spark, spark.createDataFrame(list(enumerate(texts)), DOCS), 3)
+    asked, following = [], kneser_ney._Part.following
+    monkeypatch.setattr(kneser_ney._Part, "following", lambda part, at, last: asked.append(len(at)) or following(part, at, last))
+    rows = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    run = lambda: pd.concat([b.to_pandas() for b in kneser_ney._score_task(iter([rows]), model)], ignore_index=True)
+    whole = run()
+    distinct = {(k, t[i - k + 1: i + 1]) for text in texts for t in [(b"<s>", *words(text), b"</s>")]
+                for k in (2, 3) for i in range(k - 1, len(t))}
+    assert sum(asked) == len(distinct)
+    score, _ = plain_model(texts, 3)
+    assert whole["score"].tolist() == pytest.approx([score(t) for t in texts], rel=1e-9)
+    monkeypatch.setattr(kneser_ney, "BATCH_BYTES", 60)
+    monkeypatch.setattr(kneser_ney, "BATCH_TOKENS", 9)
+    pd.testing.assert_frame_equal(run(), whole)
+
+
+def test_kneser_ney_cuts_texts_into_words():
+    texts = [f" A{chr(i)}Bc{chr(i)} " for i in [*range(0x3100), 0x1F600] if not 0xD800 <= i < 0xE000]
+    for some in (texts, [None, "", " \t", "x"], ["", None], [" "], []):
+        for kind in (pa.string(), pa.large_string()):
+            hashes, codes, lengths = kneser_ney._encode(pa.array(["no", *some], kind)[1:])
+            assert lengths.tolist() == [len(words(t)) for t in some]
+            flat = [w for t in some for w in words(t)]
+            assert (hashes[codes] == kneser_ney._word_hashes(pa.array(flat, pa.binary()))).all()
+            assert len(set(hashes[codes].tolist())) == len(set(flat))
+
+
+def test_hashes_of_words_depend_on_their_bytes_only():
+    many = [(b"ab\0" * 40)[:n] + end for n in range(100) for end in (b"", b"\0", b"x", b"\0\0")]
+    many = list(dict.fromkeys(many))
+    hashes = kneser_ney._word_hashes(pa.array(many))
+    assert len(set(hashes.tolist())) == len(many)
+    assert (kneser_ney._word_hashes(pa.array(many[::-1])) == hashes[::-1]).all()
+    assert (kneser_ney._word_hashes(pa.array(many)[7:]) == hashes[7:]).all()
+
+
 @pytest.mark.parametrize("size", [1, 5000, kneser_ney.PLAIN + 5])
 def test_files_of_contexts(tmp_path, size):
     draw = np.random.default_rng(size)
