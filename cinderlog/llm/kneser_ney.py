@@ -93,6 +93,8 @@ def _encode(texts):
         there = codes != empty
         lengths = np.diff(np.r_[0, np.cumsum(there)][np.r_[0, np.cumsum(lengths)]])
         codes = codes[there]
+    del lists
+    pa.default_memory_pool().release_unused()
     return _word_hashes(distinct), codes, lengths
 
 
@@ -145,15 +147,20 @@ def _known(files, hashes) -> list:
     return found
 
 
+def _repeated(first, size: int) -> np.ndarray:
+    """Which run each row is in; first: where runs begin."""
+    return np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.r_[first, size]))
+
+
 def _pairs(left, right):
     """Distinct pairs of numbers under 2 ** 31, in order, and which of them each row has."""
     packed = left.astype(np.int64) << 32 | right
     order = np.argsort(packed)
     packed = packed[order]
-    first, which = _starts(packed), np.empty(len(packed), np.int64)
-    which[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(packed)]))
+    first, which = _starts(packed), np.empty(len(packed), np.int32)
+    which[order] = _repeated(first, len(packed))
     packed = packed[first]
-    return packed >> 32, packed & 0xFFFFFFFF, which
+    return (packed >> 32).astype(np.int32), packed.astype(np.int32), which
 
 
 def _hashes(numbers: np.ndarray) -> np.ndarray:
@@ -675,10 +682,12 @@ class _Files:
         if of is None:
             return total, gamma
         count, width = np.zeros(len(of), np.int64), self.model.vocabulary.bit_length()
-        asked = np.flatnonzero((rank[of] >= 0) & (last != UNKNOWN))
-        packed = rank[of[asked]] << width | last[asked]
+        packed = rank[of]
+        asked = np.flatnonzero((packed >= 0) & (last != UNKNOWN))
+        packed = packed[asked] << width | last[asked]
         order = np.argsort(packed)
         packed, asked = packed[order], asked[order]
+        del order  # memory
         for (part, start, end), place in zip(parts, found):
             a, b = np.searchsorted(packed, [start << width, end << width])
             own = packed[a:b]
@@ -701,7 +710,7 @@ def _probabilities(model: Model, known, p, flat, depth, grams, hot_words) -> np.
             break
         before, last, own = _pairs(which[at - 1], flat[at])
         first = _starts(before)
-        context, of = before[first], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(before)]))
+        context, of = before[first], _repeated(first, len(before))
         v = tail[context]
         hot, lead, grown = known[v] <= model.hot, hashes[context], chain(hashes[before], of_words[last])
         shards = _shards(np.where(hot, lead, of_words[v]), bits)
@@ -719,7 +728,7 @@ def _probabilities(model: Model, known, p, flat, depth, grams, hot_words) -> np.
         lower[own] = p[which[at]]
         total, gamma, seen = total[of], gamma[of], _discounted(count, model.discounts[k])
         p = np.where(total > 0, seen / np.where(total > 0, total, 1) + gamma * lower, lower)
-        which = np.zeros(len(flat), np.int64)
+        which = np.zeros(len(flat), np.int32)
         which[at] = own
         hashes, tail = grown, last
         logs[at] = np.log10(p)[own]
